@@ -79,19 +79,20 @@ def is_ec2_instance(service_name: str = C.SERVICE_NAME, resource_id: str = "reso
     )
 
 
-def resource_dim(source: DataFrame, instances: DataFrame | None = None) -> DataFrame:
+def resource_dim(
+    source: DataFrame, instances: DataFrame | None = None, with_name: bool = False
+) -> DataFrame:
     """Resource dimension: attributes, key, short id and, for EC2 instances,
-    the private IP from the ``instances`` inventory ('' when not found).
+    the private IP (and with ``with_name`` the last Name tag) from the
+    ``instances`` inventory ('' when not found; NULL for other resources).
 
     Without an inventory every EC2 instance row is a lookup miss ('').
     """
     attrs = resource_attributes(source)
-    return enrich.with_instance_lookup(
-        attrs,
-        instances,
-        wanted=is_ec2_instance(),
-        fields={"secondary_identifier": "private_ip"},
-    )
+    fields = {"secondary_identifier": "private_ip"}
+    if with_name:
+        fields["resource_name"] = "name_tag"
+    return enrich.with_instance_lookup(attrs, instances, wanted=is_ec2_instance(), fields=fields)
 
 
 def cross_account_resource_dim(

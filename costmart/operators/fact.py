@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import columns as C
-from .. import rules as R
 from ..functions import classify, dates, keys, measures
 from . import summary as S
 
@@ -80,19 +79,16 @@ def fact_wide_direct(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
     rules: DataFrame | None = None,
     tag_prefix: str = C.TAG_PREFIX,
+    service_names: str = "join",
 ) -> DataFrame:
     C.require_columns(cur, C.REQUIRED_CUR_COLUMNS)
     tags = C.tag_columns(cur, tag_prefix)
-    rules = rules if rules is not None else R.rules_frame(cur.sparkSession)
     rows = S.windowed(cur, as_of, months_back)
     # The service name is a group key here, so it is derived per row: a
     # broadcast hash join against the bounded rule table, pipelined in the
     # scan stage before the partial aggregation.
-    rows = S.service_name_from_rules(
-        rows.withColumn(S.RAW_SERVICE_NAME, F.col(C.SERVICE_NAME)),
-        rules,
-        raw=S.RAW_SERVICE_NAME,
-        out=C.SERVICE_NAME,
+    rows = S.with_service_name(
+        rows.withColumn(S.RAW_SERVICE_NAME, F.col(C.SERVICE_NAME)), rules, S.RAW_SERVICE_NAME, service_names
     )
     grouped = rows.groupBy(
         F.col(C.USAGE_ACCOUNT).alias("aws_account_dim_id"),
@@ -113,6 +109,7 @@ def fact_direct(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
     rules: DataFrame | None = None,
     tag_prefix: str = C.TAG_PREFIX,
+    service_names: str = "join",
 ) -> DataFrame:
     """Fact straight from the line items (one aggregation)."""
-    return narrow(fact_wide_direct(cur, as_of, months_back, rules, tag_prefix))
+    return narrow(fact_wide_direct(cur, as_of, months_back, rules, tag_prefix, service_names))

@@ -62,6 +62,8 @@ def service_name_from_rules(
     r = rules.select(F.col(_RULE_CODE), F.col(_RULE_NAME))
     if broadcast_rules:
         r = F.broadcast(r)
+    else:
+        r = R.broadcast_if_small(r, R.MAX_BROADCAST_RULES)
     joined = df.join(
         r,
         (F.col(raw) == F.lit(R.DATA_TRANSFER)) & (F.col(C.PRODUCT_CODE) == F.col(_RULE_CODE)),
@@ -104,6 +106,17 @@ def service_name_case(raw: Column | None = None) -> Column:
     return _fixed_arms(chain, raw)
 
 
+def with_service_name(df: DataFrame, rules: DataFrame | None, raw: str, strategy: str) -> DataFrame:
+    if strategy == "case":
+        return df.withColumn(C.SERVICE_NAME, service_name_case(F.col(raw)))
+    if strategy != "join":
+        raise ValueError(f"unknown service name strategy {strategy!r}")
+    if rules is None:  # the built-in literal table: bounded, broadcast
+        return service_name_from_rules(df, R.rules_frame(df.sparkSession), raw=raw, out=C.SERVICE_NAME)
+    # a user table: broadcast only behind a size check
+    return service_name_from_rules(df, rules, raw=raw, out=C.SERVICE_NAME, broadcast_rules=False)
+
+
 def windowed(cur: DataFrame, as_of: _dt.date | str | None, months_back: int | None) -> DataFrame:
     """Rows of the rolling window; ``months_back=None`` keeps all rows."""
     if months_back is None:
@@ -117,17 +130,19 @@ def summary(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
     rules: DataFrame | None = None,
     tag_prefix: str = C.TAG_PREFIX,
+    service_names: str = "join",
 ) -> DataFrame:
     """The summary view over ``cur`` for the window ending at ``as_of``.
 
+    ``service_names``: "join" looks the data-transfer rules up with a
+    broadcast join (default); "case" inlines them as one CASE chain.
+
     Groups are formed on raw values: rows whose raw service name or raw tag
     differ (e.g. NULL vs '') stay separate rows even when their derived
     output values are equal.
     """
     C.require_columns(cur, C.REQUIRED_CUR_COLUMNS)
     tags = C.tag_columns(cur, tag_prefix)
-    spark = cur.sparkSession
-    rules = rules if rules is not None else R.rules_frame(spark)
 
     computed = _computed_keys()
     renamed = [(raw, name) for raw, name in C.RENAMED_KEYS if name not in _ALIASES_OF_RESOURCE]
@@ -148,7 +163,7 @@ def summary(
             C.PRODUCT_NAME: F.col("product_name"),
         }
     )
-    labelled = service_name_from_rules(labelled, rules, raw=RAW_SERVICE_NAME, out=C.SERVICE_NAME)
+    labelled = with_service_name(labelled, rules, RAW_SERVICE_NAME, service_names)
     key_exprs = {name: F.col(name) for _, name in renamed}
     key_exprs.update({name: F.col(name) for name in computed})
     key_exprs.update({name: F.col(raw) for name, raw in _ALIASES_OF_RESOURCE.items()})

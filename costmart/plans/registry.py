@@ -64,3 +64,202 @@ def q_cost_fact(spark, sf_dir):
 @register("cost_fact_direct", O.with_fact("SELECT * FROM fact"))
 def q_cost_fact_direct(spark, sf_dir):
     return money(fact.fact_direct(_cur(spark, sf_dir), as_of=FX.AS_OF), C.FACT_MEASURES)
+
+
+# --------------------------------------------------------- classification
+def _label_counts(label: str, measure: str | None = None):
+    def run(spark, sf_dir):
+        aggs = [F.count(F.lit(1)).alias("view_rows")]
+        if measure:
+            aggs.append(F.sum(measure).cast(MONEY).alias(measure))
+        return _summary(spark, sf_dir).groupBy(label).agg(*aggs)
+
+    extra = f", CAST(sum({measure}) AS {O.MONEY}) AS {measure}" if measure else ""
+    return run, O.with_view(f"SELECT {label}, count(*) AS view_rows{extra} FROM v GROUP BY {label}")
+
+
+for _label, _measure in [
+    ("charge_category", "usage_quantity"),
+    ("purchase_option", "amortized_cost"),
+    ("ri_sp_arn", None),
+    ("service", "unblended_cost"),
+]:
+    _fn, _sql = _label_counts(_label, _measure)
+    register(_label, _sql)(_fn)
+
+_SPOT_KEYS = ["usage_type", "product_code", "charge_type", "item_description",
+              "instance_type_family", "instance_type", "platform"]
+
+
+@register(
+    "spot_instance_attributes",
+    O.with_view(f"SELECT {', '.join(_SPOT_KEYS)}, count(*) AS view_rows FROM v "
+                f"WHERE usage_type LIKE '%Spot%' GROUP BY {', '.join(_SPOT_KEYS)}"),
+)
+def q_spot(spark, sf_dir):
+    s = _summary(spark, sf_dir)
+    return s.where(F.col("usage_type").contains("Spot")).groupBy(*_SPOT_KEYS).agg(
+        F.count(F.lit(1)).alias("view_rows")
+    )
+
+
+@register(
+    "service_name_rules",
+    O.with_view("SELECT product_code, product_servicename, count(*) AS view_rows, "
+                f"CAST(sum(unblended_cost) AS {O.MONEY}) AS unblended_cost "
+                "FROM v GROUP BY product_code, product_servicename"),
+)
+def q_service_name_rules(spark, sf_dir):
+    return _summary(spark, sf_dir).groupBy("product_code", C.SERVICE_NAME).agg(
+        F.count(F.lit(1)).alias("view_rows"), F.sum("unblended_cost").cast(MONEY).alias("unblended_cost")
+    )
+
+
+@register(
+    "service_name_case",
+    O.with_view("SELECT product_code, product_servicename, count(*) AS view_rows "
+                "FROM v GROUP BY product_code, product_servicename"),
+)
+def q_service_name_case(spark, sf_dir):
+    """The service name derived with the inlined CASE chain instead of the
+    lookup join."""
+    s = summary.summary(_cur(spark, sf_dir), as_of=FX.AS_OF, service_names="case")
+    return s.groupBy("product_code", C.SERVICE_NAME).agg(F.count(F.lit(1)).alias("view_rows"))
+
+
+@register(
+    "cost_measures",
+    O.with_view("SELECT year, month, charge_type, "
+                + ", ".join(f"CAST(sum({m}) AS {O.MONEY}) AS {m}" for m in O.MEASURES)
+                + " FROM v GROUP BY year, month, charge_type"),
+)
+def q_cost_measures(spark, sf_dir):
+    return _summary(spark, sf_dir).groupBy("year", "month", "charge_type").agg(
+        *[F.sum(m).cast(MONEY).alias(m) for m in C.MEASURES]
+    )
+
+
+@register(
+    "tag_normalization",
+    O.with_view(f"SELECT {', '.join(O.TAGS)}, count(*) AS view_rows FROM v GROUP BY {', '.join(O.TAGS)}"),
+)
+def q_tag_normalization(spark, sf_dir):
+    s = _summary(spark, sf_dir)
+    tags = C.tag_columns(s)
+    return s.groupBy(*tags).agg(F.count(F.lit(1)).alias("view_rows"))
+
+
+@register(
+    "rolling_window",
+    f"WITH {O.cur_cte()} SELECT year, month, bill_billing_period_start_date AS billing_period, "
+    f"count(*) AS line_items, CAST(sum(line_item_unblended_cost) AS {O.MONEY}) AS unblended_cost "
+    f"FROM cur WHERE {O.window_predicate()} GROUP BY year, month, bill_billing_period_start_date",
+)
+def q_rolling_window(spark, sf_dir):
+    rows = summary.windowed(_cur(spark, sf_dir), FX.AS_OF, dates.DEFAULT_MONTHS_BACK)
+    return rows.groupBy("year", "month", F.col(C.BILLING_PERIOD_START).alias("billing_period")).agg(
+        F.count(F.lit(1)).alias("line_items"), F.sum(C.UNBLENDED).cast(MONEY).alias("unblended_cost")
+    )
+
+
+# ------------------------------------------------------------- dimensions
+@register(
+    "tag_dim",
+    O.with_view(f"SELECT DISTINCT {', '.join(O.TAGS)}, "
+                f"sha256(concat_ws('||', {', '.join(O.TAGS)})) AS tag_dim_id FROM v"),
+)
+def q_tag_dim(spark, sf_dir):
+    return dims.tag_dim(_summary(spark, sf_dir))
+
+
+@register(
+    "account_dim",
+    f"WITH {O.cur_cte()} SELECT bill_payer_account_id, line_item_usage_account_id, "
+    "line_item_usage_account_id AS aws_account_dim_id FROM cur "
+    "GROUP BY bill_payer_account_id, line_item_usage_account_id",
+)
+def q_account_dim(spark, sf_dir):
+    return dims.account_dim(_cur(spark, sf_dir))
+
+
+@register(
+    "date_dim",
+    f"WITH {O.cur_cte()}, b AS (SELECT CAST(min(line_item_usage_start_date) AS DATE) AS lo, "
+    "CAST(max(line_item_usage_start_date) AS DATE) AS hi FROM cur), "
+    "d AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, "
+    "INTERVAL 1 DAY)) AS d FROM b) "
+    "SELECT strftime(d, '%Y%m%d') AS date_dim_id, strftime(d, '%d') AS day_attr, "
+    "strftime(d, '%b') AS month_attr, strftime(d, '%Y') AS year_attr FROM d",
+)
+def q_date_dim(spark, sf_dir):
+    return dims.date_dim(_cur(spark, sf_dir))
+
+
+_RES = ", ".join(O.RESOURCE_DIM_COLUMNS)
+_EC2_I = "product_servicename = 'Amazon Elastic Compute Cloud' AND resource_id LIKE '%i-%'"
+_NAME_SQL = "coalesce(list_filter(i.tags, lambda x: x.Key = 'Name')[-1].Value, '')"
+
+
+def _resource_sql(with_name: bool) -> str:
+    name = f", CASE WHEN {_EC2_I} THEN {_NAME_SQL} END AS resource_name" if with_name else ""
+    return O.with_view(
+        f", inst AS ({FX.instances_sql()}), "
+        f"ra AS (SELECT {_RES}, sha256(concat_ws('||', {_RES})) AS aws_product_dim_id, "
+        f"regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM (SELECT DISTINCT {_RES} FROM v) r) "
+        f"SELECT ra.*, CASE WHEN {_EC2_I} THEN coalesce(i.private_ip, '') END AS secondary_identifier{name} "
+        "FROM ra LEFT JOIN inst i ON i.instance_id = ra.resource_id"
+    ).replace("\n)\n, inst", "\n), inst")
+
+
+@register("resource_dim", _resource_sql(False))
+def q_resource_dim(spark, sf_dir):
+    return dims.resource_dim(_summary(spark, sf_dir), FX.instances_from_tables(spark, sf_dir))
+
+
+@register("resource_name_tag", _resource_sql(True))
+def q_resource_name_tag(spark, sf_dir):
+    return dims.resource_dim(_summary(spark, sf_dir), FX.instances_from_tables(spark, sf_dir), with_name=True)
+
+
+CROSS_ACCOUNTS = ["acct-1", "acct-5", "acct-12", "acct-20"]
+
+
+@register(
+    "cross_account_resource_dim",
+    O.with_view(
+        f", inst AS ({FX.instances_sql()}), "
+        f"ca AS (SELECT DISTINCT {_RES}, linked_account_id FROM v WHERE linked_account_id IN "
+        f"({', '.join(O.q(a) for a in CROSS_ACCOUNTS)}) AND line_item_operation = 'RunInstances'), "
+        f"ra AS (SELECT *, sha256(concat_ws('||', {_RES})) AS aws_product_dim_id, "
+        "regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM ca) "
+        f"SELECT DISTINCT {', '.join('ra.' + c for c in O.RESOURCE_DIM_COLUMNS)}, ra.aws_product_dim_id, "
+        f"ra.resource_id, CASE WHEN {_EC2_I} THEN coalesce(i.private_ip, '') END AS secondary_identifier, "
+        f"CASE WHEN {_EC2_I} THEN {_NAME_SQL} END AS resource_name "
+        "FROM ra LEFT JOIN inst i ON i.instance_id = ra.resource_id AND i.account_id = ra.linked_account_id"
+    ).replace("\n)\n, inst", "\n), inst"),
+)
+def q_cross_account(spark, sf_dir):
+    return dims.cross_account_resource_dim(
+        _summary(spark, sf_dir), CROSS_ACCOUNTS, FX.instances_from_tables(spark, sf_dir)
+    )
+
+
+@register(
+    "account_names",
+    f"WITH {O.cur_cte()}, acc AS ({FX.accounts_sql()}), "
+    "ad AS (SELECT DISTINCT bill_payer_account_id, line_item_usage_account_id FROM cur) "
+    "SELECT bill_payer_account_id, line_item_usage_account_id, line_item_usage_account_id AS aws_account_dim_id, "
+    "coalesce(acc.account_name, '') AS account_name FROM ad LEFT JOIN acc ON acc.account_id = ad.line_item_usage_account_id",
+)
+def q_account_names(spark, sf_dir):
+    return enrich.account_names(dims.account_dim(_cur(spark, sf_dir)), FX.accounts_from_tables(spark, sf_dir))
+
+
+# ---------------------------------------------------------- period filter
+PERIOD = ("2001", "9")
+
+
+@register("period_filter", O.with_fact(f"SELECT * FROM fact WHERE year = '{PERIOD[0]}' AND month = '{PERIOD[1]}'"))
+def q_period_filter(spark, sf_dir):
+    f = fact.fact_direct(_cur(spark, sf_dir), as_of=FX.AS_OF)
+    return money(f.where((F.col("year") == PERIOD[0]) & (F.col("month") == PERIOD[1])), C.FACT_MEASURES)

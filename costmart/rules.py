@@ -9,6 +9,7 @@ long CASE chain; unmapped codes keep the raw name.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # ---------------------------------------------------------------------------
@@ -134,15 +135,29 @@ RULES_SCHEMA = StructType(
 )
 
 # The built-in table is a literal of len(DATA_TRANSFER_SERVICE_NAMES) rows,
-# so broadcasting it is bounded by construction. A user table is broadcast
-# only when it is at most this many rows (checked, see service_name()).
+# so broadcasting it is bounded by construction. A user-supplied table is
+# broadcast only after a row count shows it has at most this many rows;
+# otherwise the optimizer plans an ordinary (shuffle) join.
 MAX_BROADCAST_RULES = 100_000
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted
+    with a limit, so the check reads at most max_rows + 1 rows)."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def rules_frame(spark: SparkSession, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """The data-transfer rule table as a DataFrame (one row per product code)."""
+    """The data-transfer rule table as a DataFrame (one row per product code).
+
+    Built as a JVM-side literal (inline of an array of structs), so no Python
+    rows are shipped to executors.
+    """
     rows = pairs if pairs is not None else DATA_TRANSFER_SERVICE_NAMES
     codes = [c for c, _ in rows]
     if len(codes) != len(set(codes)):
         raise ValueError("service rules must have unique product codes")
-    return spark.createDataFrame(rows, RULES_SCHEMA)
+    literal = F.array(
+        *[F.struct(F.lit(c).alias("rule_product_code"), F.lit(n).alias("rule_service_name")) for c, n in rows]
+    )
+    return spark.range(1).select(F.inline(literal))
