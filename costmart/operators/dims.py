@@ -42,9 +42,11 @@ def account_dim(cur: DataFrame) -> DataFrame:
 def date_dim(cur: DataFrame, pad_days: int = 1) -> DataFrame:
     """One row per day from the first to the last usage day of the whole raw
     table, plus ``pad_days`` extra days (the original job emits one)."""
+    # min/max of the raw column (to_date is monotonic): a partial aggregate
+    # per task, one row to the final aggregate.
     bounds = cur.agg(
-        F.min(F.to_date(F.col(C.USAGE_START))).alias("lo"),
-        F.max(F.to_date(F.col(C.USAGE_START))).alias("hi"),
+        F.to_date(F.min(F.col(C.USAGE_START))).alias("lo"),
+        F.to_date(F.max(F.col(C.USAGE_START))).alias("hi"),
     )
     days = bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence(F.col("lo"), F.date_add(F.col("hi"), pad_days))).alias("d")

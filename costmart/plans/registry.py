@@ -263,3 +263,240 @@ PERIOD = ("2001", "9")
 def q_period_filter(spark, sf_dir):
     f = fact.fact_direct(_cur(spark, sf_dir), as_of=FX.AS_OF)
     return money(f.where((F.col("year") == PERIOD[0]) & (F.col("month") == PERIOD[1])), C.FACT_MEASURES)
+
+
+# ------------------------------------------------------------------ sinks
+# Each sink query writes data derived from the tables into a fresh folder
+# under the shared checkpoint root, then returns what a reader sees.
+EARLY_AS_OF = "2001-08-20"  # an earlier run, when the CUR held rows up to this day
+EARLY_CUT = f"line_item_usage_start_date < TIMESTAMP '{EARLY_AS_OF} 00:00:00'"
+
+
+def _early_cur(cur: DataFrame) -> DataFrame:
+    return cur.where(F.col(C.USAGE_START) < F.lit(EARLY_AS_OF).cast("timestamp"))
+
+
+def _early_cte() -> str:
+    return f"cur1 AS (SELECT * FROM cur WHERE {EARLY_CUT})"
+
+
+@register(
+    "fact_partition_overwrite",
+    # Months of the early run that the later run does not rewrite survive;
+    # the early run saw those months whole, so the result equals the fact
+    # over the early run's (wider) window.
+    O.with_fact("SELECT * FROM fact", months_back=10),
+)
+def q_fact_partition_overwrite(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+
+    cur = _cur(spark, sf_dir)
+    path = scratch_path(spark, "fact")
+    writers.write_partitioned(fact.fact_direct(_early_cur(cur), as_of=EARLY_AS_OF), path)
+    writers.write_partitioned(fact.fact_direct(cur, as_of=FX.AS_OF), path)
+    return money(readers.read_parquet(spark, path), C.FACT_MEASURES)
+
+
+@register(
+    "dim_append_new_keys",
+    f"WITH {O.cur_cte()}, {_early_cte()}, {O.view_cte(EARLY_AS_OF, name='v1', source='cur1')}, "
+    f"{O.view_cte()} SELECT DISTINCT * FROM ({O.tag_dim_select('v1')} UNION ALL {O.tag_dim_select('v')}) t",
+)
+def q_dim_append_new_keys(spark, sf_dir):
+    from ..session import checkpoint_root, scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+
+    checkpoint_root(spark)
+    cur = _cur(spark, sf_dir)
+    path = scratch_path(spark, "tag_dim")
+    writers.append_new_keys(dims.tag_dim(summary.summary(_early_cur(cur), as_of=EARLY_AS_OF)), path, dims.TAG_KEY)
+    writers.append_new_keys(dims.tag_dim(summary.summary(cur, as_of=FX.AS_OF)), path, dims.TAG_KEY)
+    return readers.read_parquet(spark, path)
+
+
+_ENV = ["resource_tags_user_env"]
+
+
+@register(
+    "dim_schema_merge",
+    f"WITH {O.cur_cte()}, {O.view_cte()} "
+    f"SELECT resource_tags_user_env, CAST(NULL AS VARCHAR) AS resource_tags_user_team, tag_dim_id "
+    f"FROM ({O.tag_dim_select('v', _ENV)}) a UNION ALL {O.tag_dim_select('v')}",
+)
+def q_dim_schema_merge(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+
+    cur = _cur(spark, sf_dir)
+    path = scratch_path(spark, "tag_dim_drift")
+    # First load: only the env tag existed; later a team tag was added.
+    writers.write_append(dims.tag_dim(summary.summary(cur.drop("resource_tags_user_team"), as_of=FX.AS_OF)), path)
+    writers.write_append(dims.tag_dim(summary.summary(cur, as_of=FX.AS_OF)), path)
+    return readers.read_parquet(spark, path, merge_schema=True)
+
+
+def _scratch_db(spark, name: str) -> str:
+    import uuid
+
+    from ..session import scratch_path
+    from ..sinks import writers
+
+    db = f"costmart_{name}_{uuid.uuid4().hex[:8]}"
+    writers.ensure_database(spark, db, scratch_path(spark, db))
+    return db
+
+
+@register("dim_swap", f"WITH {O.cur_cte()}, {O.view_cte()} {O.tag_dim_select('v')}")
+def q_dim_swap(spark, sf_dir):
+    from ..sinks import writers
+
+    cur = _cur(spark, sf_dir)
+    table = f"{_scratch_db(spark, 'swap')}.tag_dim"
+    # The second load adds a column; the swap replaces the table definition.
+    writers.swap_table(dims.tag_dim(summary.summary(cur.drop("resource_tags_user_team"), as_of=FX.AS_OF)), table)
+    writers.swap_table(dims.tag_dim(summary.summary(cur, as_of=FX.AS_OF)), table)
+    return spark.table(table)
+
+
+@register("dim_truncate_load", f"WITH {O.cur_cte()} {O.account_dim_select('cur')}")
+def q_dim_truncate_load(spark, sf_dir):
+    from ..sinks import writers
+
+    cur = _cur(spark, sf_dir)
+    table = f"{_scratch_db(spark, 'load')}.account_dim"
+    dims.account_dim(_early_cur(cur)).write.format("parquet").saveAsTable(table)
+    writers.truncate_load(dims.account_dim(cur), table)
+    return spark.table(table)
+
+
+@register("write_if_any", f"WITH {O.cur_cte()} {O.account_dim_select('cur')}")
+def q_write_if_any(spark, sf_dir):
+    from ..session import checkpoint_root, scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+
+    checkpoint_root(spark)
+    cur = _cur(spark, sf_dir)
+    path = scratch_path(spark, "account_dim")
+    writers.write_if_any(dims.account_dim(cur), lambda d: writers.write_overwrite(d, path))
+    # A run over a period without line items must leave the stored rows alone.
+    later = cur.where(F.col(C.USAGE_START) >= F.lit("2030-01-01").cast("timestamp"))
+    writers.write_if_any(dims.account_dim(later), lambda d: writers.write_overwrite(d, path))
+    return readers.read_parquet(spark, path)
+
+
+# ----------------------------------------------------------------- checks
+def _mart_frames(spark, sf_dir):
+    cur = _cur(spark, sf_dir)
+    s = summary.summary(cur, as_of=FX.AS_OF)
+    f = fact.fact_direct(cur, as_of=FX.AS_OF)
+    return cur, s, f
+
+
+_KEY_STATS_SQL = (
+    "SELECT '{dim}' AS dim, CAST(sum(n) AS BIGINT) AS dim_rows, count(*) AS distinct_keys, "
+    "CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicated_keys "
+    "FROM (SELECT {key}, count(*) AS n FROM ({body}) d GROUP BY {key}) k"
+)
+
+
+@register(
+    "dim_key_uniqueness",
+    O.with_view(
+        ", inst AS (" + FX.instances_sql() + ") "
+        + " UNION ALL ".join(
+            [
+                _KEY_STATS_SQL.format(dim="tag_dim", key="tag_dim_id", body=O.tag_dim_select("v")),
+                _KEY_STATS_SQL.format(
+                    dim="resource_dim",
+                    key="aws_product_dim_id",
+                    body=f"SELECT DISTINCT {_RES}, sha256(concat_ws('||', {_RES})) AS aws_product_dim_id FROM v",
+                ),
+                _KEY_STATS_SQL.format(dim="account_dim", key="aws_account_dim_id", body=O.account_dim_select("cur")),
+            ]
+        )
+    ).replace("\n)\n, inst", "\n), inst"),
+)
+def q_dim_key_uniqueness(spark, sf_dir):
+    from ..operators import checks
+
+    cur, s, _ = _mart_frames(spark, sf_dir)
+    parts = [
+        checks.key_stats("tag_dim", dims.tag_dim(s), dims.TAG_KEY),
+        checks.key_stats("resource_dim", dims.resource_dim(s, FX.instances_from_tables(spark, sf_dir)), dims.RESOURCE_KEY),
+        checks.key_stats("account_dim", dims.account_dim(cur), dims.ACCOUNT_KEY),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_ORPHAN_SQL = "SELECT '{dim}' AS dim, count(*) AS orphan_rows FROM fact WHERE {key} NOT IN (SELECT {key} FROM ({body}) d)"
+
+
+@register(
+    "orphan_fact_keys",
+    O.with_fact(
+        " UNION ALL ".join(
+            [
+                _ORPHAN_SQL.format(dim="tag_dim", key="tag_dim_id", body=O.tag_dim_select("v")),
+                _ORPHAN_SQL.format(
+                    dim="resource_dim",
+                    key="aws_product_dim_id",
+                    body=f"SELECT sha256(concat_ws('||', {_RES})) AS aws_product_dim_id FROM v",
+                ),
+                _ORPHAN_SQL.format(dim="account_dim", key="aws_account_dim_id", body=O.account_dim_select("cur")),
+                _ORPHAN_SQL.format(
+                    dim="date_dim",
+                    key="date_dim_id",
+                    body="SELECT strftime(CAST(line_item_usage_start_date AS DATE), '%Y%m%d') AS date_dim_id FROM cur",
+                ),
+            ]
+        )
+    ),
+)
+def q_orphan_fact_keys(spark, sf_dir):
+    from ..operators import checks
+
+    cur, s, f = _mart_frames(spark, sf_dir)
+    pairs = [
+        ("tag_dim", dims.tag_dim(s), dims.TAG_KEY),
+        ("resource_dim", dims.resource_attributes(s), dims.RESOURCE_KEY),
+        ("account_dim", dims.account_dim(cur), dims.ACCOUNT_KEY),
+        ("date_dim", dims.date_dim(cur), dims.DATE_KEY),
+    ]
+    out = None
+    for name, dim, key in pairs:
+        part = checks.orphan_keys(f, dim, key).agg(F.count(F.lit(1)).alias("orphan_rows")).select(
+            F.lit(name).alias("dim"), "orphan_rows"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register(
+    "measure_reconciliation",
+    O.with_fact(
+        "SELECT 'line_items' AS level, "
+        + ", ".join(f"CAST(sum(m_{m}) AS {O.MONEY}) AS {m}" for m in O.FACT_MEASURES)
+        + " FROM (SELECT "
+        + ", ".join(f"{e} AS m_{m}" for m, e in O.MEASURES_SQL if m in O.FACT_MEASURES)
+        + f" FROM cur WHERE {O.window_predicate()}) w UNION ALL "
+        + "SELECT 'summary' AS level, "
+        + ", ".join(f"CAST(sum({m}) AS {O.MONEY}) AS {m}" for m in O.FACT_MEASURES)
+        + " FROM v UNION ALL SELECT 'fact' AS level, "
+        + ", ".join(f"CAST(sum({m}) AS {O.MONEY}) AS {m}" for m in O.FACT_MEASURES)
+        + " FROM fact"
+    ),
+)
+def q_measure_reconciliation(spark, sf_dir):
+    from ..operators import checks
+
+    cur, s, f = _mart_frames(spark, sf_dir)
+    windowed = summary.windowed(cur, FX.AS_OF, dates.DEFAULT_MONTHS_BACK)
+    return money(checks.reconciliation(windowed, s, f), C.FACT_MEASURES)
