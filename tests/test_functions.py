@@ -1,0 +1,94 @@
+"""Golden scalars: identifiers, spot parsing, keys, calendar, window."""
+
+import datetime as dt
+import hashlib
+
+from pyspark.sql import functions as F
+
+from costmart.functions import dates, keys
+from costmart.operators import dims, fact, summary
+from cur_rows import make_cur
+
+
+def test_short_resource_id(spark):
+    df = spark.createDataFrame([("arn:aws:ec2:x:i-1",), ("bkt",), ("a:",), ("",), (None,)], "r string")
+    got = [r[0] for r in df.select(keys.short_resource_id(F.col("r"))).collect()]
+    assert got == ["i-1", "bkt", "", "", None]
+
+
+def test_spot_parsing(spark):
+    rows = [
+        {"product_sku": "a", "line_item_usage_type": "EU-SpotUsage", "line_item_line_item_description": "m5.large Linux/UNIX Spot Instance"},
+        {"product_sku": "b", "line_item_usage_type": "EU-SpotUsage", "line_item_line_item_description": "nospace"},
+        {"product_sku": "c", "line_item_usage_type": "EU-BoxUsage", "line_item_line_item_description": "nospace"},
+    ]
+    s = {r.product_sku: r for r in summary.summary(make_cur(spark, rows), as_of="2021-10-15").collect()}
+    assert (s["a"].instance_type_family, s["a"].instance_type, s["a"].platform) == ("m5", "m5.large", "Linux")
+    assert (s["b"].instance_type_family, s["b"].instance_type, s["b"].platform) == ("nospace", "nospace", None)
+    # not spot: product columns
+    assert (s["c"].instance_type_family, s["c"].instance_type, s["c"].platform) == ("m5", "m5.large", "Linux")
+
+
+def test_surrogate_key(spark):
+    df = spark.createDataFrame([("a", None, "b"), (None, None, None)], "x string, y string, z string")
+    got = [r[0] for r in df.select(keys.surrogate_key(["x", "y", "z"])).collect()]
+    assert got[0] == "23360994fdaa608ee91c88e2901c2e83d5322dc145fafebe06e4d9036d5d1e28"
+    assert got[0] == hashlib.sha256(b"a||b").hexdigest()
+    assert got[1] == hashlib.sha256(b"").hexdigest()
+    assert df.select(keys.surrogate_key([])).first()[0] == hashlib.sha256(b"").hexdigest()
+
+
+def test_non_ascii_key_matches_python(spark):
+    df = spark.createDataFrame([("équipe", "数据")], "x string, y string")
+    got = df.select(keys.surrogate_key(["x", "y"])).first()[0]
+    assert got == hashlib.sha256("équipe||数据".encode()).hexdigest()
+
+
+def test_calendar(spark):
+    rows = [
+        {"line_item_usage_start_date": dt.datetime(2021, 1, 31, 5)},
+        {"line_item_usage_start_date": dt.datetime(2021, 2, 1, 23), "product_sku": "x"},
+    ]
+    got = [tuple(r) for r in dims.date_dim(make_cur(spark, rows)).orderBy("date_dim_id").collect()]
+    assert got == [
+        ("20210131", "31", "Jan", "2021"),
+        ("20210201", "01", "Feb", "2021"),
+        ("20210202", "02", "Feb", "2021"),
+    ]
+
+
+def test_window_start():
+    assert dates.window_start(dt.date(2021, 10, 15)) == dt.date(2021, 3, 1)
+    assert dates.window_start(dt.date(2021, 3, 31), 7) == dt.date(2020, 8, 1)
+    assert dates.window_start(dt.date(2001, 11, 15)) == dt.date(2001, 4, 1)
+
+
+def test_null_and_empty_tags(spark):
+    rows = [{"resource_tags_user_env": None}, {"resource_tags_user_env": ""}]
+    cur = make_cur(spark, rows)
+    s = summary.summary(cur, as_of="2021-10-15")
+    assert s.count() == 2  # grouped on raw values
+    assert {r.resource_tags_user_env for r in s.collect()} == {""}
+    assert fact.fact(s).count() == 1
+    assert fact.fact_direct(cur, as_of="2021-10-15").count() == 1
+    assert dims.tag_dim(s).count() == 1
+
+
+def test_zero_tag_columns(spark):
+    cur = make_cur(spark, [{}], tags=[])
+    f = fact.fact_direct(cur, as_of="2021-10-15").first()
+    assert f.tag_dim_id == hashlib.sha256(b"").hexdigest()
+    td = dims.tag_dim(summary.summary(cur, as_of="2021-10-15")).collect()
+    assert [r.tag_dim_id for r in td] == [hashlib.sha256(b"").hexdigest()]
+
+
+def test_last_tag_value(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES "
+        "(array(named_struct('Key','Name','Value','a'), named_struct('Key','x','Value','y'), named_struct('Key','Name','Value','b'))), "
+        "(array(named_struct('Key','x','Value','y'))), "
+        "(CAST(array() AS array<struct<Key:string,Value:string>>)), "
+        "(CAST(NULL AS array<struct<Key:string,Value:string>>)) AS t(tags)"
+    )
+    got = [r[0] for r in df.select(keys.last_tag_value(F.col("tags"), "Name")).collect()]
+    assert got == ["b", "", "", ""]
