@@ -150,14 +150,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 def rules_frame(spark: SparkSession, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """The data-transfer rule table as a DataFrame (one row per product code).
 
-    Built as a JVM-side literal (inline of an array of structs), so no Python
-    rows are shipped to executors.
+    Built as an inline table (a LocalRelation): no Python rows are shipped
+    to executors, and broadcasting it needs no Spark job.
     """
     rows = pairs if pairs is not None else DATA_TRANSFER_SERVICE_NAMES
     codes = [c for c, _ in rows]
     if len(codes) != len(set(codes)):
         raise ValueError("service rules must have unique product codes")
-    literal = F.array(
-        *[F.struct(F.lit(c).alias("rule_product_code"), F.lit(n).alias("rule_service_name")) for c, n in rows]
-    )
-    return spark.range(1).select(F.inline(literal))
+    values = ", ".join(f"({_sql_string(c)}, {_sql_string(n)})" for c, n in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS rules(rule_product_code, rule_service_name)")
+
+
+def _sql_string(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
