@@ -500,3 +500,25 @@ def q_measure_reconciliation(spark, sf_dir):
     cur, s, f = _mart_frames(spark, sf_dir)
     windowed = summary.windowed(cur, FX.AS_OF, dates.DEFAULT_MONTHS_BACK)
     return money(checks.reconciliation(windowed, s, f), C.FACT_MEASURES)
+
+
+# -------------------------------------------------------------- streaming
+@register("incremental_fact_stream", O.with_fact("SELECT * FROM fact"))
+def q_incremental_fact_stream(spark, sf_dir):
+    """The CUR arrives in two deliveries (rows before and from the early
+    cut-off day); after each, the stream refreshes the touched months. The
+    final fact equals the batch fact over the whole CUR."""
+    from ..session import scratch_path
+    from ..sources import readers
+    from ..streaming import incremental
+
+    cur = _cur(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/_checkpoint"
+    first = _early_cur(cur)
+    rest = cur.where(F.col(C.USAGE_START) >= F.lit(EARLY_AS_OF).cast("timestamp"))
+    first.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(cur_path)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of=FX.AS_OF)
+    rest.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(cur_path)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of=FX.AS_OF)
+    return money(readers.read_parquet(spark, fact_path), C.FACT_MEASURES)
