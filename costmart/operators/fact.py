@@ -37,9 +37,11 @@ FACT_COLUMNS = [
 
 def _finish(grouped: DataFrame, tags: list[str]) -> DataFrame:
     """Add the derived labels and the two surrogate keys (wide form: the tag
-    and resource columns are kept so the dimensions can be cut from it)."""
+    and resource columns are kept so the dimensions can be cut from it).
+    The usage day is grouped on as a date and formatted here, per group."""
     return grouped.withColumns(
         {
+            "date_dim_id": F.date_format(F.col(_DAY), "yyyyMMdd"),
             "charge_category": classify.charge_category(F.col("charge_type")),
             "product_code": F.col(C.PRODUCT_CODE),
             "tag_dim_id": keys.surrogate_key(tags),
@@ -48,6 +50,9 @@ def _finish(grouped: DataFrame, tags: list[str]) -> DataFrame:
     )
 
 
+_DAY = "__usage_day"
+
+
 def narrow(wide: DataFrame) -> DataFrame:
     """The published fact columns of a wide fact."""
     return wide.select(*FACT_COLUMNS)
@@ -57,7 +62,7 @@ def fact_wide_from_summary(summary_df: DataFrame, tag_prefix: str = C.TAG_PREFIX
     tags = C.tag_columns(summary_df, tag_prefix)
     grouped = summary_df.groupBy(
         F.col("linked_account_id").alias("aws_account_dim_id"),
-        dates.date_key(F.col("usage_date")).alias("date_dim_id"),
+        F.to_date(F.col("usage_date")).alias(_DAY),
         *[F.col(c) for c in C.RESOURCE_DIM_COLUMNS],
         "charge_type",
         "purchase_option",
@@ -92,7 +97,7 @@ def fact_wide_direct(
     )
     grouped = rows.groupBy(
         F.col(C.USAGE_ACCOUNT).alias("aws_account_dim_id"),
-        dates.date_key(F.date_trunc("day", F.col(C.USAGE_START))).alias("date_dim_id"),
+        F.to_date(F.col(C.USAGE_START)).alias(_DAY),
         *[F.col(c) for c in C.RESOURCE_DIM_COLUMNS],
         F.col(C.ITEM_TYPE).alias("charge_type"),
         classify.purchase_option().alias("purchase_option"),
