@@ -221,7 +221,7 @@ def q_resource_name_tag(spark, sf_dir):
     return dims.resource_dim(_summary(spark, sf_dir), FX.instances_from_tables(spark, sf_dir), with_name=True)
 
 
-CROSS_ACCOUNTS = ["acct-1", "acct-5", "acct-12", "acct-20"]
+CROSS_ACCOUNTS = ["acct-1", "acct-2", "acct-3", "acct-12"]
 
 
 @register(
@@ -255,6 +255,49 @@ def q_account_names(spark, sf_dir):
     return enrich.account_names(dims.account_dim(_cur(spark, sf_dir)), FX.accounts_from_tables(spark, sf_dir))
 
 
+_SNAP_SQL = (
+    "CASE WHEN product_servicename = 'Amazon Elastic Compute Cloud' AND resource_id LIKE '%snap-%' "
+    "THEN coalesce(s.restore_expiry, '') "
+    "WHEN product_servicename = 'Amazon Elastic Compute Cloud' AND resource_id LIKE '%i-%' "
+    "THEN coalesce(i.private_ip, '') END"
+)
+
+
+@register(
+    "snapshot_enrichment",
+    O.with_view(
+        f", inst AS ({FX.instances_sql()}), snaps AS ({FX.snapshots_sql()}), "
+        f"ra AS (SELECT {_RES}, sha256(concat_ws('||', {_RES})) AS aws_product_dim_id, "
+        f"regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM (SELECT DISTINCT {_RES} FROM v) r) "
+        f"SELECT ra.*, {_SNAP_SQL} AS secondary_identifier FROM ra "
+        "LEFT JOIN inst i ON i.instance_id = ra.resource_id "
+        "LEFT JOIN snaps s ON s.snapshot_id = str_split(ra.resource_id, '/')[2]"
+    ).replace("\n)\n, inst", "\n), inst"),
+)
+def q_snapshot_enrichment(spark, sf_dir):
+    """Secondary identifier as the older job intended: EC2 snapshot ids get
+    the snapshot's restore expiry (checked first), instance ids the IP."""
+    attrs = dims.resource_attributes(_summary(spark, sf_dir))
+    return enrich.secondary_identifier(
+        attrs, FX.instances_from_tables(spark, sf_dir), FX.snapshots_from_tables(spark, sf_dir)
+    )
+
+
+@register(
+    "volume_enrichment",
+    O.with_view(
+        f", vols AS ({FX.volumes_sql()}), "
+        f"ra AS (SELECT {_RES}, sha256(concat_ws('||', {_RES})) AS aws_product_dim_id, "
+        f"regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM (SELECT DISTINCT {_RES} FROM v) r) "
+        "SELECT ra.*, CASE WHEN resource_id LIKE '%vol-%' THEN coalesce(vo.volume_type, '') END AS volume_type "
+        "FROM ra LEFT JOIN vols vo ON vo.volume_id = ra.resource_id"
+    ).replace("\n)\n, vols", "\n), vols"),
+)
+def q_volume_enrichment(spark, sf_dir):
+    attrs = dims.resource_attributes(_summary(spark, sf_dir))
+    return enrich.volume_types(attrs, FX.volumes_from_tables(spark, sf_dir))
+
+
 # ---------------------------------------------------------- period filter
 PERIOD = ("2001", "9")
 

@@ -84,6 +84,8 @@ CUR_EXPRESSIONS: list[tuple[str, str, str | None]] = [
     ("pricing_unit", "'Hrs'", None),
     ("line_item_resource_id",
      "case when l_partkey % 10 = 0 then null "
+     "when l_partkey % 10 = 5 then concat('arn:aws:ec2:x:snapshot/snap-', cast(l_partkey as varchar(20))) "
+     "when l_partkey % 10 = 7 then concat('vol-', cast(l_partkey as varchar(20))) "
      "when l_partkey % 2 = 0 then concat('arn:aws:ec2:x:instance/i-', cast(l_partkey as varchar(20))) "
      "when l_partkey % 3 = 0 then concat('arn:aws:ec2:x:i-', cast(l_partkey as varchar(20))) "
      "else concat('i-', cast(l_partkey as varchar(20))) end", None),
@@ -144,7 +146,7 @@ def cur_sql() -> str:
 # partkey % 4 = 3 absent (lookup miss). Tags: NULL list, other key only,
 # one Name, or two Names (the last one wins).
 INSTANCE_EXPRESSIONS: list[tuple[str, str, str | None]] = [
-    ("account_id", "concat('acct-', cast(p_partkey % 25 as varchar(20)))", None),
+    ("account_id", "concat('acct-', cast(p_partkey % 5 as varchar(20)))", None),
     ("instance_id", "concat('i-', cast(p_partkey as varchar(20)))", None),
     ("private_ip",
      "case when p_partkey % 20 = 1 then null else concat('10.', cast(p_partkey % 256 as varchar(20)), '.', "
@@ -176,6 +178,44 @@ def instances_sql() -> str:
     return f"SELECT {cols} FROM part WHERE {INSTANCE_FILTER}"
 
 
+# Snapshot inventory: one per part with partkey % 10 = 5 ('snap-<partkey>'),
+# every third one absent (miss). Volume inventory likewise for % 10 = 7.
+SNAPSHOT_FILTER = "p_partkey % 10 = 5 AND p_partkey % 3 <> 0"
+VOLUME_FILTER = "p_partkey % 10 = 7 AND p_partkey % 3 <> 0"
+SNAPSHOT_EXPRESSIONS = [
+    ("snapshot_id", "concat('snap-', cast(p_partkey as varchar(20)))"),
+    ("restore_expiry", "concat('2002-', cast(p_size % 12 + 10 as varchar(20)), '-01T00:00:00Z')"),
+]
+VOLUME_EXPRESSIONS = [
+    ("volume_id", "concat('vol-', cast(p_partkey as varchar(20)))"),
+    ("volume_type", "case p_size % 3 when 0 then 'gp3' when 1 then 'io2' else 'st1' end"),
+]
+
+
+def _inventory(spark: SparkSession, sf_dir: str, flt: str, exprs) -> DataFrame:
+    return table(spark, sf_dir, "part").where(flt).selectExpr(*[f"{e} AS {n}" for n, e in exprs])
+
+
+def _inventory_sql(flt: str, exprs) -> str:
+    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in exprs)} FROM part WHERE {flt}"
+
+
+def snapshots_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inventory(spark, sf_dir, SNAPSHOT_FILTER, SNAPSHOT_EXPRESSIONS)
+
+
+def snapshots_sql() -> str:
+    return _inventory_sql(SNAPSHOT_FILTER, SNAPSHOT_EXPRESSIONS)
+
+
+def volumes_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inventory(spark, sf_dir, VOLUME_FILTER, VOLUME_EXPRESSIONS)
+
+
+def volumes_sql() -> str:
+    return _inventory_sql(VOLUME_FILTER, VOLUME_EXPRESSIONS)
+
+
 # Account names: one per nation (name = nation name); nation 7 absent (miss).
 ACCOUNT_FILTER = "n_nationkey <> 7"
 
