@@ -304,8 +304,31 @@ PERIOD = ("2001", "9")
 
 @register("period_filter", O.with_fact(f"SELECT * FROM fact WHERE year = '{PERIOD[0]}' AND month = '{PERIOD[1]}'"))
 def q_period_filter(spark, sf_dir):
-    f = fact.fact_direct(_cur(spark, sf_dir), as_of=FX.AS_OF)
-    return money(f.where((F.col("year") == PERIOD[0]) & (F.col("month") == PERIOD[1])), C.FACT_MEASURES)
+    """A one-month run: the CUR restricted to the (year, month) partition."""
+    from . import jobs
+
+    return money(jobs.fact_for_period(_cur(spark, sf_dir), *PERIOD), C.FACT_MEASURES)
+
+
+@register(
+    "summary_view_sql",
+    O.with_view(
+        "SELECT product_servicename, purchase_option, count(*) AS view_rows, "
+        + ", ".join(f"CAST(sum({m}) AS {O.MONEY}) AS {m}" for m in ("amortized_cost", "public_cost"))
+        + " FROM v GROUP BY product_servicename, purchase_option"
+    ),
+)
+def q_summary_view_sql(spark, sf_dir):
+    """SQL users: the summary registered as a temporary view, queried with
+    spark.sql."""
+    from . import jobs
+
+    jobs.register_summary_view(spark, _cur(spark, sf_dir), as_of=FX.AS_OF, name="summary_view")
+    return spark.sql(
+        "SELECT product_servicename, purchase_option, count(*) AS view_rows, "
+        f"CAST(sum(amortized_cost) AS {MONEY}) AS amortized_cost, CAST(sum(public_cost) AS {MONEY}) AS public_cost "
+        "FROM summary_view GROUP BY product_servicename, purchase_option"
+    )
 
 
 # ------------------------------------------------------------------ sinks

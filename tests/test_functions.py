@@ -92,3 +92,11 @@ def test_last_tag_value(spark):
     )
     got = [r[0] for r in df.select(keys.last_tag_value(F.col("tags"), "Name")).collect()]
     assert got == ["b", "", "", ""]
+
+
+def test_jobs_period_and_zone(spark):
+    from costmart.plans import jobs
+
+    y, m = jobs.current_period("Asia/Kolkata")
+    assert len(y) == 4 and not m.startswith("0")
+    assert jobs.today_in("UTC") <= dt.date.today() + dt.timedelta(days=1)
