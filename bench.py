@@ -1,7 +1,7 @@
 """Benchmark: the cost-mart queries at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 2; the best run per query is reported).
+BENCH_RUNS (default 3; the best run per query is reported).
 
 Setup (timed separately, reported as ``setup_cur_materialize``): the CUR is
 derived from the test tables once and written as a year/month-partitioned
@@ -37,7 +37,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 4 * cpus), app="costmart-bench")
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)

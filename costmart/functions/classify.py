@@ -12,16 +12,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import columns as C
+from .cache import per_session
 
 # Item types that count as running usage.
 USAGE_TYPES = ["DiscountedUsage", "SavingsPlanCoveredUsage", "Usage"]
 
 
-def charge_category(item_type: Column | None = None) -> Column:
-    t = item_type if item_type is not None else F.col(C.ITEM_TYPE)
+@per_session
+def charge_category(item_type: str = C.ITEM_TYPE) -> Column:
+    t = F.col(item_type)
     return F.when(t.isin(*USAGE_TYPES), F.lit("Running_Usage")).otherwise(F.lit("non_usage"))
 
 
+@per_session
 def purchase_option() -> Column:
     """SavingsPlan > Reserved > Spot > OnDemand, first non-empty ARN wins."""
     return (
@@ -32,6 +35,7 @@ def purchase_option() -> Column:
     )
 
 
+@per_session
 def ri_sp_arn() -> Column:
     return (
         F.when(F.col(C.SP_ARN) != "", F.col(C.SP_ARN))
@@ -40,20 +44,18 @@ def ri_sp_arn() -> Column:
     )
 
 
+@per_session
 def service(
-    billing_entity: Column | None = None,
-    item_type: Column | None = None,
-    product_name: Column | None = None,
-    service_code: Column | None = None,
-    product_code: Column | None = None,
+    billing_entity: str = C.BILLING_ENTITY,
+    item_type: str = C.ITEM_TYPE,
+    product_name: str = C.PRODUCT_NAME,
+    service_code: str = C.SERVICE_CODE,
+    product_code: str = C.PRODUCT_CODE,
 ) -> Column:
     """Marketplace (non-discount) -> product name; empty service code ->
-    product code; else the service code."""
-    entity = billing_entity if billing_entity is not None else F.col(C.BILLING_ENTITY)
-    t = item_type if item_type is not None else F.col(C.ITEM_TYPE)
-    name = product_name if product_name is not None else F.col(C.PRODUCT_NAME)
-    code = service_code if service_code is not None else F.col(C.SERVICE_CODE)
-    pcode = product_code if product_code is not None else F.col(C.PRODUCT_CODE)
+    product code; else the service code. Arguments are column names."""
+    entity, t, name = F.col(billing_entity), F.col(item_type), F.col(product_name)
+    code, pcode = F.col(service_code), F.col(product_code)
     return (
         F.when((entity == "AWS Marketplace") & ~t.contains("Discount"), name)
         .when(code == "", pcode)
@@ -61,6 +63,7 @@ def service(
     )
 
 
+@per_session
 def is_spot_ec2_usage() -> Column:
     return (
         F.col(C.USAGE_TYPE).contains("Spot")
@@ -75,18 +78,21 @@ def _part(s: Column, pattern: str, index: int) -> Column:
     return F.get(F.split(s, pattern), index)
 
 
+@per_session
 def spot_instance_family() -> Column:
     return F.when(is_spot_ec2_usage(), _part(F.col(C.DESCRIPTION), "[.]", 0)).otherwise(
         F.col(C.INSTANCE_FAMILY)
     )
 
 
+@per_session
 def spot_instance_type() -> Column:
     return F.when(is_spot_ec2_usage(), _part(F.col(C.DESCRIPTION), " ", 0)).otherwise(
         F.col(C.INSTANCE_TYPE)
     )
 
 
+@per_session
 def spot_platform() -> Column:
     return F.when(
         is_spot_ec2_usage(), _part(_part(F.col(C.DESCRIPTION), " ", 1), "/", 0)

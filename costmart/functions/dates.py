@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import columns as C
+from .cache import per_session
 
 DEFAULT_MONTHS_BACK = 7
 
@@ -36,6 +37,7 @@ def period_date(year: Column | None = None, month: Column | None = None) -> Colu
     return F.make_date(y.cast("int"), m.cast("int"), F.lit(1))
 
 
+@per_session
 def rolling_window(as_of: _dt.date, months_back: int = DEFAULT_MONTHS_BACK) -> Column:
     """Billing periods from the first of the month ``months_back`` months ago.
 

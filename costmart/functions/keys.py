@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .cache import per_session
+
 KEY_SEPARATOR = "||"
 
 
@@ -14,6 +16,11 @@ def surrogate_key(cols: list[str]) -> Column:
     Columns are taken in the given order (callers pass them sorted). NULLs are
     skipped by ``concat_ws``; an empty list or all-NULL row hashes ''.
     """
+    return _surrogate_key(tuple(cols))
+
+
+@per_session
+def _surrogate_key(cols: tuple[str, ...]) -> Column:
     text = F.concat_ws(KEY_SEPARATOR, *[F.col(c) for c in cols]) if cols else F.lit("")
     return F.sha2(text, 256)
 

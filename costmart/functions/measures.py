@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import columns as C
+from .cache import per_session
 
 
 def _t() -> Column:
@@ -22,16 +23,19 @@ def _zero() -> Column:
     return F.lit(0)
 
 
+@per_session
 def usage_quantity_row() -> Column:
     return F.when(
         _t().isin("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage"), F.col(C.USAGE_AMOUNT)
     ).otherwise(_zero())
 
 
+@per_session
 def unblended_cost_row() -> Column:
     return F.col(C.UNBLENDED)
 
 
+@per_session
 def amortized_cost_row() -> Column:
     return (
         F.when(_t() == "SavingsPlanCoveredUsage", F.col(C.SP_EFFECTIVE))
@@ -45,6 +49,7 @@ def amortized_cost_row() -> Column:
     )
 
 
+@per_session
 def ri_sp_trueup_row() -> Column:
     return (
         F.when(_t() == "SavingsPlanRecurringFee", -F.col(C.SP_AMORTIZED_UPFRONT))
@@ -53,6 +58,7 @@ def ri_sp_trueup_row() -> Column:
     )
 
 
+@per_session
 def ri_sp_upfront_fees_row() -> Column:
     return (
         F.when(_t() == "SavingsPlanUpfrontFee", F.col(C.UNBLENDED))
@@ -61,6 +67,7 @@ def ri_sp_upfront_fees_row() -> Column:
     )
 
 
+@per_session
 def public_cost_row() -> Column:
     return F.when(_t() != "SavingsPlanNegation", F.col(C.PUBLIC_ON_DEMAND)).otherwise(_zero())
 
@@ -77,4 +84,9 @@ ROW_EXPRESSIONS = {
 
 def measure_aggs(names: list[str] | None = None) -> list[Column]:
     """``sum`` of each row expression, aliased to the measure name."""
-    return [F.sum(ROW_EXPRESSIONS[n]()).alias(n) for n in (names or C.MEASURES)]
+    return list(_measure_aggs(tuple(names or C.MEASURES)))
+
+
+@per_session
+def _measure_aggs(names: tuple[str, ...]) -> tuple[Column, ...]:
+    return tuple(F.sum(ROW_EXPRESSIONS[n]()).alias(n) for n in names)

@@ -42,7 +42,7 @@ def _finish(grouped: DataFrame, tags: list[str]) -> DataFrame:
     return grouped.withColumns(
         {
             "date_dim_id": F.date_format(F.col(_DAY), "yyyyMMdd"),
-            "charge_category": classify.charge_category(F.col("charge_type")),
+            "charge_category": classify.charge_category("charge_type"),
             "product_code": F.col(C.PRODUCT_CODE),
             "tag_dim_id": keys.surrogate_key(tags),
             "aws_product_dim_id": keys.surrogate_key(C.RESOURCE_DIM_COLUMNS),

@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from .. import columns as C
 from .. import rules as R
 from ..functions import classify, dates, measures
+from ..functions.cache import per_session
 
 RAW_SERVICE_NAME = "__raw_servicename"
 _RULE_CODE = "rule_product_code"
 _RULE_NAME = "rule_service_name"
 
 # summary name -> expression over raw CUR columns; grouped on as values.
+@per_session
 def _computed_keys() -> dict[str, Column]:
     return {
         "usage_date": F.date_trunc("day", F.col(C.USAGE_START)),
@@ -69,13 +71,12 @@ def service_name_from_rules(
         (F.col(raw) == F.lit(R.DATA_TRANSFER)) & (F.col(C.PRODUCT_CODE) == F.col(_RULE_CODE)),
         "left",
     )
-    return joined.withColumn(out, _service_name_arms(F.col(raw), F.col(_RULE_CODE).isNotNull(), F.col(_RULE_NAME))).drop(
-        _RULE_CODE, _RULE_NAME
-    )
+    return joined.withColumn(out, _service_name_arms(raw)).drop(_RULE_CODE, _RULE_NAME)
 
 
-def _service_name_arms(raw: Column, matched: Column, looked_up: Column) -> Column:
-    return _fixed_arms(F.when(matched, looked_up), raw)
+@per_session
+def _service_name_arms(raw: str) -> Column:
+    return _fixed_arms(F.when(F.col(_RULE_CODE).isNotNull(), F.col(_RULE_NAME)), F.col(raw))
 
 
 def _fixed_arms(chain: Column, raw: Column) -> Column:
@@ -94,10 +95,11 @@ def _fixed_arms(chain: Column, raw: Column) -> Column:
     return chain.otherwise(raw)
 
 
-def service_name_case(raw: Column | None = None) -> Column:
+@per_session
+def service_name_case(raw_name: str = C.SERVICE_NAME) -> Column:
     """Same derivation as one CASE chain with the rule list inlined as arms.
     Kept to compare plans with the lookup join; the join is the default."""
-    raw = raw if raw is not None else F.col(C.SERVICE_NAME)
+    raw = F.col(raw_name)
     code = F.col(C.PRODUCT_CODE)
     chain = None
     for product_code, name in R.DATA_TRANSFER_SERVICE_NAMES:
@@ -108,7 +110,7 @@ def service_name_case(raw: Column | None = None) -> Column:
 
 def with_service_name(df: DataFrame, rules: DataFrame | None, raw: str, strategy: str) -> DataFrame:
     if strategy == "case":
-        return df.withColumn(C.SERVICE_NAME, service_name_case(F.col(raw)))
+        return df.withColumn(C.SERVICE_NAME, service_name_case(raw))
     if strategy != "join":
         raise ValueError(f"unknown service name strategy {strategy!r}")
     if rules is None:  # the built-in literal table: bounded, broadcast
@@ -167,7 +169,7 @@ def summary(
     key_exprs = {name: F.col(name) for _, name in renamed}
     key_exprs.update({name: F.col(name) for name in computed})
     key_exprs.update({name: F.col(raw) for name, raw in _ALIASES_OF_RESOURCE.items()})
-    key_exprs["charge_category"] = classify.charge_category(F.col("charge_type"))
+    key_exprs["charge_category"] = classify.charge_category("charge_type")
     key_exprs["service"] = classify.service()
     return labelled.select(
         *[key_exprs[name].alias(name) for name in SUMMARY_KEY_ORDER],

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .functions.cache import per_session
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's rule list for identical results).
 # Raw service name that triggers the lookup, and
@@ -153,7 +155,17 @@ def rules_frame(spark: SparkSession, pairs: list[tuple[str, str]] | None = None)
     Built as an inline table (a LocalRelation): no Python rows are shipped
     to executors, and broadcasting it needs no Spark job.
     """
-    rows = pairs if pairs is not None else DATA_TRANSFER_SERVICE_NAMES
+    if pairs is None:
+        return _builtin_rules_frame(spark)
+    return _values_frame(spark, pairs)
+
+
+@per_session
+def _builtin_rules_frame(spark: SparkSession) -> DataFrame:
+    return _values_frame(spark, DATA_TRANSFER_SERVICE_NAMES)
+
+
+def _values_frame(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     codes = [c for c, _ in rows]
     if len(codes) != len(set(codes)):
         raise ValueError("service rules must have unique product codes")
