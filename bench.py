@@ -57,8 +57,8 @@ def main() -> None:
         "cost_fact_direct": lambda: fact.fact_direct(cur, as_of=as_of),
         "cost_fact_direct_case": lambda: fact.fact_direct(cur, as_of=as_of, service_names="case"),
         "cost_fact_full_history": lambda: fact.fact_direct(cur, months_back=None),
-        "tag_dim": lambda: dims.tag_dim(summary.summary(cur, as_of=as_of)),
-        "resource_dim": lambda: dims.resource_dim(summary.summary(cur, as_of=as_of), instances, with_name=True),
+        "tag_dim": lambda: dims.tag_dim(summary.line_items(cur, as_of=as_of)),
+        "resource_dim": lambda: dims.resource_dim(summary.line_items(cur, as_of=as_of), instances, with_name=True),
         "account_dim": lambda: dims.account_dim(cur),
         "date_dim": lambda: dims.date_dim(cur),
         "cost_fact_from_tables": lambda: fact.fact_direct(FX.cur_from_tables(spark, sf_dir), as_of=as_of),

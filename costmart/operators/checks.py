@@ -30,10 +30,16 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
 
 
 def orphan_keys(fact_df: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
-    """Fact rows whose key has no row in ``dim`` (left anti join)."""
+    """Fact keys without a row in ``dim``, with their fact row counts.
+
+    The fact side is aggregated to (key, rows) first (partial aggregation:
+    a key held by a third of the fact is one row per task before the
+    shuffle), then anti-joined with the distinct dimension keys.
+    """
     dim_key = dim_key or fact_key
     keys = dim.select(F.col(dim_key).alias("__dim_key")).distinct()
-    return fact_df.join(keys, F.col(fact_key) == F.col("__dim_key"), "left_anti")
+    per_key = fact_df.groupBy(F.col(fact_key)).agg(F.count(F.lit(1)).alias("fact_rows"))
+    return per_key.join(keys, F.col(fact_key) == F.col("__dim_key"), "left_anti")
 
 
 def key_collisions(dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:

@@ -88,13 +88,10 @@ def fact_wide_direct(
 ) -> DataFrame:
     C.require_columns(cur, C.REQUIRED_CUR_COLUMNS)
     tags = C.tag_columns(cur, tag_prefix)
-    rows = S.windowed(cur, as_of, months_back)
     # The service name is a group key here, so it is derived per row: a
     # broadcast hash join against the bounded rule table, pipelined in the
     # scan stage before the partial aggregation.
-    rows = S.with_service_name(
-        rows.withColumn(S.RAW_SERVICE_NAME, F.col(C.SERVICE_NAME)), rules, S.RAW_SERVICE_NAME, service_names
-    )
+    rows = S.line_items(cur, as_of, months_back, rules, service_names)
     grouped = rows.groupBy(
         F.col(C.USAGE_ACCOUNT).alias("aws_account_dim_id"),
         F.to_date(F.col(C.USAGE_START)).alias(_DAY),

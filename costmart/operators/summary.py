@@ -126,6 +126,21 @@ def windowed(cur: DataFrame, as_of: _dt.date | str | None, months_back: int | No
     return cur.where(dates.rolling_window(dates.as_date(as_of), months_back))
 
 
+def line_items(
+    cur: DataFrame,
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    rules: DataFrame | None = None,
+    service_names: str = "join",
+) -> DataFrame:
+    """The line items of the window with the display service name derived
+    per row (a broadcast lookup pipelined into the scan stage). Distinct
+    tag or resource tuples of these rows are those of the summary, so the
+    dimensions can be cut from them with one aggregation instead of two."""
+    rows = windowed(cur, as_of, months_back).withColumn(RAW_SERVICE_NAME, F.col(C.SERVICE_NAME))
+    return with_service_name(rows, rules, RAW_SERVICE_NAME, service_names).drop(RAW_SERVICE_NAME)
+
+
 def summary(
     cur: DataFrame,
     as_of: _dt.date | str | None = None,

@@ -169,7 +169,8 @@ def q_rolling_window(spark, sf_dir):
                 f"sha256(concat_ws('||', {', '.join(O.TAGS)})) AS tag_dim_id FROM v"),
 )
 def q_tag_dim(spark, sf_dir):
-    return dims.tag_dim(_summary(spark, sf_dir))
+    # distinct tags of the window's line items = those of the summary
+    return dims.tag_dim(summary.line_items(_cur(spark, sf_dir), FX.AS_OF))
 
 
 @register(
@@ -213,7 +214,8 @@ def _resource_sql(with_name: bool) -> str:
 
 @register("resource_dim", _resource_sql(False))
 def q_resource_dim(spark, sf_dir):
-    return dims.resource_dim(_summary(spark, sf_dir), FX.instances_from_tables(spark, sf_dir))
+    # one aggregation: distinct resource tuples of the window's line items
+    return dims.resource_dim(summary.line_items(_cur(spark, sf_dir), FX.AS_OF), FX.instances_from_tables(spark, sf_dir))
 
 
 @register("resource_name_tag", _resource_sql(True))
@@ -538,9 +540,9 @@ def q_orphan_fact_keys(spark, sf_dir):
     ]
     out = None
     for name, dim, key in pairs:
-        part = checks.orphan_keys(f, dim, key).agg(F.count(F.lit(1)).alias("orphan_rows")).select(
-            F.lit(name).alias("dim"), "orphan_rows"
-        )
+        part = checks.orphan_keys(f, dim, key).agg(
+            F.coalesce(F.sum("fact_rows"), F.lit(0)).alias("orphan_rows")
+        ).select(F.lit(name).alias("dim"), "orphan_rows")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -26,7 +26,8 @@ QUERIES = {
     "cost_fact_direct (one aggregation)": fact.fact_direct(cur, as_of=FX.AS_OF),
     "cost_fact (two aggregations, original shape)": fact.fact(summary.summary(cur, as_of=FX.AS_OF)),
     "summary_view": summary.summary(cur, as_of=FX.AS_OF),
-    "resource_dim (instance lookup join)": dims.resource_dim(summary.summary(cur, as_of=FX.AS_OF), inst, with_name=True),
+    "tag_dim (one aggregation of the line items)": dims.tag_dim(summary.line_items(cur, FX.AS_OF)),
+    "resource_dim (instance lookup join)": dims.resource_dim(summary.line_items(cur, FX.AS_OF), inst, with_name=True),
     "account_dim (whole history)": dims.account_dim(cur),
     "date_dim (whole history)": dims.date_dim(cur),
 }
