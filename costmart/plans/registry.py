@@ -66,6 +66,13 @@ def q_cost_fact_direct(spark, sf_dir):
     return money(fact.fact_direct(_cur(spark, sf_dir), as_of=FX.AS_OF), C.FACT_MEASURES)
 
 
+@register("cost_fact_backfill", O.with_fact("SELECT * FROM fact", months_back=None))
+def q_cost_fact_backfill(spark, sf_dir):
+    """The fact over the whole history (rolling window off): how months
+    older than the window are (re)built; the whole CUR is aggregated."""
+    return money(fact.fact_direct(_cur(spark, sf_dir), months_back=None), C.FACT_MEASURES)
+
+
 # --------------------------------------------------------- classification
 def _label_counts(label: str, measure: str | None = None):
     def run(spark, sf_dir):
