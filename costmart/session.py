@@ -26,6 +26,29 @@ SCALE_SQL_CONF = {
 }
 
 
+def cluster_conf(windowed_input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes the window reads.
+
+    The initial shuffle partition count is generous (one per target size of
+    input; partial aggregation makes the real shuffle smaller) and AQE
+    coalesces it at run time to ``target_partition_bytes`` per task, so no
+    reducer holds more than about that much. Scan splits use the same size.
+    Pass the result to ``SparkSession.builder.config(map=...)`` or
+    ``spark-submit --conf``.
+    """
+    initial = max(200, -(-windowed_input_bytes // target_partition_bytes))
+    return {
+        **SCALE_SQL_CONF,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # split a skewed join partition when it is 5x the median and > 1 GiB
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in {**REQUIRED_SQL_CONF, **SCALE_SQL_CONF}.items():
         spark.conf.set(k, v)
