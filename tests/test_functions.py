@@ -100,3 +100,12 @@ def test_jobs_period_and_zone(spark):
     y, m = jobs.current_period("Asia/Kolkata")
     assert len(y) == 4 and not m.startswith("0")
     assert jobs.today_in("UTC") <= dt.date.today() + dt.timedelta(days=1)
+
+
+def test_cluster_conf_sizes_partitions():
+    from costmart.session import cluster_conf
+
+    conf = cluster_conf(10 * (1 << 40))  # 10 TiB in the window
+    assert int(conf["spark.sql.shuffle.partitions"]) == 40960
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
