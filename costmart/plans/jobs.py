@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import fact, summary
 from ..sinks import writers
+from ..sources import readers
 
 
 def today_in(zone: str = "UTC") -> _dt.date:
@@ -30,6 +31,18 @@ def current_period(zone: str = "UTC") -> tuple[str, str]:
     return str(d.year), str(d.month)
 
 
+def read_cur_window(
+    spark: SparkSession,
+    root: str,
+    as_of: _dt.date | str | None = None,
+    months_back: int = dates.DEFAULT_MONTHS_BACK,
+) -> DataFrame:
+    """The CUR dataset at ``root`` restricted, at listing time, to the month
+    directories of the rolling window (the window filter still applies)."""
+    start = dates.window_start(dates.as_date(as_of), months_back)
+    return readers.read_months(spark, root, since=start)
+
+
 def fact_for_period(cur: DataFrame, year: str, month: str) -> DataFrame:
     """The fact rows of one billing month (partition filter on the CUR)."""
     one_month = cur.where((F.col("year") == str(year)) & (F.col("month") == str(int(month))))

@@ -47,10 +47,13 @@ def build(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
     instances: DataFrame | None = None,
     materialize: bool = True,
+    history: DataFrame | None = None,
 ) -> Mart:
     """The five mart tables as DataFrames. With ``materialize`` the wide fact
     is computed once and staged as parquet in the shared folder; the
-    returned frames read it."""
+    returned frames read it. ``history`` is the whole-history CUR for the
+    account and date dimensions when ``cur`` was read for the window only
+    (see ``jobs.read_cur_window``); by default ``cur`` itself."""
     spark = cur.sparkSession
     configure(spark)
     wide = fact.fact_wide_direct(cur, as_of=as_of, months_back=months_back)
@@ -62,8 +65,8 @@ def build(
         fact=fact.narrow(wide),
         tag_dim=dims.tag_dim(wide),
         resource_dim=dims.resource_dim(wide, instances),
-        account_dim=dims.account_dim(cur),
-        date_dim=dims.date_dim(cur),
+        account_dim=dims.account_dim(history if history is not None else cur),
+        date_dim=dims.date_dim(history if history is not None else cur),
     )
 
 

@@ -9,6 +9,7 @@ still prune partitions.
 
 from __future__ import annotations
 
+import datetime as _dt
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,52 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
+def partition_dirs(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
+    """(year, month, path) of the ``year=*/month=*`` directories under
+    ``root``. Lists directories only (years x months entries), never the
+    data files."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    if not fs.exists(base):
+        return out
+    for ys in fs.listStatus(base):
+        yname = ys.getPath().getName()
+        if not (ys.isDirectory() and yname.startswith("year=")):
+            continue
+        for ms in fs.listStatus(ys.getPath()):
+            mname = ms.getPath().getName()
+            if ms.isDirectory() and mname.startswith("month="):
+                out.append((yname[5:], mname[6:], ms.getPath().toString()))
+    return out
+
+
+def read_months(
+    spark: SparkSession,
+    root: str,
+    since: _dt.date | None = None,
+    months: list[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Read only some month partitions of a year/month dataset: those on or
+    after ``since`` and/or those in ``months``. Spark then lists the files
+    of these directories only, instead of every file under ``root`` (the
+    pruning of ``read_parquet`` + a filter happens after a full listing).
+    Returns an empty frame with the dataset's schema when nothing matches."""
+    wanted = {(y, str(int(m))) for y, m in months} if months is not None else None
+    paths = []
+    for y, m, path in partition_dirs(spark, root):
+        if since is not None and (int(y), int(m)) < (since.year, since.month):
+            continue
+        if wanted is not None and (y, str(int(m))) not in wanted:
+            continue
+        paths.append(path)
+    with _string_partitions(spark):
+        if not paths:
+            return spark.read.parquet(root).limit(0)
+        return spark.read.option("basePath", root).parquet(*paths)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

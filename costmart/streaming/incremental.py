@@ -21,7 +21,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dates
@@ -44,19 +43,16 @@ def refresh_months(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
 ) -> None:
     """Recompute the fact for ``months`` from the whole CUR dataset and
-    replace those partitions (the literal month list prunes the scan)."""
+    replace those partitions."""
     if months_back is not None:
         # months before the rolling window contribute no rows; skip them
         start = dates.window_start(dates.as_date(as_of), months_back)
         months = [(y, m) for y, m in months if (int(y), int(m)) >= (start.year, start.month)]
     if not months:
         return
-    cur = readers.read_parquet(spark, cur_path)
-    cond = None
-    for y, m in months:
-        c = (F.col("year") == y) & (F.col("month") == m)
-        cond = c if cond is None else cond | c
-    rows = fact.fact_direct(cur.where(cond), as_of=as_of, months_back=months_back)
+    # only the touched month directories are listed and read
+    cur = readers.read_months(spark, cur_path, months=months)
+    rows = fact.fact_direct(cur, as_of=as_of, months_back=months_back)
     writers.write_partitioned(rows, fact_path)
 
 

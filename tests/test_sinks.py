@@ -63,3 +63,17 @@ def test_merge_schema(spark):
     writers.write_append(spark.createDataFrame([("b", "t")], "env string, team string"), path)
     got = sorted((r.env, r.team) for r in readers.read_parquet(spark, path, merge_schema=True).collect())
     assert got == [("a", None), ("b", "t")]
+
+
+def test_read_months_lists_only_wanted_partitions(spark):
+    import datetime as dt
+
+    path = scratch_path(spark, "t-months")
+    writers.write_partitioned(_df(spark, [("2020", "12", 1), ("2021", "3", 2), ("2021", "10", 3)]), path)
+    got = readers.read_months(spark, path, since=dt.date(2021, 3, 1))
+    assert sorted((r.year, r.month, r.v) for r in got.collect()) == [("2021", "10", 3), ("2021", "3", 2)]
+    files = got.inputFiles()
+    assert files and all("year=2020" not in f for f in files)
+    one = readers.read_months(spark, path, months=[("2020", "12")])
+    assert [(r.year, r.month) for r in one.collect()] == [("2020", "12")]
+    assert readers.read_months(spark, path, months=[("1999", "1")]).count() == 0
