@@ -216,7 +216,7 @@ def _resource_sql(with_name: bool) -> str:
         f"regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM (SELECT DISTINCT {_RES} FROM v) r) "
         f"SELECT ra.*, CASE WHEN {_EC2_I} THEN coalesce(i.private_ip, '') END AS secondary_identifier{name} "
         "FROM ra LEFT JOIN inst i ON i.instance_id = ra.resource_id"
-    ).replace("\n)\n, inst", "\n), inst")
+    )
 
 
 @register("resource_dim", _resource_sql(False))
@@ -245,7 +245,7 @@ CROSS_ACCOUNTS = ["acct-1", "acct-2", "acct-3", "acct-12"]
         f"ra.resource_id, CASE WHEN {_EC2_I} THEN coalesce(i.private_ip, '') END AS secondary_identifier, "
         f"CASE WHEN {_EC2_I} THEN {_NAME_SQL} END AS resource_name "
         "FROM ra LEFT JOIN inst i ON i.instance_id = ra.resource_id AND i.account_id = ra.linked_account_id"
-    ).replace("\n)\n, inst", "\n), inst"),
+    ),
 )
 def q_cross_account(spark, sf_dir):
     return dims.cross_account_resource_dim(
@@ -281,7 +281,7 @@ _SNAP_SQL = (
         f"SELECT ra.*, {_SNAP_SQL} AS secondary_identifier FROM ra "
         "LEFT JOIN inst i ON i.instance_id = ra.resource_id "
         "LEFT JOIN snaps s ON s.snapshot_id = str_split(ra.resource_id, '/')[2]"
-    ).replace("\n)\n, inst", "\n), inst"),
+    ),
 )
 def q_snapshot_enrichment(spark, sf_dir):
     """Secondary identifier as the older job intended: EC2 snapshot ids get
@@ -300,7 +300,7 @@ def q_snapshot_enrichment(spark, sf_dir):
         f"regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM (SELECT DISTINCT {_RES} FROM v) r) "
         "SELECT ra.*, CASE WHEN resource_id LIKE '%vol-%' THEN coalesce(vo.volume_type, '') END AS volume_type "
         "FROM ra LEFT JOIN vols vo ON vo.volume_id = ra.resource_id"
-    ).replace("\n)\n, vols", "\n), vols"),
+    ),
 )
 def q_volume_enrichment(spark, sf_dir):
     attrs = dims.resource_attributes(_summary(spark, sf_dir))
@@ -494,7 +494,7 @@ _KEY_STATS_SQL = (
                 _KEY_STATS_SQL.format(dim="account_dim", key="aws_account_dim_id", body=O.account_dim_select("cur")),
             ]
         )
-    ).replace("\n)\n, inst", "\n), inst"),
+    ),
 )
 def q_dim_key_uniqueness(spark, sf_dir):
     from ..operators import checks
