@@ -142,12 +142,15 @@ def cur_sql() -> str:
     return f"SELECT\n  {cols}\nFROM {CUR_JOIN_SQL}"
 
 
-# Instance inventory: one instance per part (ids 'i-<partkey>'), parts with
-# partkey % 4 = 3 absent (lookup miss). Tags: NULL list, other key only,
-# one Name, or two Names (the last one wins).
+# Instance inventory: one instance per part, every part. Parts with
+# partkey % 4 = 3 carry a retired id that no line item references (lookup
+# miss). Tags: NULL list, other key only, one Name, or two Names (the last
+# one wins).
 INSTANCE_EXPRESSIONS: list[tuple[str, str, str | None]] = [
     ("account_id", "concat('acct-', cast(p_partkey % 5 as varchar(20)))", None),
-    ("instance_id", "concat('i-', cast(p_partkey as varchar(20)))", None),
+    ("instance_id",
+     "case when p_partkey % 4 = 3 then concat('i-retired-', cast(p_partkey as varchar(20))) "
+     "else concat('i-', cast(p_partkey as varchar(20))) end", None),
     ("private_ip",
      "case when p_partkey % 20 = 1 then null else concat('10.', cast(p_partkey % 256 as varchar(20)), '.', "
      "cast(p_size as varchar(20)), '.', cast(p_partkey % 7 as varchar(20))) end", None),
@@ -163,71 +166,72 @@ INSTANCE_EXPRESSIONS: list[tuple[str, str, str | None]] = [
      "else [{'Key': 'Name', 'Value': concat('old-', p_name)}, "
      "{'Key': 'env', 'Value': p_type}, {'Key': 'Name', 'Value': p_brand}] end"),
 ]
-INSTANCE_FILTER = "p_partkey % 4 <> 3"
 
 
 def instances_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    return part.where(INSTANCE_FILTER).selectExpr(
-        *[f"{expr} AS {name}" for name, expr, _ in INSTANCE_EXPRESSIONS]
-    )
+    return part.selectExpr(*[f"{expr} AS {name}" for name, expr, _ in INSTANCE_EXPRESSIONS])
 
 
 def instances_sql() -> str:
     cols = ", ".join(f"{duck or spark} AS {name}" for name, spark, duck in INSTANCE_EXPRESSIONS)
-    return f"SELECT {cols} FROM part WHERE {INSTANCE_FILTER}"
+    return f"SELECT {cols} FROM part"
 
 
-# Snapshot inventory: one per part with partkey % 10 = 5 ('snap-<partkey>'),
-# every third one absent (miss). Volume inventory likewise for % 10 = 7.
-SNAPSHOT_FILTER = "p_partkey % 10 = 5 AND p_partkey % 3 <> 0"
-VOLUME_FILTER = "p_partkey % 10 = 7 AND p_partkey % 3 <> 0"
+# Snapshot and volume inventories: one row per part, every part; ids of
+# parts with partkey % 3 = 0 are of deleted resources that no line item
+# references (lookup miss). Line items reference snapshots of parts with
+# partkey % 10 = 5 and volumes of parts with partkey % 10 = 7.
 SNAPSHOT_EXPRESSIONS = [
-    ("snapshot_id", "concat('snap-', cast(p_partkey as varchar(20)))"),
+    ("snapshot_id",
+     "case when p_partkey % 3 = 0 then concat('snap-deleted-', cast(p_partkey as varchar(20))) "
+     "else concat('snap-', cast(p_partkey as varchar(20))) end"),
     ("restore_expiry", "concat('2002-', cast(p_size % 12 + 10 as varchar(20)), '-01T00:00:00Z')"),
 ]
 VOLUME_EXPRESSIONS = [
-    ("volume_id", "concat('vol-', cast(p_partkey as varchar(20)))"),
+    ("volume_id",
+     "case when p_partkey % 3 = 0 then concat('vol-deleted-', cast(p_partkey as varchar(20))) "
+     "else concat('vol-', cast(p_partkey as varchar(20))) end"),
     ("volume_type", "case p_size % 3 when 0 then 'gp3' when 1 then 'io2' else 'st1' end"),
 ]
 
 
-def _inventory(spark: SparkSession, sf_dir: str, flt: str, exprs) -> DataFrame:
-    return table(spark, sf_dir, "part").where(flt).selectExpr(*[f"{e} AS {n}" for n, e in exprs])
+def _inventory(spark: SparkSession, sf_dir: str, exprs) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(*[f"{e} AS {n}" for n, e in exprs])
 
 
-def _inventory_sql(flt: str, exprs) -> str:
-    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in exprs)} FROM part WHERE {flt}"
+def _inventory_sql(exprs) -> str:
+    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in exprs)} FROM part"
 
 
 def snapshots_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _inventory(spark, sf_dir, SNAPSHOT_FILTER, SNAPSHOT_EXPRESSIONS)
+    return _inventory(spark, sf_dir, SNAPSHOT_EXPRESSIONS)
 
 
 def snapshots_sql() -> str:
-    return _inventory_sql(SNAPSHOT_FILTER, SNAPSHOT_EXPRESSIONS)
+    return _inventory_sql(SNAPSHOT_EXPRESSIONS)
 
 
 def volumes_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _inventory(spark, sf_dir, VOLUME_FILTER, VOLUME_EXPRESSIONS)
+    return _inventory(spark, sf_dir, VOLUME_EXPRESSIONS)
 
 
 def volumes_sql() -> str:
-    return _inventory_sql(VOLUME_FILTER, VOLUME_EXPRESSIONS)
+    return _inventory_sql(VOLUME_EXPRESSIONS)
 
 
-# Account names: one per nation (name = nation name); nation 7 absent (miss).
-ACCOUNT_FILTER = "n_nationkey <> 7"
+# Account names: one per nation (name = nation name), every nation; nation 7
+# is listed under a closed account's id, so its usage account is a miss.
+ACCOUNT_EXPRESSIONS = [
+    ("account_id",
+     "case when n_nationkey = 7 then 'acct-closed-7' else concat('acct-', cast(n_nationkey as varchar(20))) end"),
+    ("account_name", "n_name"),
+]
 
 
 def accounts_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").where(ACCOUNT_FILTER).selectExpr(
-        "concat('acct-', cast(n_nationkey as varchar(20))) AS account_id", "n_name AS account_name"
-    )
+    return table(spark, sf_dir, "nation").selectExpr(*[f"{e} AS {n}" for n, e in ACCOUNT_EXPRESSIONS])
 
 
 def accounts_sql() -> str:
-    return (
-        "SELECT concat('acct-', cast(n_nationkey as varchar(20))) AS account_id, n_name AS account_name "
-        f"FROM nation WHERE {ACCOUNT_FILTER}"
-    )
+    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in ACCOUNT_EXPRESSIONS)} FROM nation"
