@@ -11,7 +11,8 @@ Shape at scale:
    being columnar, lets each output read only its columns: the tag
    dimension reads the tag columns, the resource dimension seven columns.
 2. fact = projection of the wide fact, written by year/month with dynamic
-   partition overwrite (older months keep their files).
+   partition overwrite (older months keep their files); it is read from the
+   month-partitioned staging, so the write needs no second shuffle.
 3. tag and resource dimensions = distinct projections of the wide fact
    (small: fact rows, not line items).
 4. account and date dimensions read the whole raw table (not only the
@@ -39,6 +40,9 @@ class Mart:
     resource_dim: DataFrame
     account_dim: DataFrame
     date_dim: DataFrame
+    # the fact is read from month-partitioned staged files: every split
+    # belongs to one month, so it is written without another shuffle
+    fact_split_by_month: bool = False
 
 
 def build(
@@ -67,6 +71,7 @@ def build(
         resource_dim=dims.resource_dim(wide, instances),
         account_dim=dims.account_dim(history if history is not None else cur),
         date_dim=dims.date_dim(history if history is not None else cur),
+        fact_split_by_month=materialize,
     )
 
 
@@ -75,7 +80,7 @@ def write(mart: Mart, root: str) -> dict[str, str]:
     overwrite, the dimensions replaced (account dim only if non-empty)."""
     root = root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in ("cost_insights_fact", "tag_dim", "resource_dim", "account_dim", "date_dim")}
-    writers.write_partitioned(mart.fact, paths["cost_insights_fact"])
+    writers.write_partitioned(mart.fact, paths["cost_insights_fact"], rebalance=not mart.fact_split_by_month)
     writers.write_overwrite(mart.tag_dim, paths["tag_dim"])
     writers.write_overwrite(mart.resource_dim, paths["resource_dim"])
     writers.write_if_any(mart.account_dim, lambda d: writers.write_overwrite(d, paths["account_dim"]))

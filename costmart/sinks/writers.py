@@ -42,12 +42,16 @@ def write_partitioned(
     path: str,
     partition_cols: tuple[str, ...] = PARTITIONS,
     dynamic: bool = True,
+    rebalance: bool = True,
 ) -> None:
     """Partitioned parquet write; with ``dynamic`` only the partitions present
-    in ``df`` are replaced."""
+    in ``df`` are replaced. ``rebalance=False`` skips the shuffle when each
+    input split already belongs to one partition (e.g. ``df`` is read from a
+    dataset partitioned the same way)."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
     (
-        df.hint("rebalance", *partition_cols)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_cols)
         .parquet(path)
