@@ -24,6 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
 from ..sources import readers
 
 PARTITIONS = ("year", "month")
@@ -69,6 +70,7 @@ def append_new_keys(df: DataFrame, path: str, key: str) -> None:
     new = df.join(stored, F.col(key) == F.col("__stored_key"), "left_anti")
     # Materialize the new rows before appending: the anti join reads the
     # target, which the append then changes.
+    checkpoint_root(spark)
     staged = new.checkpoint(eager=True)
     staged.write.mode("append").parquet(path)
 
@@ -77,6 +79,7 @@ def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
     """Run ``write(df)`` unless ``df`` is empty. ``df`` is checkpointed first
     (reliable, to the shared checkpoint folder) so the emptiness test and the
     write do not compute it twice."""
+    checkpoint_root(df.sparkSession)
     staged = df.checkpoint(eager=True)
     if staged.isEmpty():
         return False
