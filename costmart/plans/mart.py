@@ -78,7 +78,8 @@ def build(
 
 def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     """Write the mart under ``root``: the fact partitioned with dynamic
-    overwrite, the dimensions replaced (account dim only if non-empty).
+    overwrite (partitions are swapped in at job commit), the dimensions
+    replaced via a staging folder (account dim only if non-empty).
 
     The five writes are independent jobs; with ``concurrent`` they are
     submitted together from a thread pool, so the small dimension jobs run
@@ -90,10 +91,10 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
         lambda: writers.write_partitioned(
             mart.fact, paths["cost_insights_fact"], rebalance=not mart.fact_split_by_month
         ),
-        lambda: writers.write_overwrite(mart.tag_dim, paths["tag_dim"]),
-        lambda: writers.write_overwrite(mart.resource_dim, paths["resource_dim"]),
-        lambda: writers.write_if_any(mart.account_dim, lambda d: writers.write_overwrite(d, paths["account_dim"])),
-        lambda: writers.write_overwrite(mart.date_dim, paths["date_dim"]),
+        lambda: writers.replace_dataset(mart.tag_dim, paths["tag_dim"]),
+        lambda: writers.replace_dataset(mart.resource_dim, paths["resource_dim"]),
+        lambda: writers.write_if_any(mart.account_dim, lambda d: writers.replace_dataset(d, paths["account_dim"])),
+        lambda: writers.replace_dataset(mart.date_dim, paths["date_dim"]),
     ]
     if not concurrent:
         for task in tasks:

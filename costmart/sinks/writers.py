@@ -15,10 +15,14 @@ All writes go through Spark's DataFrameWriter; nothing is collected.
   definition (``INSERT OVERWRITE``).
 * ``write_if_any``: skip the write when the result is empty, so an empty
   run does not wipe the target.
+* ``replace_dataset``: write to a staging folder, then swap folders, so a
+  failed job never leaves the target missing (a plain overwrite deletes the
+  target before its job runs).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +38,24 @@ def write_overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def replace_dataset(df: DataFrame, path: str) -> None:
+    """Replace the dataset at ``path`` without a window where a failed job
+    leaves nothing: ``df`` is written to a sibling staging folder first; only
+    after that job succeeded is the old folder removed and the new one
+    renamed into place (two file-system operations). A plain overwrite
+    deletes the target before its job runs."""
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        raise RuntimeError(f"could not move {staging} to {path}")
+
+
 def write_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -88,15 +110,22 @@ def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
 
 
 def truncate_load(df: DataFrame, table: str) -> None:
-    """Replace all rows of existing ``table`` with ``df`` (columns by name)."""
+    """Replace all rows of existing ``table`` with ``df`` (columns by name).
+
+    The rows are computed and checkpointed first: INSERT OVERWRITE clears the
+    table when its job starts, so the expensive part must not fail after
+    that point."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    df.select(*columns).write.insertInto(table, overwrite=True)
+    checkpoint_root(spark)
+    staged = df.select(*columns).checkpoint(eager=True)
+    staged.write.insertInto(table, overwrite=True)
 
 
 def swap_table(df: DataFrame, table: str, staging_suffix: str = "__new") -> None:
     """Load ``df`` into ``<table><suffix>``, then drop ``table`` and rename
-    the new table to it. Readers see the old table until the rename."""
+    the new table to it. The old table stays intact until the new one is
+    fully written; the drop and the rename are two catalog operations."""
     spark = df.sparkSession
     staging = f"{table}{staging_suffix}"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")

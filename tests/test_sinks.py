@@ -77,3 +77,19 @@ def test_read_months_lists_only_wanted_partitions(spark):
     one = readers.read_months(spark, path, months=[("2020", "12")])
     assert [(r.year, r.month) for r in one.collect()] == [("2020", "12")]
     assert readers.read_months(spark, path, months=[("1999", "1")]).count() == 0
+
+
+def test_replace_dataset_keeps_old_data_when_the_job_fails(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = scratch_path(spark, "t-replace")
+    writers.replace_dataset(spark.createDataFrame([("a",)], "k string"), path)
+    bad = spark.createDataFrame([("0",)], "k string").select(
+        F.when(F.col("k") == "0", F.raise_error("boom")).otherwise(F.col("k")).alias("k")
+    )
+    with pytest.raises(Exception):
+        writers.replace_dataset(bad, path)
+    assert [r.k for r in readers.read_parquet(spark, path).collect()] == ["a"]
+    writers.replace_dataset(spark.createDataFrame([("b",)], "k string"), path)
+    assert [r.k for r in readers.read_parquet(spark, path).collect()] == ["b"]
