@@ -12,7 +12,8 @@ Shape at scale:
    dimension reads the tag columns, the resource dimension seven columns.
 2. fact = projection of the wide fact, written by year/month with dynamic
    partition overwrite (older months keep their files); it is read from the
-   month-partitioned staging, so the write needs no second shuffle.
+   month-partitioned staging, so the write needs no second shuffle. The
+   staging folder is removed once all outputs are written.
 3. tag and resource dimensions = distinct projections of the wide fact
    (small: fact rows, not line items).
 4. account and date dimensions read the whole raw table (not only the
@@ -41,9 +42,12 @@ class Mart:
     resource_dim: DataFrame
     account_dim: DataFrame
     date_dim: DataFrame
-    # the fact is read from month-partitioned staged files: every split
-    # belongs to one month, so it is written without another shuffle
+    # the fact is read from month-partitioned staged files: a scan split
+    # holds files of one (or, when small files are packed, a few) months,
+    # so it is written without another shuffle
     fact_split_by_month: bool = False
+    # folder of the staged wide fact, removed after a successful write
+    staging: str | None = None
 
 
 def build(
@@ -73,6 +77,7 @@ def build(
         account_dim=dims.account_dim(history if history is not None else cur),
         date_dim=dims.date_dim(history if history is not None else cur),
         fact_split_by_month=materialize,
+        staging=staged if materialize else None,
     )
 
 
@@ -83,7 +88,9 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
 
     The five writes are independent jobs; with ``concurrent`` they are
     submitted together from a thread pool, so the small dimension jobs run
-    beside the fact write instead of after it. Any failure is re-raised.
+    beside the fact write instead of after it. Any failure is re-raised
+    (and the staging is kept). After success the staging folder is removed:
+    read the written outputs, not ``mart``'s frames, from then on.
     """
     root = root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in ("cost_insights_fact", "tag_dim", "resource_dim", "account_dim", "date_dim")}
@@ -99,8 +106,10 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     if not concurrent:
         for task in tasks:
             task()
-        return paths
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        for future in [pool.submit(task) for task in tasks]:
-            future.result()
+    else:
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            for future in [pool.submit(task) for task in tasks]:
+                future.result()
+    if mart.staging:
+        readers.delete(mart.fact.sparkSession, mart.staging)
     return paths

@@ -111,6 +111,14 @@ def read_jdbc(
     return reader.load()
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (Hadoop file system); False if absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop) file system."""
     jvm = spark.sparkContext._jvm

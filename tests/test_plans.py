@@ -82,8 +82,10 @@ def test_mart_write(spark, cur):
     from costmart.sources import readers
 
     m = mart.build(cur, as_of=FX.AS_OF)
+    n = m.fact.count()
     paths = mart.write(m, scratch_path(spark, "t-mart"))
-    assert readers.read_parquet(spark, paths["cost_insights_fact"]).count() == m.fact.count()
+    assert readers.read_parquet(spark, paths["cost_insights_fact"]).count() == n
+    assert not readers.exists(spark, m.staging)
 
 
 def test_cli_builds_mart_and_reruns_one_month(spark, cur):
