@@ -20,8 +20,10 @@ def window_start(as_of: _dt.date, months_back: int = DEFAULT_MONTHS_BACK) -> _dt
 
 
 def as_date(value: _dt.date | str | None) -> _dt.date:
+    """``value`` as a date; None means today in UTC (the billing clock), not
+    the driver machine's local date."""
     if value is None:
-        return _dt.date.today()
+        return _dt.datetime.now(_dt.timezone.utc).date()
     if isinstance(value, str):
         return _dt.date.fromisoformat(value)
     if isinstance(value, _dt.datetime):

@@ -109,3 +109,8 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 40960
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_default_as_of_is_utc_today():
+    assert dates.as_date(None) == dt.datetime.now(dt.timezone.utc).date()
+    assert dates.as_date("2021-10-15") == dt.date(2021, 10, 15)
