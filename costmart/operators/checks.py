@@ -54,6 +54,17 @@ def key_collisions(dim: DataFrame, key: str, attributes: list[str]) -> DataFrame
     )
 
 
+def key_tuple_stats(dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """One row: distinct attribute tuples, distinct keys, and keys shared by
+    more than one tuple (0 when the key is collision-free)."""
+    per_key = dim.select(key, *attributes).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(
+        F.sum("n").alias("distinct_tuples"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).cast("long").alias("colliding_keys"),
+    )
+
+
 def measure_totals(level: str, df: DataFrame, measures: list[str]) -> DataFrame:
     return df.agg(*[F.sum(m).alias(m) for m in measures]).select(F.lit(level).alias("level"), *measures)
 

@@ -511,6 +511,24 @@ def q_dim_key_uniqueness(spark, sf_dir):
     return out
 
 
+@register(
+    "resource_key_collisions",
+    O.with_view(
+        "SELECT CAST(sum(n) AS BIGINT) AS distinct_tuples, count(*) AS distinct_keys, "
+        "CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS colliding_keys "
+        f"FROM (SELECT aws_product_dim_id, count(*) AS n FROM (SELECT DISTINCT {_RES}, "
+        f"sha256(concat_ws('||', {_RES})) AS aws_product_dim_id FROM v) d GROUP BY aws_product_dim_id) k"
+    ),
+)
+def q_resource_key_collisions(spark, sf_dir):
+    """Resource keys against attribute tuples: the key text skips NULLs, so
+    different tuples could share a key; ``colliding_keys`` counts those."""
+    from ..operators import checks
+
+    attrs = dims.resource_attributes(summary.line_items(_cur(spark, sf_dir), FX.AS_OF))
+    return checks.key_tuple_stats(attrs, dims.RESOURCE_KEY, C.RESOURCE_DIM_COLUMNS)
+
+
 _ORPHAN_SQL = "SELECT '{dim}' AS dim, count(*) AS orphan_rows FROM fact WHERE {key} NOT IN (SELECT {key} FROM ({body}) d)"
 
 

@@ -107,3 +107,15 @@ def test_lookup_does_not_shuffle_rows_without_lookup(spark, resources, instances
     s = summary.summary(resources, as_of="2021-10-15")
     plan = dims.resource_dim(s, instances)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan
+
+
+def test_key_collisions_detected(spark):
+    from costmart.functions import keys
+    from costmart.operators import checks
+
+    # ('a', NULL) and (NULL, 'a') share the key text 'a'
+    df = spark.createDataFrame([("a", None), (None, "a"), ("b", "c")], "x string, y string")
+    df = df.withColumn("k", keys.surrogate_key(["x", "y"]))
+    (r,) = checks.key_tuple_stats(df, "k", ["x", "y"]).collect()
+    assert (r.distinct_tuples, r.distinct_keys, r.colliding_keys) == (3, 2, 1)
+    assert checks.key_collisions(df, "k", ["x", "y"]).count() == 1
