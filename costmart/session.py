@@ -43,6 +43,11 @@ def cluster_conf(windowed_input_bytes: int, target_partition_bytes: int = 256 <<
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # broadcast joins only from sizes measured at run time (AQE), never
+        # from file-size estimates made before the job (compressed parquet
+        # sizes can understate the in-memory size many times over)
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         # split a skewed join partition when it is 5x the median and > 1 GiB
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
