@@ -38,3 +38,32 @@ def test_stream_refreshes_touched_months_only(spark):
     whole = fact.fact_direct(readers.read_parquet(spark, cur_path), as_of="2021-10-15")
     stored = readers.read_parquet(spark, fact_path).select(*whole.columns)
     assert whole.exceptAll(stored).isEmpty() and stored.exceptAll(whole).isEmpty()
+
+
+def test_refresh_is_idempotent_on_replay(spark):
+    root = scratch_path(spark, "t-replay")
+    cur_path, fact_path = f"{root}/cur", f"{root}/fact"
+    make_cur(spark, [_rows(dt.date(2021, 9, 3), 4, "a"), _rows(dt.date(2021, 9, 4), 6, "b")]).write.mode(
+        "append"
+    ).partitionBy("year", "month").parquet(cur_path)
+    for _ in range(2):  # a replayed micro-batch refreshes the same month again
+        incremental.refresh_months(spark, cur_path, fact_path, [("2021", "9")], as_of="2021-10-15")
+    got = sorted((r.date_dim_id, r.unblended_cost) for r in readers.read_parquet(spark, fact_path).collect())
+    assert got == [("20210903", Decimal(4)), ("20210904", Decimal(6))]
+
+
+def test_delivery_order_does_not_matter(spark):
+    deliveries = [
+        [_rows(dt.date(2021, 10, 2), 1, "a")],
+        [_rows(dt.date(2021, 3, 9), 2, "b"), _rows(dt.date(2021, 10, 2), 3, "c")],
+        [_rows(dt.date(2021, 2, 1), 5, "d")],  # before the window: ignored
+    ]
+    results = []
+    for order in ([0, 1, 2], [2, 1, 0]):
+        root = scratch_path(spark, "t-order")
+        cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
+        for i in order:
+            make_cur(spark, deliveries[i]).write.mode("append").partitionBy("year", "month").parquet(cur_path)
+            incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")
+        results.append(sorted((r.month, r.unblended_cost) for r in readers.read_parquet(spark, fact_path).collect()))
+    assert results[0] == results[1] == [("10", Decimal(4)), ("3", Decimal(2))]
