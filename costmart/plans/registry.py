@@ -464,6 +464,32 @@ def q_write_if_any(spark, sf_dir):
     return readers.read_parquet(spark, path)
 
 
+@register(
+    "warehouse_load",
+    O.with_fact(
+        "SELECT aws_account_dim_id, date_dim_id, charge_type, purchase_option, charge_category, product_code, "
+        + ", ".join(O.FACT_MEASURES)
+        + ", tag_dim_id, aws_product_dim_id FROM fact",
+        months_back=10,
+    ),
+)
+def q_warehouse_load(spark, sf_dir):
+    """Two mart runs (an early one and the current one) written to the same
+    root, then loaded into catalog tables; the loaded fact holds every stored
+    month without the partition columns."""
+    from ..session import scratch_path
+    from . import mart, warehouse
+
+    cur = _cur(spark, sf_dir)
+    root = scratch_path(spark, "mart")
+    mart.write(mart.build(_early_cur(cur), as_of=EARLY_AS_OF), root)
+    mart.write(mart.build(cur, as_of=FX.AS_OF), root)
+    db = _scratch_db(spark, "dw")
+    warehouse.load(spark, root, db)  # first load creates the tables
+    tables = warehouse.load(spark, root, db)  # second load: swap + truncate-and-load
+    return money(spark.table(tables["cost_insights_fact"]), C.FACT_MEASURES)
+
+
 # ----------------------------------------------------------------- checks
 def _mart_frames(spark, sf_dir):
     cur = _cur(spark, sf_dir)
