@@ -3,7 +3,7 @@
     spark-submit --conf spark.checkpoint.dir=<shared folder> --py-files costmart.zip \\
         scripts/build_mart.py --cur s3://bucket/cur/ --out s3://bucket/mart/ \\
         [--as-of 2021-10-15 | --zone Asia/Kolkata] [--year 2021 --month 9] \\
-        [--instances inventory.instances] [--months-back 7]
+        [--instances inventory.instances] [--months-back 7] [--warehouse-db cost_viz]
 
 (or ``python -m costmart.plans.cli ...`` with a local master).
 
@@ -23,7 +23,7 @@ from ..functions import dates
 from ..session import configure
 from ..sinks import writers
 from ..sources import readers
-from . import jobs, mart
+from . import jobs, mart, warehouse
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,6 +36,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--year")
     p.add_argument("--month")
     p.add_argument("--instances", help="instance inventory table (account_id, instance_id, private_ip, tags)")
+    p.add_argument("--warehouse-db", dest="warehouse_db", help="also load the mart into this catalog database")
     a = p.parse_args(argv)
     if (a.year is None) != (a.month is None):
         p.error("give both --year and --month, or neither")
@@ -59,7 +60,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     window = jobs.read_cur_window(spark, a.cur, as_of, a.months_back) if _is_path(a.cur) else history
     instances = spark.table(a.instances) if a.instances else None
     m = mart.build(window, as_of=as_of, months_back=a.months_back, instances=instances, history=history)
-    return mart.write(m, out)
+    paths = mart.write(m, out)
+    if a.warehouse_db:
+        writers.ensure_database(spark, a.warehouse_db)
+        warehouse.load(spark, out, a.warehouse_db)
+    return paths
 
 
 if __name__ == "__main__":

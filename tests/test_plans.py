@@ -97,7 +97,13 @@ def test_cli_builds_mart_and_reruns_one_month(spark, cur):
     cur_path = scratch_path(spark, "t-cli-cur")
     writers.write_partitioned(cur, cur_path)
     out = scratch_path(spark, "t-cli-out")
-    paths = cli.main(["--cur", cur_path, "--out", out, "--as-of", FX.AS_OF], spark=spark)
+    import uuid
+
+    db = f"t_cli_{uuid.uuid4().hex[:8]}"
+    writers.ensure_database(spark, db, scratch_path(spark, db))
+    paths = cli.main(["--cur", cur_path, "--out", out, "--as-of", FX.AS_OF, "--warehouse-db", db], spark=spark)
+    assert spark.table(f"{db}.cost_insights_fact").count() == fact.fact_direct(cur, as_of=FX.AS_OF).count()
+    assert "year" not in spark.table(f"{db}.cost_insights_fact").columns
     fact_path = paths["cost_insights_fact"]
     stored = readers.read_parquet(spark, fact_path)
     expected = fact.fact_direct(cur, as_of=FX.AS_OF)
