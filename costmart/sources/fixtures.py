@@ -14,6 +14,8 @@ by Catalyst below the generator and the joins to the lineitem scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +108,9 @@ CUR_EXPRESSIONS: list[tuple[str, str, str | None]] = [
     ("resource_tags_user_team", "case when l_suppkey % 3 = 0 then null else o_orderpriority end", None),
 ]
 
+_HOUR = re.compile(r"\bh\b")
+_INPUT_COLUMN = re.compile(r"\b[lopcn]_[a-z]+\b")
+
 CUR_JOIN_SQL = (
     "lineitem JOIN orders ON l_orderkey = o_orderkey "
     "JOIN customer ON o_custkey = c_custkey "
@@ -131,9 +136,16 @@ def cur_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("h", F.explode(F.array(*[F.lit(i) for i in range(HOURS_PER_DAY)])))
     )
-    return joined.selectExpr(*[f"{expr} AS {name}" for name, expr, _ in CUR_EXPRESSIONS])
+    # Columns that do not depend on the hour are computed once per lineitem,
+    # before the four-fold generator; the two that do are computed after it.
+    per_hour = [(n, e) for n, e, _ in CUR_EXPRESSIONS if _HOUR.search(e)]
+    per_item = [(n, e) for n, e, _ in CUR_EXPRESSIONS if not _HOUR.search(e)]
+    carried = sorted({c for _, e in per_hour for c in _INPUT_COLUMN.findall(e)})
+    items = joined.selectExpr(*[f"{e} AS {n}" for n, e in per_item], *carried)
+    hours = items.withColumn("h", F.explode(F.array(*[F.lit(i) for i in range(HOURS_PER_DAY)])))
+    out = hours.selectExpr(*[n for n, _ in per_item], *[f"{e} AS {n}" for n, e in per_hour])
+    return out.select(*[name for name, _, _ in CUR_EXPRESSIONS])
 
 
 def cur_sql() -> str:
