@@ -1,7 +1,6 @@
 """Inventory lookups as joins."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from costmart.operators import dims, enrich
 from cur_rows import make_cur

@@ -4,7 +4,6 @@ equals the CASE chain, and the summary equals the DuckDB oracle on the
 same rows."""
 
 import datetime as dt
-from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings

@@ -2,7 +2,6 @@
 on unmapped codes and on the fixed arms."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from costmart import rules as R
 from costmart.operators import summary
