@@ -19,6 +19,9 @@ _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 @contextmanager
 def _string_partitions(spark: SparkSession):
+    """Disable partition type inference while a reader builds its file
+    index (it does so eagerly). The setting is session-wide: do not create
+    readers from several threads of one session at the same time."""
     old = spark.conf.get(_INFER, "true")
     spark.conf.set(_INFER, "false")
     try:
