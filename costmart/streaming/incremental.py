@@ -11,7 +11,10 @@ Properties:
   same table and overwrites them again: the sink is idempotent.
 * ``trigger(availableNow=True)`` processes everything that has arrived and
   stops, like a scheduled batch job but with exactly-once file tracking in
-  the checkpoint. ``max_files_per_trigger`` bounds each micro-batch.
+  the checkpoint. ``max_files_per_trigger`` bounds each micro-batch; in a
+  caught-up run the batches only record touched months, which are then
+  recomputed once each (a large backlog does not recompute a month per
+  batch).
 * The set of touched months is the only thing brought to the driver; it is
   bounded by the calendar, not by the data.
 """
@@ -56,6 +59,10 @@ def refresh_months(
     writers.write_partitioned(rows, fact_path)
 
 
+def _pending_path(checkpoint_location: str) -> str:
+    return f"{checkpoint_location.rstrip('/')}/pending_months"
+
+
 def start(
     spark: SparkSession,
     cur_path: str,
@@ -65,8 +72,15 @@ def start(
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
+    defer_refresh: bool = False,
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it stops once caught up."""
+    """Start the stream; with ``available_now`` it stops once caught up.
+
+    Each micro-batch either refreshes its touched months at once, or, with
+    ``defer_refresh``, appends them to a pending-months table next to the
+    stream checkpoint (see ``refresh_pending``): a backlog split into many
+    micro-batches then recomputes each month once, not once per batch.
+    """
     schema = readers.read_parquet(spark, cur_path).schema
     stream = (
         spark.readStream.schema(schema)
@@ -74,17 +88,56 @@ def start(
         .parquet(cur_path)
         .select("year", "month")
     )
+    pending = _pending_path(checkpoint_location)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        refresh_months(batch.sparkSession, cur_path, fact_path, touched_months(batch), as_of, months_back)
+        if defer_refresh:
+            # a replayed batch appends the same months again: harmless
+            batch.select("year", "month").distinct().write.mode("append").parquet(pending)
+        else:
+            refresh_months(batch.sparkSession, cur_path, fact_path, touched_months(batch), as_of, months_back)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def run_until_caught_up(spark: SparkSession, cur_path: str, fact_path: str, checkpoint_location: str, **kw) -> None:
-    query = start(spark, cur_path, fact_path, checkpoint_location, available_now=True, **kw)
+def refresh_pending(
+    spark: SparkSession,
+    cur_path: str,
+    fact_path: str,
+    checkpoint_location: str,
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+) -> list[tuple[str, str]]:
+    """Recompute every pending month once, then clear the pending table. If
+    the refresh fails the months stay pending and the next run repeats it
+    (the refresh is idempotent)."""
+    pending = _pending_path(checkpoint_location)
+    if not readers.exists(spark, pending):
+        return []
+    months = touched_months(spark.read.parquet(pending))
+    refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
+    readers.delete(spark, pending)
+    return months
+
+
+def run_until_caught_up(
+    spark: SparkSession,
+    cur_path: str,
+    fact_path: str,
+    checkpoint_location: str,
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    **kw,
+) -> list[tuple[str, str]]:
+    """Process every new file (availableNow), then refresh the months they
+    touched, each once. Returns the refreshed months."""
+    query = start(
+        spark, cur_path, fact_path, checkpoint_location, as_of, months_back,
+        available_now=True, defer_refresh=True, **kw,
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    return refresh_pending(spark, cur_path, fact_path, checkpoint_location, as_of, months_back)

@@ -67,3 +67,18 @@ def test_delivery_order_does_not_matter(spark):
             incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")
         results.append(sorted((r.month, r.unblended_cost) for r in readers.read_parquet(spark, fact_path).collect()))
     assert results[0] == results[1] == [("10", Decimal(4)), ("3", Decimal(2))]
+
+
+def test_backlog_in_many_batches_refreshes_each_month_once(spark):
+    root = scratch_path(spark, "t-backlog")
+    cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
+    for i, day in enumerate([dt.date(2021, 9, 1), dt.date(2021, 9, 2), dt.date(2021, 10, 1), dt.date(2021, 10, 5)]):
+        make_cur(spark, [_rows(day, i + 1, f"s{i}")]).write.mode("append").partitionBy("year", "month").parquet(cur_path)
+    refreshed = incremental.run_until_caught_up(
+        spark, cur_path, fact_path, ckpt, as_of="2021-10-15", max_files_per_trigger=1
+    )
+    assert sorted(refreshed) == [("2021", "10"), ("2021", "9")]  # once each, not once per batch
+    whole = fact.fact_direct(readers.read_parquet(spark, cur_path), as_of="2021-10-15")
+    stored = readers.read_parquet(spark, fact_path).select(*whole.columns)
+    assert whole.exceptAll(stored).isEmpty() and stored.exceptAll(whole).isEmpty()
+    assert incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15") == []
