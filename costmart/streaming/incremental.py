@@ -116,7 +116,8 @@ def refresh_pending(
     pending = _pending_path(checkpoint_location)
     if not readers.exists(spark, pending):
         return []
-    months = touched_months(spark.read.parquet(pending))
+    # explicit schema: a batch of empty files leaves a folder without rows
+    months = touched_months(spark.read.schema("year string, month string").parquet(pending))
     refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
     readers.delete(spark, pending)
     return months
