@@ -47,6 +47,19 @@ _ALIASES_OF_RESOURCE = {
 }
 
 
+def join_rules(df: DataFrame, rules: DataFrame, raw: str, broadcast_rules: bool = True) -> DataFrame:
+    """``df`` left-joined with the rule table on the product code, for rows
+    whose raw service name is the data-transfer name (adds the rule
+    columns; a row without a rule gets NULLs)."""
+    r = rules.select(F.col(_RULE_CODE), F.col(_RULE_NAME))
+    r = F.broadcast(r) if broadcast_rules else R.broadcast_if_small(r, R.MAX_BROADCAST_RULES)
+    return df.join(
+        r,
+        (F.col(raw) == F.lit(R.DATA_TRANSFER)) & (F.col(C.PRODUCT_CODE) == F.col(_RULE_CODE)),
+        "left",
+    )
+
+
 def service_name_from_rules(
     df: DataFrame,
     rules: DataFrame,
@@ -61,42 +74,45 @@ def service_name_from_rules(
     with an empty raw name follow the fixed arms in ``rules.py``. Needs
     columns ``raw``, product code, item type, billing entity, product name.
     """
-    r = rules.select(F.col(_RULE_CODE), F.col(_RULE_NAME))
-    if broadcast_rules:
-        r = F.broadcast(r)
-    else:
-        r = R.broadcast_if_small(r, R.MAX_BROADCAST_RULES)
-    joined = df.join(
-        r,
-        (F.col(raw) == F.lit(R.DATA_TRANSFER)) & (F.col(C.PRODUCT_CODE) == F.col(_RULE_CODE)),
-        "left",
-    )
-    return joined.withColumn(out, _service_name_arms(raw)).drop(_RULE_CODE, _RULE_NAME)
+    joined = join_rules(df, rules, raw, broadcast_rules)
+    return joined.withColumn(out, service_name_arms(raw)).drop(_RULE_CODE, _RULE_NAME)
 
 
 @per_session
-def _service_name_arms(raw: str) -> Column:
-    return _fixed_arms(F.when(F.col(_RULE_CODE).isNotNull(), F.col(_RULE_NAME)), F.col(raw))
-
-
-def _fixed_arms(chain: Column, raw: Column) -> Column:
+def service_name_arms(
+    raw: str,
+    item_type: str = C.ITEM_TYPE,
+    entity: str = C.BILLING_ENTITY,
+    product_name: str = C.PRODUCT_NAME,
+) -> Column:
+    """The name over a frame joined by ``join_rules`` (column names given)."""
+    chain = F.when(F.col(_RULE_CODE).isNotNull(), F.col(_RULE_NAME))
+    return _fixed_arms(chain, F.col(raw), item_type, entity, product_name)
+
+
+def _fixed_arms(chain: Column, raw: Column, item_type: str, entity: str, product_name: str) -> Column:
     """Append the non-lookup arms (empty raw name) and ELSE raw to ``chain``."""
     code = F.col(C.PRODUCT_CODE)
     for product_code, name in R.EMPTY_NAME_SERVICE_NAMES:
         chain = chain.when((raw == "") & (code == product_code), F.lit(name))
     chain = chain.when(
-        (raw == "") & (code == R.EMPTY_NAME_FEE_CODE) & (F.col(C.ITEM_TYPE) == R.FEE),
+        (raw == "") & (code == R.EMPTY_NAME_FEE_CODE) & (F.col(item_type) == R.FEE),
         F.lit(R.EMPTY_NAME_FEE_CODE),
     )
     chain = chain.when(
-        (raw == "") & (F.col(C.BILLING_ENTITY) == R.MARKETPLACE),
-        F.concat(F.lit(R.MARKETPLACE_PREFIX), F.col(C.PRODUCT_NAME)),
+        (raw == "") & (F.col(entity) == R.MARKETPLACE),
+        F.concat(F.lit(R.MARKETPLACE_PREFIX), F.col(product_name)),
     )
     return chain.otherwise(raw)
 
 
 @per_session
-def service_name_case(raw_name: str = C.SERVICE_NAME) -> Column:
+def service_name_case(
+    raw_name: str = C.SERVICE_NAME,
+    item_type: str = C.ITEM_TYPE,
+    entity: str = C.BILLING_ENTITY,
+    product_name: str = C.PRODUCT_NAME,
+) -> Column:
     """Same derivation as one CASE chain with the rule list inlined as arms.
     Kept to compare plans with the lookup join; the join is the default."""
     raw = F.col(raw_name)
@@ -105,14 +121,18 @@ def service_name_case(raw_name: str = C.SERVICE_NAME) -> Column:
     for product_code, name in R.DATA_TRANSFER_SERVICE_NAMES:
         cond = (raw == R.DATA_TRANSFER) & (code == product_code)
         chain = F.when(cond, F.lit(name)) if chain is None else chain.when(cond, F.lit(name))
-    return _fixed_arms(chain, raw)
+    return _fixed_arms(chain, raw, item_type, entity, product_name)
+
+
+def _check_strategy(strategy: str) -> None:
+    if strategy not in ("join", "case"):
+        raise ValueError(f"unknown service name strategy {strategy!r}")
 
 
 def with_service_name(df: DataFrame, rules: DataFrame | None, raw: str, strategy: str) -> DataFrame:
+    _check_strategy(strategy)
     if strategy == "case":
         return df.withColumn(C.SERVICE_NAME, service_name_case(raw))
-    if strategy != "join":
-        raise ValueError(f"unknown service name strategy {strategy!r}")
     if rules is None:  # the built-in literal table: bounded, broadcast
         return service_name_from_rules(df, R.rules_frame(df.sparkSession), raw=raw, out=C.SERVICE_NAME)
     # a user table: broadcast only behind a size check
@@ -172,27 +192,28 @@ def summary(
     )
     grouped = windowed(cur, as_of, months_back).groupBy(*keys).agg(*measures.measure_aggs())
 
-    # Columns the label expressions read, under the raw names they expect.
-    labelled = grouped.withColumns(
-        {
-            C.ITEM_TYPE: F.col("charge_type"),
-            C.BILLING_ENTITY: F.col("billing_entity"),
-            C.PRODUCT_NAME: F.col("product_name"),
-        }
-    )
-    labelled = with_service_name(labelled, rules, RAW_SERVICE_NAME, service_names)
+    # Labels over the grouped rows, reading the summary's column names.
+    names = ("charge_type", "billing_entity", "product_name")
+    _check_strategy(service_names)
+    if service_names == "case":
+        labelled, service_name = grouped, service_name_case(RAW_SERVICE_NAME, *names)
+    else:
+        user_rules = rules is not None
+        table = rules if user_rules else R.rules_frame(cur.sparkSession)
+        labelled = join_rules(grouped, table, RAW_SERVICE_NAME, broadcast_rules=not user_rules)
+        service_name = service_name_arms(RAW_SERVICE_NAME, *names)
     key_exprs = {name: F.col(name) for _, name in renamed}
     key_exprs.update({name: F.col(name) for name in computed})
     key_exprs.update({name: F.col(raw) for name, raw in _ALIASES_OF_RESOURCE.items()})
     key_exprs["charge_category"] = classify.charge_category("charge_type")
-    key_exprs["service"] = classify.service()
+    key_exprs["service"] = classify.service("billing_entity", "charge_type", "product_name")
     return labelled.select(
         *[key_exprs[name].alias(name) for name in SUMMARY_KEY_ORDER],
         # approx_distinct over a column that is itself a group key is exactly
         # 0 (NULL id) or 1, so no sketch is kept per group.
         F.when(F.col(C.RESOURCE_ID).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("resource_id_count"),
         *C.MEASURES,
-        C.SERVICE_NAME,
+        service_name.alias(C.SERVICE_NAME),
         *[F.coalesce(F.col(t), F.lit("")).alias(t) for t in tags],
         *C.RESOURCE_COLUMNS,
     )
