@@ -91,11 +91,14 @@ def fact_wide_direct(
     # The service name is a group key here, so it is derived per row: a
     # broadcast hash join against the bounded rule table, pipelined in the
     # scan stage before the partial aggregation.
-    rows = S.line_items(cur, as_of, months_back, rules, service_names)
+    rows, service_name = S.named_rows(cur, as_of, months_back, rules, service_names)
+    resource_keys = [
+        service_name.alias(c) if c == C.SERVICE_NAME else F.col(c) for c in C.RESOURCE_DIM_COLUMNS
+    ]
     grouped = rows.groupBy(
         F.col(C.USAGE_ACCOUNT).alias("aws_account_dim_id"),
         F.to_date(F.col(C.USAGE_START)).alias(_DAY),
-        *[F.col(c) for c in C.RESOURCE_DIM_COLUMNS],
+        *resource_keys,
         F.col(C.ITEM_TYPE).alias("charge_type"),
         classify.purchase_option().alias("purchase_option"),
         *[F.coalesce(F.col(t), F.lit("")).alias(t) for t in tags],

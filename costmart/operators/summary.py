@@ -129,16 +129,6 @@ def _check_strategy(strategy: str) -> None:
         raise ValueError(f"unknown service name strategy {strategy!r}")
 
 
-def with_service_name(df: DataFrame, rules: DataFrame | None, raw: str, strategy: str) -> DataFrame:
-    _check_strategy(strategy)
-    if strategy == "case":
-        return df.withColumn(C.SERVICE_NAME, service_name_case(raw))
-    if rules is None:  # the built-in literal table: bounded, broadcast
-        return service_name_from_rules(df, R.rules_frame(df.sparkSession), raw=raw, out=C.SERVICE_NAME)
-    # a user table: broadcast only behind a size check
-    return service_name_from_rules(df, rules, raw=raw, out=C.SERVICE_NAME, broadcast_rules=False)
-
-
 def windowed(cur: DataFrame, as_of: _dt.date | str | None, months_back: int | None) -> DataFrame:
     """Rows of the rolling window; ``months_back=None`` keeps all rows."""
     if months_back is None:
@@ -146,6 +136,25 @@ def windowed(cur: DataFrame, as_of: _dt.date | str | None, months_back: int | No
     return cur.where(dates.rolling_window(dates.as_date(as_of), months_back))
 
 
+def named_rows(
+    cur: DataFrame,
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    rules: DataFrame | None = None,
+    service_names: str = "join",
+) -> tuple[DataFrame, Column]:
+    """The window's line items (joined with the rule table for the "join"
+    strategy) and the display-service-name expression over them; callers
+    put the expression straight into their projection or grouping."""
+    _check_strategy(service_names)
+    rows = windowed(cur, as_of, months_back)
+    if service_names == "case":
+        return rows, service_name_case(C.SERVICE_NAME)
+    user_rules = rules is not None
+    table = rules if user_rules else R.rules_frame(cur.sparkSession)
+    return join_rules(rows, table, C.SERVICE_NAME, broadcast_rules=not user_rules), service_name_arms(C.SERVICE_NAME)
+
+
 def line_items(
     cur: DataFrame,
     as_of: _dt.date | str | None = None,
@@ -157,8 +166,8 @@ def line_items(
     per row (a broadcast lookup pipelined into the scan stage). Distinct
     tag or resource tuples of these rows are those of the summary, so the
     dimensions can be cut from them with one aggregation instead of two."""
-    rows = windowed(cur, as_of, months_back).withColumn(RAW_SERVICE_NAME, F.col(C.SERVICE_NAME))
-    return with_service_name(rows, rules, RAW_SERVICE_NAME, service_names).drop(RAW_SERVICE_NAME)
+    rows, service_name = named_rows(cur, as_of, months_back, rules, service_names)
+    return rows.withColumn(C.SERVICE_NAME, service_name).drop(_RULE_CODE, _RULE_NAME)
 
 
 def summary(

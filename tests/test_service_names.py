@@ -73,3 +73,12 @@ def test_no_python_udf_in_plan(cases):
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
         assert marker not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_service_name_from_rules_on_line_items(spark, cases):
+    from costmart import rules as R
+
+    named = summary.service_name_from_rules(cases, R.rules_frame(spark))
+    per_item = {r.product_sku: r.product_servicename for r in named.select("product_sku", "product_servicename").collect()}
+    assert per_item == _names(summary.summary(cases, as_of="2021-10-15"))
+    assert "rule_product_code" not in named.columns
