@@ -114,3 +114,27 @@ def test_cli_builds_mart_and_reruns_one_month(spark, cur):
     again = readers.read_parquet(spark, fact_path)
     assert again.where("month <> '9'").count() == before
     assert again.where("year = '2001' AND month = '9'").count() == expected.where("month = '9'").count()
+
+
+def _shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(1 for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_summary_has_one_shuffle_and_labels_after_it(cur):
+    s = summary.summary(cur, as_of=FX.AS_OF)
+    assert _shuffles(s) == 1
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    # the rules join sits above the final aggregation (labels over groups)
+    assert plan.find("BroadcastHashJoin") < plan.find("HashAggregate")
+
+
+def test_dims_take_one_aggregation(cur):
+    from costmart.operators import dims
+
+    via_items = dims.tag_dim(summary.line_items(cur, FX.AS_OF))
+    via_summary = dims.tag_dim(summary.summary(cur, as_of=FX.AS_OF))
+    # Catalyst removes the summary's aggregation under the duplicate-agnostic
+    # distinct (RemoveRedundantAggregates): both are one shuffle
+    assert _shuffles(via_items) == 1 and _shuffles(via_summary) == 1
+    assert via_items.exceptAll(via_summary).isEmpty() and via_summary.exceptAll(via_items).isEmpty()
