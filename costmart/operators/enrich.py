@@ -1,13 +1,18 @@
 """Lookups against inventory tables (instances, accounts, snapshots,
 volumes), expressed as left equi-joins.
 
-Only rows that need a lookup go through the join; the others are unioned
-back with NULL. Rows without a lookup (NULL or non-EC2 ids can be a large
-share of a resource table) therefore never reach the join's shuffle, where
-NULL keys would all land in one partition. Join strategy (sort-merge vs
-broadcast) is left to the optimizer and AQE, which measure the inventory
-at run time; inventories grow with the estate, so no broadcast is forced.
-Inventories must be unique on their lookup key, or the join fans out.
+Rows that need no lookup (NULL or non-EC2 ids can be a large share of a
+resource table) get a salted probe key instead of their id: a NUL
+character plus a 64-bit hash of the row. It is deterministic (safe on task
+retries), spreads those rows evenly over the join's partitions instead of
+piling NULL keys into one, and can never equal an inventory id, so they
+come out unmatched and get NULL. This keeps the lookup a single pass over
+its input (splitting the rows into two branches instead lets the optimizer
+push the split below the input's aggregation and scan the input twice).
+Join strategy (sort-merge vs broadcast) is left to the optimizer and AQE,
+which measure the inventory at run time; inventories grow with the estate,
+so no broadcast is forced. Inventories must be unique on their lookup key,
+or the join fans out.
 """
 
 from __future__ import annotations
@@ -32,16 +37,10 @@ def instance_attributes(instances: DataFrame) -> DataFrame:
     )
 
 
-def _split_lookup(
-    df: DataFrame,
-    wanted: Column,
-    outputs: list[str],
-    join_found,
-) -> DataFrame:
-    flagged = df.withColumn(_FLAG, wanted)
-    todo = flagged.where(F.col(_FLAG))
-    rest = flagged.where(~F.col(_FLAG)).withColumns({o: F.lit(None).cast("string") for o in outputs})
-    return join_found(todo).unionByName(rest).drop(_FLAG)
+def _probe(df: DataFrame, wanted: Column, key: Column) -> Column:
+    """``key`` where ``wanted``; else a salted key that matches nothing."""
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    return F.when(wanted, key).otherwise(salt)
 
 
 def with_instance_lookup(
@@ -56,26 +55,30 @@ def with_instance_lookup(
     ``name_tag``) for rows where ``wanted``; '' on a miss, NULL elsewhere.
     With ``account_column`` the lookup is per (account, instance)."""
     outputs = list(fields)
-
-    def join_found(todo: DataFrame) -> DataFrame:
-        if instances is None:
-            return todo.withColumns({o: F.lit("") for o in outputs})
-        inv = instance_attributes(instances)
-        key_cols = [("instance_id", id_column)] + ([("account_id", account_column)] if account_column else [])
-        right = inv.select(
-            *[F.col(k).alias(f"__inv_{k}") for k, _ in key_cols],
-            *[F.col(src).alias(f"__inv_{out}") for out, src in fields.items()],
-        )
-        cond = None
-        for k, left in key_cols:
-            c = F.col(left) == F.col(f"__inv_{k}")
-            cond = c if cond is None else cond & c
-        joined = todo.join(right, cond, "left")
-        return joined.withColumns(
-            {out: F.coalesce(F.col(f"__inv_{out}"), F.lit("")) for out in outputs}
-        ).drop(*[f"__inv_{k}" for k, _ in key_cols], *[f"__inv_{out}" for out in outputs])
-
-    return _split_lookup(df, wanted, outputs, join_found)
+    flagged = df.withColumn(_FLAG, wanted)
+    if instances is None:
+        return flagged.withColumns(
+            {o: F.when(F.col(_FLAG), F.lit("")).otherwise(F.lit(None).cast("string")) for o in outputs}
+        ).drop(_FLAG)
+    inv = instance_attributes(instances)
+    key_cols = [("instance_id", id_column)] + ([("account_id", account_column)] if account_column else [])
+    right = inv.select(
+        *[F.col(k).alias(f"__inv_{k}") for k, _ in key_cols],
+        *[F.col(src).alias(f"__inv_{out}") for out, src in fields.items()],
+    )
+    probed = flagged.withColumn("__probe", _probe(df, F.col(_FLAG), F.col(id_column)))
+    cond = F.col("__probe") == F.col("__inv_instance_id")
+    if account_column:
+        cond = cond & (F.col(account_column) == F.col("__inv_account_id"))
+    joined = probed.join(right, cond, "left")
+    return joined.withColumns(
+        {
+            out: F.when(F.col(_FLAG), F.coalesce(F.col(f"__inv_{out}"), F.lit(""))).otherwise(
+                F.lit(None).cast("string")
+            )
+            for out in outputs
+        }
+    ).drop(_FLAG, "__probe", *[f"__inv_{k}" for k, _ in key_cols], *[f"__inv_{out}" for out in outputs])
 
 
 def with_lookup(
@@ -90,15 +93,12 @@ def with_lookup(
     """Generic single-value lookup: ``out`` = ``table.value`` where
     ``table.table_key`` equals ``key`` for rows where ``wanted``; '' on a
     miss, NULL where not wanted."""
-
-    def join_found(todo: DataFrame) -> DataFrame:
-        right = table.select(F.col(table_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
-        joined = todo.withColumn("__lk_probe", key).join(right, F.col("__lk_probe") == F.col("__lk_key"), "left")
-        return joined.withColumn(out, F.coalesce(F.col("__lk_val"), F.lit(""))).drop(
-            "__lk_probe", "__lk_key", "__lk_val"
-        )
-
-    return _split_lookup(df, wanted, [out], join_found)
+    right = table.select(F.col(table_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
+    probed = df.withColumns({_FLAG: wanted, "__lk_probe": _probe(df, wanted, key)})
+    joined = probed.join(right, F.col("__lk_probe") == F.col("__lk_key"), "left")
+    return joined.withColumn(
+        out, F.when(F.col(_FLAG), F.coalesce(F.col("__lk_val"), F.lit(""))).otherwise(F.lit(None).cast("string"))
+    ).drop(_FLAG, "__lk_probe", "__lk_key", "__lk_val")
 
 
 def account_names(account_dim: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -131,25 +131,14 @@ def secondary_identifier(
     rid = F.col("resource_id")
     is_snap = ec2 & F.coalesce(rid.contains("snap-"), F.lit(False))
     is_inst = ec2 & ~is_snap & F.coalesce(rid.contains("i-"), F.lit(False))
+    # two single-pass lookups; each yields NULL where it does not apply
     snaps = with_lookup(
-        resource_dim_attrs.where(is_snap),
-        snapshots,
-        snapshot_id(rid),
-        "snapshot_id",
-        "restore_expiry",
-        "secondary_identifier",
-        F.lit(True),
-    )
-    inst = with_instance_lookup(
-        resource_dim_attrs.where(is_inst),
-        instances,
-        wanted=F.lit(True),
-        fields={"secondary_identifier": "private_ip"},
+        resource_dim_attrs, snapshots, snapshot_id(rid), "snapshot_id", "restore_expiry", "__snap", is_snap
     )
-    other = resource_dim_attrs.where(~is_snap & ~is_inst).withColumn(
-        "secondary_identifier", F.lit(None).cast("string")
+    both = with_instance_lookup(snaps, instances, wanted=is_inst, fields={"__ip": "private_ip"})
+    return both.withColumn("secondary_identifier", F.coalesce(F.col("__snap"), F.col("__ip"))).drop(
+        "__snap", "__ip"
     )
-    return snaps.unionByName(inst).unionByName(other)
 
 
 def volume_types(df: DataFrame, volumes: DataFrame, id_column: str = "resource_id") -> DataFrame:

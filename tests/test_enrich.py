@@ -100,12 +100,15 @@ def test_volume_types(spark):
     assert got == {"vol-1": "gp3", "vol-2": "", "i-1": None}
 
 
-def test_lookup_does_not_shuffle_rows_without_lookup(spark, resources, instances):
+def test_lookup_is_one_pass_with_salted_keys(spark, resources, instances):
     from costmart.operators import summary
 
-    s = summary.summary(resources, as_of="2021-10-15")
-    plan = dims.resource_dim(s, instances)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan
+    df = dims.resource_dim(summary.line_items(resources, "2021-10-15"), instances)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan  # the input is read once
+    assert "xxhash64" in plan  # rows without a lookup get a spread, non-matching key
+    scans = df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD")
+    assert scans == 2  # the CUR rows once, the inventory once
 
 
 def test_key_collisions_detected(spark):
