@@ -138,3 +138,23 @@ def test_dims_take_one_aggregation(cur):
     # distinct (RemoveRedundantAggregates): both are one shuffle
     assert _shuffles(via_items) == 1 and _shuffles(via_summary) == 1
     assert via_items.exceptAll(via_summary).isEmpty() and via_summary.exceptAll(via_items).isEmpty()
+
+
+def test_run_fact_job_window_and_one_month(spark, cur):
+    from costmart.plans import jobs
+    from costmart.session import scratch_path
+    from costmart.sources import readers
+
+    path = scratch_path(spark, "t-job")
+    jobs.run_fact_job(cur, path, as_of=FX.AS_OF)
+    window = readers.read_parquet(spark, path)
+    expected = fact.fact_direct(cur, as_of=FX.AS_OF)
+    assert window.select(*expected.columns).exceptAll(expected).isEmpty()
+    n = window.count()  # before the re-run replaces the month's files
+    jobs.run_fact_job(cur, path, year="2001", month="9")
+    again = readers.read_parquet(spark, path)
+    assert again.count() == n  # the month was replaced by the same rows
+    import pytest
+
+    with pytest.raises(ValueError):
+        jobs.run_fact_job(cur, path, year="2001")

@@ -82,3 +82,16 @@ def test_backlog_in_many_batches_refreshes_each_month_once(spark):
     stored = readers.read_parquet(spark, fact_path).select(*whole.columns)
     assert whole.exceptAll(stored).isEmpty() and stored.exceptAll(whole).isEmpty()
     assert incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15") == []
+
+
+def test_continuous_mode_refreshes_per_batch(spark):
+    root = scratch_path(spark, "t-continuous")
+    cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
+    make_cur(spark, [_rows(dt.date(2021, 10, 1), 2, "a")]).write.mode("append").partitionBy("year", "month").parquet(cur_path)
+    query = incremental.start(spark, cur_path, fact_path, ckpt, as_of="2021-10-15", available_now=False)
+    try:
+        query.processAllAvailable()
+        got = {(r.month, r.unblended_cost) for r in readers.read_parquet(spark, fact_path).collect()}
+        assert got == {("10", Decimal(2))}
+    finally:
+        query.stop()
