@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, simhash, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +34,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"), min_revisit=0, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_decontaminate": op3_decontaminate,
+    "op4_warc": op4_warc,
 }
