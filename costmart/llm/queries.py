@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, sharding, simhash, topk, warc
+from . import decontaminate, html_text, sharding, simhash, suffix_dedup, topk, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=400)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["first"])
+    return kept.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        n_removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
@@ -57,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op3_decontaminate": op3_decontaminate,
     "op4_warc": op4_warc,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_topk": op6_topk,
     "op9_html": op9_html,
 }
