@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, sharding, simhash, suffix_dedup, topk, warc
+from . import decontaminate, html_text, language_id, mixing, sharding, simhash, suffix_dedup, topk, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,25 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return mixed.select(
+        "row.doc_id",
+        "source",
+        "lang",
+        "topic",
+        "tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("probability", 6).alias("probability"),
+        "sampled",
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
@@ -71,5 +90,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_topk": op6_topk,
+    "op7_mixing": op7_mixing,
+    "op8_language": op8_language,
     "op9_html": op9_html,
 }
