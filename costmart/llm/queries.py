@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, mixing, sharding, simhash, suffix_dedup, topk, warc
+from . import decontaminate, html_text, language_id, mixing, pii, sharding, simhash, suffix_dedup, topk, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,17 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(name).alias(f"n_{name}") for name in pii.KINDS]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -93,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_language": op8_language,
     "op9_html": op9_html,
+    "op10_pii": op10_pii,
 }
