@@ -1,0 +1,139 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from costmart.llm import simhash
+from costmart.llm.graph import components
+
+
+def brute_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in low + " ":
+        if c in " \t\n\x0b\x0c\r":
+            if word:
+                words.append(word)
+            word = ""
+        else:
+            word += c
+    if not words:
+        return 0
+    n = min(3, len(words))
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + n]).encode(), 42) for i in range(len(words) - n + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(labels):
+    found = {}
+    for node, root in labels.items():
+        found.setdefault(root, set()).add(node)
+    return sorted(map(sorted, found.values()))
+
+
+def brute_components(values, max_bits):
+    """Root (any) of each unsigned fingerprint."""
+    parent = {v: v for v in values}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= max_bits:
+                parent[root(a)] = root(b)
+    return {v: root(v) for v in values}
+
+
+def signed(v):
+    return v - (1 << 64) if v >> 63 else v
+
+
+@pytest.mark.parametrize(
+    "text", [None, "", " \n", "One", "two Words", "A b C d e f A b C", "é É x y\x0bz ß", "w " * 70000]
+)
+def test_fingerprint(text):
+    assert simhash.fingerprint((text or "").encode(), 3) == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_links_connect_what_brute_force_connects(spark, max_bits):
+    rng = random.Random(max_bits)
+    values = {0, (1 << 64) - 1}
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        values.add(base)
+        for flips in (1, 2, 3, 3, 4):
+            near = base
+            for bit in rng.sample(range(64), flips):
+                near ^= 1 << bit
+            values.add(near)
+    values = sorted(values)
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    edges = simhash.links(fps, max_bits)
+    found = {signed(v): signed(v) for v in values}
+    found.update({r.node: r.root for r in components(edges).collect()})
+    want = brute_components(values, max_bits)
+    assert groups(found) == groups({signed(a): signed(b) for a, b in want.items()})
+    assert all(found[n] == min(g) for g in groups(found) for n in g)
+
+
+def test_links_of_one_dense_ball(spark):
+    """All points within two bits of one: a hub, with many points for each variant."""
+    values = sorted({signed((1 << i) ^ (1 << j)) for i in range(20) for j in range(20)})
+    fps = spark.createDataFrame([(v,) for v in values], "fp long")
+    labels = {r.node: r.root for r in components(simhash.links(fps, 3)).collect()}
+    assert set(labels.values()) == {min(values)} and set(labels) == set(values)
+
+
+def test_components_of_paths_and_nothing(spark):
+    chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
+    labels = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert labels == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_query_against_brute_force(spark):
+    from costmart.llm import queries
+
+    SF = "/root/testdata/sf0.001"
+
+    got = {r.doc_id: r for r in queries.op1_simhash(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    fps = {d.doc_id: brute_fingerprint(d.text) for d in docs}
+    root = brute_components(sorted(set(fps.values())), 3)
+    smallest = {}
+    for d, fp in fps.items():
+        smallest[root[fp]] = min(d, smallest.get(root[fp], d))
+    assert len(got) == len(docs)
+    for d, fp in fps.items():
+        assert got[d].fingerprint == f"{fp:016x}" and got[d].component_id == smallest[root[fp]]
+
+
+def test_odd_rows(odd_docs):
+    rows = simhash.near_duplicates(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    by_id = {r.id: r for r in rows}
+    assert by_id[1].fp == by_id[2].fp == by_id[3].fp == 0
+    assert {by_id[i].component_id for i in (1, 2, 3)} == {1}
+    assert by_id[5].component_id == 4 and by_id[7].component_id == 6
+    assert by_id[None].component_id is None
+    assert simhash.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_one_of_each(odd_docs):
+    kept = simhash.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "8", "None"]
+    assert simhash.one_of_each(odd_docs.limit(0)).count() == 0
+
+
+def test_masks_cover_any_three_bits():
+    pairs = {frozenset(np.flatnonzero([m >> b & 1 for b in range(64)]).tolist()) for m in simhash._masks(2, True)}
+    assert len(pairs) == 992
+    rng = random.Random(0)
+    for _ in range(500):
+        a, b, c = rng.sample(range(64), 3)
+        assert {frozenset((a, b)), frozenset((a, c)), frozenset((b, c))} & pairs
