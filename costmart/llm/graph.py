@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps. Each step groups the edges by
     node (partial sums first), writes the minima and joins them to the written
     edges, so that a hub with many neighbours is a skewed join that adaptive
-    execution splits. Stops when a round changes no edge. Self loops and
+    execution splits (by hint, so that no links go through the driver). Stops when a round changes no edge. Self loops and
     repeated edges are ignored; an empty edge list gives an empty result.
     """
     # canonical form: u > v
@@ -30,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = written(cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v"))), "cc-both")
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "cc-min")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.filter("u != v").distinct(), "cc-large")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
-        moved = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(least.hint("merge"), "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = written(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc")
         after = _fixed(cur)
         if after == before:
