@@ -3,7 +3,7 @@
     spark-submit --conf spark.checkpoint.dir=<shared folder> --py-files costmart.zip \\
         scripts/build_mart.py --cur s3://bucket/cur/ --out s3://bucket/mart/ \\
         [--as-of 2021-10-15 | --zone Asia/Kolkata] [--year 2021 --month 9] \\
-        [--instances inventory.instances] [--months-back 7] [--warehouse-db cost_viz]
+        [--instances inventory.instances] [--months-back 7] [--warehouse-db billing_mart]
 
 (or ``python -m costmart.plans.cli ...`` with a local master).
 
@@ -36,6 +36,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--year")
     p.add_argument("--month")
     p.add_argument("--instances", help="instance inventory table (account_id, instance_id, private_ip, tags)")
+    p.add_argument("--with-name", dest="with_name", action="store_true", help="add the Name tag to the resource dim")
+    p.add_argument("--accounts", help="account table (account_id, account_name): adds account names")
+    p.add_argument("--rules", help="service rule table (product_code, service_name) in place of the built-in one")
+    p.add_argument("--all-months", dest="all_months", action="store_true", help="backfill: no rolling window")
     p.add_argument("--warehouse-db", dest="warehouse_db", help="also load the mart into this catalog database")
     a = p.parse_args(argv)
     if (a.year is None) != (a.month is None):
@@ -51,15 +55,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a = parse(argv)
     spark = configure(spark or SparkSession.builder.appName("costmart").getOrCreate())
     out = a.out.rstrip("/")
-    history = readers.read_parquet(spark, a.cur) if _is_path(a.cur) else spark.table(a.cur)
     if a.year is not None:
-        # one-month re-run: only that month of the fact is replaced
-        writers.write_partitioned(jobs.fact_for_period(history, a.year, a.month), f"{out}/cost_insights_fact")
+        # one-month re-run: only that month is listed and read, only that month of the fact replaced
+        month = jobs.read_cur_month(spark, a.cur, a.year, a.month) if _is_path(a.cur) else spark.table(a.cur)
+        jobs.run_fact_job(month, f"{out}/cost_insights_fact", a.year, a.month)
         return {"cost_insights_fact": f"{out}/cost_insights_fact"}
     as_of = dates.as_date(a.as_of) if a.as_of else jobs.today_in(a.zone)
-    window = jobs.read_cur_window(spark, a.cur, as_of, a.months_back) if _is_path(a.cur) else history
+    history = readers.read_parquet(spark, a.cur, merge_schema=True) if _is_path(a.cur) else spark.table(a.cur)
+    months_back = None if a.all_months else a.months_back
+    windowed = _is_path(a.cur) and months_back is not None
+    window = jobs.read_cur_window(spark, a.cur, as_of, months_back) if windowed else history
     instances = spark.table(a.instances) if a.instances else None
-    m = mart.build(window, as_of=as_of, months_back=a.months_back, instances=instances, history=history)
+    rules = spark.table(a.rules).select("product_code", "service_name") if a.rules else None
+    if rules is not None:  # one name per code
+        rules = writers.one_per_key(rules.toDF("rule_product_code", "rule_service_name"), "rule_product_code")
+    accounts = spark.table(a.accounts) if a.accounts else None
+    m = mart.build(
+        window, as_of=as_of, months_back=months_back, instances=instances, history=history, rules=rules,
+        accounts=accounts, with_name=a.with_name,
+    )
     paths = mart.write(m, out)
     if a.warehouse_db:
         writers.ensure_database(spark, a.warehouse_db)

@@ -38,15 +38,31 @@ def read_cur_window(
     months_back: int = dates.DEFAULT_MONTHS_BACK,
 ) -> DataFrame:
     """The CUR dataset at ``root`` restricted, at listing time, to the month
-    directories of the rolling window (the window filter still applies)."""
+    directories of the rolling window (the window filter still applies).
+    Columns are the union over all files of the dataset, so a tag that only
+    some months carry is a column here (and part of every tag key)."""
     start = dates.window_start(dates.as_date(as_of), months_back)
-    return readers.read_months(spark, root, since=start)
+    return readers.read_months(spark, root, since=start, schema=readers.union_schema(spark, root))
+
+
+def read_cur_month(spark: SparkSession, root: str, year: str, month: str) -> DataFrame:
+    """One billing month of the CUR dataset at ``root``, with the columns of
+    the whole dataset. Raises if the dataset has no such month."""
+    stored = {(int(y), int(m)) for y, m, _ in readers.partition_dirs(spark, root)}
+    if (int(year), int(month)) not in stored:
+        raise ValueError(f"no billing month {int(year)}-{int(month):02d} under {root}")
+    schema = readers.union_schema(spark, root)
+    return readers.read_months(spark, root, months=[(year, month)], schema=schema)
 
 
 def fact_for_period(cur: DataFrame, year: str, month: str) -> DataFrame:
-    """The fact rows of one billing month (partition filter on the CUR)."""
-    one_month = cur.where((F.col("year") == str(year)) & (F.col("month") == str(int(month))))
-    return fact.fact_direct(one_month, months_back=None)
+    """The fact rows of one billing month (partition filter on the CUR).
+    Year and month are compared as numbers: '09' and '9' are the same month."""
+    return fact.fact_direct(_month_rows(cur, year, month), months_back=None)
+
+
+def _month_rows(cur: DataFrame, year: str, month: str) -> DataFrame:
+    return cur.where((F.col("year").cast("int") == int(year)) & (F.col("month").cast("int") == int(month)))
 
 
 def run_fact_job(
@@ -62,6 +78,8 @@ def run_fact_job(
     if (year is None) != (month is None):
         raise ValueError("give both year and month, or neither")
     if year is not None:
+        if _month_rows(cur, year, month).isEmpty():
+            raise ValueError(f"no rows of billing month {int(year)}-{int(month):02d}")
         rows = fact_for_period(cur, year, month)
     else:
         rows = fact.fact_direct(cur, as_of=as_of or today_in(zone), months_back=months_back)

@@ -13,6 +13,7 @@ import datetime as _dt
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -39,6 +40,20 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
+def union_schema(spark: SparkSession, root: str) -> StructType:
+    """The columns of all files under ``root`` (tag columns come and go over
+    the months). Footers are read in a distributed job, data is not."""
+    return read_parquet(spark, root, merge_schema=True).schema
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, modificationTime, length, partition columns) of the files under
+    ``root``. The listing is Spark's own (distributed over folders where there
+    are many); file contents are not read."""
+    with _string_partitions(spark):
+        return spark.read.format("binaryFile").load(root).drop("content")
+
+
 def partition_dirs(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
     """(year, month, path) of the ``year=*/month=*`` directories under
     ``root``. Lists directories only (years x months entries), never the
@@ -65,12 +80,15 @@ def read_months(
     root: str,
     since: _dt.date | None = None,
     months: list[tuple[str, str]] | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Read only some month partitions of a year/month dataset: those on or
     after ``since`` and/or those in ``months``. Spark then lists the files
     of these directories only, instead of every file under ``root`` (the
     pruning of ``read_parquet`` + a filter happens after a full listing).
-    Returns an empty frame with the dataset's schema when nothing matches."""
+    The columns are those of ``schema``, or else the union of the columns of
+    the files read. Returns an empty frame with the dataset's columns when
+    nothing matches."""
     wanted = {(y, str(int(m))) for y, m in months} if months is not None else None
     paths = []
     for y, m, path in partition_dirs(spark, root):
@@ -81,8 +99,10 @@ def read_months(
         paths.append(path)
     with _string_partitions(spark):
         if not paths:
-            return spark.read.parquet(root).limit(0)
-        return spark.read.option("basePath", root).parquet(*paths)
+            return spark.createDataFrame([], schema or union_schema(spark, root))
+        reader = spark.read.option("basePath", root)
+        reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+        return reader.parquet(*paths)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
