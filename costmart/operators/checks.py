@@ -42,6 +42,23 @@ def orphan_keys(fact_df: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     return per_key.join(keys, F.col(fact_key) == F.col("__dim_key"), "left_anti")
 
 
+def orphan_counts(fact_df: DataFrame, dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(dim, orphan_rows) for each dimension (rows, key), in one pass over the fact.
+
+    Each fact row gives one (dimension, key) pair per dimension; the pairs are
+    counted with partial sums, then met by the dimensions' keys in one join.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("dim"), F.col(k).alias("key")) for n, (_, k) in dimensions.items()])
+    used = fact_df.select(F.explode(pairs).alias("p")).groupBy("p.dim", "p.key").agg(F.count("*").alias("n"))
+    known = reduce(
+        DataFrame.union, [d.select(F.lit(n).alias("dim"), F.col(k).alias("key")) for n, (d, k) in dimensions.items()]
+    )
+    known = known.distinct().withColumn("known", F.lit(True))
+    missing = F.when(F.col("known").isNull(), F.col("n")).otherwise(0)
+    met = used.join(known, ["dim", "key"], "left")
+    return met.groupBy("dim").agg(F.sum(missing).alias("orphan_rows"))
+
+
 def key_collisions(dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """Keys shared by two different attribute tuples (NULL-skipping key text
     can map distinct tuples to one key)."""

@@ -106,8 +106,8 @@ def cross_account_resource_dim(
     """Resource dimension for some accounts and one operation, with IP and
     Name tag looked up per (account, instance).
 
-    The account column is dropped before de-duplication, so a tuple seen in
-    two accounts with the same lookups is one row.
+    The account column is dropped before de-duplication; a tuple seen in
+    several accounts is one row, with the largest lookups (found before missed).
     """
     picked = source.where(F.col("linked_account_id").isin(*accounts) & (F.col(C.OPERATION) == operation))
     attrs = (
@@ -127,4 +127,7 @@ def cross_account_resource_dim(
         fields={"secondary_identifier": "private_ip", "resource_name": "name_tag"},
         account_column="linked_account_id",
     )
-    return looked_up.drop("linked_account_id").distinct()
+    fields = ["secondary_identifier", "resource_name"]
+    attributes = [c for c in looked_up.columns if c not in (*fields, "linked_account_id")]
+    best = looked_up.groupBy(*attributes).agg(F.max(F.struct(*fields)).alias("__best"))
+    return best.select(*attributes, *[F.col(f"__best.{f}").alias(f) for f in fields])

@@ -11,8 +11,9 @@ its input (splitting the rows into two branches instead lets the optimizer
 push the split below the input's aggregation and scan the input twice).
 Join strategy (sort-merge vs broadcast) is left to the optimizer and AQE,
 which measure the inventory at run time; inventories grow with the estate,
-so no broadcast is forced. Inventories must be unique on their lookup key,
-or the join fans out.
+so no broadcast is forced. Each inventory is first reduced to one row per
+lookup key (the largest attributes, by a partial and a final aggregation), so
+an id listed twice never multiplies the rows that look it up.
 """
 
 from __future__ import annotations
@@ -38,9 +39,15 @@ def instance_attributes(instances: DataFrame) -> DataFrame:
 
 
 def _probe(df: DataFrame, wanted: Column, key: Column) -> Column:
-    """``key`` where ``wanted``; else a salted key that matches nothing."""
+    """``key`` where ``wanted`` and not NULL; else a salted key that matches nothing."""
     salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
-    return F.when(wanted, key).otherwise(salt)
+    return F.when(wanted & key.isNotNull(), key).otherwise(salt)
+
+
+def _one_per_key(table: DataFrame, keys_: list[str], values: list[str]) -> DataFrame:
+    """One row per key: the largest value tuple."""
+    best = table.groupBy(*keys_).agg(F.max(F.struct(*values)).alias("__best"))
+    return best.select(*keys_, *[F.col(f"__best.{v}").alias(v) for v in values])
 
 
 def with_instance_lookup(
@@ -62,9 +69,13 @@ def with_instance_lookup(
         ).drop(_FLAG)
     inv = instance_attributes(instances)
     key_cols = [("instance_id", id_column)] + ([("account_id", account_column)] if account_column else [])
-    right = inv.select(
-        *[F.col(k).alias(f"__inv_{k}") for k, _ in key_cols],
-        *[F.col(src).alias(f"__inv_{out}") for out, src in fields.items()],
+    right = _one_per_key(
+        inv.select(
+            *[F.col(k).alias(f"__inv_{k}") for k, _ in key_cols],
+            *[F.col(src).alias(f"__inv_{out}") for out, src in fields.items()],
+        ),
+        [f"__inv_{k}" for k, _ in key_cols],
+        [f"__inv_{out}" for out in outputs],
     )
     probed = flagged.withColumn("__probe", _probe(df, F.col(_FLAG), F.col(id_column)))
     cond = F.col("__probe") == F.col("__inv_instance_id")
@@ -94,6 +105,7 @@ def with_lookup(
     ``table.table_key`` equals ``key`` for rows where ``wanted``; '' on a
     miss, NULL where not wanted."""
     right = table.select(F.col(table_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
+    right = _one_per_key(right, ["__lk_key"], ["__lk_val"])
     probed = df.withColumns({_FLAG: wanted, "__lk_probe": _probe(df, wanted, key)})
     joined = probed.join(right, F.col("__lk_probe") == F.col("__lk_key"), "left")
     return joined.withColumn(
@@ -107,6 +119,7 @@ def account_names(account_dim: DataFrame, accounts: DataFrame) -> DataFrame:
     right = accounts.select(
         F.col("account_id").alias("__acct_id"), F.col("account_name").alias("__acct_name")
     )
+    right = _one_per_key(right, ["__acct_id"], ["__acct_name"])
     joined = account_dim.join(right, F.col(C.USAGE_ACCOUNT) == F.col("__acct_id"), "left")
     return joined.withColumn("account_name", F.coalesce(F.col("__acct_name"), F.lit(""))).drop(
         "__acct_id", "__acct_name"
@@ -131,14 +144,15 @@ def secondary_identifier(
     rid = F.col("resource_id")
     is_snap = ec2 & F.coalesce(rid.contains("snap-"), F.lit(False))
     is_inst = ec2 & ~is_snap & F.coalesce(rid.contains("i-"), F.lit(False))
-    # two single-pass lookups; each yields NULL where it does not apply
-    snaps = with_lookup(
-        resource_dim_attrs, snapshots, snapshot_id(rid), "snapshot_id", "restore_expiry", "__snap", is_snap
-    )
-    both = with_instance_lookup(snaps, instances, wanted=is_inst, fields={"__ip": "private_ip"})
-    return both.withColumn("secondary_identifier", F.coalesce(F.col("__snap"), F.col("__ip"))).drop(
-        "__snap", "__ip"
+    # both inventories in one, told apart by a letter before the id: one join
+    known = snapshots.select(
+        F.concat(F.lit("s:"), F.col("snapshot_id")).alias("id"), F.col("restore_expiry").alias("value")
     )
+    if instances is not None:
+        ips = instance_attributes(instances)
+        known = known.union(ips.select(F.concat(F.lit("i:"), F.col("instance_id")), "private_ip"))
+    key = F.when(is_snap, F.concat(F.lit("s:"), snapshot_id(rid))).otherwise(F.concat(F.lit("i:"), rid))
+    return with_lookup(resource_dim_attrs, known, key, "id", "value", "secondary_identifier", is_snap | is_inst)
 
 
 def volume_types(df: DataFrame, volumes: DataFrame, id_column: str = "resource_id") -> DataFrame:

@@ -52,7 +52,8 @@ def join_rules(df: DataFrame, rules: DataFrame, raw: str, broadcast_rules: bool
     whose raw service name is the data-transfer name (adds the rule
     columns; a row without a rule gets NULLs)."""
     r = rules.select(F.col(_RULE_CODE), F.col(_RULE_NAME))
-    r = F.broadcast(r) if broadcast_rules else R.broadcast_if_small(r, R.MAX_BROADCAST_RULES)
+    if broadcast_rules:  # the built-in literal, of fixed length; a user's table is the optimizer's to plan
+        r = F.broadcast(r)
     return df.join(
         r,
         (F.col(raw) == F.lit(R.DATA_TRANSFER)) & (F.col(C.PRODUCT_CODE) == F.col(_RULE_CODE)),

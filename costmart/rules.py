@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions.cache import per_session
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's rule list for identical results).
@@ -136,33 +135,13 @@ RULES_SCHEMA = StructType(
     ]
 )
 
-# The built-in table is a literal of len(DATA_TRANSFER_SERVICE_NAMES) rows,
-# so broadcasting it is bounded by construction. A user-supplied table is
-# broadcast only after a row count shows it has at most this many rows;
-# otherwise the optimizer plans an ordinary (shuffle) join.
-MAX_BROADCAST_RULES = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted
-    with a limit, so the check reads at most max_rows + 1 rows)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def rules_frame(spark: SparkSession, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """The data-transfer rule table as a DataFrame (one row per product code).
 
     Built as an inline table (a LocalRelation): no Python rows are shipped
     to executors, and broadcasting it needs no Spark job.
     """
-    if pairs is None:
-        return _builtin_rules_frame(spark)
-    return _values_frame(spark, pairs)
-
-
-@per_session
-def _builtin_rules_frame(spark: SparkSession) -> DataFrame:
-    return _values_frame(spark, DATA_TRANSFER_SERVICE_NAMES)
+    return _values_frame(spark, DATA_TRANSFER_SERVICE_NAMES if pairs is None else pairs)
 
 
 def _values_frame(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
