@@ -1,20 +1,23 @@
-"""Incremental fact maintenance with Structured Streaming.
+"""Incremental fact maintenance.
 
-A file stream over the year/month-partitioned CUR dataset notices new files
-(the billing export delivers whole or partial months). Each micro-batch only
-tells *which* months changed; those months are recomputed from the full CUR
-table and written with dynamic partition overwrite. A month's sums need all
-of its rows, so the delta alone is never aggregated into the fact.
+Two ways tell which months of the year/month-partitioned CUR dataset changed;
+those months are recomputed from the full CUR table and written with dynamic
+partition overwrite. A month's sums need all of its rows, so a delta alone is
+never aggregated into the fact.
+
+* ``run_until_caught_up`` (scheduled runs) compares a manifest of the files
+  (path, length, modification time) with that of the last run, as a
+  distributed join. It sees new, rewritten and removed files of any age;
+  billing exports rewrite the open month in place.
+* ``start`` is a Structured Streaming file source for continuous runs. It
+  sees new files only (that is how the source tracks files).
 
 Properties:
 * Replaying a batch (after a failure) recomputes the same months from the
   same table and overwrites them again: the sink is idempotent.
-* ``trigger(availableNow=True)`` processes everything that has arrived and
-  stops, like a scheduled batch job but with exactly-once file tracking in
-  the checkpoint. ``max_files_per_trigger`` bounds each micro-batch; in a
-  caught-up run the batches only record touched months, which are then
-  recomputed once each (a large backlog does not recompute a month per
-  batch).
+* The manifest is replaced only after the refresh, so a failed run is
+  repeated by the next one. Changed months outside the rolling window are not
+  reported as refreshed; they stay changed until a run's window holds them.
 * The set of touched months is the only thing brought to the driver; it is
   bounded by the calendar, not by the data.
 """
@@ -24,10 +27,12 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dates
 from ..operators import fact
+from ..session import scratch_path
 from ..sinks import writers
 from ..sources import readers
 
@@ -44,19 +49,44 @@ def refresh_months(
     months: list[tuple[str, str]],
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
-) -> None:
+) -> list[tuple[str, str]]:
     """Recompute the fact for ``months`` from the whole CUR dataset and
-    replace those partitions."""
+    replace those partitions. Returns the months refreshed: those of the
+    rolling window. A month without any rows left loses its fact rows."""
     if months_back is not None:
         # months before the rolling window contribute no rows; skip them
         start = dates.window_start(dates.as_date(as_of), months_back)
         months = [(y, m) for y, m in months if (int(y), int(m)) >= (start.year, start.month)]
     if not months:
-        return
-    # only the touched month directories are listed and read
-    cur = readers.read_months(spark, cur_path, months=months)
+        return []
+    # only the touched months' rows are read, with the columns of all months
+    schema = readers.union_schema(spark, cur_path)
+    cur = readers.read_months(spark, cur_path, months=months, schema=schema)
     rows = fact.fact_direct(cur, as_of=as_of, months_back=months_back)
     writers.write_partitioned(rows, fact_path)
+    stored = {(int(y), int(m)) for y, m, _ in readers.partition_dirs(spark, cur_path)}
+    for y, m, path in readers.partition_dirs(spark, fact_path):
+        if (int(y), int(m)) not in stored and (y, str(int(m))) in {(a, str(int(b))) for a, b in months}:
+            readers.delete(spark, path)
+    return months
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modified, year, month) of the data files under ``root``;
+    lists them, reads none."""
+    files = readers.list_files(spark, root)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"), "year", "month")
+
+
+def changed_files(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(year, month, path) of files that are new, gone, or of another length or time."""
+    a, b = now.alias("a"), before.alias("b")
+    differs = F.col("a.path").isNull() | F.col("b.path").isNull()
+    differs = differs | (F.col("a.length") != F.col("b.length")) | (F.col("a.modified") != F.col("b.modified"))
+    return a.join(b, F.col("a.path") == F.col("b.path"), "full").where(differs).select(
+        F.coalesce("a.year", "b.year").alias("year"), F.coalesce("a.month", "b.month").alias("month"),
+        F.coalesce("a.path", "b.path").alias("path"),
+    )
 
 
 def _pending_path(checkpoint_location: str) -> str:
@@ -81,10 +111,10 @@ def start(
     stream checkpoint (see ``refresh_pending``): a backlog split into many
     micro-batches then recomputes each month once, not once per batch.
     """
-    schema = readers.read_parquet(spark, cur_path).schema
     stream = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema("year string, month string")  # which months, nothing else
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", "36500d")  # late deliveries may carry old times
         .parquet(cur_path)
         .select("year", "month")
     )
@@ -110,17 +140,20 @@ def refresh_pending(
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
 ) -> list[tuple[str, str]]:
-    """Recompute every pending month once, then clear the pending table. If
-    the refresh fails the months stay pending and the next run repeats it
-    (the refresh is idempotent)."""
+    """Recompute every pending month once, then clear the pending table but
+    for the months outside the window. If the refresh fails the months stay
+    pending and the next run repeats it (the refresh is idempotent). Returns
+    the months refreshed."""
     pending = _pending_path(checkpoint_location)
     if not readers.exists(spark, pending):
         return []
     # explicit schema: a batch of empty files leaves a folder without rows
     months = touched_months(spark.read.schema("year string, month string").parquet(pending))
-    refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
+    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
     readers.delete(spark, pending)
-    return months
+    if left := [m for m in months if m not in done]:
+        spark.createDataFrame(left, "year string, month string").write.mode("append").parquet(pending)
+    return done
 
 
 def run_until_caught_up(
@@ -130,15 +163,21 @@ def run_until_caught_up(
     checkpoint_location: str,
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
-    **kw,
 ) -> list[tuple[str, str]]:
-    """Process every new file (availableNow), then refresh the months they
-    touched, each once. Returns the refreshed months."""
-    query = start(
-        spark, cur_path, fact_path, checkpoint_location, as_of, months_back,
-        available_now=True, defer_refresh=True, **kw,
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return refresh_pending(spark, cur_path, fact_path, checkpoint_location, as_of, months_back)
+    """Refresh the months whose files changed since the last run, each once.
+    Returns the months refreshed."""
+    stored = f"{checkpoint_location.rstrip('/')}/manifest"
+    schema = "path string, length long, modified timestamp, year string, month string"
+    # as listed now: what arrives during the refresh counts as changed next time
+    path = scratch_path(spark, "manifest")
+    manifest(spark, cur_path).write.parquet(path)
+    now = spark.read.schema(schema).parquet(path)
+    before = spark.read.schema(schema).parquet(stored) if readers.exists(spark, stored) else now.limit(0)
+    months = touched_months(changed_files(now, before))
+    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
+    if months:
+        left = [f"{y}-{m}" for y, m in months if (y, m) not in done]
+        outside = F.concat_ws("-", "year", "month").isin(left)
+        writers.replace_dataset(now.where(~outside).union(before.where(outside)), stored)
+    readers.delete(spark, path)
+    return done

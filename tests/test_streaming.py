@@ -74,9 +74,7 @@ def test_backlog_in_many_batches_refreshes_each_month_once(spark):
     cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
     for i, day in enumerate([dt.date(2021, 9, 1), dt.date(2021, 9, 2), dt.date(2021, 10, 1), dt.date(2021, 10, 5)]):
         make_cur(spark, [_rows(day, i + 1, f"s{i}")]).write.mode("append").partitionBy("year", "month").parquet(cur_path)
-    refreshed = incremental.run_until_caught_up(
-        spark, cur_path, fact_path, ckpt, as_of="2021-10-15", max_files_per_trigger=1
-    )
+    refreshed = incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")
     assert sorted(refreshed) == [("2021", "10"), ("2021", "9")]  # once each, not once per batch
     whole = fact.fact_direct(readers.read_parquet(spark, cur_path), as_of="2021-10-15")
     stored = readers.read_parquet(spark, fact_path).select(*whole.columns)
@@ -95,3 +93,33 @@ def test_continuous_mode_refreshes_per_batch(spark):
         assert got == {("10", Decimal(2))}
     finally:
         query.stop()
+
+
+def test_rewritten_and_removed_files_are_seen(spark):
+    root = scratch_path(spark, "t-rewrite")
+    cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
+
+    def deliver(cost, months):
+        rows = make_cur(spark, [_rows(dt.date(2021, m, 2), cost, f"m{m}") for m in months])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year", "month").parquet(cur_path)
+
+    def stored():
+        return {(r.month, r.unblended_cost) for r in readers.read_parquet(spark, fact_path).collect()}
+
+    deliver(2, [9, 10])
+    assert len(incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")) == 2
+    deliver(50, [9, 10])
+    assert len(incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")) == 2
+    assert stored() == {("9", Decimal(50)), ("10", Decimal(50))}
+    deliver(50, [10])  # September is withdrawn
+    incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15")
+    assert stored() == {("10", Decimal(50))}
+
+
+def test_months_outside_the_window_are_not_reported_and_stay_changed(spark):
+    root = scratch_path(spark, "t-late")
+    cur_path, fact_path, ckpt = f"{root}/cur", f"{root}/fact", f"{root}/ckpt"
+    make_cur(spark, [_rows(dt.date(2021, 2, 1), 7, "old")]).write.partitionBy("year", "month").parquet(cur_path)
+    assert incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of="2021-10-15") == []
+    assert incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, months_back=None) == [("2021", "2")]
+    assert incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, months_back=None) == []
