@@ -26,17 +26,22 @@ SCALE_SQL_CONF = {
 }
 
 
-def cluster_conf(windowed_input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a large cluster, sized from the bytes the window reads.
-
-    The initial shuffle partition count is generous (one per target size of
-    input; partial aggregation makes the real shuffle smaller) and AQE
-    coalesces it at run time to ``target_partition_bytes`` per task, so no
-    reducer holds more than about that much. Scan splits use the same size.
+def cluster_conf(
+    windowed_input_bytes: int, shuffled_bytes: int | None = None, target_partition_bytes: int = 256 << 20
+) -> dict[str, str]:
+    """Settings for a large cluster.
+
+    Shuffle partitions are sized from the bytes expected to be shuffled: give
+    ``shuffled_bytes`` as measured in an earlier run, else a thirty-second of
+    the input is assumed (the shuffles carry partially aggregated rows). AQE
+    coalesces them at run time to ``target_partition_bytes`` per task. Scan
+    splits use that size of input. Only parallelism depends on these.
     Pass the result to ``SparkSession.builder.config(map=...)`` or
     ``spark-submit --conf``.
     """
-    initial = max(200, -(-windowed_input_bytes // target_partition_bytes))
+    if shuffled_bytes is None:
+        shuffled_bytes = windowed_input_bytes // 32
+    initial = max(200, -(-shuffled_bytes // target_partition_bytes))
     return {
         **SCALE_SQL_CONF,
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),

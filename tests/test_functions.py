@@ -105,8 +105,10 @@ def test_jobs_period_and_zone(spark):
 def test_cluster_conf_sizes_partitions():
     from costmart.session import cluster_conf
 
-    conf = cluster_conf(10 * (1 << 40))  # 10 TiB in the window
-    assert int(conf["spark.sql.shuffle.partitions"]) == 40960
+    conf = cluster_conf(10 * (1 << 40))  # 10 TiB in the window, a thirty-second of it shuffled
+    assert int(conf["spark.sql.shuffle.partitions"]) == 1280
+    assert int(cluster_conf(100 * (1 << 40), shuffled_bytes=1 << 40)["spark.sql.shuffle.partitions"]) == 4096
+    assert int(cluster_conf(100 * (1 << 40))["spark.sql.shuffle.partitions"]) < 20_000
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
 
