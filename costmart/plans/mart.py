@@ -29,12 +29,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..functions import dates
-from ..operators import dims, fact
+from ..operators import dims, enrich, fact
 from ..session import configure, scratch_path
 from ..sinks import writers
 from ..sources import readers
 
 
+DIMENSION_KEYS = {
+    "tag_dim": dims.TAG_KEY,
+    "resource_dim": dims.RESOURCE_KEY,
+    "account_dim": dims.ACCOUNT_KEY,
+    "date_dim": dims.DATE_KEY,
+}
+
+
 @dataclass
 class Mart:
     fact: DataFrame
@@ -57,24 +65,30 @@ def build(
     instances: DataFrame | None = None,
     materialize: bool = True,
     history: DataFrame | None = None,
+    rules: DataFrame | None = None,
+    accounts: DataFrame | None = None,
+    with_name: bool = False,
 ) -> Mart:
     """The five mart tables as DataFrames. With ``materialize`` the wide fact
     is computed once and staged as parquet in the shared folder; the
     returned frames read it. ``history`` is the whole-history CUR for the
     account and date dimensions when ``cur`` was read for the window only
-    (see ``jobs.read_cur_window``); by default ``cur`` itself."""
+    (see ``jobs.read_cur_window``); by default ``cur`` itself. ``rules``
+    replaces the built-in service rules, ``accounts`` adds account names,
+    ``with_name`` adds the Name tag to the resource dimension."""
     spark = cur.sparkSession
     configure(spark)
-    wide = fact.fact_wide_direct(cur, as_of=as_of, months_back=months_back)
+    wide = fact.fact_wide_direct(cur, as_of=as_of, months_back=months_back, rules=rules)
     if materialize:
         staged = scratch_path(spark, "wide_fact")
         writers.write_partitioned(wide, staged)
         wide = readers.read_parquet(spark, staged)
+    account_dim = dims.account_dim(history if history is not None else cur)
     return Mart(
         fact=fact.narrow(wide),
         tag_dim=dims.tag_dim(wide),
-        resource_dim=dims.resource_dim(wide, instances),
-        account_dim=dims.account_dim(history if history is not None else cur),
+        resource_dim=dims.resource_dim(wide, instances, with_name=with_name),
+        account_dim=account_dim if accounts is None else enrich.account_names(account_dim, accounts),
         date_dim=dims.date_dim(history if history is not None else cur),
         fact_split_by_month=materialize,
         staging=staged if materialize else None,
@@ -83,14 +97,17 @@ def build(
 
 def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     """Write the mart under ``root``: the fact partitioned with dynamic
-    overwrite (partitions are swapped in at job commit), the dimensions
-    replaced via a staging folder (account dim only if non-empty).
+    overwrite (partitions are swapped in at job commit). The fact keeps the
+    months outside the window, so the tag and resource dimensions keep their
+    stored keys: new rows are merged in (latest lookups win). The account and
+    date dimensions cover the whole history and are replaced (account dim only
+    if non-empty).
 
     The five writes are independent jobs; with ``concurrent`` they are
     submitted together from a thread pool, so the small dimension jobs run
-    beside the fact write instead of after it. Any failure is re-raised
-    (and the staging is kept). After success the staging folder is removed:
-    read the written outputs, not ``mart``'s frames, from then on.
+    beside the fact write instead of after it. Any failure is re-raised.
+    The staging folder is removed in either case: read the written outputs,
+    not ``mart``'s frames, from then on.
     """
     root = root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in ("cost_insights_fact", "tag_dim", "resource_dim", "account_dim", "date_dim")}
@@ -98,18 +115,16 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
         lambda: writers.write_partitioned(
             mart.fact, paths["cost_insights_fact"], rebalance=not mart.fact_split_by_month
         ),
-        lambda: writers.replace_dataset(mart.tag_dim, paths["tag_dim"]),
-        lambda: writers.replace_dataset(mart.resource_dim, paths["resource_dim"]),
+        lambda: writers.merge_keys(mart.tag_dim, paths["tag_dim"], "tag_dim_id", absent=""),
+        lambda: writers.merge_keys(mart.resource_dim, paths["resource_dim"], dims.RESOURCE_KEY),
         lambda: writers.write_if_any(mart.account_dim, lambda d: writers.replace_dataset(d, paths["account_dim"])),
         lambda: writers.replace_dataset(mart.date_dim, paths["date_dim"]),
     ]
-    if not concurrent:
-        for task in tasks:
-            task()
-    else:
-        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+    try:
+        with ThreadPoolExecutor(max_workers=len(tasks) if concurrent else 1) as pool:
             for future in [pool.submit(task) for task in tasks]:
                 future.result()
-    if mart.staging:
-        readers.delete(mart.fact.sparkSession, mart.staging)
+    finally:
+        if mart.staging:
+            readers.delete(mart.fact.sparkSession, mart.staging)
     return paths

@@ -641,3 +641,90 @@ def q_incremental_fact_stream(spark, sf_dir):
     rest.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(cur_path)
     incremental.run_until_caught_up(spark, cur_path, fact_path, ckpt, as_of=FX.AS_OF)
     return money(readers.read_parquet(spark, fact_path), C.FACT_MEASURES)
+
+
+# ------------------------------------------------- drift, re-runs, rewrites
+_DRIFT_CUT = "CAST(month AS INT) >= 8"  # months before August lack the team tag
+
+
+@register(
+    "tag_drift_fact",
+    # an absent tag counts as '' in the fact's key
+    O.with_fact("SELECT * FROM fact").replace(
+        "cur AS (\n",
+        "cur AS (SELECT * REPLACE (CASE WHEN " + _DRIFT_CUT + " THEN resource_tags_user_team END "
+        "AS resource_tags_user_team) FROM (\n",
+        1,
+    ).replace("\n),\nv AS (", "\n)),\nv AS (", 1),
+)
+def q_tag_drift_fact(spark, sf_dir):
+    """A CUR whose early months lack one tag column, read back with the union of columns."""
+    from ..session import scratch_path
+    from ..sinks import writers
+    from . import jobs
+
+    cur = _cur(spark, sf_dir)
+    path = scratch_path(spark, "drift")
+    late = F.expr(_DRIFT_CUT)
+    writers.write_partitioned(cur.where(late), path)
+    writers.write_partitioned(cur.where(~late).drop("resource_tags_user_team"), path)
+    window = jobs.read_cur_window(spark, path, FX.AS_OF)
+    return money(fact.fact_direct(window, as_of=FX.AS_OF), C.FACT_MEASURES)
+
+
+@register(
+    "period_filter_padded",
+    O.with_fact(f"SELECT * FROM fact WHERE year = '{PERIOD[0]}' AND month = '{PERIOD[1]}'", months_back=None),
+)
+def q_period_filter_padded(spark, sf_dir):
+    """A CUR with zero-padded month folders, asked for the unpadded month."""
+    from ..session import scratch_path
+    from ..sinks import writers
+    from . import jobs
+
+    path = scratch_path(spark, "padded")
+    writers.write_partitioned(_cur(spark, sf_dir).withColumn("month", F.lpad("month", 2, "0")), path)
+    rows = jobs.fact_for_period(jobs.read_cur_month(spark, path, *PERIOD), *PERIOD)
+    return money(rows.withColumn("month", F.col("month").cast("int").cast("string")), C.FACT_MEASURES)
+
+
+@register(
+    "stored_mart_orphans",
+    "SELECT * FROM (VALUES ('account_dim', 0), ('date_dim', 0), ('resource_dim', 0), ('tag_dim', 0)) "
+    "AS t(dim, orphan_rows)",
+)
+def q_stored_mart_orphans(spark, sf_dir):
+    """Two runs to one root: no stored fact row lacks its row in a stored dimension."""
+    from ..operators import checks
+    from ..session import scratch_path
+    from ..sources import readers
+    from . import mart
+
+    cur, root = _cur(spark, sf_dir), scratch_path(spark, "mart")
+    mart.write(mart.build(_early_cur(cur), as_of=EARLY_AS_OF, history=cur), root)
+    mart.write(mart.build(cur, as_of=FX.AS_OF), root)
+    stored = {n: readers.read_parquet(spark, f"{root}/{n}", merge_schema=True) for n in mart.DIMENSION_KEYS}
+    return checks.orphan_counts(
+        readers.read_parquet(spark, f"{root}/cost_insights_fact"),
+        {n: (stored[n], k) for n, k in mart.DIMENSION_KEYS.items()},
+    )
+
+
+@register(
+    "incremental_rewritten_file",
+    O.with_fact("SELECT * FROM fact"),
+)
+def q_incremental_rewritten_file(spark, sf_dir):
+    """A month first delivered without its later days, then rewritten in place: the second run refreshes it."""
+    from ..session import scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+    from ..streaming import incremental
+
+    cur = _cur(spark, sf_dir)
+    cur_path, fact_path, state = (scratch_path(spark, n) for n in ("cur", "fact", "state"))
+    writers.write_partitioned(cur.where("day(line_item_usage_start_date) < 15"), cur_path)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, state, as_of=FX.AS_OF)
+    writers.write_partitioned(cur, cur_path)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, state, as_of=FX.AS_OF)
+    return money(readers.read_parquet(spark, fact_path), C.FACT_MEASURES)

@@ -7,17 +7,18 @@ All writes go through Spark's DataFrameWriter; nothing is collected.
   window) keep their files. A REBALANCE hint on the partition columns lets
   AQE split a hot month into several tasks and merge small ones, instead of
   one task per month (a month can hold a large share of the rows).
+* ``merge_keys``: new rows replace stored ones of the same key, all other
+  stored rows stay (dimensions keep the keys of months outside the window).
 * ``append_new_keys``: append only rows whose key is not already stored
   (left-anti join on the key), so re-runs do not duplicate dimension keys.
 * ``swap_table``: load a new table, then drop the old one and rename; the
   schema may change between loads.
 * ``truncate_load``: replace the rows of an existing table, keep its
-  definition (``INSERT OVERWRITE``).
+  definition (new folder, then the table's location is switched).
 * ``write_if_any``: skip the write when the result is empty, so an empty
   run does not wipe the target.
-* ``replace_dataset``: write to a staging folder, then swap folders, so a
-  failed job never leaves the target missing (a plain overwrite deletes the
-  target before its job runs).
+* ``replace_dataset``: write to a staging folder, then swap folders (a plain
+  overwrite deletes the target before its job runs).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 from ..sources import readers
 
 PARTITIONS = ("year", "month")
@@ -39,21 +40,28 @@ def write_overwrite(df: DataFrame, path: str) -> None:
 
 
 def replace_dataset(df: DataFrame, path: str) -> None:
-    """Replace the dataset at ``path`` without a window where a failed job
-    leaves nothing: ``df`` is written to a sibling staging folder first; only
-    after that job succeeded is the old folder removed and the new one
-    renamed into place (two file-system operations). A plain overwrite
-    deletes the target before its job runs."""
+    """Replace the dataset at ``path``: ``df`` is written to a sibling staging
+    folder first; only after that job succeeded is the old folder renamed away,
+    the new one renamed into place and the old one removed. If the second
+    rename fails the old folder gets its name back, so the old rows are never
+    lost; between the two renames readers see no folder (point a catalog table
+    at versioned folders, as ``truncate_load`` does, where that matters)."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(staging)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise RuntimeError(f"could not move {path} away")
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        if had:
+            fs.rename(old, target)
         raise RuntimeError(f"could not move {staging} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -81,10 +89,38 @@ def write_partitioned(
     )
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row of each key: the largest by its other columns, in their order."""
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.distinct()
+    best = df.groupBy(key).agg(F.max(F.struct(*others)).alias("__best"))
+    return best.select(*[F.col(key) if c == key else F.col(f"__best.{c}").alias(c) for c in df.columns])
+
+
+def merge_keys(df: DataFrame, path: str, key: str, absent: str | None = None) -> None:
+    """Replace the dataset at ``path`` by its rows plus those of ``df``, one
+    row per key; a key in both has the row of ``df``. Columns are the union of
+    both; text columns that a side lacks become ``absent`` there."""
+    spark = df.sparkSession
+    merged = one_per_key(df, key)
+    if readers.exists(spark, path):
+        stored = readers.read_parquet(spark, path, merge_schema=True)
+        kept = stored.join(merged.select(key), key, "left_anti")
+        merged = merged.unionByName(kept, allowMissingColumns=True)
+        if absent is not None:
+            merged = merged.select(
+                *[F.coalesce(c, F.lit(absent)).alias(c) if t == "string" and c != key else c for c, t in merged.dtypes]
+            )
+    replace_dataset(merged, path)
+
+
 def append_new_keys(df: DataFrame, path: str, key: str) -> None:
     """Append the rows of ``df`` whose ``key`` is not in the dataset at
-    ``path`` (or all rows when there is none yet)."""
+    ``path`` (or all rows when there is none yet). A key that ``df`` holds
+    more than once is appended once, with its largest row."""
     spark = df.sparkSession
+    df = one_per_key(df, key)
     if not readers.exists(spark, path):
         df.write.mode("append").parquet(path)
         return
@@ -92,46 +128,72 @@ def append_new_keys(df: DataFrame, path: str, key: str) -> None:
     new = df.join(stored, F.col(key) == F.col("__stored_key"), "left_anti")
     # Materialize the new rows before appending: the anti join reads the
     # target, which the append then changes.
-    checkpoint_root(spark)
-    staged = new.checkpoint(eager=True)
-    staged.write.mode("append").parquet(path)
+    staged_path = scratch_path(spark, "new_keys")
+    new.write.parquet(staged_path)
+    spark.read.schema(new.schema).parquet(staged_path).write.mode("append").parquet(path)
+    readers.delete(spark, staged_path)
 
 
 def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
-    """Run ``write(df)`` unless ``df`` is empty. ``df`` is checkpointed first
-    (reliable, to the shared checkpoint folder) so the emptiness test and the
-    write do not compute it twice."""
-    checkpoint_root(df.sparkSession)
-    staged = df.checkpoint(eager=True)
-    if staged.isEmpty():
-        return False
-    write(staged)
-    return True
+    """Run ``write(df)`` unless ``df`` is empty. ``df`` is staged first (as
+    parquet in the shared checkpoint folder, removed afterwards) so the
+    emptiness test and the write do not compute it twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "if_any")
+    df.write.parquet(path)
+    try:
+        staged = spark.read.schema(df.schema).parquet(path)
+        if staged.isEmpty():
+            return False
+        write(staged)
+        return True
+    finally:
+        readers.delete(spark, path)
 
 
 def truncate_load(df: DataFrame, table: str) -> None:
     """Replace all rows of existing ``table`` with ``df`` (columns by name).
 
-    The rows are computed and checkpointed first: INSERT OVERWRITE clears the
-    table when its job starts, so the expensive part must not fail after
-    that point."""
+    The rows are written once, to a new folder beside the table's, and the
+    table is then pointed to it: one catalog operation, before which the old
+    rows are read and after which the new ones are. ``df`` may read the table
+    itself. The old folder is removed last."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    checkpoint_root(spark)
-    staged = df.select(*columns).checkpoint(eager=True)
-    staged.write.insertInto(table, overwrite=True)
+    old = _location(spark, table)
+    new = f"{old.rsplit('__v-', 1)[0].rstrip('/')}__v-{uuid.uuid4().hex[:12]}"
+    df.select(*columns).write.parquet(new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(table)
+    readers.delete(spark, old)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
 
 
 def swap_table(df: DataFrame, table: str, staging_suffix: str = "__new") -> None:
-    """Load ``df`` into ``<table><suffix>``, then drop ``table`` and rename
-    the new table to it. The old table stays intact until the new one is
-    fully written; the drop and the rename are two catalog operations."""
+    """Load ``df`` into a table beside ``table``, rename the old table away, the new
+    one in, and drop the old one last. The old rows exist under one of the two
+    names until the new table has its name; if the second rename fails, the
+    old table gets its name back."""
     spark = df.sparkSession
-    staging = f"{table}{staging_suffix}"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    # a new name each time: a failed load leaves its folder behind
+    run = uuid.uuid4().hex[:8]
+    staging, old = f"{table}{staging_suffix}_{run}", f"{table}__old_{run}"
+    df.write.format("parquet").saveAsTable(staging)
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def write_jdbc(
