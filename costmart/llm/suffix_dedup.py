@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import utf8, written
 
 PIECE = 1 << 19  # bytes of text expanded at a time
-GROUP_RUNS = 256  # a group of more runs is dealt out by position
+GROUP_RUNS = 64  # a group of more runs is dealt out by position
 RESOLVE_BYTES = 2 << 20
 
 ODD = 0x9E3779B97F4A7C15
