@@ -5,8 +5,8 @@ high recall then propose spans of any form that comes near: obfuscated email
 addresses, digit runs with all sorts of separators, colon-separated hex.
 Boosted trees score each candidate by its format and its context, and those
 above a calibrated threshold that meet no base span are added. The trees learn
-from the corpus itself: a candidate that meets a base span of its kind holds,
-another does not; half of the documents (by hash) train, the other half
+from the corpus itself: a candidate that its kind's strict pattern accepts
+holds, another does not; half of the documents (by hash) train, the other half
 calibrates, over all rows, as counts of feature combinations.
 
 Everything is DataFrame functions; a document's matches and their places come
@@ -44,7 +44,7 @@ LOOSE_MAIL = (
     r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+"
     r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+){1,8}"
 )
-LOOSE_DIGITS = r"[+(]?+[0-9](?:[\x20().\-/]{0,2}+[0-9])++"
+LOOSE_DIGITS = r"[+(]?+(?<![0-9])[0-9](?:[\x20().\-/]{0,2}+[0-9]){6,}+"
 LOOSE_HEX = r"(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}+"
 
 # Format and context. What defines the strict patterns (the plus sign, the
@@ -71,7 +71,8 @@ def matches(docs: DataFrame, patterns: dict[str, tuple[Column, str]], text: str)
     """``docs`` with, for each pattern, an array of its matches (start, stop, hit, before, after).
 
     The text between matches and the matches alternate, so running sums of
-    their lengths are the places.
+    their lengths are the places. They are summed by blocks of about the root
+    of their number, as appending to an array copies it.
     """
     none = F.array().cast("array<string>")
     for name, (possible, pattern) in patterns.items():
@@ -105,11 +106,35 @@ def matches(docs: DataFrame, patterns: dict[str, tuple[Column, str]], text: str)
             moved = F.struct(stop.alias("at"), F.array_append(state["found"], found).alias("found"))
             return F.when(x["hit"].isNull(), state).otherwise(moved)
 
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(out_type).alias("found"))
-        docs = docs.withColumn(name, F.aggregate(f"{name}_zip", begin, place)["found"]).drop(f"{name}_zip")
+        docs = _placed(docs, name, place, out_type)
     return docs
 
 
+def _placed(docs: DataFrame, name: str, place, out_type: str) -> DataFrame:
+    """``name``: the matches of ``<name>_zip`` with their places, block by block."""
+    zipped, each, sums, starts = (f"{name}_{x}" for x in ("zip", "block", "sums", "starts"))
+    size = lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
+    block = lambda k: F.slice(zipped, k * F.col(each) + 1, F.col(each))
+    blocks = F.ceil(F.size(zipped) / F.col(each)).cast("int")
+    numbers = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+    docs = docs.withColumn(each, F.greatest(F.ceil(F.sqrt(F.size(zipped))), F.lit(1)).cast("int"))
+    docs = docs.withColumn(
+        sums, F.transform(numbers, lambda k: F.aggregate(block(k), F.lit(0), lambda n, x: n + size(x)))
+    )
+    docs = docs.withColumn(
+        starts,
+        F.aggregate(
+            sums, F.array(F.lit(0)), lambda a, n: F.array_append(a, F.element_at(a, -1) + n)
+        ),
+    )
+
+    def within(k: Column) -> Column:
+        begin = F.struct(F.get(F.col(starts), k).alias("at"), F.array().cast(out_type).alias("found"))
+        return F.aggregate(block(k), begin, place)["found"]
+
+    return docs.withColumn(name, F.flatten(F.transform(numbers, within))).drop(zipped, each, sums, starts)
+
+
 def _digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
@@ -174,11 +199,19 @@ def _features(generator: int, m: Column) -> dict[str, Column]:
     }
 
 
+def _holds(name: str, hit: Column, n: Column) -> Column:
+    """Whether a generator's match is, or holds, what the strict pattern of its kind accepts."""
+    if name == "mail":
+        return hit.rlike(EMAIL)
+    if name == "digits":
+        card = hit.rlike(f"^{CARD}$") & _valid("card", hit)
+        phone = hit.rlike(f"^{PHONE}$") & _valid("phone", hit)
+        return F.when((n >= 13) & ~hit.startswith("+"), card).otherwise(phone)
+    return F.lit(False)
+
+
 def _candidates(name: str, generator: int) -> Column:
     """A generator's matches as (kind, start, stop, features)."""
-    found = F.col(name)
-    if name == "digits":
-        found = F.filter(found, lambda m: F.length(_digits(m["hit"])) >= 7)
 
     def shaped(m: Column) -> Column:
         n = F.length(_digits(m["hit"]))
@@ -190,9 +223,15 @@ def _candidates(name: str, generator: int) -> Column:
             ),
         }[name]
         features = F.struct(*[c.cast("int").alias(k) for k, c in _features(generator, m).items()])
-        return F.struct(kind.alias("kind"), m["start"].alias("start"), m["stop"].alias("stop"), features.alias("x"))
+        return F.struct(
+            kind.alias("kind"),
+            m["start"].alias("start"),
+            m["stop"].alias("stop"),
+            features.alias("x"),
+            _holds(name, m["hit"], n).alias("holds"),
+        )
 
-    return F.transform(found, shaped)
+    return F.transform(name, shaped)
 
 
 def _meets(a: Column, b: Column) -> Column:
@@ -216,15 +255,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", preci
     )
     found = written(found, "pii-candidates")
 
-    held = F.transform(
-        "candidates",
-        lambda c: F.struct(
-            c["kind"].alias("kind"),
-            c["x"].alias("x"),
-            F.exists("base", lambda b: (b["kind"] == c["kind"]) & _meets(b, c)).alias("holds"),
-        ),
-    )
-    counted = found.select("half", F.explode(held).alias("c")).groupBy("c.kind", "c.x", "c.holds", "half")
+    counted = found.select("half", F.explode("candidates").alias("c")).groupBy("c.kind", "c.x", "c.holds", "half")
     # one row a combination of feature values: bounded by their ranges
     table = counted.agg(F.count("*").alias("n")).collect()
     models = [_model(table, kind, precision) for kind in range(len(KINDS))]
@@ -238,12 +269,13 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", preci
             p = F.when(c["kind"] == kind, F.when(of_kind[kind] >= least[kind], of_kind[kind])).otherwise(p)
         return p
 
-    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: _meets(b, c)))
     scored = F.transform(
-        free,
+        F.filter("candidates", lambda c: ~c["holds"]),
         lambda c: F.struct(chance(c).alias("p"), c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")),
     )
-    chosen = found.select("id", "base", F.filter(scored, lambda c: c["p"].isNotNull() & (c["p"] > 0)).alias("chosen"))
+    likely = found.select("id", "base", F.filter(scored, lambda c: c["p"].isNotNull() & (c["p"] > 0)).alias("likely"))
+    free = F.filter("likely", lambda c: ~F.exists("base", lambda b: _meets(b, c)))
+    chosen = likely.select("id", "base", free.alias("chosen"))
     better = lambda d, c: (d["p"] > c["p"]) | ((d["p"] == c["p"]) & (d["start"] < c["start"]))
     apart = F.filter("chosen", lambda c: ~F.exists("chosen", lambda d: _meets(d, c) & better(d, c)))
     plain = F.transform(apart, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")))
