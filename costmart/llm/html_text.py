@@ -236,7 +236,7 @@ def _chosen(nodes: list[Node], blocks: list[tuple[Node, str]]) -> set[int]:
             best = up
             break
         up = up.parent
-    least = max(10.0, SIBLING_SHARE * best.points)
+    least = SIBLING_SHARE * best.points
     keep = {best.order}
     for node in nodes:
         if node.parent is best.parent and node is not best and not node.skip:

@@ -1,0 +1,95 @@
+import pytest
+from costmart.llm import html_text, queries
+
+SF = "/root/testdata/sf0.001"
+LONG = "This is a sentence of some length, with commas, that makes a real paragraph of an article. " * 2
+
+
+def page(body, head=""):
+    return f"<!DOCTYPE html><html><head><title>t</title>{head}</head><body>{body}</body></html>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("   ", ""),
+        ("<p>", ""),
+        ("just words &amp; more", "just words & more"),
+        (page(f"<article><h1>Head</h1><p>{LONG}</p></article>"), f"Head\n{LONG.strip()}"),
+        (page("<p>a&nbsp;b &lt;x&gt; &#233;&#xe9; &eacute; &nope; 1 < 2</p>"), "a b <x> éé é &nope; 1 < 2"),
+        (page(f"<article><p>one<br>two\n\n three</p><p><b>x</b>y {LONG}</article>"), f"one two three\nxy {LONG.strip()}"),
+        (page(f"<article><p><b>Open<br><p>{LONG}</p></article>"), f"Open\n{LONG.strip()}"),
+        (page(f"<article><p>{LONG}<script>var a='</p>';</script></p>", "<style>p{}</style>"), LONG.strip()),
+        (page(f"<!-- <p>no</p> --><article><p>{LONG}</p><!-- x"), LONG.strip()),
+        (f"<article><p>{LONG}</p><p>cut off in a ta", f"{LONG.strip()}\ncut off in a ta"),
+        (f"<article><p>{LONG}</p><a href='x", LONG.strip()),
+        (page(f"<div a=\"x > y\"><p>{LONG}</p></div>"), LONG.strip()),
+        (page(f"<ul><li>{LONG}<li>{LONG}</ul>"), f"{LONG.strip()}\n{LONG.strip()}"),
+        (page("<article>short</article>"), "short"),
+    ],
+)
+def test_text(html, text):
+    assert html_text.extract(html) == text
+
+
+FURNITURE = [
+    "<nav><ul><li><a href='/'>Home</a></li></ul></nav>",
+    f"<header><p>{LONG}</p></header>",
+    f"<footer>{LONG}</footer>",
+    f"<aside><p>{LONG}</p></aside>",
+    f"<div class='cookie-notice'><p>{LONG}</p></div>",
+    f"<div class='ad'>{LONG}</div>",
+    f"<div id='sidebar'><p>{LONG}</p></div>",
+    f"<section class='comments'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section>",
+    f"<form><p>{LONG}</p><input><textarea>{LONG}</textarea></form>",
+    f"<div role='navigation'><p>{LONG}</p></div>",
+    f"<div hidden><p>{LONG}</p></div>",
+    f"<noscript>{LONG}</noscript>",
+]
+
+
+@pytest.mark.parametrize("furniture", FURNITURE)
+@pytest.mark.parametrize("box", ["article", "main", "div class='post-content'", "div"])
+def test_furniture_goes(furniture, box):
+    tag = box.split()[0]
+    body = f"<{box}><h1>Title</h1><p>{LONG}</p><p>Short end.</p><p>{LONG}</p></{tag}>"
+    want = f"Title\n{LONG.strip()}\nShort end.\n{LONG.strip()}"
+    assert html_text.extract(page(furniture + body)) == want
+    assert html_text.extract(page(body + furniture)) == want
+    assert html_text.extract(page(f"<div>{furniture}<div>{body}</div>{furniture}</div>")) == want
+
+
+def test_siblings_are_kept_and_link_lists_are_not():
+    body = f"<p>{LONG}</p><p>{LONG}</p><ul><li><a href=a>one link</a></li><li><a href=b>two links</a></li></ul>"
+    assert html_text.extract(page(f"<article>{body}</article>")) == f"{LONG.strip()}\n{LONG.strip()}"
+    two = f"<div><p>{LONG}</p><p>{LONG}</p></div><div><p>{LONG}</p></div>"
+    assert html_text.extract(page(f"<div>{two}</div>")).count("\n") == 2
+
+
+def test_a_page_of_furniture_only_is_read_anyway():
+    assert html_text.extract(page(f"<form><p>{LONG}</p></form>")) == LONG.strip()
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 3000 + f"<p>{LONG}</p>"
+    assert html_text.extract(deep) == LONG.strip()
+    long = "<article>" + f"<p>{LONG}</p>" * 5000
+    assert html_text.extract(long).count("\n") == 4999
+    assert html_text.extract("<" * 20000 + '<a href="' * 5000).count("<") >= 0
+
+
+def test_query_and_odd_rows(spark):
+    rows = queries.op9_html(spark, SF).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r.n_chars == len(r.text) and r.text and r.url == pages[r.page_id].url
+        assert not any(x in r.text for x in ("<p>", "track(", "©"))
+    odd = spark.createDataFrame(
+        [(1, None, None, "x"), (None, "u", "", "y"), (2, "u", "<p>a</p>", "z"), (2, "u", "<p>a</p>", "z")],
+        "page_id long, url string, html string, text string",
+    )
+    assert sorted(str(r.text) for r in html_text.main_text(odd).collect()) == ["", "", "a", "a"]
+    assert html_text.main_text(odd.limit(0)).count() == 0
