@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -84,19 +83,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster it must be set (a shared file system path). Only for a local
-    master, when it is unset, a fresh temporary folder is used.
+    Where it is unset, a folder beside the tables of the warehouse, which all
+    executors share too, becomes the session's checkpoint folder.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.getCheckpointDir():
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        # Local runs only (tests): the cluster setting is absent, use our own.
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costmart-ckpt-"))
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
