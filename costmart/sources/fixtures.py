@@ -19,6 +19,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..rules import DATA_TRANSFER_SERVICE_NAMES
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -29,6 +31,13 @@ AS_OF = "2001-11-15"
 HOURS_PER_DAY = 4
 
 _T = "(l_orderkey * 7 + l_partkey * 3 + l_linenumber) % 12"
+# data-transfer rows (every fourth line) run through all mapped product codes and some unmapped ones
+_CODES = [code for code, _ in DATA_TRANSFER_SERVICE_NAMES]
+_RULE_CODES = (
+    f"case (l_orderkey + l_partkey) % {len(_CODES) + 4} "
+    + " ".join(f"when {i} then '{code}'" for i, code in enumerate(_CODES))
+    + " else 'UnmappedCode' end"
+)
 
 # (column, Spark SQL expression, DuckDB expression or None when identical)
 CUR_EXPRESSIONS: list[tuple[str, str, str | None]] = [
@@ -53,9 +62,10 @@ CUR_EXPRESSIONS: list[tuple[str, str, str | None]] = [
      "then concat('ri-', cast(l_suppkey % 4 as varchar(20))) else '' end", None),
     ("line_item_usage_type", "case when l_returnflag = 'R' then 'EU-SpotUsage' else 'EU-BoxUsage' end", None),
     ("line_item_product_code",
+     f"case when l_linenumber % 4 = 0 then {_RULE_CODES} else "
      "case p_size % 9 when 0 then 'AmazonS3' when 1 then 'AmazonRDS' when 2 then 'AWSGlue' "
      "when 3 then 'AmazonGlacier' when 4 then 'OCBElasticComputeCloud' when 5 then 'UnmappedCode' "
-     "when 6 then 'AmazonRedshift' else 'AmazonEC2' end", None),
+     "when 6 then 'AmazonRedshift' else 'AmazonEC2' end end", None),
     ("product_product_name", "case when l_partkey % 17 = 0 then null else p_name end", None),
     ("product_servicename",
      "case l_linenumber % 4 when 0 then 'AWS Data Transfer' when 1 then '' "
