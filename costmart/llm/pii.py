@@ -38,7 +38,7 @@ EMAIL = _RUN.format("A-Za-z0-9._%+-") + r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = _RUN.format("0-9") + r"\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+OCTET = r"(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9]))"
 
 LOOSE_MAIL = (
     r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+"

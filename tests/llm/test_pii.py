@@ -58,6 +58,17 @@ def test_base_spans(spark):
         assert sorted(map(tuple, r.base)) == brute(texts[r.id])
 
 
+def test_zero_octets(spark):
+    rng = random.Random(2)
+    texts = ["10.0.0.1", "127.0.0.1 192.168.0.5", "0.0.0.0", "00.0.0.00", "010.001.00255.0", "0.0.0.256", "000.1.2.0300"]
+    texts += ["0" * 4000 + ".0.0.1", "1.0.0." + "0" * 4000 + "256"]
+    texts += ["".join(rng.choices("0012.. -", k=rng.randint(5, 40))) for _ in range(1000)]
+    found = pii.spans(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert len(found) == len(texts) and sum(len(r.base) for r in found) > 20
+    for r in found:
+        assert sorted(map(tuple, r.base)) == brute(texts[r.id])
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = queries.op10_pii(spark, SF).collect()
