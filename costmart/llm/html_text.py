@@ -3,9 +3,11 @@
 A page is read into a tree of elements whose texts form blocks. Each paragraph
 block gives points for its length and its commas to its container and, in
 falling shares, to the container's ancestors; a container's total is
-discounted by its link density. The best container and those siblings that
-score near it are the article; an enclosing <article> or <main> takes its
-place. Elements that are never part of the text (scripts, forms, menus, page
+discounted by its link density. An <article> or <main> around the best
+container is the article, with the siblings that score near it and the titles
+before it. Without one, the best container is never left out, and what stands
+beside it or its ancestors stays whatever its length, but for boxes of links
+with a sign of a menu and copyright lines. Elements that are never part of the text (scripts, forms, menus, page
 headers and footers, sidebars, notices, adverts, reader comments) are left
 out by tag or by the words of their class, id and role.
 
@@ -73,17 +75,29 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
-SHORT = 25  # characters; shorter paragraphs give no points
+LEGAL = re.compile(r"(?:©|\(c\)\s|copyright\b)", re.I)  # at the start of a line
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BOXES = frozenset("ul ol div table section dl".split())
+
+SHORT = 25  # characters; shorter paragraphs give no points, links of shorter labels are a sign of a menu
+LINKED = 0.66  # link density above which a box is one of links
 SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "skip", "weight", "link", "chars", "link_chars", "points", "order")
+    __slots__ = (
+        "tag", "parent", "skip", "weight", "link", "chars", "link_chars", "points", "order",
+        "legal_chars", "links", "labelled", "first", "own",
+    )
 
     def __init__(self, tag, parent, skip, weight, link, order):
         self.tag, self.parent, self.skip, self.weight, self.link, self.order = tag, parent, skip, weight, link, order
-        self.chars = self.link_chars = 0
+        self.chars = self.link_chars = self.legal_chars = 0
         self.points = 0.0
+        self.links = int(tag == "a")
+        self.labelled = tag in ("th", "caption")  # a table of data
+        self.first = None  # place of its first block
+        self.own = []  # link characters of its own blocks
 
     def density(self) -> float:
         return self.link_chars / self.chars if self.chars else 0.0
@@ -134,7 +148,11 @@ def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
                     at -= 1
                 node = stack[at]
                 node.chars += len(text)
-                node.link_chars += min(len(text), sum(len(p.strip()) for p, linked in parts if linked))
+                linked_chars = min(len(text), sum(len(p.strip()) for p, linked in parts if linked))
+                node.link_chars += linked_chars
+                node.legal_chars += len(text) if LEGAL.match(text) else 0
+                node.first = len(blocks) if node.first is None else node.first
+                node.own.append(linked_chars)
                 blocks.append((node, text))
             parts.clear()
 
@@ -206,7 +224,7 @@ def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
 
 def _score(nodes: list[Node], blocks: list[tuple[Node, str]]) -> None:
     for node, text in blocks:
-        if len(text) < SHORT or node.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        if len(text) < SHORT or node.tag in HEADINGS:
             continue
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - node.density())
         up = node.parent if node.tag in ("p", "pre", "td", "li", "blockquote") and node.parent else node
@@ -218,31 +236,83 @@ def _score(nodes: list[Node], blocks: list[tuple[Node, str]]) -> None:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
+            node.parent.legal_chars += node.legal_chars
+            node.parent.links += node.links
+            node.parent.labelled |= node.labelled
+            if node.first is not None:
+                node.parent.first = node.first if node.parent.first is None else min(node.first, node.parent.first)
     for node in nodes:
         if node.points:
             node.points = (node.points + node.weight) * (1 - node.density())
 
 
-def _chosen(nodes: list[Node], blocks: list[tuple[Node, str]]) -> set[int]:
-    """Orders of the best container and of the siblings kept with it."""
+def _menu(node: Node, blocks: list[tuple[Node, str]]) -> bool:
+    """Whether a box is one of links by its density and a further sign: short labels that nothing introduces.
+
+    A heading under the title, or a line ending in a colon, introduces the
+    links after it, unless its words are those of furniture. Tables with
+    header cells or a caption are data.
+    """
+    if not node.chars or node.density() <= LINKED or node.link_chars >= SHORT * node.links or node.labelled:
+        return False
+    for place in (node.first, node.first - 1):
+        up, text = blocks[place] if place >= 0 else (node, "")
+        if up.tag in HEADINGS and up.tag != "h1" or text.endswith(":"):
+            return FURNITURE_WORDS.search(text.lower()) is not None
+    return True
+
+
+def _beside(node: Node, blocks: list[tuple[Node, str]]) -> bool:
+    """Whether an element beside the best container or its ancestors is text of the page."""
+    if node.skip or not node.chars or 2 * node.legal_chars > node.chars:
+        return False
+    return not ((node.tag in BOXES or node.links > 1) and _menu(node, blocks))
+
+
+def _inside(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[bool]:
+    """Whether each block is part of the article."""
     best = max(nodes, key=lambda n: (n.points, -n.order))
+    path, keep = set(), set()  # ancestors of the best container; kept elements
     if best.points <= 0:
         named = [n for n in nodes if n.tag in ("article", "main") and n.chars and not n.skip]
         best = max(named, key=lambda n: (n.chars, -n.order)) if named else nodes[0]
-        return {best.order}
-    up = best
-    while up is not None:
-        if up.tag in ("article", "main"):
+    else:
+        up = best
+        while up is not None and up.tag not in ("article", "main"):
+            up = up.parent
+        if up is not None:
             best = up
-            break
-        up = up.parent
-    least = SIBLING_SHARE * best.points
-    keep = {best.order}
+            for node in nodes:
+                if node.parent is best.parent and node is not best and not node.skip:
+                    near = node.points >= SIBLING_SHARE * best.points
+                    long = node.tag == "p" and node.chars >= 80 and node.density() < 0.25
+                    title = node.tag in ("h1", "h2") and node.order < best.order
+                    if near or long or title:
+                        keep.add(node.order)
+        else:
+            up = best.parent
+            while up is not None:
+                path.add(up.order)
+                up = up.parent
+    keep.add(best.order)
+    inside = [False] * len(nodes)
     for node in nodes:
-        if node.parent is best.parent and node is not best and not node.skip:
-            if node.points >= least or (node.tag == "p" and node.chars >= 80 and node.density() < 0.25):
-                keep.add(node.order)
-    return keep
+        if node.parent is None or node.order in keep or node.order in path:
+            inside[node.order] = node.order in keep
+        elif node.parent.order in path:
+            inside[node.order] = _beside(node, blocks)
+        elif inside[node.parent.order]:
+            inside[node.order] = not (node.tag in BOXES and _menu(node, blocks))
+    found = []
+    seen = dict.fromkeys(path, 0)
+    for node, text in blocks:
+        if node.order in path:
+            linked = node.own[seen[node.order]]
+            seen[node.order] += 1
+            found.append(linked <= LINKED * len(text) and not LEGAL.match(text))
+        else:
+            found.append(inside[node.order])
+    return found
 
 
 def extract(page: str | None) -> str:
@@ -254,14 +324,7 @@ def extract(page: str | None) -> str:
         if not blocks:
             continue
         _score(nodes, blocks)
-        keep = _chosen(nodes, blocks)
-        inside = [False] * len(nodes)
-        for node in nodes:
-            # lists and boxes of links inside the article are menus
-            menu = node.tag in ("ul", "ol", "div", "table", "section", "dl") and node.chars and node.density() > 0.66
-            up = node.parent is not None and inside[node.parent.order]
-            inside[node.order] = node.order in keep or (up and not menu)
-        found = "\n".join(text for node, text in blocks if inside[node.order])
+        found = "\n".join(text for (_, text), kept in zip(blocks, _inside(nodes, blocks), strict=True) if kept)
         if found:
             return found
     return ""

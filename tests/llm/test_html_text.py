@@ -68,6 +68,36 @@ def test_siblings_are_kept_and_link_lists_are_not():
     assert html_text.extract(page(f"<div>{two}</div>")).count("\n") == 2
 
 
+def test_uneven_parts_beside_the_best_container_are_kept():
+    p, end = f"<p>{LONG}</p>", LONG.strip()
+    menu = "<div><a href=/>Home</a> <a href=/b>About us</a> <a href=/c>Contact</a></div>"
+    legal = "<div>© 2020 Example, all rights reserved</div>"
+    for n in (3, 20, 300):
+        long = f"<div>{p * n}</div>"
+        parts = f"<h2>Part</h2><p>Short.</p>{long}<ul><li>one</li></ul><div><p>Small section, of one line.</p></div>"
+        want = ["Title", "Part", "Short.", *[end] * n, "one", "Small section, of one line."]
+        assert html_text.extract(page(f"{menu}<h1>Title</h1>{parts}{legal}")).split("\n") == want
+        assert html_text.extract(page(f"{menu}<h1>Title</h1><div>{parts}</div>{legal}")).split("\n") == want
+        assert html_text.extract(page(f"<div><h1>Title</h1></div><div><div>{parts}</div></div>")).split("\n") == want
+        columns = f"<div><div><h1>Title</h1>{long}</div><div><p>Far.</p></div></div>loose text<hr>"
+        assert html_text.extract(page(columns)).split("\n") == ["Title", *[end] * n, "Far.", "loose text"]
+        assert html_text.extract(page(f"<h1>Title</h1><article>{p * n}</article>")).split("\n") == ["Title", *[end] * n]
+
+
+def test_link_lists_need_a_sign_of_a_menu():
+    refs = "".join(f"<li><a href=r{i}>Author, A. (200{i}). A title of some length. Journal {i}.</a></li>" for i in range(4))
+    short = "<li><a href=a>Smith 2001</a></li><li><a href=b>Jones 2002</a></li>"
+    data = "<tr><th>Name</th></tr><tr><td><a href=a>A long name</a></td></tr><tr><td><a href=b>Another name</a></td></tr>"
+    for box in ("article", "div"):
+        text = lambda x: html_text.extract(page(f"<{box}><p>{LONG}</p>{x}<p>{LONG}</p></{box}>")).count("\n")  # noqa: B023, E731
+        assert text(f"<ol>{refs}</ol>") == 5
+        assert text(f"<section><h2>References</h2><ol>{short}</ol></section>") == 4
+        assert text(f"<p>Sources:</p><ul>{short}</ul>") == 4
+        assert text(f"<table>{data}</table>") == 4
+        assert text(f"<ul>{short}</ul>") == 1
+        assert text(f"<h3>Related pages</h3><ul>{short}</ul>") == 2
+
+
 def test_a_page_of_furniture_only_is_read_anyway():
     assert html_text.extract(page(f"<form><p>{LONG}</p></form>")) == LONG.strip()
 
