@@ -55,13 +55,13 @@ FEATURES = ["generator", "digits", "paren", "separators", "groups", "words", "le
 def _triggers(text: Column) -> dict[str, tuple[Column, str]]:
     """(condition without which the pattern cannot match, pattern) by name."""
     number = text.rlike("[0-9]")
-    mail = text.contains("@") | text.contains("(at)") | text.contains("[at]") | text.contains("{at}")
+    at = text.contains("@") | text.contains("(at)") | text.contains("[at]") | text.contains("{at}") | text.contains(" at ")
     return {
         "email": (text.contains("@"), EMAIL),
         "ip": (text.rlike(r"[0-9]\.[0-9]"), IP),
         "card": (number, CARD),
         "phone": (text.contains("+"), PHONE),
-        "mail": (mail | text.contains(" dot "), LOOSE_MAIL),
+        "mail": (at & (text.contains(".") | text.contains("dot")), LOOSE_MAIL),
         "digits": (number, LOOSE_DIGITS),
         "hex": (text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]"), LOOSE_HEX),
     }

@@ -3,6 +3,7 @@ import random
 import re
 
 from costmart.llm import boosting, pii, queries
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 PLAIN = [
@@ -90,6 +91,21 @@ def test_near_forms_are_added_where_the_corpus_supports_them(spark):
     assert not found[9001] and not found[5] and not any(found[5000 + i] for i in range(500))
 
 
+def test_gates_are_necessary_conditions(spark):
+    rng = random.Random(3)
+    parts = ["john", "x-1", " ", "@", "(at)", "[at]", "{at}", " at ", ".", "(dot)", "[dot]", "{dot}", " dot ", "ab", "::"]
+    parts += ["1", "23", "4567890", "+", "(", ":", "-", "é", "af:09", "1.2.", "a:b:", ":c:d"]
+    texts = ["john.doe at example.com", "john at x dot org", "a::b:c:d", "::1", "1.2.3.4", "+1 2"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(2, 12))) for _ in range(6000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    gates = pii._triggers(docs.text)
+    rows = docs.select(*[F.struct(g.alias("gate"), docs.text.rlike(p).alias("found")).alias(n) for n, (g, p) in gates.items()])
+    rows = rows.collect()
+    for name in gates:
+        assert sum(r[name].found for r in rows) > 5
+        assert all(r[name].gate for r in rows if r[name].found), name
+
+
 def test_plan_is_native(spark):
     found = pii.spans(spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string"))
     plan = found._jdf.queryExecution().executedPlan().toString()
