@@ -2,11 +2,12 @@ r"""Personal data by boosted candidates.
 
 Strict patterns give the base spans (email, ip, card, phone). Generators of
 high recall then propose spans of any form that comes near: obfuscated email
-addresses, digit runs with all sorts of separators, colon-separated hex.
+addresses, digit runs with all sorts of separators, colon-separated hex
+(IPv6, which has no strict pattern: its addresses are only ever added).
 Boosted trees score each candidate by its format and its context, and those
 above a calibrated threshold that meet no base span are added. The trees learn
 from the corpus itself: a candidate that its kind's strict pattern accepts
-holds, another does not; half of the documents (by hash) train, the other half
+(hex: a valid IPv6 address) holds, another does not; half of the documents (by hash) train, the other half
 calibrates, over all rows, as counts of feature combinations.
 
 Everything is DataFrame functions; a document's matches and their places come
@@ -45,10 +46,17 @@ LOOSE_MAIL = (
     r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+){1,8}"
 )
 LOOSE_DIGITS = r"[+(]?+(?<![0-9])[0-9](?:[\x20().\-/]{0,2}+[0-9]){6,}+"
-LOOSE_HEX = r"(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}+"
+# not a part of a longer word or run of groups; ends in a group or ::
+LOOSE_HEX = (
+    r"(?<![0-9A-Za-z:])(?=:{0,2}[0-9A-Fa-f])(?:[0-9A-Fa-f]{0,4}:){2,8}(?:[0-9A-Fa-f]{1,4}|(?<=::))"
+    r"(?![0-9A-Za-z]|:[0-9A-Za-z:])"
+)
+_GROUPS = "[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})"
+IPV6 = rf"^(?:{_GROUPS}{{7}}|(?:{_GROUPS}*)?::(?:{_GROUPS}*)?)$"  # with at most 7 groups beside ::
 
 # Format and context. What defines the strict patterns (the plus sign, the
-# checksum, the @) is left out: it would only teach the trees those patterns.
+# checksum, the @, a card's kind of separator) is left out: it would only teach
+# the trees those patterns. No base span is an IPv6 address, so its form stays.
 FEATURES = ["generator", "digits", "paren", "separators", "groups", "words", "left_kind", "right_kind"]
 
 
@@ -63,7 +71,7 @@ def _triggers(text: Column) -> dict[str, tuple[Column, str]]:
         "phone": (text.contains("+"), PHONE),
         "mail": (at & (text.contains(".") | text.contains("dot")), LOOSE_MAIL),
         "digits": (number, LOOSE_DIGITS),
-        "hex": (text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]"), LOOSE_HEX),
+        "hex": (text.rlike(":[0-9A-Fa-f]{0,4}:"), LOOSE_HEX),
     }
 
 
@@ -177,19 +185,40 @@ def _side(char: Column) -> Column:
     return F.when((F.length(char) == 0) | char.rlike(r"^\s$"), 0).when(char.rlike(r"^[\p{L}0-9_]$"), 1).otherwise(2)
 
 
-def _features(generator: int, m: Column) -> dict[str, Column]:
+def _is_card(hit: Column, n: Column) -> Column:
+    """Whether a run of ``n`` digits is a candidate for a card, not a phone."""
+    return (n >= 13) & ~hit.startswith("+")
+
+
+def _hex_groups(hit: Column) -> Column:
+    return F.size(F.filter(F.split(hit, ":"), lambda x: x != ""))
+
+
+def _features(name: str, generator: int, m: Column) -> dict[str, Column]:
     hit, before = m["hit"], F.lower(m["before"])
     n = F.length(_digits(hit))
     separators = F.regexp_replace(hit, "[0-9+]", "")
     groups = F.size(F.filter(F.split(hit, "[^0-9]+"), lambda x: x != ""))
+    paren = F.when(hit.contains("("), 1).otherwise(0)
+    separated = (
+        F.when(F.length(separators) == 0, 0).when(separators.rlike(r"^[\x20-]+$"), 1)
+        .when(separators.rlike(r"^\.+$"), 2).otherwise(3)
+    )
+    if name == "mail":
+        paren = F.lit(0)
+    elif name == "digits":
+        card = _is_card(hit, n)
+        paren = F.when(card, 0).otherwise(paren)
+        separated = F.when(card, F.least(separated, F.lit(1))).otherwise(separated)
+    else:
+        separated = F.when(hit.contains("::"), 1).otherwise(0)
     return {
         "generator": F.lit(generator),
         "digits": F.when(n <= 6, 0).when(n <= 9, 1).when(n <= 11, 2).when(n == 12, 3).when(n <= 15, 4)
         .when(n == 16, 5).when(n <= 19, 6).otherwise(7),
-        "paren": F.when(hit.contains("("), 1).otherwise(0),
-        "separators": F.when(F.length(separators) == 0, 0).when(separators.rlike(r"^[\x20-]+$"), 1)
-        .when(separators.rlike(r"^\.+$"), 2).otherwise(3),
-        "groups": F.least(groups, F.lit(6)),
+        "paren": paren,
+        "separators": separated,
+        "groups": F.least(_hex_groups(hit), F.lit(9)) if name == "hex" else F.least(groups, F.lit(6)),
         "words": F.when(before.rlike(r"(tel|phone|call|fax|mobil|appel|llam)[^\s]*\s*$"), 1)
         .when(before.rlike(r"(card|visa|iban|account|konto|cuenta|carte|tarjeta)[^\s]*\s*$"), 2)
         .when(before.rlike(r"(mail|contact|kontakt|correo|courriel)[^\s]*\s*$"), 3)
@@ -200,14 +229,14 @@ def _features(generator: int, m: Column) -> dict[str, Column]:
 
 
 def _holds(name: str, hit: Column, n: Column) -> Column:
-    """Whether a generator's match is, or holds, what the strict pattern of its kind accepts."""
+    """Whether a generator's match is, or holds, what the strict pattern of its kind accepts; hex: an IPv6 address."""
     if name == "mail":
         return hit.rlike(EMAIL)
     if name == "digits":
         card = hit.rlike(f"^{CARD}$") & _valid("card", hit)
         phone = hit.rlike(f"^{PHONE}$") & _valid("phone", hit)
-        return F.when((n >= 13) & ~hit.startswith("+"), card).otherwise(phone)
-    return F.lit(False)
+        return F.when(_is_card(hit, n), card).otherwise(phone)
+    return hit.rlike(IPV6) & (~hit.contains("::") | (_hex_groups(hit) <= 7))
 
 
 def _candidates(name: str, generator: int) -> Column:
@@ -218,11 +247,9 @@ def _candidates(name: str, generator: int) -> Column:
         kind = {
             "mail": F.lit(KINDS.index("email")),
             "hex": F.lit(KINDS.index("ip")),
-            "digits": F.when((n >= 13) & ~m["hit"].startswith("+"), KINDS.index("card")).otherwise(
-                KINDS.index("phone")
-            ),
+            "digits": F.when(_is_card(m["hit"], n), KINDS.index("card")).otherwise(KINDS.index("phone")),
         }[name]
-        features = F.struct(*[c.cast("int").alias(k) for k, c in _features(generator, m).items()])
+        features = F.struct(*[c.cast("int").alias(k) for k, c in _features(name, generator, m).items()])
         return F.struct(
             kind.alias("kind"),
             m["start"].alias("start"),
@@ -270,7 +297,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", preci
         return p
 
     scored = F.transform(
-        F.filter("candidates", lambda c: ~c["holds"]),
+        # those of the other kinds that hold are base spans
+        F.filter("candidates", lambda c: ~c["holds"] | (c["kind"] == KINDS.index("ip"))),
         lambda c: F.struct(chance(c).alias("p"), c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")),
     )
     likely = found.select("id", "base", F.filter(scored, lambda c: c["p"].isNotNull() & (c["p"] > 0)).alias("likely"))

@@ -1,4 +1,5 @@
 import hashlib
+import ipaddress
 import random
 import re
 
@@ -91,6 +92,46 @@ def test_near_forms_are_added_where_the_corpus_supports_them(spark):
     assert not found[9001] and not found[5] and not any(found[5000 + i] for i in range(500))
 
 
+def test_ipv6_is_added(spark):
+    """Valid addresses of full and short form where most of such a form are valid; hardware addresses and times are not."""
+    shapes = ["2001:db8:0:1:2:3:4:{:x}", "2001:db8::{:x}", "::{:x}", "fe80::{:x}:1", "2001:DB8:{:x}::"]
+    rows = [(i, "é from " + shapes[i % 5].format(i + 1) + (": ok" if i % 2 and i % 5 < 4 else " ok")) for i in range(1500)]
+    rows += [(5000 + i, f"mac 00:1a:2b:3c:4d:{i % 256:02x} at 12:30:{i % 60:02d} is std::{i:x}") for i in range(600)]
+    rows += [(8000, "from 1::2::3 ok"), (8001, "from 1:2:3:4:5:6:7:8:9 ok"), (8002, "from " + "ab:" * 20 + "ab ok")]
+    found = {r.id: r for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(1500):
+        address = shapes[i % 5].format(i + 1)
+        assert [tuple(s) for s in found[i].added] == [(1, 7, 7 + len(address))] and not found[i].base, address
+    assert not any(found[i].added for i, _ in rows if 5000 <= i < 8000 or i > 8000)
+
+
+def test_ipv6_label(spark):
+    rng = random.Random(4)
+    texts = [":".join(rng.choices(["", "1", "ab", "12fF", "12345"], k=rng.randint(2, 10))) for _ in range(3000)]
+    texts += ["::1", "1::", "1:2:3:4:5:6:7::", "::1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8", "1::2:3:4:5:6:7:8", "1:2", ":1::2", "1::2:"]
+
+    def valid(text):
+        try:
+            return ipaddress.IPv6Address(text) is not None
+        except ValueError:
+            return False
+
+    docs = spark.createDataFrame([(t,) for t in texts if t.strip(":")], "text string")
+    hit = F.regexp_extract("text", f"^(?:{pii.LOOSE_HEX})$", 0) == docs.text
+    rows = docs.select("text", hit.alias("hit"), pii._holds("hex", docs.text, F.lit(0)).alias("holds")).collect()
+    assert sum(r.holds for r in rows) > 50
+    for r in rows:
+        assert r.holds == valid(r.text) and (r.hit or not r.holds), r.text
+
+
+def test_forms_that_no_strict_pattern_accepts_can_be_added(spark):
+    rows = [(i, f"contact anna@x.org now {'x' * i}") for i in range(1000)]
+    rows += [(2000 + i, f"card 4111-1111-1111-1111 paid {'x' * i}") for i in range(1000)]
+    rows += [(9000, "contact john(at)x.org now"), (9001, "card 4111.1111.1111.1111 paid")]
+    found = {r.id: r.added for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(s) for s in found[9000]] == [(0, 8, 21)] and [tuple(s) for s in found[9001]] == [(2, 5, 24)]
+
+
 def test_gates_are_necessary_conditions(spark):
     rng = random.Random(3)
     parts = ["john", "x-1", " ", "@", "(at)", "[at]", "{at}", " at ", ".", "(dot)", "[dot]", "{dot}", " dot ", "ab", "::"]
