@@ -37,6 +37,7 @@ BATCH = 96
 UPDATES = 350
 RATE = 0.03
 SAMPLE_ROWS = 4096
+SALTS = 256  # parts that a language's hashes are ranked in before they are ranked as a whole
 UNDETERMINED = "und"
 
 
@@ -217,6 +218,17 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _smallest(hashes: DataFrame, key: list, n: int) -> DataFrame:
+    """The ``n`` smallest hashes ``h`` of each key."""
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("h"))
+    return hashes.withColumn("nth", nth).filter(F.col("nth") <= n).select("lang", "h")
+
+
+def _presorted(hashes: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
+    """The ``n`` smallest hashes of each language and salt: at most ``n * salts`` a language, the smallest among them."""
+    return _smallest(hashes, ["lang", F.pmod(F.col("h"), F.lit(salts))], n)
+
+
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> list[tuple[str, bytes]]:
     """At most ``rows`` labelled texts to learn from: as many distinct ones of each language, by hash."""
     text = F.col(f"`{text_col}`").cast("string")
@@ -230,8 +242,7 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
     piece = F.col("text").substr(at, F.lit(PIECE))
     # the smallest hashes of each language; equal texts count once
     ranked = labelled.select("lang", "h").distinct()
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = ranked.withColumn("nth", nth).filter(F.col("nth") <= each).limit(rows).select("lang", "h")
+    chosen = _smallest(_presorted(ranked, each), ["lang"], each).limit(rows)
     # broadcast: at most ``rows`` rows
     found = labelled.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", piece.alias("piece"))
     found = found.groupBy("lang", "h").agg(F.min("piece").alias("piece")).orderBy("lang", "h")

@@ -77,6 +77,17 @@ def test_sample_is_bounded_and_distinct(spark, docs_of):
     assert len(found) == 20 and len(set(found)) == 20
 
 
+def test_hashes_of_a_hot_language_are_ranked_in_parts(spark):
+    """What is ranked as a whole is bounded, and its smallest hashes are those of all."""
+    hashes = spark.range(60000).selectExpr("if(id % 20 = 0, 'de', 'en') as lang", "xxhash64(id) as h")
+    bounded = lid._presorted(hashes, 5, salts=16)
+    counts = {r["lang"]: r["count"] for r in bounded.groupBy("lang").count().collect()}
+    assert counts == {"en": 80, "de": 80}
+    rows = hashes.collect()
+    want = {(la, h) for la in ("en", "de") for h in sorted(r.h for r in rows if r.lang == la)[:5]}
+    assert {(r.lang, r.h) for r in lid._smallest(bounded, ["lang"], 5).collect()} == want
+
+
 def test_odd_rows(odd_docs, docs_of, monkeypatch):
     monkeypatch.setattr(lid.train, "__defaults__", (20, 5))
     rows = lid.identify(odd_docs).collect()
