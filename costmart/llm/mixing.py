@@ -25,12 +25,17 @@ the empty text; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-ROUNDS = 8
+ROUNDS = 8  # at least
+MOST_ROUNDS = 200
+TOLERANCE = 1e-3  # of all tokens, by which a marginal may miss its target
 TEMPER = 0.7
 BUDGET = 0.6  # of all tokens
 DIMENSIONS = ["source", "lang", "topic"]
@@ -75,12 +80,23 @@ def _share(cells: DataFrame, dim: str, wanted: dict[str, float] | None, temper:
     return own.select(dim, F.coalesce("given", natural).alias(f"{dim}_share"))
 
 
+def _miss(cells: DataFrame, total: float) -> float:
+    """Largest distance of a marginal's share of all tokens from its target."""
+    misses = [
+        cells.groupBy(dim).agg((F.sum("raked") / float(total or 1) - F.max(f"{dim}_share")).alias("miss")).select("miss")
+        for dim in DIMENSIONS
+    ]
+    return reduce(DataFrame.union, misses).agg(F.max(F.abs("miss"))).first()[0] or 0.0
+
+
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER,
          rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with weight: raked tokens over tokens.
 
-    The last marginal raked holds exactly; the others as nearly as ``rounds``
-    rounds bring them.
+    After ``rounds`` rounds, further ones follow until every marginal is within
+    TOLERANCE of its target. Targets that no weights meet (a round brings them
+    less than a thousandth nearer, or MOST_ROUNDS have passed) give a warning
+    with the largest miss; the last marginal raked holds then.
     """
     targets = targets or {}
     cells = cells.withColumn("raked", F.col("tokens").cast("double"))
@@ -89,7 +105,16 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
         share = _share(cells, dim, targets.get(dim), temper).withColumnRenamed(dim, "k")
         cells = cells.join(share, F.col(dim).eqNullSafe(F.col("k")), "left").drop("k")
     cells = written(cells, "mix-cells")
-    for _ in range(rounds):
+    done, miss = 0, float("inf")
+    while True:
+        if done >= rounds:
+            before, miss = miss, _miss(cells, total)
+            if miss <= TOLERANCE or not total:
+                break
+            if miss > 0.999 * before or done >= MOST_ROUNDS:
+                warnings.warn(f"mixing: after {done} rounds a marginal misses its target by {miss:.4f} of all tokens", stacklevel=2)
+                break
+        done += 1
         for dim in DIMENSIONS:
             now = cells.groupBy(dim).agg(F.sum("raked").alias("now")).withColumnRenamed(dim, "k")
             factor = F.col(f"{dim}_share") * float(total) / F.col("now")

@@ -1,4 +1,5 @@
 import hashlib
+import warnings
 
 import pytest
 from costmart.llm import mixing
@@ -24,6 +25,28 @@ def test_marginals_meet_their_targets(spark, docs_of):
     assert [a < b for a, b in zip(draws, found.probability)] == found.sampled.tolist()
 
 
+def _table(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+
+
+def test_slow_tables_are_raked_until_they_meet_their_targets(spark):
+    cells = _table(spark, [("a", "x", "t", 1000), ("a", "y", "t", 30), ("b", "x", "t", 30), ("b", "y", "t", 1)])
+    cells = cells.union(_table(spark, [("c", "y", "t", 1000), ("c", "x", "t", 1)]))
+    targets = {"source": {"a": 0.2, "b": 0.1, "c": 0.7}, "lang": {"x": 0.7, "y": 0.3}, "topic": {"t": 1.0}}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        found = mixing.rake(cells, targets, rounds=1).toPandas()
+    total = found.tokens.sum()
+    for dim, wanted in targets.items():
+        assert (found.groupby(dim).raked.sum() / total).to_dict() == pytest.approx(wanted, abs=mixing.TOLERANCE)
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    cells = _table(spark, [("a", "x", "t", 10), ("b", "y", "t", 10)])
+    with pytest.warns(UserWarning, match="misses its target by 0.6"):
+        mixing.rake(cells, {"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.2, "y": 0.8}}, rounds=2)
+
+
 def test_probabilities_saturate(spark):
     """Cells brought to 1 give the rest of the budget to the others."""
     rows = [("a", "x", "t", 10, 100.0), ("b", "x", "t", 1000, 910.0), ("c", "x", "t", 0, 0.0)]
