@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, mixing, pii, sharding, simhash, suffix_dedup, topk, warc
+from . import decontaminate, html_text, language_id, mixing, pii, quality, sharding, simhash, suffix_dedup
+from . import token_align, topk, warc, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +95,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024.0, shift=100000)
+    return found.select(
+        "row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.documents.select("row.doc_id", *token_align.MEASURES, "groups_sha256")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.score(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return found.select("row.doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -105,4 +124,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_html": op9_html,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
+    "op12_token_align": op12_token_align,
+    "op13_quality": op13_quality,
 }

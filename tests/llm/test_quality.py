@@ -1,0 +1,161 @@
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from costmart.llm import quality as q
+from costmart.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_words(text):
+    return re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|([^\sA-Za-z0-9\x80-\xff])\1*", text) and [
+        m.group() for m in re.finditer(rb"[A-Za-z\x80-\xff]+|[0-9]+|([^\sA-Za-z0-9\x80-\xff])\1*", text)
+    ]
+
+
+def hash_of(word):
+    return int(q.words(np.frombuffer(word, np.uint8))[1][0])
+
+
+def owners(texts):
+    found = [(o, h) for o, h in q.pieces(pa.array(texts))]
+    return np.concatenate([o for o, _ in found]), np.concatenate([h for _, h in found])
+
+
+def test_words():
+    text = "Ärger um 12,50 EUR!! --- (a)  b\tc\r\n\x0b*** x".encode()
+    start, h = q.words(np.frombuffer(text, np.uint8))
+    expected = plain_words(text)
+    assert [text[a:].startswith(w) for a, w in zip(start, expected)] == [True] * len(expected)
+    assert h.tolist() == [hash_of(w) for w in expected]  # the place in the text does not matter
+    assert len({hash_of(f"w{i}".encode()[1:]) for i in range(1000)}) == 1000
+    assert not len(q.words(np.zeros(0, np.uint8))[0]) and not len(q.words(np.frombuffer(b" \n", np.uint8))[0])
+
+
+def test_pieces_of_texts(monkeypatch):
+    texts = ["one two\n", "\n", "three, four five six\n", " \n", "x" * 50 + "\n"]
+    owner, h = owners(texts)
+    expected = [(i, hash_of(w)) for i, t in enumerate(texts) for w in plain_words(t.encode())]
+    assert list(zip(owner.tolist(), h.tolist())) == expected
+    monkeypatch.setattr(q, "PIECE", 9)
+    owner, h = owners(texts[:4])
+    assert list(zip(owner.tolist(), h.tolist())) == expected[: len(expected) - 1]  # cuts fall between words
+    assert owners([texts[4]])[1].shape[0] == 6  # but for words beyond the limit
+
+
+def test_contexts_against_brute_force():
+    texts = ["a b c a, b\n", "c\n", "a a a b\n"]
+    owner, h = owners(texts)
+    total = np.zeros((64, q.DIMS), np.int64)
+    q.add_contexts(total, owner, h)
+    place, sign = q.index_vector(h)
+    expected = np.zeros_like(total)
+    for i in range(len(h)):
+        for j in range(len(h)):
+            if i != j and abs(i - j) <= q.WINDOW and owner[i] == owner[j]:
+                for p, s in zip(place[j], sign[j]):
+                    expected[q.slots_of(h, 64)[i], p] += s
+    assert (total == expected).all() and total.any()
+
+
+def test_all_texts_count(spark):
+    """The vectors are those of one pass over all texts, whatever the partitions."""
+    rows = [(i, f"word{i % 7} the of {i % 5} !! and") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    owner, h = owners([t + "\n" for _, t in rows])
+    counts, total = np.bincount(q.slots_of(h, 512), minlength=512), np.zeros((512, q.DIMS), np.int64)
+    q.add_contexts(total, owner, h)
+    for parts in (1, 9):
+        assert (q.learn_words(df.repartition(parts), slots=512) == q.word_vectors(counts, total)).all()
+
+
+def test_pooling_against_brute_force():
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(32, q.DIMS)).astype(np.float32)
+    texts = ["a b c a, b\n", "\n", "c c\n"]
+    got = q.pool(vectors, pa.array(texts))
+    for t, x in zip(texts, got):
+        rows = [vectors[q.slots_of(np.array([hash_of(w)], np.uint64), 32)[0]] for w in plain_words(t.encode())]
+        expected = np.concatenate((np.mean(rows, axis=0), np.std(rows, axis=0))) if rows else np.zeros(2 * q.DIMS)
+        assert x == pytest.approx(expected, abs=1e-3)  # squares are single precision
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(20, 6)), rng.integers(0, 2, 20).astype(float)
+    net = q.Network(x, y, updates=3)
+    x = (x - net.middle) / net.width
+    grad = net.gradients(x, y)
+    for name, w in net.weights.items():
+        for i in range(0, w.size, 7):
+            place, step = np.unravel_index(i, w.shape), 1e-6
+            kept, loss = w[place], []
+            for v in (kept + step, kept - step):
+                w[place] = v
+                loss.append(q._loss(net._outputs(x)[1], y))
+            w[place] = kept
+            assert (loss[0] - loss[1]) / (2 * step) == pytest.approx(grad[name][place], rel=1e-4, abs=1e-8)
+
+
+def test_temperature_tempers():
+    """Where no feature explains the labels, outputs are divided until they no longer claim to."""
+    rng = np.random.default_rng(2)
+    net = q.Network(rng.normal(size=(400, 64)), (rng.random(400) < 0.7).astype(float))
+    x, y = rng.normal(size=(2000, 64)), (rng.random(2000) < 0.7).astype(float)
+    z = net._outputs((x - net.middle) / net.width)[1]
+    assert net.temperature > 2 and q._loss(z / net.temperature, y) < q._loss(z, y)
+    p = net.probability(x)
+    assert 0.3 < p.min() and p.max() < 0.9
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op13_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    for r in rows[:200]:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
+    out = [r for r in rows if r.held_out]
+    by = Counter((r.quality, r.predicted) for r in out)
+    assert by[0, 0] >= 0.85 * (by[0, 0] + by[0, 1]) and by[1, 1] >= 0.97 * (by[1, 0] + by[1, 1])
+    # calibrated: the mean score is near the share of label 1
+    assert abs(np.mean([r.score for r in out]) - np.mean([r.quality for r in out])) < 0.03
+
+
+def test_the_label_and_other_columns_do_not_enter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    first = sorted((r.row.doc_id, r.score) for r in q.score(docs, labels).collect())
+    other = docs.selectExpr("doc_id", "'xx' lang", "text", "'s' source")
+    flipped = labels.selectExpr("doc_id", "if(crc32(string(doc_id)) % 4 = 2, 1 - quality, quality) quality")
+    assert sorted((r.row.doc_id, r.score) for r in q.score(other, flipped).collect()) == first
+
+
+def test_odd_rows(spark, odd_docs):
+    labels = spark.createDataFrame(
+        [(2, 1), (4, 0), (6, 1), (6, 0), (None, 1), (8, None), (7, 5), (99, 1), (5, 0), (5, 0)], "doc_id long, quality int"
+    )
+    rows = q.score(odd_docs, labels).collect()
+    assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if not (r.row.text or "").strip()}) == 1  # null, empty and blank alike
+    assert len({r.score for r in rows if r.row.doc_id in (4, 5)}) == 1
+    assert rows[0].row.shard == "h"  # clashing names stay in the row
+
+
+def test_no_or_one_kind_of_label(spark, odd_docs):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in q.score(odd_docs, none).collect()} == {0.5}
+    ones = spark.createDataFrame([(4, 1), (6, 1)], "doc_id long, quality int")
+    assert {(r.score, r.predicted) for r in q.score(odd_docs, ones).collect()} == {(1.0, 1)}
+    assert q.score(odd_docs.limit(0), ones).collect() == []
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) quality")
+    got = q.sample(docs, labels, "doc_id", "text", "quality", 100).collect()
+    assert len(got) == 100
+    assert all(zlib.crc32(str(r.id).encode()) % 4 != 2 for r in got)
