@@ -39,16 +39,26 @@ def account_dim(cur: DataFrame) -> DataFrame:
     )
 
 
-def date_dim(cur: DataFrame, pad_days: int = 1) -> DataFrame:
-    """One row per day from the first to the last usage day of the whole raw
-    table, plus ``pad_days`` extra days (the original job emits one)."""
+def day_bounds(cur: DataFrame) -> DataFrame:
+    """One row (lo, hi): first and last usage day of ``cur``, NULL without rows."""
     # min/max of the raw column (to_date is monotonic): a partial aggregate
     # per task, one row to the final aggregate.
-    bounds = cur.agg(
+    return cur.agg(
         F.to_date(F.min(F.col(C.USAGE_START))).alias("lo"),
         F.to_date(F.max(F.col(C.USAGE_START))).alias("hi"),
     )
-    days = bounds.where(F.col("lo").isNotNull()).select(
+
+
+def stored_bounds(date_dim_rows: DataFrame, pad_days: int = 1) -> DataFrame:
+    """The (lo, hi) that a stored date dimension was generated from."""
+    day = F.to_date(F.col(DATE_KEY), "yyyyMMdd")
+    return date_dim_rows.agg(F.min(day).alias("lo"), F.date_sub(F.max(day), pad_days).alias("hi"))
+
+
+def calendar(bounds: DataFrame, pad_days: int = 1) -> DataFrame:
+    """One row per day from the least ``lo`` to the largest ``hi`` of ``bounds`` plus ``pad_days``."""
+    span = bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    days = span.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence(F.col("lo"), F.date_add(F.col("hi"), pad_days))).alias("d")
     )
     return days.select(
@@ -59,6 +69,12 @@ def date_dim(cur: DataFrame, pad_days: int = 1) -> DataFrame:
     )
 
 
+def date_dim(cur: DataFrame, pad_days: int = 1) -> DataFrame:
+    """One row per day from the first to the last usage day of the whole raw
+    table, plus ``pad_days`` extra days (the original job emits one)."""
+    return calendar(day_bounds(cur), pad_days)
+
+
 def resource_attributes(source: DataFrame) -> DataFrame:
     """Distinct resource attribute tuples with the hash key and short id."""
     return (

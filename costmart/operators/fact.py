@@ -51,6 +51,7 @@ def _finish(grouped: DataFrame, tags: list[str]) -> DataFrame:
 
 
 _DAY = "__usage_day"
+USAGE_DAY = _DAY
 
 
 def narrow(wide: DataFrame) -> DataFrame:
@@ -86,6 +87,20 @@ def fact_wide_direct(
     tag_prefix: str = C.TAG_PREFIX,
     service_names: str = "join",
 ) -> DataFrame:
+    grouped = _grouped(cur, as_of, months_back, rules, tag_prefix, service_names)
+    return _finish(grouped, C.tag_columns(cur, tag_prefix))
+
+
+def _grouped(
+    cur: DataFrame,
+    as_of: _dt.date | str | None,
+    months_back: int | None,
+    rules: DataFrame | None,
+    tag_prefix: str,
+    service_names: str,
+    further: tuple[str, ...] = (),
+) -> DataFrame:
+    """Line items summed at fact grain (and by the ``further`` columns)."""
     C.require_columns(cur, C.REQUIRED_CUR_COLUMNS)
     tags = C.tag_columns(cur, tag_prefix)
     # The service name is a group key here, so it is derived per row: a
@@ -95,7 +110,8 @@ def fact_wide_direct(
     resource_keys = [
         service_name.alias(c) if c == C.SERVICE_NAME else F.col(c) for c in C.RESOURCE_DIM_COLUMNS
     ]
-    grouped = rows.groupBy(
+    return rows.groupBy(
+        *further,
         F.col(C.USAGE_ACCOUNT).alias("aws_account_dim_id"),
         F.to_date(F.col(C.USAGE_START)).alias(_DAY),
         *resource_keys,
@@ -105,6 +121,31 @@ def fact_wide_direct(
         F.col(C.YEAR).alias("year"),
         F.col(C.MONTH).alias("month"),
     ).agg(*measures.measure_aggs(C.FACT_MEASURES))
+
+
+def partial_sums(
+    cur: DataFrame, further: tuple[str, ...], rules: DataFrame | None = None, tag_prefix: str = C.TAG_PREFIX
+) -> DataFrame:
+    """Sums at fact grain and by the ``further`` columns of ``cur``, without
+    window: ``wide_from_partials`` adds up those of any parts of a CUR."""
+    return _grouped(cur, None, None, rules, tag_prefix, "join", further)
+
+
+def wide_from_partials(sums: DataFrame, tags: list[str]) -> DataFrame:
+    """The wide fact of the line items behind ``sums``. ``tags`` are the tag
+    columns of the whole CUR, some of which the parts may lack."""
+    kinds = dict(sums.dtypes)
+    of = {t: F.coalesce(F.col(t), F.lit("")) if t in kinds else F.lit("") for t in tags}
+    grouped = sums.groupBy(
+        "aws_account_dim_id",
+        F.col(_DAY).alias(_DAY),
+        *C.RESOURCE_DIM_COLUMNS,
+        "charge_type",
+        "purchase_option",
+        *[c.alias(t) for t, c in of.items()],
+        "year",
+        "month",
+    ).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in C.FACT_MEASURES])
     return _finish(grouped, tags)
 
 

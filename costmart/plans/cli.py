@@ -10,7 +10,10 @@
 ``--cur`` is a year/month-partitioned parquet path or a catalog table name.
 Without ``--year/--month`` the rolling window ending at ``--as-of`` (default:
 today in ``--zone``) is rebuilt; the fact's older months stay (dynamic
-partition overwrite). With them, only that month of the fact is rebuilt.
+partition overwrite). With them, only that month of the fact is rebuilt, and
+its keys are merged into the dimensions. ``--incremental`` keeps partial sums
+by source file beside the mart and reads only files that changed since its last
+run (see ``costmart.streaming.partials``).
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from ..functions import dates
 from ..session import configure
 from ..sinks import writers
 from ..sources import readers
+from ..streaming import partials
 from . import jobs, mart, warehouse
 
 
@@ -41,9 +45,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--rules", help="service rule table (product_code, service_name) in place of the built-in one")
     p.add_argument("--all-months", dest="all_months", action="store_true", help="backfill: no rolling window")
     p.add_argument("--warehouse-db", dest="warehouse_db", help="also load the mart into this catalog database")
+    p.add_argument("--incremental", action="store_true",
+                   help="read only files that changed since the last incremental run into --out")
     a = p.parse_args(argv)
     if (a.year is None) != (a.month is None):
         p.error("give both --year and --month, or neither")
+    if a.incremental and (a.year is not None or not _is_path(a.cur)):
+        p.error("--incremental takes a --cur path and no --year/--month")
     return a
 
 
@@ -55,30 +63,41 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a = parse(argv)
     spark = configure(spark or SparkSession.builder.appName("costmart").getOrCreate())
     out = a.out.rstrip("/")
+    instances = spark.table(a.instances) if a.instances else None
+    rules = spark.table(a.rules).select("product_code", "service_name") if a.rules else None
+    if rules is not None:  # one name per code
+        rules = writers.one_per_key(rules.toDF("rule_product_code", "rule_service_name"), "rule_product_code")
+    accounts = spark.table(a.accounts) if a.accounts else None
+    lookups = {"instances": instances, "rules": rules, "accounts": accounts, "with_name": a.with_name}
+    as_of = dates.as_date(a.as_of) if a.as_of else jobs.today_in(a.zone)
     if a.year is not None:
-        # one-month re-run: only that month is listed and read, only that month of the fact replaced
+        # one-month re-run: only that month is listed and read, only that month of the fact
+        # replaced; its keys are merged into the dimensions
         month = jobs.read_cur_month(spark, a.cur, a.year, a.month) if _is_path(a.cur) else spark.table(a.cur)
-        jobs.run_fact_job(month, f"{out}/cost_insights_fact", a.year, a.month)
-        return {"cost_insights_fact": f"{out}/cost_insights_fact"}
-    as_of = dates.as_date(a.as_of) if a.as_of else jobs.today_in(a.zone)
+        rows = jobs.month_rows(month, a.year, a.month)
+        if not _is_path(a.cur) and rows.isEmpty():
+            raise ValueError(f"no rows of billing month {int(a.year)}-{int(a.month):02d} in {a.cur}")
+        mart.refresh(spark, rows, out, [(a.year, a.month)], months_back=None, **lookups)
+        return _finished(spark, out, a.warehouse_db)
+    if a.incremental:
+        months_back = None if a.all_months else a.months_back
+        partials.refresh(spark, a.cur, out, as_of=as_of, months_back=months_back, **lookups)
+        return _finished(spark, out, a.warehouse_db)
     history = readers.read_parquet(spark, a.cur, merge_schema=True) if _is_path(a.cur) else spark.table(a.cur)
     months_back = None if a.all_months else a.months_back
     windowed = _is_path(a.cur) and months_back is not None
     window = jobs.read_cur_window(spark, a.cur, as_of, months_back) if windowed else history
-    instances = spark.table(a.instances) if a.instances else None
-    rules = spark.table(a.rules).select("product_code", "service_name") if a.rules else None
-    if rules is not None:  # one name per code
-        rules = writers.one_per_key(rules.toDF("rule_product_code", "rule_service_name"), "rule_product_code")
-    accounts = spark.table(a.accounts) if a.accounts else None
-    m = mart.build(
-        window, as_of=as_of, months_back=months_back, instances=instances, history=history, rules=rules,
-        accounts=accounts, with_name=a.with_name,
-    )
-    paths = mart.write(m, out)
-    if a.warehouse_db:
-        writers.ensure_database(spark, a.warehouse_db)
-        warehouse.load(spark, out, a.warehouse_db)
-    return paths
+    m = mart.build(window, as_of=as_of, months_back=months_back, history=history, **lookups)
+    mart.write(m, out)
+    return _finished(spark, out, a.warehouse_db)
+
+
+def _finished(spark: SparkSession, out: str, database: str | None) -> dict[str, str]:
+    """The mart's paths, after loading it into ``database`` if one is given."""
+    if database:
+        writers.ensure_database(spark, database)
+        warehouse.load(spark, out, database)
+    return {name: f"{out}/{name}" for name in ("cost_insights_fact", *mart.DIMENSION_KEYS)}
 
 
 if __name__ == "__main__":

@@ -19,6 +19,7 @@ from ..functions import dates
 from ..operators import fact, summary
 from ..sinks import writers
 from ..sources import readers
+from . import mart
 
 
 def today_in(zone: str = "UTC") -> _dt.date:
@@ -58,10 +59,11 @@ def read_cur_month(spark: SparkSession, root: str, year: str, month: str) -> Dat
 def fact_for_period(cur: DataFrame, year: str, month: str) -> DataFrame:
     """The fact rows of one billing month (partition filter on the CUR).
     Year and month are compared as numbers: '09' and '9' are the same month."""
-    return fact.fact_direct(_month_rows(cur, year, month), months_back=None)
+    return fact.fact_direct(month_rows(cur, year, month), months_back=None)
 
 
-def _month_rows(cur: DataFrame, year: str, month: str) -> DataFrame:
+def month_rows(cur: DataFrame, year: str, month: str) -> DataFrame:
+    """The rows of one billing month."""
     return cur.where((F.col("year").cast("int") == int(year)) & (F.col("month").cast("int") == int(month)))
 
 
@@ -73,17 +75,26 @@ def run_fact_job(
     as_of: _dt.date | str | None = None,
     zone: str = "UTC",
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    stated: bool = False,
 ) -> None:
-    """Rolling-window run (default) or a one-month re-run (year and month)."""
+    """Rolling-window run (default) or a one-month re-run (year and month).
+
+    The months the run computes are replaced; one of them without rows is
+    removed. A one-month run without rows raises, unless the caller states that
+    the month exists in the data (``stated``: its folder is there, but empty); a
+    window run without any rows changes nothing."""
     if (year is None) != (month is None):
         raise ValueError("give both year and month, or neither")
     if year is not None:
-        if _month_rows(cur, year, month).isEmpty():
-            raise ValueError(f"no rows of billing month {int(year)}-{int(month):02d}")
-        rows = fact_for_period(cur, year, month)
-    else:
-        rows = fact.fact_direct(cur, as_of=as_of or today_in(zone), months_back=months_back)
-    writers.write_partitioned(rows, fact_path)
+        wanted = (int(year), int(month))
+        if not stated and month_rows(cur, year, month).isEmpty():
+            raise ValueError(f"no rows of billing month {wanted[0]}-{wanted[1]:02d}")
+        writers.replace_months(fact_for_period(cur, year, month), fact_path, lambda m: m == wanted)
+        return
+    as_of = as_of or today_in(zone)
+    rows = fact.fact_direct(cur, as_of=as_of, months_back=months_back)
+    if not summary.windowed(cur, as_of, months_back).isEmpty():
+        writers.replace_months(rows, fact_path, mart.window_months(as_of, months_back))
 
 
 def register_summary_view(

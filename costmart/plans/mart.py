@@ -23,11 +23,14 @@ Shape at scale:
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import columns as C
 from ..functions import dates
 from ..operators import dims, enrich, fact
 from ..session import configure, scratch_path
@@ -56,6 +59,8 @@ class Mart:
     fact_split_by_month: bool = False
     # folder of the staged wide fact, removed after a successful write
     staging: str | None = None
+    # the months this run computed: one of them without rows loses its stored rows
+    owns: Callable[[tuple[int, int]], bool] | None = None
 
 
 def build(
@@ -82,7 +87,7 @@ def build(
     if materialize:
         staged = scratch_path(spark, "wide_fact")
         writers.write_partitioned(wide, staged)
-        wide = readers.read_parquet(spark, staged)
+        wide = spark.read.schema(wide.schema).parquet(staged)  # also where the window holds no rows
     account_dim = dims.account_dim(history if history is not None else cur)
     return Mart(
         fact=fact.narrow(wide),
@@ -92,13 +97,31 @@ def build(
         date_dim=dims.date_dim(history if history is not None else cur),
         fact_split_by_month=materialize,
         staging=staged if materialize else None,
+        owns=window_months(as_of, months_back),
     )
 
 
+def window_months(as_of: _dt.date | str | None, months_back: int | None) -> Callable[[tuple[int, int]], bool]:
+    """Whether a (year, month) lies in the rolling window; without one, every month does."""
+    if months_back is None:
+        return lambda month: True
+    start = dates.window_start(dates.as_date(as_of), months_back)
+    return lambda month: month >= (start.year, start.month)
+
+
+def _write_fact(mart: Mart, path: str) -> None:
+    rebalance = not mart.fact_split_by_month
+    # a run without any rows (say, a wrong path) leaves what is stored alone
+    if mart.owns is None or mart.fact.isEmpty():
+        writers.write_partitioned(mart.fact, path, rebalance=rebalance)
+    else:
+        writers.replace_months(mart.fact, path, mart.owns, rebalance=rebalance)
+
+
 def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     """Write the mart under ``root``: the fact partitioned with dynamic
-    overwrite (partitions are swapped in at job commit). The fact keeps the
-    months outside the window, so the tag and resource dimensions keep their
+    overwrite (partitions are swapped in at job commit); a month of the window
+    that has no rows any more is removed. The fact keeps the months outside the window, so the tag and resource dimensions keep their
     stored keys: new rows are merged in (latest lookups win). The account and
     date dimensions cover the whole history and are replaced (account dim only
     if non-empty).
@@ -112,9 +135,7 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     root = root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in ("cost_insights_fact", "tag_dim", "resource_dim", "account_dim", "date_dim")}
     tasks = [
-        lambda: writers.write_partitioned(
-            mart.fact, paths["cost_insights_fact"], rebalance=not mart.fact_split_by_month
-        ),
+        lambda: _write_fact(mart, paths["cost_insights_fact"]),
         lambda: writers.merge_keys(mart.tag_dim, paths["tag_dim"], "tag_dim_id", absent=""),
         lambda: writers.merge_keys(mart.resource_dim, paths["resource_dim"], dims.RESOURCE_KEY),
         lambda: writers.write_if_any(mart.account_dim, lambda d: writers.replace_dataset(d, paths["account_dim"])),
@@ -128,3 +149,70 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
         if mart.staging:
             readers.delete(mart.fact.sparkSession, mart.staging)
     return paths
+
+
+def refresh(
+    spark: SparkSession,
+    cur: DataFrame,
+    root: str,
+    months: list[tuple[str, str]],
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    instances: DataFrame | None = None,
+    rules: DataFrame | None = None,
+    accounts: DataFrame | None = None,
+    with_name: bool = False,
+) -> None:
+    """Bring the mart under ``root`` up to date with ``cur``, the rows of
+    ``months``: their fact months are replaced (or removed, without rows) and
+    their keys merged into all four dimensions, in one run.
+
+    The dimensions are written before the fact, so that no fact row ever lacks
+    its dimension rows, also if the run fails in between."""
+    configure(spark)
+    root = root.rstrip("/")
+    wanted = {readers.month_number(y, m) for y, m in months}
+    wide = fact.fact_wide_direct(cur, as_of=as_of, months_back=months_back, rules=rules)
+    staged = scratch_path(spark, "wide_fact")
+    writers.write_partitioned(wide, staged)
+    try:
+        rows = spark.read.schema(wide.schema).parquet(staged)
+        merge_attributes(rows, root, instances, with_name)
+        merge_accounts(dims.account_dim(cur), root, accounts)
+        merge_days(dims.day_bounds(cur), root)
+        writers.replace_months(fact.narrow(rows), f"{root}/cost_insights_fact", wanted.__contains__, rebalance=False)
+    finally:
+        readers.delete(spark, staged)
+
+
+def merge_attributes(wide: DataFrame, root: str, instances: DataFrame | None, with_name: bool = False) -> None:
+    """Merge the tag and resource keys of a wide fact into the stored dimensions."""
+    writers.merge_keys(dims.tag_dim(wide), f"{root}/tag_dim", dims.TAG_KEY, absent="")
+    resources = dims.resource_dim(wide, instances, with_name=with_name)
+    writers.merge_keys(resources, f"{root}/resource_dim", dims.RESOURCE_KEY)
+
+
+def merge_accounts(pairs: DataFrame, root: str, accounts: DataFrame | None) -> None:
+    """Add the (payer, usage account) pairs to the stored account dimension."""
+    path = f"{root}/account_dim"
+    spark = pairs.sparkSession
+    if readers.exists(spark, path):
+        stored = readers.read_parquet(spark, path)
+        if pairs.join(stored, [C.PAYER, C.USAGE_ACCOUNT], "left_anti").isEmpty() and accounts is None:
+            return
+        names = stored.select(*pairs.columns)
+        pairs = pairs.union(names).distinct()
+        if accounts is None and "account_name" in stored.columns:  # keep the names of known accounts
+            known = stored.select(F.col(C.USAGE_ACCOUNT).alias("account_id"), "account_name")
+            accounts = known
+    rows = pairs if accounts is None else enrich.account_names(pairs, accounts)
+    writers.write_if_any(rows, lambda d: writers.replace_dataset(d, path))
+
+
+def merge_days(bounds: DataFrame, root: str) -> None:
+    """Extend the stored date dimension to the days of ``bounds`` (lo, hi)."""
+    path = f"{root}/date_dim"
+    spark = bounds.sparkSession
+    if readers.exists(spark, path):
+        bounds = bounds.union(dims.stored_bounds(readers.read_parquet(spark, path)))
+    writers.write_if_any(dims.calendar(bounds), lambda d: writers.replace_dataset(d, path))

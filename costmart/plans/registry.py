@@ -728,3 +728,128 @@ def q_incremental_rewritten_file(spark, sf_dir):
     writers.write_partitioned(cur, cur_path)
     incremental.run_until_caught_up(spark, cur_path, fact_path, state, as_of=FX.AS_OF)
     return money(readers.read_parquet(spark, fact_path), C.FACT_MEASURES)
+
+
+# ------------------------------------------------- the mart kept up to date
+def _deliver(rows: DataFrame, path: str) -> None:
+    rows.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
+
+
+def _late_cur(cur: DataFrame) -> DataFrame:
+    return cur.where(F.col(C.USAGE_START) >= F.lit(EARLY_AS_OF).cast("timestamp"))
+
+
+def _two_deliveries(spark, sf_dir) -> str:
+    """A mart built from the early delivery and brought up to date after the rest came. Returns its root."""
+    from ..session import scratch_path
+    from ..sources import readers
+    from ..streaming import incremental
+    from . import mart
+
+    cur = _cur(spark, sf_dir)
+    cur_path, root, state = (scratch_path(spark, n) for n in ("cur", "mart", "state"))
+    instances = FX.instances_from_tables(spark, sf_dir)
+    _deliver(_early_cur(cur), cur_path)
+    mart.write(mart.build(readers.read_parquet(spark, cur_path), as_of=FX.AS_OF, instances=instances), root)
+    _deliver(_late_cur(cur), cur_path)
+    incremental.run_until_caught_up(
+        spark, cur_path, "", state, as_of=FX.AS_OF, mart_root=root, lookups={"instances": instances}
+    )
+    return root
+
+
+@register("incremental_mart_orphans", ORACLE["stored_mart_orphans"])
+def q_incremental_mart_orphans(spark, sf_dir):
+    """After a late delivery no fact row lacks its row in any dimension."""
+    from ..operators import checks
+    from ..sources import readers
+    from . import mart
+
+    root = _two_deliveries(spark, sf_dir)
+    stored = {n: readers.read_parquet(spark, f"{root}/{n}", merge_schema=True) for n in mart.DIMENSION_KEYS}
+    return checks.orphan_counts(
+        readers.read_parquet(spark, f"{root}/cost_insights_fact"),
+        {n: (stored[n], k) for n, k in mart.DIMENSION_KEYS.items()},
+    )
+
+
+@register("incremental_resource_dim", _resource_sql(False))
+def q_incremental_resource_dim(spark, sf_dir):
+    """The stored resource dimension after a late delivery, lookups included."""
+    from ..sources import readers
+
+    return readers.read_parquet(spark, f"{_two_deliveries(spark, sf_dir)}/resource_dim", merge_schema=True)
+
+
+@register("emptied_month", O.with_fact("SELECT * FROM fact WHERE NOT (year = '2001' AND month = '10')"))
+def q_emptied_month(spark, sf_dir):
+    """A month rewritten to a file without rows leaves the stored fact."""
+    from ..session import scratch_path
+    from ..sources import readers
+    from ..streaming import incremental
+
+    cur_path, fact_path, state = (scratch_path(spark, n) for n in ("cur", "fact", "state"))
+    cur = _cur(spark, sf_dir)
+    _deliver(cur, cur_path)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, state, as_of=FX.AS_OF)
+    folder = f"{cur_path}/year=2001/month=10"
+    readers.delete(spark, folder)
+    spark.createDataFrame([], cur.drop("year", "month").schema).coalesce(1).write.parquet(folder)
+    incremental.run_until_caught_up(spark, cur_path, fact_path, state, as_of=FX.AS_OF)
+    return money(readers.read_parquet(spark, fact_path), C.FACT_MEASURES)
+
+
+def _partials_mart(spark, sf_dir) -> str:
+    """A mart kept by partial sums over files that are added, rewritten and removed. Returns its root."""
+    from ..session import scratch_path
+    from ..sources import readers
+    from ..streaming import partials
+
+    cur_path, root = scratch_path(spark, "cur"), scratch_path(spark, "mart")
+    cur = _cur(spark, sf_dir)
+
+    def refresh():
+        partials.refresh(spark, cur_path, root, as_of=FX.AS_OF)
+
+    _deliver(_early_cur(cur).where("NOT (year = '2001' AND month = '7' AND day(line_item_usage_start_date) > 9)"), cur_path)
+    refresh()
+    _deliver(_late_cur(cur), cur_path)  # added files, some of them in a month that is stored
+    refresh()
+    readers.delete(spark, f"{cur_path}/year=2001/month=7")  # rewritten with its later days
+    _deliver(cur.where("year = '2001' AND month = '7'"), cur_path)
+    readers.delete(spark, f"{cur_path}/year=2001/month=11")  # removed
+    refresh()
+    return root
+
+
+_REMOVED = "NOT (year = '2001' AND month = '11')"
+
+
+@register("partials_fact", O.with_fact(f"SELECT * FROM fact WHERE {_REMOVED}"))
+def q_partials_fact(spark, sf_dir):
+    """The fact added up from the partial sums of changed files equals a recomputation."""
+    from ..sources import readers
+
+    return money(readers.read_parquet(spark, f"{_partials_mart(spark, sf_dir)}/cost_insights_fact"), C.FACT_MEASURES)
+
+
+@register(
+    "partials_whole_history",
+    f"WITH {O.cur_cte()}, c AS (SELECT * FROM cur WHERE {_REMOVED}), "
+    "b AS (SELECT CAST(min(line_item_usage_start_date) AS DATE) AS lo, "
+    "CAST(max(line_item_usage_start_date) AS DATE) AS hi FROM c), "
+    "d AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, "
+    "INTERVAL 1 DAY)) AS d FROM b) "
+    "SELECT 'date_dim' AS dim, strftime(d, '%Y%m%d') AS key, strftime(d, '%b') AS detail FROM d UNION ALL "
+    "SELECT DISTINCT 'account_dim' AS dim, line_item_usage_account_id AS key, bill_payer_account_id AS detail FROM c",
+)
+def q_partials_whole_history(spark, sf_dir):
+    """Account and date dimension of the whole history, kept from per-file accounts and day bounds."""
+    from ..sources import readers
+
+    root = _partials_mart(spark, sf_dir)
+    days = readers.read_parquet(spark, f"{root}/date_dim")
+    accounts = readers.read_parquet(spark, f"{root}/account_dim")
+    return days.select(F.lit("date_dim").alias("dim"), F.col(dims.DATE_KEY).alias("key"), F.col("month_attr").alias("detail")).union(
+        accounts.select(F.lit("account_dim"), C.USAGE_ACCOUNT, C.PAYER)
+    )

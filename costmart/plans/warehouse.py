@@ -3,7 +3,8 @@
 * tag_dim: read with mergeSchema (tag columns come and go), loaded by a
   table swap, because its schema may change between loads;
 * resource_dim, account_dim, date_dim: truncate-and-load (definition kept;
-  created on the first load);
+  created on the first load; a table that lacks a column of the dimension, say
+  a lookup switched on since, is swapped instead);
 * cost_insights_fact: every stored month (the dataset keeps months older
   than the rolling window), without the ``year``/``month`` partition
   columns, truncate-and-load.
@@ -24,7 +25,10 @@ TRUNCATE_LOADED = ("resource_dim", "account_dim", "date_dim")
 
 def _truncate_or_create(spark: SparkSession, df: DataFrame, table: str) -> None:
     if spark.catalog.tableExists(table):
-        writers.truncate_load(df, table)
+        if set(df.columns) - set(spark.table(table).columns):
+            writers.swap_table(df, table)
+        else:
+            writers.truncate_load(df, table)
     else:
         df.write.format("parquet").saveAsTable(table)
 

@@ -7,6 +7,8 @@ All writes go through Spark's DataFrameWriter; nothing is collected.
   window) keep their files. A REBALANCE hint on the partition columns lets
   AQE split a hot month into several tasks and merge small ones, instead of
   one task per month (a month can hold a large share of the rows).
+* ``replace_months``: the same for a stated set of months: one of them that
+  gets no rows is removed, where dynamic overwrite would keep its old rows.
 * ``merge_keys``: new rows replace stored ones of the same key, all other
   stored rows stay (dimensions keep the keys of months outside the window).
 * ``append_new_keys``: append only rows whose key is not already stored
@@ -89,6 +91,32 @@ def write_partitioned(
     )
 
 
+def replace_months(
+    df: DataFrame, path: str, owns: Callable[[tuple[int, int]], bool], rebalance: bool = True
+) -> list[tuple[int, int]]:
+    """Make the months that ``owns`` accepts exactly those of ``df``; the
+    dataset's other months stay. Returns the months removed.
+
+    Dynamic overwrite replaces the months that have rows. A folder of an owned
+    month that still holds a file it held before the job got none: it is removed
+    after the job's commit. That takes one listing a stored month and no second
+    pass over ``df``. A run that fails in between is repeated: the write is
+    idempotent."""
+    spark = df.sparkSession
+    held = {}
+    for year, month, folder in readers.partition_dirs(spark, path):
+        number = readers.month_number(year, month)
+        if number is not None and owns(number):
+            held[folder] = (number, readers.any_file(spark, folder))
+    write_partitioned(df, path, rebalance=rebalance)
+    removed = []
+    for folder, (number, file) in held.items():
+        if file is None or readers.exists(spark, file):
+            readers.delete(spark, folder)
+            removed.append(number)
+    return sorted(set(removed))
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row of each key: the largest by its other columns, in their order."""
     others = [c for c in df.columns if c != key]
@@ -101,18 +129,48 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
 def merge_keys(df: DataFrame, path: str, key: str, absent: str | None = None) -> None:
     """Replace the dataset at ``path`` by its rows plus those of ``df``, one
     row per key; a key in both has the row of ``df``. Columns are the union of
-    both; text columns that a side lacks become ``absent`` there."""
+    both; text columns that a side lacks become ``absent`` there.
+
+    Rows that are new or differ are staged first. Without any, nothing is
+    written; if all are new they are appended; only a changed row or a new
+    column rewrites the dataset."""
     spark = df.sparkSession
     merged = one_per_key(df, key)
-    if readers.exists(spark, path):
-        stored = readers.read_parquet(spark, path, merge_schema=True)
+    if not readers.exists(spark, path):
+        replace_dataset(merged, path)
+        return
+    stored = readers.read_parquet(spark, path, merge_schema=True)
+
+    def filled(rows: DataFrame) -> DataFrame:
+        if absent is None:
+            return rows
+        return rows.select(
+            *[F.coalesce(c, F.lit(absent)).alias(c) if t == "string" and c != key else c for c, t in rows.dtypes]
+        )
+
+    if set(merged.columns) - set(stored.columns):
         kept = stored.join(merged.select(key), key, "left_anti")
-        merged = merged.unionByName(kept, allowMissingColumns=True)
-        if absent is not None:
-            merged = merged.select(
-                *[F.coalesce(c, F.lit(absent)).alias(c) if t == "string" and c != key else c for c, t in merged.dtypes]
-            )
-    replace_dataset(merged, path)
+        replace_dataset(filled(merged.unionByName(kept, allowMissingColumns=True)), path)
+        return
+    # the columns of the stored rows; the stored row beside each new one
+    new = filled(merged.unionByName(stored.limit(0), allowMissingColumns=True)).select(*stored.columns)
+    others = [c for c in stored.columns if c != key]
+    beside = stored.select(F.col(key).alias("__key"), F.struct(*others, F.lit(1)).alias("__stored"))
+    met = new.join(beside, F.col(key) == F.col("__key"), "left")
+    differs = F.col("__stored").isNull() | ~F.struct(*others, F.lit(1)).eqNullSafe(F.col("__stored"))
+    staged = scratch_path(spark, "merge")
+    changed = met.where(differs).select(*stored.columns, F.col("__stored").isNotNull().alias("__known"))
+    changed.hint("rebalance").write.parquet(staged)
+    try:
+        rows = spark.read.schema(changed.schema).parquet(staged)
+        known = {r["__known"] for r in rows.select("__known").distinct().collect()}
+        rows = rows.drop("__known")
+        if known == {False}:
+            rows.write.mode("append").parquet(path)
+        elif known:
+            replace_dataset(rows.union(stored.join(rows.select(key), key, "left_anti").select(*stored.columns)), path)
+    finally:
+        readers.delete(spark, staged)
 
 
 def append_new_keys(df: DataFrame, path: str, key: str) -> None:

@@ -4,54 +4,88 @@ tables and JDBC.
 Partition values are read back as strings (``year``/``month`` are text in
 the CUR and the fact; Spark would infer integers), so the rolling-window
 and period predicates compare the same types they were written with and
-still prune partitions.
+still prune partitions. The reader gives the partition columns a schema of
+its own; no session setting is touched, so readers may be created from
+several threads of one session.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
+def _hidden(name: str) -> bool:
+    return name.startswith(("_", "."))
 
-@contextmanager
-def _string_partitions(spark: SparkSession):
-    """Disable partition type inference while a reader builds its file
-    index (it does so eagerly). The setting is session-wide: do not create
-    readers from several threads of one session at the same time."""
-    old = spark.conf.get(_INFER, "true")
-    spark.conf.set(_INFER, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_INFER, old)
+
+def _layout(spark: SparkSession, path: str) -> tuple[list[str], str]:
+    """(partition columns, a folder of data files) of the dataset at ``path``.
+
+    Goes down the first ``column=value`` folders that end in a data file: a few
+    listings of one folder each, whatever the number of files.
+    """
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def down(folder, columns):
+        folders = []
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if not status.isDirectory():
+                if not _hidden(name):
+                    return columns, folder.toString()
+            elif "=" in name and not _hidden(name):
+                folders.append(status.getPath())
+        for inner in folders:
+            found = down(inner, [*columns, inner.getName().split("=", 1)[0]])
+            if found is not None:
+                return found
+        return None
+
+    if not fs.exists(hpath) or not fs.getFileStatus(hpath).isDirectory():
+        return [], path
+    return down(hpath, []) or ([], path)
+
+
+def as_text(schema: StructType, columns: list[str]) -> StructType:
+    """``schema`` with ``columns`` last, as strings."""
+    found = StructType([f for f in schema.fields if f.name not in columns])
+    for c in columns:
+        found = found.add(c, StringType())
+    return found
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """A parquet dataset; partition columns as strings. ``merge_schema``
     unions the columns of files written with different schemas (a column
     absent from a file reads as NULL)."""
-    with _string_partitions(spark):
-        # The file index (and partition schema) is built here, eagerly.
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    columns, folder = _layout(spark, path)
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if not columns:
+        return reader.parquet(path)
+    schema = reader.parquet(path if merge_schema else folder).schema
+    return spark.read.schema(as_text(schema, columns)).parquet(path)
 
 
 def union_schema(spark: SparkSession, root: str) -> StructType:
     """The columns of all files under ``root`` (tag columns come and go over
     the months). Footers are read in a distributed job, data is not."""
-    return read_parquet(spark, root, merge_schema=True).schema
+    found = spark.read.option("mergeSchema", "true").parquet(root).schema
+    return as_text(found, _layout(spark, root)[0])
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, modificationTime, length, partition columns) of the files under
+    """(path, modificationTime, length, year, month) of the files under
     ``root``. The listing is Spark's own (distributed over folders where there
     are many); file contents are not read."""
-    with _string_partitions(spark):
-        return spark.read.format("binaryFile").load(root).drop("content")
+    files = spark.read.format("binaryFile").load(root).select("path", "modificationTime", "length")
+    # from the path, as text: a partition column would be read as a number
+    of = {c: F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)) for c in ("year", "month")}
+    return files.withColumns(of)
 
 
 def partition_dirs(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
@@ -75,6 +109,31 @@ def partition_dirs(spark: SparkSession, root: str) -> list[tuple[str, str, str]]
     return out
 
 
+def month_number(year: str, month: str) -> tuple[int, int] | None:
+    """The month as numbers ('09' and '9' are the same); None for anything else."""
+    return (int(year), int(month)) if year.isdigit() and month.isdigit() else None
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The ``column=value`` folders in ``path`` (none where it does not exist)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    inner = [s.getPath() for s in fs.listStatus(hpath) if s.isDirectory()]
+    return [p.toString() for p in inner if "=" in p.getName() and not _hidden(p.getName())]
+
+
+def any_file(spark: SparkSession, folder: str) -> str | None:
+    """A data file in ``folder`` itself, if it holds one."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hpath):
+        if not status.isDirectory() and not _hidden(status.getPath().getName()):
+            return status.getPath().toString()
+    return None
+
+
 def read_months(
     spark: SparkSession,
     root: str,
@@ -97,12 +156,14 @@ def read_months(
         if wanted is not None and (y, str(int(m))) not in wanted:
             continue
         paths.append(path)
-    with _string_partitions(spark):
-        if not paths:
-            return spark.createDataFrame([], schema or union_schema(spark, root))
+    if not paths:
+        return spark.createDataFrame([], schema or union_schema(spark, root))
+    reader = spark.read.option("basePath", root)
+    if schema is None:
+        found = reader.option("mergeSchema", "true").parquet(*paths).schema
+        schema = as_text(found, _layout(spark, root)[0])
         reader = spark.read.option("basePath", root)
-        reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
-        return reader.parquet(*paths)
+    return reader.schema(schema).parquet(*paths)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

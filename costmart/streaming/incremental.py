@@ -1,8 +1,8 @@
-"""Incremental fact maintenance.
+"""Incremental maintenance of the fact, or of the whole mart (``mart_root``).
 
 Two ways tell which months of the year/month-partitioned CUR dataset changed;
-those months are recomputed from the full CUR table and written with dynamic
-partition overwrite. A month's sums need all of its rows, so a delta alone is
+those months are recomputed from the full CUR table and replaced (a month left
+without rows is removed). A month's sums need all of its rows, so a delta alone is
 never aggregated into the fact.
 
 * ``run_until_caught_up`` (scheduled runs) compares a manifest of the files
@@ -10,7 +10,8 @@ never aggregated into the fact.
   distributed join. It sees new, rewritten and removed files of any age;
   billing exports rewrite the open month in place.
 * ``start`` is a Structured Streaming file source for continuous runs. It
-  sees new files only (that is how the source tracks files).
+  sees the rows of new files only (that is how the source tracks files), so
+  not a month whose rows were withdrawn.
 
 Properties:
 * Replaying a batch (after a failure) recomputes the same months from the
@@ -32,6 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dates
 from ..operators import fact
+from ..plans import mart
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import readers
@@ -49,10 +51,16 @@ def refresh_months(
     months: list[tuple[str, str]],
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    mart_root: str | None = None,
+    lookups: dict | None = None,
 ) -> list[tuple[str, str]]:
     """Recompute the fact for ``months`` from the whole CUR dataset and
     replace those partitions. Returns the months refreshed: those of the
-    rolling window. A month without any rows left loses its fact rows."""
+    rolling window. A month without any rows left loses its fact rows.
+
+    With ``mart_root`` the fact is that of the mart there (``fact_path`` is not
+    used) and the months' keys are merged into its four dimensions in the same
+    run; ``lookups`` are the inventories that ``mart.refresh`` takes."""
     if months_back is not None:
         # months before the rolling window contribute no rows; skip them
         start = dates.window_start(dates.as_date(as_of), months_back)
@@ -62,12 +70,11 @@ def refresh_months(
     # only the touched months' rows are read, with the columns of all months
     schema = readers.union_schema(spark, cur_path)
     cur = readers.read_months(spark, cur_path, months=months, schema=schema)
-    rows = fact.fact_direct(cur, as_of=as_of, months_back=months_back)
-    writers.write_partitioned(rows, fact_path)
-    stored = {(int(y), int(m)) for y, m, _ in readers.partition_dirs(spark, cur_path)}
-    for y, m, path in readers.partition_dirs(spark, fact_path):
-        if (int(y), int(m)) not in stored and (y, str(int(m))) in {(a, str(int(b))) for a, b in months}:
-            readers.delete(spark, path)
+    if mart_root is not None:
+        mart.refresh(spark, cur, mart_root, months, as_of, months_back, **(lookups or {}))
+        return months
+    wanted = {readers.month_number(y, m) for y, m in months}
+    writers.replace_months(fact.fact_direct(cur, as_of=as_of, months_back=months_back), fact_path, wanted.__contains__)
     return months
 
 
@@ -103,6 +110,8 @@ def start(
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
     defer_refresh: bool = False,
+    mart_root: str | None = None,
+    lookups: dict | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once caught up.
 
@@ -125,7 +134,8 @@ def start(
             # a replayed batch appends the same months again: harmless
             batch.select("year", "month").distinct().write.mode("append").parquet(pending)
         else:
-            refresh_months(batch.sparkSession, cur_path, fact_path, touched_months(batch), as_of, months_back)
+            months = touched_months(batch)
+            refresh_months(batch.sparkSession, cur_path, fact_path, months, as_of, months_back, mart_root, lookups)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -139,6 +149,8 @@ def refresh_pending(
     checkpoint_location: str,
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    mart_root: str | None = None,
+    lookups: dict | None = None,
 ) -> list[tuple[str, str]]:
     """Recompute every pending month once, then clear the pending table but
     for the months outside the window. If the refresh fails the months stay
@@ -149,7 +161,7 @@ def refresh_pending(
         return []
     # explicit schema: a batch of empty files leaves a folder without rows
     months = touched_months(spark.read.schema("year string, month string").parquet(pending))
-    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
+    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back, mart_root, lookups)
     readers.delete(spark, pending)
     if left := [m for m in months if m not in done]:
         spark.createDataFrame(left, "year string, month string").write.mode("append").parquet(pending)
@@ -163,6 +175,8 @@ def run_until_caught_up(
     checkpoint_location: str,
     as_of: _dt.date | str | None = None,
     months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    mart_root: str | None = None,
+    lookups: dict | None = None,
 ) -> list[tuple[str, str]]:
     """Refresh the months whose files changed since the last run, each once.
     Returns the months refreshed."""
@@ -174,7 +188,7 @@ def run_until_caught_up(
     now = spark.read.schema(schema).parquet(path)
     before = spark.read.schema(schema).parquet(stored) if readers.exists(spark, stored) else now.limit(0)
     months = touched_months(changed_files(now, before))
-    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back)
+    done = refresh_months(spark, cur_path, fact_path, months, as_of, months_back, mart_root, lookups)
     if months:
         left = [f"{y}-{m}" for y, m in months if (y, m) not in done]
         outside = F.concat_ws("-", "year", "month").isin(left)
