@@ -29,11 +29,13 @@ empty table gives empty results.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ BLOCK_PAIRS = 2 << 20  # pairs of one lookup table: some 26 MB in a Python worke
 MERGE = 1 << 22  # counted pairs that a task holds before it adds equal ones
 HOT = 1000  # texts of more than 1 / HOT of the rows (fewer than HOT of them) are joined by broadcast
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+# Fixed value: the public split pattern of byte-level vocabularies of this kind.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -61,6 +65,20 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _merges_follow_ids(definition: dict) -> bool:
+    """Whether the file is plain byte-level BPE whose merges are in the order of the ids they
+    make: then a token's id is its merge rank, and an encoder by ranks gives the same ids."""
+    model, split = definition["model"], definition.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(
+        model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    plain = plain and definition.get("normalizer") is None and split.get("type") == "ByteLevel"
+    plain = plain and not split.get("add_prefix_space") and split.get("use_regex", True)
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", ())]
+    vocab = model.get("vocab", {})
+    return plain and len(vocab) == 256 + len(merged) and all(vocab.get(m) == 256 + i for i, m in enumerate(merged))
+
+
 class Tokenizers:
     """Both tokenizers of one worker, and the bytes of their tokens."""
 
@@ -77,6 +95,13 @@ class Tokenizers:
         for token, i in self.a.get_vocab().items():
             known = all(c in symbols for c in token)
             self.a_bytes[i] = bytes(symbols[c] for c in token) if known else token.encode()
+        self.ranked = None
+        definition = json.loads(a_json)
+        if _merges_follow_ids(definition):
+            import tiktoken
+
+            ranks = {self.a_bytes[i]: i for i in definition["model"]["vocab"].values()}
+            self.ranked = tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
@@ -85,6 +110,7 @@ class Tokenizers:
         self.cuts = not any(" " in p.decode(errors="replace").lstrip(" ") for p in self.b_bytes)
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_flat, self.b_flat = _Flat(self.a_bytes, self.a_size), _Flat(self.b_bytes, self.b_size)
         self.a_text, self.b_text = _decimal(len(self.a_bytes)), _decimal(len(self.b_bytes))
 
     def parts(self, text: str) -> Iterator[str]:
@@ -98,13 +124,52 @@ class Tokenizers:
             first = place.end()
         yield text[first:] if first else text
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+    def encode(self, parts: list[str]) -> tuple[list, list]:
+        """Ids of each part under A and B."""
+        spaced = [" " + p for p in parts]
+        if self.ranked is not None:
+            a = [self._by_rank(p) for p in spaced]
+        else:
+            a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
         return a, self.b.encode(parts, num_threads=1)
 
-    def faithful(self, part: str, a: list[int], b: list[int]) -> bool:
-        whole = (" " + part).encode()
-        return b"".join([self.a_bytes[i] for i in a]) == whole and b"".join([self.b_bytes[i] for i in b]) == whole
+    def _by_rank(self, part: str) -> np.ndarray:
+        try:
+            return self.ranked.encode_to_numpy(part, disallowed_special=())
+        except ValueError:  # its splitter gives up on very long runs of white space; the other one does not
+            return np.array(self.a.encode(part, add_special_tokens=False).ids, np.uint32)
+
+    def faithful(self, parts: list[str], a: list, b: list) -> list[bool]:
+        """Whether the joined token bytes of both are those of each part after a space."""
+        whole = [(" " + p).encode() for p in parts]
+        good = [True] * len(parts)
+        for flat, ids in ((self.a_flat, a), (self.b_flat, b)):
+            all_ids = _flat(ids)
+            stop = np.concatenate(([0], np.cumsum(flat.size[all_ids])))[np.cumsum([0, *map(len, ids)])].tolist()
+            joined = flat.joined(all_ids)
+            good = [ok and joined[i:j] == w for ok, w, i, j in zip(good, whole, stop, stop[1:])]
+        return good
+
+
+def _flat(ids: list) -> np.ndarray:
+    """The ids of all parts in one array."""
+    if ids and isinstance(ids[0], np.ndarray):
+        return np.concatenate(ids).astype(np.int64)
+    return np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+
+
+class _Flat:
+    """The bytes of a vocabulary's tokens, joined without a loop over tokens."""
+
+    def __init__(self, tokens: list[bytes], size: np.ndarray):
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.size, self.start = size, np.cumsum(size) - size
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        at = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.start[ids] - (stop - size), size)
+        return self.data[at].tobytes()
 
 
 def _decimal(size: int) -> np.ndarray:
@@ -143,20 +208,17 @@ class Aligner:
         return len(self.tok.a_bytes) * self.width
 
     def _add(self, lot: list[tuple[int, str]]) -> None:
-        a, b = self.tok.encode([part for _, part in lot])
-        kept = []
-        for i, (k, part) in enumerate(lot):
-            if self.good[k] and self.tok.faithful(part, a[i], b[i]):
-                kept.append(i)
-            else:
-                self.good[k] = False
-        kept = [i for i in kept if self.good[lot[i][0]]]
+        parts = [part for _, part in lot]
+        a, b = self.tok.encode(parts)
+        for (k, _), ok in zip(lot, self.tok.faithful(parts, a, b)):
+            self.good[k] &= ok
+        kept = [i for i, (k, _) in enumerate(lot) if self.good[k]]
         if not kept:
             return
         owner = np.array([lot[i][0] for i in kept])
-        a_count, b_count = np.array([len(a[i]) for i in kept]), np.array([len(b[i]) for i in kept])
-        a_ids = np.fromiter((x for i in kept for x in a[i]), np.int64, int(a_count.sum()))
-        b_ids = np.fromiter((x for i in kept for x in b[i]), np.int64, int(b_count.sum()))
+        a, b = [a[i] for i in kept], [b[i] for i in kept]
+        a_count, b_count = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        a_ids, b_ids = _flat(a), _flat(b)
         a_stop, b_stop = np.cumsum(self.tok.a_size[a_ids]), np.cumsum(self.tok.b_size[b_ids])
         ends = np.zeros(int(a_stop[-1]) + 1, np.uint8)
         ends[a_stop] |= 1

@@ -134,13 +134,39 @@ def test_cuts_change_nothing(spark, tok, monkeypatch):
 
 
 def test_texts_that_tokens_do_not_give_back(tok, monkeypatch):
-    monkeypatch.setattr(tok, "faithful", lambda part, a, b: "bad" not in part)
+    monkeypatch.setattr(tok, "faithful", lambda parts, a, b: ["bad" not in p for p in parts])
     monkeypatch.setattr(token_align, "PART", 5)
     found = token_align.Aligner(tok, ["good words", "some words then bad words and more", None, ""])
     assert found.counts[:, 1:].sum() == 0 and found.counts[0, 0] > 0
     assert found.sha[1:] == ["", "", ""] and found.offsets.tolist()[1:] == [len(found.pair)] * 4
 
 
+def test_joined_bytes(tok):
+    a, b = tok.encode(["one two", "ümlaut"])
+    assert tok.faithful(["one two", "ümlaut"], a, b) == [True, True]
+    assert tok.faithful(["one twO", "ümlaut"], a, b) == [False, True]
+    assert tok.faithful(["one two", "ümlaut"], a, [b[0], b[0]]) == [True, False]
+    assert tok.faithful(["one two", "ümlaut"], [a[0], a[1][:0]], b) == [True, False]
+
+
+def test_both_encoders_of_the_file_agree(tok, monkeypatch):
+    """Ids by merge rank are those of the tokenizer that the file defines."""
+    assert tok.ranked is not None
+    texts = TEXTS + ["a" * 5000, " " * 5000, "ab" * 3000, "!?" * 2000, "\n" * 3000, "x" + " " * 1_000_000 + "y", "".join(map(chr, range(1, 0x3000)))]
+    fast = [list(map(int, x)) for x in tok.encode(texts)[0]]
+    monkeypatch.setattr(tok, "ranked", None)
+    assert fast == tok.encode(texts)[0]
+
+
+def test_a_file_that_merges_out_of_order_is_not_ranked():
+    import json
+
+    definition = json.loads(open(FILES[0], encoding="utf-8").read())
+    assert token_align._merges_follow_ids(definition)
+    definition["model"]["merges"][:2] = definition["model"]["merges"][1::-1]
+    assert not token_align._merges_follow_ids(definition)
+
+
 def test_empty(spark):
     found = token_align.align(spark.createDataFrame([], "doc_id long, text string"))
     assert found.documents.count() == 0 and found.pairs.count() == 0
