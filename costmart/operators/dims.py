@@ -16,6 +16,7 @@ from ..functions import keys
 from . import enrich
 
 TAG_KEY = "tag_dim_id"
+TAG_SET_KEY = "tag_set_id"
 RESOURCE_KEY = "aws_product_dim_id"
 ACCOUNT_KEY = "aws_account_dim_id"
 DATE_KEY = "date_dim_id"
@@ -30,6 +31,34 @@ def tag_dim(source: DataFrame, tag_prefix: str = C.TAG_PREFIX) -> DataFrame:
     return distinct.withColumn(TAG_KEY, keys.surrogate_key(tags))
 
 
+def tag_key_map(tag_dim_rows: DataFrame, tag_prefix: str = C.TAG_PREFIX) -> DataFrame:
+    """(tag_dim_id, tag_set_id) of a tag dimension's rows.
+
+    ``tag_dim_id`` hashes one value for each tag column that existed when it was
+    made, so the same tags get another id once a column is added; ``tag_set_id``
+    depends on the non-empty tags only. The map leads the ids of any time to it."""
+    tags = C.tag_columns(tag_dim_rows, tag_prefix)
+    return tag_dim_rows.select(TAG_KEY, keys.tag_set_key(tags).alias(TAG_SET_KEY)).distinct()
+
+
+def tag_set_dim(tag_dim_rows: DataFrame, tag_prefix: str = C.TAG_PREFIX) -> DataFrame:
+    """One row per set of non-empty tags, whatever ids it has had: the tag
+    columns ('' where absent) and ``tag_set_id``."""
+    tags = C.tag_columns(tag_dim_rows, tag_prefix)
+    distinct = tag_dim_rows.select(*[F.coalesce(F.col(t), F.lit("")).alias(t) for t in tags]).distinct()
+    return distinct.withColumn(TAG_SET_KEY, keys.tag_set_key(tags))
+
+
+def by_tag_set(fact_rows: DataFrame, tag_keys: DataFrame, measures: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of fact rows of any time by ``tag_set_id`` (and the ``by`` columns).
+
+    The fact is added up by its own tag ids first, so an id that a third of the
+    rows have (no tags) meets the map as a row a task and not as a hot key."""
+    per_id = fact_rows.groupBy(TAG_KEY, *by).agg(*[F.sum(m).alias(m) for m in measures])
+    met = per_id.join(tag_keys.select(TAG_KEY, TAG_SET_KEY), TAG_KEY, "left")
+    return met.groupBy(TAG_SET_KEY, *by).agg(*[F.sum(m).alias(m) for m in measures])
+
+
 def account_dim(cur: DataFrame) -> DataFrame:
     """Distinct (payer, usage account) pairs of the whole raw table."""
     return (

@@ -39,7 +39,7 @@ def _computed_keys() -> dict[str, Column]:
 
 
 # Summary columns that are a copy of a resource column (grouped once).
-_ALIASES_OF_RESOURCE = {
+ALIASES_OF_RESOURCE = {
     "product_code": C.PRODUCT_CODE,
     "product_family": C.PRODUCT_FAMILY,
     "operation": C.OPERATION,
@@ -192,7 +192,7 @@ def summary(
     tags = C.tag_columns(cur, tag_prefix)
 
     computed = _computed_keys()
-    renamed = [(raw, name) for raw, name in C.RENAMED_KEYS if name not in _ALIASES_OF_RESOURCE]
+    renamed = [(raw, name) for raw, name in C.RENAMED_KEYS if name not in ALIASES_OF_RESOURCE]
     keys = (
         [F.col(raw).alias(name) for raw, name in renamed]
         + [expr.alias(name) for name, expr in computed.items()]
@@ -214,7 +214,7 @@ def summary(
         service_name = service_name_arms(RAW_SERVICE_NAME, *names)
     key_exprs = {name: F.col(name) for _, name in renamed}
     key_exprs.update({name: F.col(name) for name in computed})
-    key_exprs.update({name: F.col(raw) for name, raw in _ALIASES_OF_RESOURCE.items()})
+    key_exprs.update({name: F.col(raw) for name, raw in ALIASES_OF_RESOURCE.items()})
     key_exprs["charge_category"] = classify.charge_category("charge_type")
     key_exprs["service"] = classify.service("billing_entity", "charge_type", "product_name")
     return labelled.select(

@@ -45,11 +45,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--rules", help="service rule table (product_code, service_name) in place of the built-in one")
     p.add_argument("--all-months", dest="all_months", action="store_true", help="backfill: no rolling window")
     p.add_argument("--warehouse-db", dest="warehouse_db", help="also load the mart into this catalog database")
+    p.add_argument("--summary-view", dest="summary_view",
+                   help="also create or replace this catalog view: the summary of the --cur table")
     p.add_argument("--incremental", action="store_true",
                    help="read only files that changed since the last incremental run into --out")
     a = p.parse_args(argv)
     if (a.year is None) != (a.month is None):
         p.error("give both --year and --month, or neither")
+    if a.summary_view and _is_path(a.cur):
+        p.error("--summary-view takes a --cur table")
     if a.incremental and (a.year is not None or not _is_path(a.cur)):
         p.error("--incremental takes a --cur path and no --year/--month")
     return a
@@ -70,6 +74,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     accounts = spark.table(a.accounts) if a.accounts else None
     lookups = {"instances": instances, "rules": rules, "accounts": accounts, "with_name": a.with_name}
     as_of = dates.as_date(a.as_of) if a.as_of else jobs.today_in(a.zone)
+    if a.summary_view:  # its window ends at the day of each query, unless --as-of is given
+        pairs = None if rules is None else [tuple(r) for r in rules.collect()]
+        months_back = None if a.all_months else a.months_back
+        jobs.create_summary_view(spark, a.cur, a.summary_view, a.as_of, months_back, rules=pairs)
     if a.year is not None:
         # one-month re-run: only that month is listed and read, only that month of the fact
         # replaced; its keys are merged into the dimensions

@@ -15,8 +15,9 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import columns as C
 from ..functions import dates
-from ..operators import fact, summary
+from ..operators import fact, summary, summary_sql
 from ..sinks import writers
 from ..sources import readers
 from . import mart
@@ -105,3 +106,25 @@ def register_summary_view(
     df = summary.summary(cur, as_of=as_of, **kw)
     df.createOrReplaceTempView(name)
     return df
+
+
+def create_summary_view(
+    spark: SparkSession,
+    table: str,
+    view: str,
+    as_of: _dt.date | str | None = None,
+    months_back: int | None = dates.DEFAULT_MONTHS_BACK,
+    tag_prefix: str = C.TAG_PREFIX,
+    rules: list[tuple[str, str]] | None = None,
+) -> str:
+    """Create or replace the catalog view ``view``: the summary of catalog
+    table ``table``, which every session reads, its window ending at the day of
+    each query unless ``as_of`` is given. The tag columns are those that the
+    table has now; run it again when it gets further ones. ``rules`` are
+    (product code, service name) pairs in place of the built-in list. Returns
+    the view's SQL text."""
+    cur = spark.table(table)
+    C.require_columns(cur, C.REQUIRED_CUR_COLUMNS)
+    statement = summary_sql.view_text(view, table, C.tag_columns(cur, tag_prefix), as_of, months_back, rules)
+    spark.sql(statement)
+    return statement

@@ -136,7 +136,7 @@ def write(mart: Mart, root: str, concurrent: bool = True) -> dict[str, str]:
     paths = {name: f"{root}/{name}" for name in ("cost_insights_fact", "tag_dim", "resource_dim", "account_dim", "date_dim")}
     tasks = [
         lambda: _write_fact(mart, paths["cost_insights_fact"]),
-        lambda: writers.merge_keys(mart.tag_dim, paths["tag_dim"], "tag_dim_id", absent=""),
+        lambda: merge_tags(mart.tag_dim, root),
         lambda: writers.merge_keys(mart.resource_dim, paths["resource_dim"], dims.RESOURCE_KEY),
         lambda: writers.write_if_any(mart.account_dim, lambda d: writers.replace_dataset(d, paths["account_dim"])),
         lambda: writers.replace_dataset(mart.date_dim, paths["date_dim"]),
@@ -187,11 +187,28 @@ def refresh(
 
 def merge_attributes(wide: DataFrame, root: str, instances: DataFrame | None, with_name: bool = False) -> None:
     """Merge the tag and resource keys of a wide fact into the stored dimensions."""
-    writers.merge_keys(dims.tag_dim(wide), f"{root}/tag_dim", dims.TAG_KEY, absent="")
+    merge_tags(dims.tag_dim(wide), root)
     resources = dims.resource_dim(wide, instances, with_name=with_name)
     writers.merge_keys(resources, f"{root}/resource_dim", dims.RESOURCE_KEY)
 
 
+def merge_tags(tags: DataFrame, root: str) -> None:
+    """Merge tag rows into the stored dimension, and their stable keys beside it
+    (``tag_key_map``, ``tag_set_dim``). A mart that was written without stable
+    keys gets those of its stored rows first."""
+    spark = tags.sparkSession
+    stored, map_path, sets_path = f"{root}/tag_dim", f"{root}/tag_key_map", f"{root}/tag_set_dim"
+    if readers.exists(spark, stored) and not readers.exists(spark, map_path):
+        _merge_tag_sets(readers.read_parquet(spark, stored, merge_schema=True), map_path, sets_path)
+    _merge_tag_sets(tags, map_path, sets_path)
+    writers.merge_keys(tags, stored, dims.TAG_KEY, absent="")
+
+
+def _merge_tag_sets(tags: DataFrame, map_path: str, sets_path: str) -> None:
+    writers.merge_keys(dims.tag_set_dim(tags), sets_path, dims.TAG_SET_KEY, absent="")
+    writers.merge_keys(dims.tag_key_map(tags), map_path, dims.TAG_KEY)
+
+
 def merge_accounts(pairs: DataFrame, root: str, accounts: DataFrame | None) -> None:
     """Add the (payer, usage account) pairs to the stored account dimension."""
     path = f"{root}/account_dim"

@@ -853,3 +853,71 @@ def q_partials_whole_history(spark, sf_dir):
     return days.select(F.lit("date_dim").alias("dim"), F.col(dims.DATE_KEY).alias("key"), F.col("month_attr").alias("detail")).union(
         accounts.select(F.lit("account_dim"), C.USAGE_ACCOUNT, C.PAYER)
     )
+
+
+# ------------------------------------------------ stable tag keys, stored view
+def _two_tag_schemes(spark, sf_dir) -> str:
+    """A mart whose early run knew the env tag only; the months before the later run's window keep its ids."""
+    from ..session import scratch_path
+    from . import mart
+
+    cur, root = _cur(spark, sf_dir), scratch_path(spark, "mart")
+    mart.write(mart.build(_early_cur(cur).drop("resource_tags_user_team"), as_of=EARLY_AS_OF), root)
+    mart.write(mart.build(cur, as_of=FX.AS_OF), root)
+    return root
+
+
+_TAG_SCHEMES = (
+    f"WITH {O.cur_cte()}, {_early_cte()}, {O.view_cte(EARLY_AS_OF, name='v1', source='cur1', tags=_ENV)}, {O.view_cte()}, "
+    f"t AS (SELECT DISTINCT {O.TAGS[0]}, '' AS {O.TAGS[1]}, sha256(concat_ws('||', {O.TAGS[0]})) AS tag_dim_id FROM v1 "
+    f"UNION {O.tag_dim_select('v')})"
+)
+
+
+@register("tag_key_map", f"{_TAG_SCHEMES} SELECT DISTINCT tag_dim_id, {O.tag_set_key(O.TAGS)} AS tag_set_id FROM t")
+def q_tag_key_map(spark, sf_dir):
+    """From the tag ids of both runs to the stable key."""
+    from ..sources import readers
+
+    return readers.read_parquet(spark, f"{_two_tag_schemes(spark, sf_dir)}/tag_key_map")
+
+
+@register("tag_set_dim", f"{_TAG_SCHEMES} SELECT DISTINCT {', '.join(O.TAGS)}, {O.tag_set_key(O.TAGS)} AS tag_set_id FROM t")
+def q_tag_set_dim(spark, sf_dir):
+    """One row for the same tags before and after a tag column was added."""
+    from ..sources import readers
+
+    return readers.read_parquet(spark, f"{_two_tag_schemes(spark, sf_dir)}/tag_set_dim", merge_schema=True)
+
+
+@register(
+    "cost_by_tag_set",
+    f"{_TAG_SCHEMES}, f AS (SELECT {O.TAGS[0]}, '' AS {O.TAGS[1]}, amortized_cost, unblended_cost FROM v1 "
+    "WHERE month::INT < 4 UNION ALL "
+    f"SELECT {', '.join(O.TAGS)}, amortized_cost, unblended_cost FROM v) "
+    f"SELECT {O.tag_set_key(O.TAGS)} AS tag_set_id, CAST(sum(amortized_cost) AS {O.MONEY}) AS amortized_cost, "
+    f"CAST(sum(unblended_cost) AS {O.MONEY}) AS unblended_cost FROM f GROUP BY 1",
+)
+def q_cost_by_tag_set(spark, sf_dir):
+    """Cost by tags over months that were written under different tag columns."""
+    from ..sources import readers
+
+    root = _two_tag_schemes(spark, sf_dir)
+    measures = ["amortized_cost", "unblended_cost"]
+    sums = dims.by_tag_set(
+        readers.read_parquet(spark, f"{root}/cost_insights_fact"), readers.read_parquet(spark, f"{root}/tag_key_map"), measures
+    )
+    return money(sums, measures)
+
+
+@register("summary_view_stored", ORACLE["summary_view"])
+def q_summary_view_stored(spark, sf_dir):
+    """The summary as a catalog view over a catalog table, read by another session."""
+    from . import jobs
+
+    db = _scratch_db(spark, "view")
+    cur = _cur(spark, sf_dir)
+    cur.hint("rebalance", "year", "month").write.partitionBy("year", "month").format("parquet").saveAsTable(f"{db}.cur")
+    jobs.create_summary_view(spark, f"{db}.cur", f"{db}.summary_view", as_of=FX.AS_OF)
+    other = configure(spark.newSession())
+    return money(other.table(f"{db}.summary_view"), C.MEASURES)
