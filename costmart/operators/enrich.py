@@ -38,7 +38,7 @@ def instance_attributes(instances: DataFrame) -> DataFrame:
     )
 
 
-def _probe(df: DataFrame, wanted: Column, key: Column) -> Column:
+def probe(df: DataFrame, wanted: Column, key: Column) -> Column:
     """``key`` where ``wanted`` and not NULL; else a salted key that matches nothing."""
     salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
     return F.when(wanted & key.isNotNull(), key).otherwise(salt)
@@ -77,7 +77,7 @@ def with_instance_lookup(
         [f"__inv_{k}" for k, _ in key_cols],
         [f"__inv_{out}" for out in outputs],
     )
-    probed = flagged.withColumn("__probe", _probe(df, F.col(_FLAG), F.col(id_column)))
+    probed = flagged.withColumn("__probe", probe(df, F.col(_FLAG), F.col(id_column)))
     cond = F.col("__probe") == F.col("__inv_instance_id")
     if account_column:
         cond = cond & (F.col(account_column) == F.col("__inv_account_id"))
@@ -106,7 +106,7 @@ def with_lookup(
     miss, NULL where not wanted."""
     right = table.select(F.col(table_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
     right = _one_per_key(right, ["__lk_key"], ["__lk_val"])
-    probed = df.withColumns({_FLAG: wanted, "__lk_probe": _probe(df, wanted, key)})
+    probed = df.withColumns({_FLAG: wanted, "__lk_probe": probe(df, wanted, key)})
     joined = probed.join(right, F.col("__lk_probe") == F.col("__lk_key"), "left")
     return joined.withColumn(
         out, F.when(F.col(_FLAG), F.coalesce(F.col("__lk_val"), F.lit(""))).otherwise(F.lit(None).cast("string"))

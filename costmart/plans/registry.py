@@ -921,3 +921,132 @@ def q_summary_view_stored(spark, sf_dir):
     jobs.create_summary_view(spark, f"{db}.cur", f"{db}.summary_view", as_of=FX.AS_OF)
     other = configure(spark.newSession())
     return money(other.table(f"{db}.summary_view"), C.MEASURES)
+
+
+# ------------------------------- roll-ups, lookups as of a day, rules as data
+_PERIODS = {
+    "all": "true",
+    "summer": "year = '2001' AND month IN ('6', '7', '8')",
+    "september": "year = '2001' AND month = '9'",
+}
+
+
+@register(
+    "distinct_resource_rollup",
+    O.with_view(
+        " UNION ALL ".join(
+            f"SELECT '{period}' AS period, product_servicename, CAST(count(DISTINCT line_item_resource_id) AS BIGINT) "
+            f"AS resources, true AS within_bound FROM v WHERE {where} GROUP BY product_servicename"
+            for period, where in _PERIODS.items()
+        )
+    ),
+)
+def q_distinct_resource_rollup(spark, sf_dir):
+    """Distinct resources by service over sets of months: the estimates from stored monthly
+    sketches lie within their stated error of the exact counts."""
+    from ..operators import rollup
+    from ..session import scratch_path
+    from ..sinks import writers
+    from ..sources import readers
+
+    cur, path = _cur(spark, sf_dir), scratch_path(spark, "sketches")
+    writers.write_partitioned(rollup.resource_sketches(cur, as_of=FX.AS_OF), path)
+    stored = readers.read_parquet(spark, path)
+    rows = summary.line_items(cur, FX.AS_OF)
+    out = None
+    for period, where in _PERIODS.items():
+        estimate = rollup.distinct_resources(stored.where(where), C.SERVICE_NAME).alias("e")
+        exact = rows.where(where).groupBy(C.SERVICE_NAME).agg(F.count_distinct(C.RESOURCE_ID).alias("exact")).alias("x")
+        met = exact.join(estimate, F.col(f"x.{C.SERVICE_NAME}").eqNullSafe(F.col(f"e.{C.SERVICE_NAME}")), "left")
+        within = F.abs(F.col("resources") - F.col("exact")) <= F.col("exact") * rollup.bound()
+        part = met.select(
+            F.lit(period).alias("period"), F.col(f"x.{C.SERVICE_NAME}").alias(C.SERVICE_NAME),
+            F.col("exact").alias("resources"), F.coalesce(within, F.lit(False)).alias("within_bound"),
+        )
+        out = part if out is None else out.union(part)
+    return out
+
+
+@register(
+    "instance_address_as_of",
+    O.with_view(
+        f", h AS ({FX.instance_history_sql()}), "
+        "d AS (SELECT DISTINCT CAST(usage_date AS DATE) AS usage_day, product_servicename, "
+        "regexp_extract(line_item_resource_id, '[^:]*$') AS resource_id FROM v) "
+        "SELECT d.usage_day, d.product_servicename, d.resource_id, "
+        f"CASE WHEN {_EC2_I} THEN coalesce(h.private_ip, '') END AS secondary_identifier "
+        "FROM d LEFT JOIN h ON h.instance_id = d.resource_id AND d.usage_day >= h.valid_from "
+        "AND (h.valid_to IS NULL OR d.usage_day < h.valid_to)"
+    ),
+)
+def q_instance_address_as_of(spark, sf_dir):
+    """The address each instance had on each day it was used, though addresses moved."""
+    from ..functions import keys
+    from ..operators import asof
+
+    rows = summary.line_items(_cur(spark, sf_dir), FX.AS_OF)
+    used = rows.select(
+        F.to_date(C.USAGE_START).alias("usage_day"), C.SERVICE_NAME, keys.short_resource_id(F.col(C.RESOURCE_ID)).alias("resource_id")
+    ).distinct()
+    history = FX.instance_history_from_tables(spark, sf_dir)
+    return asof.instance_addresses(used, history, "usage_day", dims.is_ec2_instance())
+
+
+_NAME_ARGS = ("product_servicename", "line_item_product_code", "line_item_line_item_type", "bill_billing_entity", "product_product_name")
+
+
+def _named_sql(case: str) -> str:
+    return (
+        f"WITH {O.cur_cte()} SELECT line_item_product_code AS product_code, {case} AS service_name, "
+        f"count(*) AS line_items, CAST(sum(line_item_unblended_cost) AS {O.MONEY}) AS unblended_cost "
+        f"FROM cur WHERE {O.window_predicate()} GROUP BY 1, 2"
+    )
+
+
+def _named(spark, sf_dir, rules: DataFrame) -> DataFrame:
+    from ..operators import user_rules
+
+    rows = summary.windowed(_cur(spark, sf_dir), FX.AS_OF, dates.DEFAULT_MONTHS_BACK)
+    named = user_rules.with_service_names(rows, rules, out="service_name")
+    return named.groupBy(F.col(C.PRODUCT_CODE).alias("product_code"), "service_name").agg(
+        F.count("*").alias("line_items"), F.sum(C.UNBLENDED).cast(MONEY).alias("unblended_cost")
+    )
+
+
+@register("service_name_rules_as_data", _named_sql(O.service_name_case(*_NAME_ARGS)))
+def q_service_name_rules_as_data(spark, sf_dir):
+    """The built-in names from ordered rules that are rows of a table."""
+    from ..operators import user_rules
+
+    return _named(spark, sf_dir, user_rules.builtin_rules(spark))
+
+
+USER_RULES = [
+    (10, None, "AmazonEC", True, None, None, "Compute and containers"),
+    (20, None, "Amazon", True, None, "AWS Marketplace", "Marketplace: {product_name}"),
+    (30, "", "A", True, "Usage", None, "Nameless usage"),
+    (30, "AWS Data Transfer", None, False, None, None, "Transfer"),
+    (40, None, "AmazonS3", False, None, None, "Storage"),
+    (50, None, "AmazonS3", True, None, None, "Storage, cold"),
+    (90, None, None, False, "Tax", None, "Taxes"),
+]
+
+
+@register(
+    "service_name_user_rules",
+    _named_sql(
+        "CASE WHEN starts_with(line_item_product_code, 'AmazonEC') THEN 'Compute and containers' "
+        "WHEN starts_with(line_item_product_code, 'Amazon') AND bill_billing_entity = 'AWS Marketplace' "
+        "THEN 'Marketplace: ' || product_product_name "
+        "WHEN product_servicename = '' AND starts_with(line_item_product_code, 'A') AND line_item_line_item_type = 'Usage' "
+        "THEN 'Nameless usage' WHEN product_servicename = 'AWS Data Transfer' THEN 'Transfer' "
+        "WHEN line_item_product_code = 'AmazonS3' THEN 'Storage' "
+        "WHEN starts_with(line_item_product_code, 'AmazonS3') THEN 'Storage, cold' "
+        "WHEN line_item_line_item_type = 'Tax' THEN 'Taxes' ELSE product_servicename END"
+    ),
+)
+def q_service_name_user_rules(spark, sf_dir):
+    """A user's own rules: prefixes, other conditions, priorities."""
+    from ..operators import user_rules
+
+    return _named(spark, sf_dir, spark.createDataFrame(USER_RULES, user_rules.SCHEMA))

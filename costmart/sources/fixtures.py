@@ -200,6 +200,39 @@ def instances_sql() -> str:
     return f"SELECT {cols} FROM part"
 
 
+# Addresses over time: each instance moves once, on a day of its own, and takes
+# the address that a neighbouring instance had before; parts with
+# partkey % 6 = 5 have a gap of three weeks, those with partkey % 9 = 4 end.
+_MOVED = "cast('2001-05-01' as date) + cast(p_partkey % 150 as int)"
+INSTANCE_HISTORY = [
+    (
+        "concat('i-', cast(p_partkey as varchar(20)))",
+        "concat('10.0.', cast(p_partkey % 199 as varchar(20)), '.1')",
+        "cast('1998-01-01' as date)",
+        f"case when p_partkey % 6 = 5 then {_MOVED} - 21 else {_MOVED} end",
+    ),
+    (
+        "concat('i-', cast(p_partkey as varchar(20)))",
+        "concat('10.0.', cast((p_partkey + 1) % 199 as varchar(20)), '.1')",
+        _MOVED,
+        "case when p_partkey % 9 = 4 then cast('2001-10-20' as date) end",
+    ),
+]
+_HISTORY_COLUMNS = ("instance_id", "private_ip", "valid_from", "valid_to")
+
+
+def instance_history_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(instance_id, private_ip, valid_from, valid_to): two rows a part."""
+    part = table(spark, sf_dir, "part")
+    parts = [part.selectExpr(*[f"{e} AS {n}" for n, e in zip(_HISTORY_COLUMNS, row)]) for row in INSTANCE_HISTORY]
+    return parts[0].union(parts[1])
+
+
+def instance_history_sql() -> str:
+    rows = [", ".join(f"{e} AS {n}" for n, e in zip(_HISTORY_COLUMNS, row)) for row in INSTANCE_HISTORY]
+    return " UNION ALL ".join(f"SELECT {r} FROM part" for r in rows)
+
+
 # Snapshot and volume inventories: one row per part, every part; ids of
 # parts with partkey % 3 = 0 are of deleted resources that no line item
 # references (lookup miss). Line items reference snapshots of parts with
