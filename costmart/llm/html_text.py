@@ -55,12 +55,23 @@ FURNITURE = frozenset("aside dialog footer form menu nav search".split())
 FURNITURE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
-FURNITURE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adbox|adsense|adslot|advert\w*|banner|breadcrumbs?|comments?|commentlist|"
-    r"consent|cookies?|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|"
-    r"notification|overlay|pager|pagination|popup|promo\w*|recommended|related|replies|reply|respond|share|sharing|"
-    r"sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|topbar|widgets?)(?:$|[\s_-])"
+# Words of names (class, id) that say furniture by themselves, and words that say it
+# only where the whole name is made of such words and stands outside an article.
+CERTAIN_WORDS = re.compile(
+    r"ads?|adbox|adsense|adslot|advert\w*|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|menu|"
+    r"modal|nav|navbar|navigation|newsletter|pager|pagination|popup|replies|respond|sidebar|signup|sponsor\w*|"
+    r"subscribe|subscription|toolbar|topbar"
 )
+POSSIBLE_WORDS = re.compile(
+    r"banner|header|masthead|notice|notification|overlay|promo\w*|recommended|related|reply|share|sharing|social|widgets?"
+)
+# Words that say nothing beside those.
+PLAIN_WORDS = re.compile(
+    r"area|articles?|bar|block|bottom|box|buttons?|container|content|form|global|group|icons?|inner|items?|left|links?|"
+    r"lists?|main|module|outer|page|pages|panel|posts?|right|section|side|site|slot|stories|story|thread|top|unit|wrap|"
+    r"wrapper|\d+"
+)
+FURNITURE_WORDS = re.compile(rf"(?:^|[\s_-])(?:{CERTAIN_WORDS.pattern}|{POSSIBLE_WORDS.pattern})(?:$|[\s_-])")
 LAYOUT_WORDS = re.compile(r"(?:^|(?<=[\s_-]))(?:with|has|no|without)[_-][a-z]+")  # say what stands beside
 TEXT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:$|[\s_-])")
 CONTAINERS = frozenset(["html", "body", "article", "main"])
@@ -75,66 +86,121 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
-LEGAL = re.compile(r"(?:©|\(c\)\s|copyright\b)", re.I)  # at the start of a line
+LEGAL = re.compile(r"(?:©|\(c\)\s*(?:©|\d{4})|copyright\s*(?:©|\(c\)|\d{4}))", re.I)  # at the start of a line
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOXES = frozenset("ul ol div table section dl".split())
 
 SHORT = 25  # characters; shorter paragraphs give no points, links of shorter labels are a sign of a menu
 LINKED = 0.66  # link density above which a box is one of links
 SIBLING_SHARE = 0.2
+PARAGRAPH = 80  # characters of a block, without its links, that make a box one of text
 
 
 class Node:
     __slots__ = (
         "tag", "parent", "skip", "weight", "link", "chars", "link_chars", "points", "order",
-        "legal_chars", "links", "labelled", "first", "own",
+        "links", "labelled", "first", "last", "own", "doubtful", "longest",
     )
 
     def __init__(self, tag, parent, skip, weight, link, order):
         self.tag, self.parent, self.skip, self.weight, self.link, self.order = tag, parent, skip, weight, link, order
-        self.chars = self.link_chars = self.legal_chars = 0
+        self.chars = self.link_chars = 0
         self.points = 0.0
         self.links = int(tag == "a")
         self.labelled = tag in ("th", "caption")  # a table of data
-        self.first = None  # place of its first block
+        self.first = self.last = None  # places of its first and last block
+        self.doubtful = False  # by its name it may be furniture
+        self.longest = 0  # unlinked characters of its longest block
         self.own = []  # link characters of its own blocks
 
     def density(self) -> float:
         return self.link_chars / self.chars if self.chars else 0.0
 
 
-def _traits(tag: str, attrs: str, inside_article: bool, strict: bool) -> tuple[bool, int]:
-    """(left out, weight by names) of an element."""
+def _name(names: str, inside_article: bool) -> str:
+    """What class and id say of a box: 'certain' or 'possible' furniture, or ''."""
+    found = ""
+    for one in names.split():
+        words = [w for w in re.split(r"[_-]+", one) if w]
+        certain = any(CERTAIN_WORDS.fullmatch(w) for w in words)
+        possible = any(POSSIBLE_WORDS.fullmatch(w) for w in words)
+        if not certain and not possible:
+            continue
+        whole = all(
+            CERTAIN_WORDS.fullmatch(w) or POSSIBLE_WORDS.fullmatch(w) or PLAIN_WORDS.fullmatch(w) for w in words
+        )
+        if whole and (certain or not inside_article):
+            return "certain"
+        if inside_article and not certain and set(words) & {"header", "banner", "masthead"}:
+            continue  # an article's own head
+        found = "possible"
+    return found
+
+
+def _traits(tag: str, attrs: str, inside_article: bool, strict: bool) -> tuple[bool, int, bool]:
+    """(left out, weight by names, perhaps to be left out) of an element."""
     if tag in NEVER:
-        return True, 0
+        return True, 0, False
     if not strict:
-        return False, 0
+        return False, 0, False
     if tag in FURNITURE or tag == "header" and not inside_article:
-        return True, 0
-    weight, names = 0, []
+        return True, 0, False
+    names = []
     for name, a, b, c in ATTRIBUTE.findall(attrs) if attrs else ():
         name, value = name.lower(), (a or b or c).lower()
         if name == "role":
             if value in FURNITURE_ROLES and tag not in CONTAINERS:
-                return True, 0
+                return True, 0, False
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             if tag not in CONTAINERS:
-                return True, 0
+                return True, 0, False
         else:
             names.append(value)
     words = LAYOUT_WORDS.sub("", " ".join(names))
-    if words:
-        positive = TEXT_WORDS.search(words) is not None
-        if FURNITURE_WORDS.search(words) and tag not in CONTAINERS and tag not in ("h1", "h2"):
-            return True, 0
-        weight = 25 if positive else 0
-    return False, weight
+    if not words:
+        return False, 0, False
+    said = "" if tag in CONTAINERS or tag in ("h1", "h2") else _name(words, inside_article)
+    if said == "certain":
+        return True, 0, False
+    return False, 25 if TEXT_WORDS.search(words) else 0, said == "possible"
+
+
+class _Open:
+    """The open elements, with the places of each kind, so that no step walks the whole stack."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element of these kinds; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def push(self, node: Node) -> None:
+        at = len(self.stack)
+        self.stack.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCKS:
+            self.blocks.append(at)
+
+    def pop_to(self, at: int) -> None:
+        while len(self.stack) > at:
+            node = self.stack.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def block(self) -> Node:
+        """The innermost open block, or the root."""
+        return self.stack[self.blocks[-1] if self.blocks else 0]
 
 
 def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
     """The page's elements in order and its blocks (container, text)."""
     root = Node("", None, False, 0, False, 0)
-    nodes, stack, blocks = [root], [root], []
+    nodes, blocks, opened = [root], [], _Open(root)
+    stack = opened.stack
     parts: list[tuple[str, bool]] = []  # of the block being read, with whether each is link text
     place, size = 0, len(page)
 
@@ -143,23 +209,21 @@ def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
             raw = "".join(p for p, _ in parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                at = len(stack) - 1
-                while at and stack[at].tag not in BLOCKS:
-                    at -= 1
-                node = stack[at]
+                node = opened.block()
                 node.chars += len(text)
                 linked_chars = min(len(text), sum(len(p.strip()) for p, linked in parts if linked))
                 node.link_chars += linked_chars
-                node.legal_chars += len(text) if LEGAL.match(text) else 0
+                node.longest = max(node.longest, len(text) - linked_chars)
                 node.first = len(blocks) if node.first is None else node.first
+                node.last = len(blocks)
                 node.own.append(linked_chars)
                 blocks.append((node, text))
             parts.clear()
 
     def pop_to(at: int):
-        if any(n.tag in BLOCKS for n in stack[at:]):
+        if opened.blocks and opened.blocks[-1] >= at:
             flush()
-        del stack[at:]
+        opened.pop_to(at)
 
     while place < size:
         token = TOKEN.match(page, place)
@@ -173,31 +237,20 @@ def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         tag = token["name"].lower()
         if token["close"]:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag == tag:
-                    pop_to(at)
-                    break
-                if stack[at].tag in ("article", "main", "td", "table") and tag not in CONTAINERS and tag != "table":
-                    break
-            else:
-                if tag in BLOCKS:
-                    flush()
+            at = opened.last(tag)
+            fenced = 0 if tag in CONTAINERS or tag == "table" else opened.last("article", "main", "td", "table")
+            if at and at >= fenced:
+                pop_to(at)
+            elif not fenced and tag in BLOCKS:
+                flush()
             continue
-        if tag in CLOSES_P:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag == "p":
-                    pop_to(at)
-                    break
-                if stack[at].tag in BLOCKS:
-                    break
+        if tag in CLOSES_P and opened.block().tag == "p":
+            pop_to(opened.blocks[-1])
         if tag in SAME_KIND:
             ends, fences = SAME_KIND[tag]
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag in ends:
-                    pop_to(at)
-                    if tag != "tr":
-                        break
-                elif stack[at].tag in fences:
+            while (at := opened.last(*ends)) > opened.last(*fences):
+                pop_to(at)
+                if tag != "tr":
                     break
         if tag in BLOCKS:
             flush()
@@ -211,13 +264,14 @@ def _read(page: str, strict: bool) -> tuple[list[Node], list[tuple[Node, str]]]:
             place = end.end() if end else size
             continue
         top = stack[-1]
-        inside = any(n.tag in ("article", "main") for n in stack)
-        left_out, weight = (True, 0) if top.skip else _traits(tag, attrs, inside, strict)
+        inside = opened.last("article", "main") > 0
+        left_out, weight, doubtful = (True, 0, False) if top.skip else _traits(tag, attrs, inside, strict)
         node = Node(tag, top, left_out, weight, top.link or tag == "a", len(nodes))
+        node.doubtful = doubtful
         if attrs.endswith("/") and tag not in BLOCKS:
             continue
         nodes.append(node)
-        stack.append(node)
+        opened.push(node)
     flush()
     return nodes, blocks
 
@@ -236,14 +290,20 @@ def _score(nodes: list[Node], blocks: list[tuple[Node, str]]) -> None:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
-            node.parent.legal_chars += node.legal_chars
             node.parent.links += node.links
             node.parent.labelled |= node.labelled
+            node.parent.longest = max(node.parent.longest, node.longest)
             if node.first is not None:
                 node.parent.first = node.first if node.parent.first is None else min(node.first, node.parent.first)
+                node.parent.last = node.last if node.parent.last is None else max(node.last, node.parent.last)
     for node in nodes:
         if node.points:
             node.points = (node.points + node.weight) * (1 - node.density())
+    for node in nodes:  # in page order, so parents come first
+        if node.parent is not None and node.parent.skip:
+            node.skip, node.points = True, 0.0
+        elif node.doubtful and (node.longest < PARAGRAPH or node.density() > LINKED / 2):
+            node.skip, node.points = True, 0.0
 
 
 def _menu(node: Node, blocks: list[tuple[Node, str]]) -> bool:
@@ -262,15 +322,29 @@ def _menu(node: Node, blocks: list[tuple[Node, str]]) -> bool:
     return True
 
 
-def _beside(node: Node, blocks: list[tuple[Node, str]]) -> bool:
+def _foot(blocks: list[tuple[Node, str]]) -> int:
+    """Where the page's foot starts: its last blocks, as far as they are copyright lines or links."""
+    at = len(blocks)
+    while at and (LEGAL.match(blocks[at - 1][1]) or blocks[at - 1][0].density() > LINKED):
+        at -= 1
+    return at
+
+
+def _legal(blocks: list[tuple[Node, str]], first: int, last: int, foot: int) -> bool:
+    """Whether the blocks from ``first`` to ``last`` are copyright lines at the page's foot."""
+    return foot <= first and all(LEGAL.match(text) for _, text in blocks[first : last + 1])
+
+
+def _beside(node: Node, blocks: list[tuple[Node, str]], foot: int) -> bool:
     """Whether an element beside the best container or its ancestors is text of the page."""
-    if node.skip or not node.chars or 2 * node.legal_chars > node.chars:
+    if node.skip or not node.chars or _legal(blocks, node.first, node.last, foot):
         return False
     return not ((node.tag in BOXES or node.links > 1) and _menu(node, blocks))
 
 
 def _inside(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[bool]:
     """Whether each block is part of the article."""
+    foot = _foot(blocks)
     best = max(nodes, key=lambda n: (n.points, -n.order))
     path, keep = set(), set()  # ancestors of the best container; kept elements
     if best.points <= 0:
@@ -283,11 +357,11 @@ def _inside(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[bool]:
         if up is not None:
             best = up
             for node in nodes:
-                if node.parent is best.parent and node is not best and not node.skip:
+                if node.parent is best.parent and node is not best and not node.skip and node.chars:
                     near = node.points >= SIBLING_SHARE * best.points
-                    long = node.tag == "p" and node.chars >= 80 and node.density() < 0.25
-                    title = node.tag in ("h1", "h2") and node.order < best.order
-                    if near or long or title:
+                    text = node.tag in ("article", "p", "blockquote", "pre") or node.tag in HEADINGS
+                    legal = _legal(blocks, node.first, node.last, foot)
+                    if near or text and node.density() < 0.25 and not legal:
                         keep.add(node.order)
         else:
             up = best.parent
@@ -300,18 +374,19 @@ def _inside(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[bool]:
         if node.parent is None or node.order in keep or node.order in path:
             inside[node.order] = node.order in keep
         elif node.parent.order in path:
-            inside[node.order] = _beside(node, blocks)
+            inside[node.order] = _beside(node, blocks, foot)
         elif inside[node.parent.order]:
-            inside[node.order] = not (node.tag in BOXES and _menu(node, blocks))
+            inside[node.order] = not node.skip and not (node.tag in BOXES and _menu(node, blocks))
     found = []
     seen = dict.fromkeys(path, 0)
-    for node, text in blocks:
+    for place, (node, text) in enumerate(blocks):
         if node.order in path:
             linked = node.own[seen[node.order]]
             seen[node.order] += 1
-            found.append(linked <= LINKED * len(text) and not LEGAL.match(text))
+            kept = linked <= LINKED * len(text)
         else:
-            found.append(inside[node.order])
+            kept = inside[node.order]
+        found.append(kept and (best.tag in ("article", "main") or not _legal(blocks, place, place, foot)))
     return found
 
 

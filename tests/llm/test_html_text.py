@@ -1,3 +1,7 @@
+import re
+import time
+from html.parser import HTMLParser
+
 import pytest
 from costmart.llm import html_text, queries
 
@@ -98,6 +102,98 @@ def test_link_lists_need_a_sign_of_a_menu():
         assert text(f"<h3>Related pages</h3><ul>{short}</ul>") == 2
 
 
+def test_lines_that_start_like_a_copyright_stay_in_the_text():
+    law = "Copyright law protects the authors of books, films, and music in most countries."
+    sign = "© is the sign that marks it."
+    lines = [LONG.strip(), law, sign, LONG.strip(), "(c) is the third case.", LONG.strip()]
+    for box in ("article", "div", "body"):
+        inner = "".join(f"<p>{x}</p>" for x in lines)
+        foot = "<p>Copyright 2020 Example</p>" if box != "article" else ""
+        got = html_text.extract(page(f"<{box}>{inner}</{box}>{foot}" if box != "body" else inner))
+        assert got.split("\n") == lines
+    # beside the best container, before and after it
+    got = html_text.extract(page(f"<p>{law}</p><div><p>{LONG}</p><p>{LONG}</p></div><p>{law}</p><div>© 2020 Example</div>"))
+    assert got.split("\n") == [law, LONG.strip(), LONG.strip(), law]
+
+
+def test_a_furniture_word_does_not_outweigh_paragraphs():
+    end = LONG.strip()
+    for name in ("class='related-work'", "id='notice'", "class='social-history'", "id='header-files'", "class='share'"):
+        for tag in ("section", "div"):
+            body = f"<article><p>{LONG}</p><{tag} {name}><h2>Part</h2><p>{LONG}</p></{tag}></article>"
+            assert html_text.extract(page(body)).split("\n") == [end, "Part", end]
+    for name in ("class='related-work'", "class='menu-engineering'", "id='comment-on-method'"):
+        body = f"<div><p>{LONG}</p><p>{LONG}</p></div><section {name}><h2>Part</h2><p>{LONG}</p></section>"
+        assert html_text.extract(page(body)).split("\n") == [end, end, "Part", end]
+    # short, or links: the name is believed
+    for inner in ("<p>Share this</p>", "<p><a href=a>One page of some length</a> <a href=b>Another page of the site</a></p>" * 3):
+        body = f"<article><p>{LONG}</p><div class='related-work'>{inner}</div><p>{LONG}</p></article>"
+        assert html_text.extract(page(body)).split("\n") == [end, end]
+    for name in ("related-posts", "share-buttons", "site-footer", "cookie-bar", "ad-slot-2", "notice", "post-comments"):
+        body = f"<div><p>{LONG}</p><p>{LONG}</p></div><div class='{name}'><p>{LONG}</p></div>"
+        assert html_text.extract(page(body)).split("\n") == [end, end]
+    head = f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</p></article>"
+    assert html_text.extract(page(head)).split("\n") == ["Title", end]
+
+
+def test_parts_beside_an_article_stay():
+    end = LONG.strip()
+    body = f"<h2>Before</h2><p>Short.</p><article>{f'<p>{LONG}</p>' * 30}</article><article><p>Brief news.</p></article><p>End.</p>"
+    assert html_text.extract(page(f"{body}<p>© 2020 X</p>")).split("\n") == ["Before", "Short.", *[end] * 30, "Brief news.", "End."]
+
+
+@pytest.mark.parametrize("tag", ["div", "span", "b", "li", "p", "td", "a", "section", "x-y", "table"])
+def test_time_follows_the_size_of_the_page(tag):
+    """A megabyte of open, closed or stray tags is read in about a second."""
+    for part in (f"<{tag}>", f"<{tag}></{tag}x>", f"</{tag}><{tag}>a", f"<b><{tag}></i>"):
+        text = part * (1_000_000 // len(part))
+        started = time.time()
+        html_text.extract(f"<p>{LONG}</p>" + text)
+        assert time.time() - started < 20
+
+
+class Plain(HTMLParser):
+    """A second, plain reader for pages whose text is in one <article>: its blocks, in order."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.skip, self.lines, self.line = 0, 0, [], ""
+
+    def end(self):
+        if text := " ".join(self.line.split()):
+            self.lines.append(text)
+        self.line = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.skip += tag in ("script", "style")
+        if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article"):
+            self.end()
+        self.line += " " if tag == "br" else ""
+
+    def handle_endtag(self, tag):
+        if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article"):
+            self.end()
+        self.depth -= tag == "article"
+        self.skip -= tag in ("script", "style")
+
+    def handle_data(self, data):
+        self.line += data if self.depth and not self.skip else ""
+
+
+def test_query_against_a_plain_reader(spark):
+    """Every page of the table, by a second implementation on another parser."""
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = queries.op9_html(spark, sf).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        plain = Plain()
+        plain.feed(re.sub(r"<!--.*?-->", "", pages[r.page_id], flags=re.S))
+        plain.end()
+        assert r.text == "\n".join(plain.lines)
+
+
 def test_a_page_of_furniture_only_is_read_anyway():
     assert html_text.extract(page(f"<form><p>{LONG}</p></form>")) == LONG.strip()
 
