@@ -25,10 +25,72 @@ def test_query(spark):
 def test_pack_is_even_in_all_dimensions():
     rng = np.random.default_rng(1)
     items = np.stack([rng.lognormal(7, 1, 4000), rng.lognormal(5, 1, 4000), rng.integers(1, 4, 4000)], axis=1)
-    place = sharding.pack(items, 8, sharding.IMPORTANCE)
+    place, _ = sharding.pack(items, 8, sharding.IMPORTANCE)
     share = np.array([items[place == s].sum(axis=0) for s in range(8)]) / items.sum(axis=0) * 8
     assert abs(share[:, 0] - 1).max() < 0.001 and abs(share - 1).max() < 0.05
-    assert sharding.pack(np.zeros((0, 3)), 8, sharding.IMPORTANCE).tolist() == []
+    assert sharding.pack(np.zeros((0, 3)), 8, sharding.IMPORTANCE)[0].tolist() == []
+
+
+def brute(groups, shards, heavy):
+    """A plain second packer: (group, amounts) to shards, every group by itself, the heavy ones first."""
+    total = [sum(g[1][d] for g in groups) for d in range(3)]
+    first = [g for g in groups if any(g[1][d] * heavy >= total[d] and g[1][d] > 0 for d in range(3))]
+    rest = [g for g in groups if g not in first]
+    left = [[t / shards for t in total] for _ in range(shards)]  # capacity in bytes, tokens, rows
+    shard_of = {}
+    for lot in (first, rest):
+        # a lot's amounts are weighed in shares of what is to be placed
+        scale = total if lot is first else [total[d] - sum(g[1][d] for g in first) for d in range(3)]
+        for name, amount in sorted(sorted(lot), key=lambda g: -g[1][0]):
+            def product(s, amount=amount, scale=scale):
+                return sum(
+                    w * (left[s][d] * shards / scale[d]) * (amount[d] * shards / scale[d])
+                    for d, w in enumerate(sharding.IMPORTANCE) if scale[d] > 0
+                )
+
+            best = max(range(shards), key=lambda s: (round(product(s), 9), -s))
+            shard_of[name] = best
+            for d in range(3):
+                left[best][d] -= amount[d]
+    return shard_of
+
+
+def test_every_group_is_placed_by_itself(spark, monkeypatch):
+    """The operator's places are those of a plain packer."""
+    monkeypatch.setattr(sharding, "HEAVY", 30)
+    rng = np.random.default_rng(5)
+    groups = [(f"g{i}", [int(b), int(t), int(r)]) for i, (b, t, r) in enumerate(zip(
+        rng.lognormal(6, 1.2, 400) // 1 + 1, rng.lognormal(4, 1, 400) // 1, rng.integers(1, 9, 400)))]
+    df = spark.createDataFrame([(g, *a) for g, a in groups], "grp string, bytes long, tokens long, rows long")
+    heavy, others = sharding.place_groups(df, 8)
+    assert 0 < heavy.count() < 100
+    got = {r.grp: r.shard for r in heavy.union(others).collect()}
+    want = brute(groups, 8, 30)
+    assert sum(got[g] == want[g] for g in want) >= 0.99 * len(want)  # rounding may decide ties
+
+
+def test_many_buckets_stay_even(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HEAVY", 50)
+    monkeypatch.setattr(sharding, "BUCKET_GROUPS", 40)
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat(concat('w', cast(id as string), ' '), int(1 + id % 23)) as text")
+    rows = sharding.assign(docs, 8).collect()
+    sizes = np.zeros(8)
+    counts = np.zeros(8)
+    for r in rows:
+        sizes[r.shard] += r.size
+        counts[r.shard] += 1
+    assert len(rows) == 3000 and sizes.max() - sizes.min() < 0.01 * sizes.mean() and counts.max() < 1.1 * counts.mean()
+
+
+def test_tokens_are_counted(spark):
+    rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a  b\nc"), (5, " d ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "regexp_count(text, '\\\\S+') n")
+    assert [r.n or 0 for r in df.orderBy("doc_id").collect()] == [0, 0, 0, 3, 1]
+
+
+def test_ids_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "`a b` long, text string")
+    assert sorted(r.row["a b"] for r in sharding.assign(df, 2, id_col="a b").collect()) == [1, 2]
 
 
 def test_odd_rows(odd_docs):
