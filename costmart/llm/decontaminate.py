@@ -18,6 +18,7 @@ columns pass through untouched, whatever their names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from .common import chunks, utf8, written
 from .fmindex import FMIndex
 
-BLOCK_BYTES = 16 << 20  # benchmark text that one pass searches
+BLOCK_BYTES = 32 << 20  # of windows that one pass searches, as sent to the tasks
+WORD_BYTES = 34  # of a block for each word, beside the symbols of its window and its text
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SHARD_BYTES = 3 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -73,38 +76,47 @@ class Words:
 
 
 class Phrases:
-    """The distinct windows of a block of benchmark items."""
+    """The distinct windows of a block of benchmark items, in flat arrays.
+
+    ``symbols`` (windows, words): vocabulary numbers from 1; ``vocabulary``: the
+    words' bytes one after the other, in the order of their numbers; ``item_of``:
+    places in ``names`` of the items of each window.
+    """
 
     def __init__(self, items: list[tuple], window: int):
         raw = [(text or "").encode() for _, text in items]
         data = np.frombuffer(b"".join(raw), np.uint8)
         words = Words(data, np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64))
         ids: dict[bytes, int] = {}
-        numbers = []
-        for w in range(len(words.hash)):
-            numbers.append(ids.setdefault(words.run(w, w + 1), len(ids)))
+        numbers = np.array([ids.setdefault(words.run(w, w + 1), len(ids)) for w in range(len(words.hash))], np.int64)
         hashes = np.zeros(len(ids), np.uint64)
-        lengths = np.zeros(len(ids), np.int64)
-        hashes[numbers], lengths[numbers] = words.hash, words.length
+        hashes[numbers] = words.hash
         order = np.argsort(hashes)
-        self.hash, self.word_length = hashes[order], lengths[order]
-        place = np.empty(len(ids), np.int64)
-        place[order] = np.arange(len(ids))
-        symbols = place[numbers] + 1 if numbers else np.zeros(0, np.int64)
-        found: dict[bytes, list] = {}
-        for k, (item, _) in enumerate(items):
-            a, b = int(words.bounds[k]), int(words.bounds[k + 1])
-            n = min(window, b - a)
-            for i in range(a, b - n + 1 if n else a):
-                key = symbols[i : i + n].tobytes()
-                found.setdefault(key, [symbols[i : i + n], words.run(i, i + n), set()])[2].add(item)
-        rows = list(found.values())
-        self.lengths = np.array([len(r[0]) for r in rows], np.int64)
-        self.symbols = np.zeros((len(rows), window), np.int64)
-        for i, r in enumerate(rows):
-            self.symbols[i, : len(r[0])] = r[0]
-        self.bytes = [r[1] for r in rows]
-        self.items = [frozenset(str(x) for x in r[2] if x is not None) for r in rows]
+        spelled = list(ids)
+        self.hash = hashes[order]
+        self.vocabulary = b"".join(spelled[i] for i in order.tolist())
+        self.word_at = np.concatenate(([0], np.cumsum([len(spelled[i]) for i in order.tolist()]))).astype(np.int64)
+        place = np.empty(len(ids), np.int32)
+        place[order] = np.arange(1, len(ids) + 1)
+        text = place[numbers] if len(numbers) else np.zeros(0, np.int32)
+        # all windows of all items, short ones padded with zeros
+        size = np.diff(words.bounds)
+        width = np.minimum(size, window)
+        count = np.where(size > 0, size - width + 1, 0)
+        item = np.repeat(np.arange(len(items)), count)
+        first = words.bounds[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+        at = first[:, None] + np.arange(window)
+        used = np.arange(window) < width[item][:, None]
+        rows = np.where(used, text[np.minimum(at, max(0, len(text) - 1))] if len(text) else 0, 0).astype(np.int32)
+        self.symbols, of = np.unique(rows, axis=0, return_inverse=True) if len(rows) else (rows, np.zeros(0, np.int64))
+        self.lengths = (self.symbols > 0).sum(axis=1)
+        self.names = sorted({str(i) for i, _ in items if i is not None})
+        number = {name: k for k, name in enumerate(self.names)}
+        named = np.array([-1 if i is None else number[str(i)] for i, _ in items], np.int64)[item] if len(item) else item
+        pairs = np.unique(np.stack((of.ravel(), named), axis=1), axis=0) if len(item) else np.zeros((0, 2), np.int64)
+        pairs = pairs[pairs[:, 1] >= 0]
+        self.item_of = pairs[:, 1].astype(np.int32)
+        self.item_at = np.searchsorted(pairs[:, 0], np.arange(len(self.symbols) + 1)).astype(np.int32)
 
     @classmethod
     def of(cls, fields: dict) -> "Phrases":
@@ -113,12 +125,25 @@ class Phrases:
         self.__dict__.update(fields)
         return self
 
+    @property
+    def nbytes(self) -> int:
+        arrays = (self.hash, self.word_at, self.symbols, self.lengths, self.item_of, self.item_at)
+        return sum(a.nbytes for a in arrays) + len(self.vocabulary) + sum(len(n) for n in self.names)
+
+    def bytes_of(self, phrase: int) -> bytes:
+        """The words of a window, without what stands between."""
+        spans = [(self.word_at[s - 1], self.word_at[s]) for s in self.symbols[phrase, : self.lengths[phrase]].tolist()]
+        return b"".join(self.vocabulary[a:b] for a, b in spans)
+
+    def items(self, phrase: int) -> list[str]:
+        return [self.names[i] for i in self.item_of[self.item_at[phrase] : self.item_at[phrase + 1]].tolist()]
+
     def numbers(self, words: Words) -> np.ndarray:
         """Vocabulary numbers of words, 0 for unknown ones."""
         if not len(self.hash):
             return np.zeros(len(words.hash), np.int64)
         at = np.minimum(np.searchsorted(self.hash, words.hash), len(self.hash) - 1)
-        known = (self.hash[at] == words.hash) & (self.word_length[at] == words.length)
+        known = (self.hash[at] == words.hash) & (np.diff(self.word_at)[at] == words.length)
         return np.where(known, at + 1, 0)
 
 
@@ -144,8 +169,9 @@ def occurrences(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]
     each = np.repeat(phrase, count)
     rows = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
     first = word[index.locate(rows)]
+    spelled = {p: phrases.bytes_of(p) for p in phrase.tolist()}
     same = [
-        words.run(f, f + n) == phrases.bytes[p]
+        words.run(f, f + n) == spelled[p]
         for p, f, n in zip(each.tolist(), first.tolist(), phrases.lengths[each].tolist())
     ]
     same = np.array(same, bool)
@@ -162,7 +188,7 @@ def _shard(words: Words, phrases: Phrases) -> tuple[np.ndarray, dict[int, set]]:
     if len(first):
         pairs = np.unique(np.stack((words.owner[first], phrase), axis=1), axis=0)
         for text, p in pairs.tolist():
-            items.setdefault(text, set()).update(phrases.items[p])
+            items.setdefault(text, set()).update(phrases.items(p))
     return np.cumsum(turn[:-1]) > 0, items
 
 
@@ -171,16 +197,31 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[0::2].tolist(), edge[1::2].tolist()))
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple]]:
-    """The benchmark in blocks of bounded size; at least one, maybe empty."""
+def _parts(item, text: str, window: int) -> Iterator[tuple]:
+    """(item, text, size in a block) of an item, cut where it alone would fill a block."""
+    of_word = 4 * window + WORD_BYTES
+    words = WORD.findall(text)
+    room = max(1, BLOCK_BYTES // (2 * of_word))  # windows of a part
+    count = max(1, len(words) - window + 1)
+    if count <= room or of_word * len(words) + len(text.encode()) <= BLOCK_BYTES:
+        yield item, text, of_word * len(words) + len(text.encode())
+        return
+    for i in range(0, count, room):
+        part = " ".join(words[i : min(i + room, count) + window - 1])
+        yield item, part, of_word * (min(i + room, count) - i + window) + len(part.encode())
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[list[tuple]]:
+    """The benchmark in blocks of at most BLOCK_BYTES as sent; at least one, maybe empty."""
     block, size = [], 0
     rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    for item, text in rows.filter(F.col(text_col).isNotNull()).toLocalIterator():
-        if block and size + len(text) > BLOCK_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
+    for row, text in rows.filter(F.col(text_col).isNotNull()).toLocalIterator():
+        for item, part, part_size in _parts(row, text, window):
+            if block and size + part_size > BLOCK_BYTES:
+                yield block
+                block, size = [], 0
+            block.append((item, part))
+            size += part_size
     yield block
 
 
@@ -201,14 +242,15 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
         empty_spans.alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = _blocks(benchmark, item_id, item_text)
+    blocks = _blocks(benchmark, item_id, item_text, window)
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
         phrases = docs.sparkSession.sparkContext.broadcast(vars(Phrases(block, window)))
         state = state.mapInArrow(_pass(phrases, carry_text or following is not None), state.schema)
-        if following is not None:
+        if following is not None:  # one block is held at a time
             state = written(state, "decontaminate")
+            phrases.destroy()
         block = following
     return state
 

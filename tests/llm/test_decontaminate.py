@@ -75,6 +75,31 @@ def test_brute_force_and_blocks(spark, monkeypatch, seed, block):
     assert got == brute(docs, items, 4)
 
 
+def test_a_block_is_as_large_as_stated(spark, monkeypatch):
+    """What is sent of a block stays below BLOCK_BYTES, one long item included, and all windows are in some block."""
+    import pickle
+
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40_000)
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(1, 9)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(0, 200)))) for i in range(60)]
+    items += [(100, " ".join(word() for _ in range(9000))), (101, None), (102, "")]
+    blocks = list(decontaminate._blocks(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 10))
+    assert len(blocks) > 10
+    found = set()
+    for block in blocks:
+        phrases = decontaminate.Phrases(block, 10)
+        assert phrases.nbytes <= 40_000 and len(pickle.dumps(vars(phrases), -1)) <= 44_000
+        for p in range(len(phrases.symbols)):
+            found |= {(phrases.bytes_of(p), item) for item in phrases.items(p)}
+    want = set()
+    for item, text in items:
+        w = words(text)
+        n = min(10, len(w))
+        want |= {("".join(w[i : i + n]).encode(), str(item)) for i in range(len(w) - n + 1 if n else 0)}
+    assert found == want
+
+
 def test_clean_cuts_until_nothing_is_left(spark):
     docs = [
         (1, "keep one two three four five end"),
