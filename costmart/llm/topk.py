@@ -1,7 +1,8 @@
 """Exact top-k inner products by columnar branch and bound.
 
-The queries are a stated part of the rows; they go to the tasks in blocks of
-bounded size, one pass over the vectors a block. A task holds a batch of
+The queries are a stated part of the rows; they go to the tasks in blocks of at
+most QUERY_BYTES, one pass over the vectors a block; a block's result is written
+before the next block is read, so one block is held at a time. A task holds a batch of
 candidates in vertical layout (one row per dimension), accumulates the scores
 a block of dimensions at a time and, after each block, keeps only candidates
 whose partial score plus the product of the remaining norms reaches the k-th
@@ -25,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 DIM_BLOCK = 16
 CANDIDATES = 2048  # of a batch that are scored at a time
 QUERY_BYTES = 32 << 20  # of query vectors that one pass carries
@@ -105,8 +108,13 @@ class Searcher:
             self.score[q], self.best[q] = score[order], number[order]
 
 
+def block_bytes(block: dict[int, tuple[np.ndarray, np.ndarray]]) -> int:
+    """Bytes of a block as it is sent."""
+    return sum(ids.nbytes + rows.nbytes for ids, rows in block.values())
+
+
 def _blocks(queries: DataFrame, scale: float) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """The queries in blocks of bounded size, by vector length."""
+    """The queries in blocks of at most QUERY_BYTES (or one query), by vector length."""
     rows, size = [], 0
 
     def packed():
@@ -114,11 +122,12 @@ def _blocks(queries: DataFrame, scale: float) -> Iterator[dict[int, tuple[np.nda
         return quantized(ids, pa.array([r[1] for r in rows], pa.list_(pa.float64())), scale)
 
     for row in queries.toLocalIterator():
-        rows.append(row)
-        size += 8 * len(row[1])
-        if size > QUERY_BYTES:
+        one = 8 * (1 + len(row[1]))
+        if rows and size + one > QUERY_BYTES:
             yield packed()
             rows, size = [], 0
+        rows.append(row)
+        size += one
     if rows:
         yield packed()
 
@@ -127,19 +136,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
           vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best other rows of each row where ``is_query``."""
     spark = vectors.sparkSession
-    columns = [F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")]
+    columns = [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector")]
     queries = vectors.filter(is_query).select(*columns).filter("id is not null and vector is not null")
     rows = vectors.select(*columns)
     out = "query long, query_id long, vec_id long, score long"
-    found = spark.createDataFrame([], out)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     first = 0
     for block in _blocks(queries, scale):
         sent = spark.sparkContext.broadcast((first, block))
-        found = found.union(rows.mapInArrow(_scan(sent, k, scale), out))
+        ranked = rows.mapInArrow(_scan(sent, k, scale), out).withColumn("rank", F.row_number().over(order))
+        best = ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = found.union(written(best, "topk-block"))
+        sent.destroy()
         first += sum(len(ids) for ids, _ in block.values())
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found
 
 
 def _scan(sent, k: int, scale: float):

@@ -56,6 +56,30 @@ def test_empty(spark):
     assert found(spark.createDataFrame([(0, None)], "vec_id long, embedding array<float>")) == []
 
 
+def test_a_block_is_as_large_as_stated(spark, monkeypatch):
+    """Queries are sent at most QUERY_BYTES at a time, and one block after the other."""
+    monkeypatch.setattr(topk, "QUERY_BYTES", 2000)
+    rows = [(i, [float(i), 1.0, 2.0]) for i in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    blocks = list(topk._blocks(vectors.select(F.col("vec_id").alias("id"), "embedding"), 256.0))
+    assert len(blocks) > 5 and all(topk.block_bytes(b) <= 2000 for b in blocks)
+    live, most = set(), []
+    plain = type(spark.sparkContext).broadcast
+
+    def watched(self, value):
+        sent = plain(self, value)
+        live.add(id(sent))
+        most.append(len(live))
+        destroy = sent.destroy
+        sent.destroy = lambda *a: (live.discard(id(sent)), destroy(*a))
+        return sent
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", watched)
+    got = topk.top_k(vectors, F.col("vec_id") < 200, 5)
+    assert most and max(most) == 1 and not live
+    assert got.count() == 1000
+
+
 def test_bounds_leave_few_candidates():
     rng = np.random.default_rng(0)
     rows = np.floor(256 * rng.normal(0, 1, (4000, 64)) / 8)
