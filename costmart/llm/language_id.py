@@ -1,8 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 A text's UTF-8 bytes are read four a step, forward and backward, by two gated
-recurrent layers; at every step their states label the step's positions, and
-the positions' probabilities are averaged over the whole text. Texts are cut
+recurrent layers; at every step their states label each of the step's four byte
+positions by an output layer of its own, and the probabilities of all
+positions are averaged over the whole text. Texts are cut
 into segments of SEGMENT steps so that many run side by side; every byte of
 every text is read.
 
@@ -37,7 +38,6 @@ BATCH = 96
 UPDATES = 350
 RATE = 0.03
 SAMPLE_ROWS = 4096
-SALTS = 256  # parts that a language's hashes are ranked in before they are ranked as a whole
 UNDETERMINED = "und"
 
 
@@ -50,8 +50,8 @@ def start_weights(classes: int, seed: int = 11) -> dict[str, np.ndarray]:
         "gates": rng.normal(0, h**-0.5, (2, h, 2 * h)).astype(np.float32),
         "state": rng.normal(0, h**-0.5, (2, h, h)).astype(np.float32),
         "bias": np.zeros((2, 1, 3 * h), np.float32),
-        "out": rng.normal(0, h**-0.5, (2, h, classes)).astype(np.float32),
-        "out_bias": np.zeros(classes, np.float32),
+        "out": rng.normal(0, h**-0.5, (2, h, FRAME * classes)).astype(np.float32),
+        "out_bias": np.zeros((FRAME, classes), np.float32),
     }
 
 
@@ -90,6 +90,12 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
+def _labels(w: dict, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
+    """(steps, lanes, FRAME, classes): class probabilities of every byte position."""
+    both = forward @ w["out"][0] + backward @ w["out"][1]
+    return _softmax(both.reshape(*both.shape[:-1], *w["out_bias"].shape) + w["out_bias"])
+
+
 def _gradients(w: dict, frames: np.ndarray, labels: np.ndarray) -> tuple[float, dict]:
     """Mean loss over all positions of ``frames`` (steps, lanes, FRAME), and its gradients."""
     steps, lanes, _ = frames.shape
@@ -103,15 +109,16 @@ def _gradients(w: dict, frames: np.ndarray, labels: np.ndarray) -> tuple[float,
         kept.append(rest)
     forward = np.stack([s[0] for s in states[1:]])
     backward = np.stack([s[1] for s in states[1:]])[::-1]
-    p = _softmax(forward @ w["out"][0] + backward @ w["out"][1] + w["out_bias"])
+    p = _labels(w, forward, backward)
     rows = np.arange(lanes)
-    loss = float(-np.log(p[:, rows, labels] + 1e-9).mean())
-    p[:, rows, labels] -= 1
-    p /= steps * lanes
+    loss = float(-np.log(p[:, rows, :, labels] + 1e-9).mean())
+    p[:, rows, :, labels] -= 1
+    p /= steps * lanes * FRAME
     grad = {k: np.zeros_like(v) for k, v in w.items()}
+    grad["out_bias"] = p.sum(axis=(0, 1))
+    p = p.reshape(steps, lanes, -1)
     grad["out"][0] = np.einsum("tbh,tbc->hc", forward, p)
     grad["out"][1] = np.einsum("tbh,tbc->hc", backward, p)
-    grad["out_bias"] = p.sum(axis=(0, 1))
     to_forward, to_backward = p @ w["out"][0].T, (p @ w["out"][1].T)[::-1]
     carry = np.zeros((2, lanes, h), np.float32)
     gates_t, state_t = w["gates"].transpose(0, 2, 1), w["state"].transpose(0, 2, 1)
@@ -165,11 +172,11 @@ def train(texts: list[bytes], labels: list[int], classes: int, updates: int = UP
     return w
 
 
-def _label(w: dict, frames: np.ndarray, steps: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def _label(w: dict, frames: np.ndarray, steps: np.ndarray, used: np.ndarray) -> np.ndarray:
     """Sum of the positions' probabilities for each lane.
 
     frames (lanes, SEGMENT, FRAME); steps: used ones of each lane, falling;
-    weight (lanes, SEGMENT): bytes of each step.
+    used (lanes, SEGMENT, FRAME): whether a position holds a byte.
     """
     lanes, longest = len(frames), int(steps[0])
     order = np.arange(longest)
@@ -185,13 +192,13 @@ def _label(w: dict, frames: np.ndarray, steps: np.ndarray, weight: np.ndarray) -
         state = _step(w, _inputs(w, both[t, :, :n]), state[:, :n])[0]
         forward[t, :n], backward[t, :n] = state[0], state[1]
     aligned = backward[turned.T, np.arange(lanes)[None, :]]
-    p = _softmax(forward @ w["out"][0] + aligned @ w["out"][1] + w["out_bias"])
-    return np.einsum("tlc,lt->lc", p, weight[:, :longest])
+    p = _labels(w, forward, aligned)
+    return np.einsum("tlfc,ltf->lc", p, used[:, :longest].astype(np.float32))
 
 
 def predict(w: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Class probabilities of each text, averaged over its bytes (zero for empty texts)."""
-    classes = len(w["out_bias"])
+    classes = w["out_bias"].shape[1]
     size = np.diff(offsets)
     total = np.zeros((len(size), classes))
     width = SEGMENT * FRAME
@@ -208,8 +215,7 @@ def predict(w: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         at = start[lot][:, None] + np.arange(longest)[None, :]
         used = np.arange(longest)[None, :] < count[lot][:, None]
         frames = np.where(used, padded[at], 0).reshape(len(lot), -1, FRAME)
-        weight = used.reshape(len(lot), -1, FRAME).sum(axis=2, dtype=np.float32)
-        np.add.at(total, owner[lot], _label(w, frames, -(-count[lot] // FRAME), weight))
+        np.add.at(total, owner[lot], _label(w, frames, -(-count[lot] // FRAME), used.reshape(frames.shape)))
     return total / np.maximum(size, 1)[:, None]
 
 
@@ -218,17 +224,6 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _smallest(hashes: DataFrame, key: list, n: int) -> DataFrame:
-    """The ``n`` smallest hashes ``h`` of each key."""
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy("h"))
-    return hashes.withColumn("nth", nth).filter(F.col("nth") <= n).select("lang", "h")
-
-
-def _presorted(hashes: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
-    """The ``n`` smallest hashes of each language and salt: at most ``n * salts`` a language, the smallest among them."""
-    return _smallest(hashes, ["lang", F.pmod(F.col("h"), F.lit(salts))], n)
-
-
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> list[tuple[str, bytes]]:
     """At most ``rows`` labelled texts to learn from: as many distinct ones of each language, by hash."""
     text = F.col(f"`{text_col}`").cast("string")
@@ -236,13 +231,22 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
         F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"), F.xxhash64(text).alias("h")
     )
     labelled = labelled.filter("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    languages = labelled.agg(F.count_distinct("lang")).first()[0]
-    each = max(1, rows // max(1, languages))
+    # equal texts count once; a row a language comes back
+    hashes = labelled.select("lang", "h").distinct()
+    counts = hashes.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(rows).collect()
+    if not counts:
+        return []
+    each = max(1, rows // len(counts))
+    # of each language the share of hashes that leaves a few more than ``each``, then the smallest
+    # of those: what the window ranks is bounded, however many texts a language has
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, 1.25 * each / r["n"] + 16 / r["n"]) * (1 << 30))) for r in counts], "lang string, below long"
+    )
+    some = hashes.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("below")).select("lang", "h")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    chosen = some.withColumn("nth", nth).filter(F.col("nth") <= each).select("lang", "h").limit(rows)
     at = F.pmod(F.col("h"), F.greatest(F.length("text") - PIECE, F.lit(1)).cast("long")).cast("int") + 1
     piece = F.col("text").substr(at, F.lit(PIECE))
-    # the smallest hashes of each language; equal texts count once
-    ranked = labelled.select("lang", "h").distinct()
-    chosen = _smallest(_presorted(ranked, each), ["lang"], each).limit(rows)
     # broadcast: at most ``rows`` rows
     found = labelled.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", piece.alias("piece"))
     found = found.groupBy("lang", "h").agg(F.min("piece").alias("piece")).orderBy("lang", "h")

@@ -47,8 +47,10 @@ def test_segments_and_order_do_not_matter(monkeypatch):
                 forward.append(state[0, 0])
                 backward.insert(0, state[1, 0])
             for t in range(steps):
-                p = lid._softmax(forward[t] @ w["out"][0] + backward[t] @ w["out"][1] + w["out_bias"])
-                total += p * min(lid.FRAME, len(part) - t * lid.FRAME)
+                for j in range(min(lid.FRAME, len(part) - t * lid.FRAME)):  # every byte has a label of its own
+                    columns = slice(3 * j, 3 * j + 3)
+                    z = forward[t] @ w["out"][0][:, columns] + backward[t] @ w["out"][1][:, columns] + w["out_bias"][j]
+                    total += lid._softmax(z)
         assert got[k] == pytest.approx(total / max(1, len(text)), abs=1e-4)
 
 
@@ -77,15 +79,24 @@ def test_sample_is_bounded_and_distinct(spark, docs_of):
     assert len(found) == 20 and len(set(found)) == 20
 
 
-def test_hashes_of_a_hot_language_are_ranked_in_parts(spark):
-    """What is ranked as a whole is bounded, and its smallest hashes are those of all."""
-    hashes = spark.range(60000).selectExpr("if(id % 20 = 0, 'de', 'en') as lang", "xxhash64(id) as h")
-    bounded = lid._presorted(hashes, 5, salts=16)
-    counts = {r["lang"]: r["count"] for r in bounded.groupBy("lang").count().collect()}
-    assert counts == {"en": 80, "de": 80}
-    rows = hashes.collect()
-    want = {(la, h) for la in ("en", "de") for h in sorted(r.h for r in rows if r.lang == la)[:5]}
-    assert {(r.lang, r.h) for r in lid._smallest(bounded, ["lang"], 5).collect()} == want
+def test_a_hot_language_is_not_ranked_whole(spark, docs_of, monkeypatch):
+    """A window over a language's hashes meets a bounded number of them."""
+    rows = [(i, f"text {i}", "de" if i % 20 == 0 else "en", "s") for i in range(4000)]
+    seen = []
+    plain = lid.Window.partitionBy
+
+    def watched(*keys):
+        seen.append(keys)
+        return plain(*keys)
+
+    monkeypatch.setattr(lid.Window, "partitionBy", staticmethod(watched))
+    found = lid.sample(docs_of(rows), "doc_id", "text", "lang", 40)
+    assert seen == [("lang",)] and len(found) == 40 and sum(la == "de" for la, _ in found) == 20
+    hashes = {la: [r.h for r in spark.createDataFrame([(t,) for _, t, x, _ in rows if x == la], "t string").selectExpr(
+        "pmod(xxhash64(t), 1073741824) h").collect()] for la in ("en", "de")}
+    for la, n in (("en", 3800), ("de", 200)):
+        below = min(1.0, 1.25 * 20 / n + 16 / n) * (1 << 30)
+        assert sum(h < below for h in hashes[la]) < 120
 
 
 def test_odd_rows(odd_docs, docs_of, monkeypatch):
