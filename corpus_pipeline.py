@@ -2,7 +2,8 @@
 
 Each stage takes all that its predecessor kept, written as parquet and reread,
 and its decisions take effect: documents that language identification rejects
-go, one document of each near-duplicate group stays, benchmark passages are
+go and those without a given language get the predicted one (mixing weighs by
+it), one document of each near-duplicate group stays, benchmark passages are
 cut out (documents of nothing else go), documents are sampled to the target
 mixture, and the rest is placed in shards. All but the last stage return the
 columns they were given.
@@ -17,12 +18,21 @@ from costmart.llm import decontaminate, language_id, mixing, sharding, simhash
 from costmart.llm.common import table, written
 
 SHARDS = 8
+MIN_SCORE = 1 / 3  # pooled probability of the best language below which a text is rejected
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language could be told (``und``: null texts and those without a letter)."""
+    """Documents whose language could be told; a null ``lang`` becomes the predicted one.
+
+    Rejected are ``und`` (null texts and those without a letter) and texts whose
+    best language has a pooled probability below MIN_SCORE: no better than a
+    guess. Short plain texts of a known language lie above it.
+    """
     found = language_id.identify(docs)
-    return found.filter(F.col("lang_pred") != language_id.UNDETERMINED).select("row.*")
+    told = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
+    kind = dict(docs.dtypes).get("lang", "string")
+    lang = F.coalesce(F.col("row.lang"), F.col("lang_pred").cast(kind)).alias("lang")
+    return found.filter(told).select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
