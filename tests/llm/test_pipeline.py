@@ -17,7 +17,6 @@ def test_stages_in_order():
 
 
 def test_each_stage_takes_effect(spark, monkeypatch):
-    monkeypatch.setattr(language_id.train, "__defaults__", (30, 5))
     monkeypatch.setattr(mixing, "ROUNDS", 2)
     docs = table(spark, SF, "documents")
     columns = docs.columns
@@ -58,8 +57,27 @@ def test_each_stage_takes_effect(spark, monkeypatch):
     assert set(columns) < set(last.columns) and {"shard", "slot"} <= set(last.columns)
 
 
+def test_the_language_takes_effect(spark, docs_of, monkeypatch):
+    """Null languages are filled from the prediction, given ones stay, and guesses go."""
+    source = table(spark, SF, "documents").select("text", "lang").where("length(text) > 400").limit(120).collect()
+    rows = [(i, r.text, None if i % 4 == 0 else r.lang, "s") for i, r in enumerate(source)]
+    rows += [(900, "12 34 !!", "en", "s"), (901, None, "en", "s")]
+    docs = docs_of(rows)
+    got = {r.doc_id: r for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
+    assert set(got) == set(range(len(source))) and got[1].shard == "h"
+    right = [got[i].lang == source[i].lang for i in range(0, len(source), 4)]
+    assert sum(right) >= 0.8 * len(right) and all(got[i].lang == source[i].lang for i in got if i % 4)
+    found = language_id.identify(docs)
+    scores = {r.row.doc_id: r.score for r in found.collect()}
+    low = sorted(scores.values())[len(scores) // 2]
+    monkeypatch.setattr(corpus_pipeline, "MIN_SCORE", low)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
+    assert kept == {i for i, s in scores.items() if s >= low and i < 900}
+
+
 def test_odd_rows(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(language_id.train, "__defaults__", (5, 5))
+    monkeypatch.setattr(corpus_pipeline, "MIN_SCORE", 0.0)
     for rows in (odd_docs, odd_docs.limit(0)):
         docs = rows
         for _, stage in corpus_pipeline.STAGES[:4]:
