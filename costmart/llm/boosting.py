@@ -99,8 +99,9 @@ def as_column(model: tuple[float, list[Tree]], features: list[Column]) -> Column
 def threshold(model: tuple[float, list[Tree]], counts: dict[tuple, tuple[float, float]], precision: float) -> float:
     """Lowest probability above which held-out rows hold at least at ``precision`` (2.0 if there is none).
 
-    Groups of equal probability are taken from the highest down; the share of
-    rows that hold is estimated with one row against added.
+    Groups of equal probability are taken from the highest down, as far as they
+    more likely hold than not; the share of rows that hold is estimated with one
+    row against added.
     """
     groups: dict[float, list[float]] = {}
     for x, (a, b) in counts.items():
@@ -110,6 +111,8 @@ def threshold(model: tuple[float, list[Tree]], counts: dict[tuple, tuple[float,
     yes = no = 0.0
     found = 2.0
     for p in sorted(groups, reverse=True):
+        if p < 0.5:
+            break
         yes += groups[p][0]
         no += groups[p][1]
         if yes / (yes + no + 1) >= precision:

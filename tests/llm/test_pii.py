@@ -82,14 +82,79 @@ def test_query(spark):
         assert set(listed(want).split(",")) <= set(r.spans.split(","))
 
 
-def test_near_forms_are_added_where_the_corpus_supports_them(spark):
-    """Numbers in the shape of phones that mostly are phones; the same shape elsewhere mostly is not."""
-    rows = [(i, f"call +1 (555) 555-{i:04d} now") for i in range(3000)]
-    rows += [(5000 + i, f"id=12345{i:04d}; end") for i in range(500)]
-    rows += [(9000, "call 1 (555) 555-0000 now"), (9001, "id=123459999; end")]
-    found = {r.id: r.added for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert [tuple(s) for s in found[9000]] == [(3, 5, 21)]
-    assert not found[9001] and not found[5] and not any(found[5000 + i] for i in range(500))
+def corpus(spark, disguised, n=2400):
+    """Prose with base spans and with what only looks like them, and documents with the given disguised forms."""
+    rng = random.Random(8)
+
+    def card():
+        digits = [rng.randrange(10) for _ in range(15)]
+        last = next(d for d in range(10) if passes_luhn("".join(map(str, [*digits, d]))))
+        return "".join(map(str, [*digits, last]))
+
+    def base(kind):
+        i = rng.randrange(10**6)
+        return {
+            "email": f"anna.{i}@mail{i % 9}.example.com",
+            "ip": ".".join(str(rng.randrange(1, 255)) for _ in range(4)),
+            "card": card(),
+            "phone": f"+1 ({rng.randrange(200, 999)}) 555-{i % 10000:04d}",
+        }[kind]
+
+    words = "the tion and ing at rean of it with that".split()
+    prose = lambda k: " ".join(rng.choices(words, k=k))
+    rows, clean, planted = [], [], {}
+    for i in range(n):
+        kind = pii.KINDS[i % 4]
+        rows.append((i, f"{prose(9)} {base(kind)} {prose(5)}."))
+    for i in range(n, 2 * n):  # nothing personal: failing numbers, versions, dates, keys, prose around "at"
+        wrong = card()
+        wrong = wrong[:-1] + str((int(wrong[-1]) + 1) % 10)
+        odd = [
+            f"id {wrong}", f"{wrong[:4]}.{wrong[4:8]}.{wrong[8:12]}.{wrong[12:]}", f"built 2021-10-{i % 28 + 1:02d} {i % 24:02d}",
+            f"{prose(2)} at {prose(1)}. {prose(2)}", f"token a{wrong}f0", f"version {i % 9}.{i % 7}.12", f"{prose(3)} at that. The end",
+        ]
+        clean.append(i)
+        rows.append((i, f"{prose(6)} {odd[i % 7]} {prose(4)}"))
+    for i in range(2 * n, 2 * n + 60):
+        kind = pii.KINDS[i % 4]
+        text = disguised(kind, base(kind), i)
+        left = prose(7) + " near "
+        planted[i] = (pii.KINDS.index(kind), len(left), len(left) + len(text))
+        rows.append((i, f"{left}{text} {prose(5)}"))
+    rows = [(i, t) for i, t in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string"), clean, planted
+
+
+def held_out_forms(kind, text, i):
+    """Disguises that training does not use."""
+    if kind == "email":
+        return text.replace("@", ["{at}", " {at} ", "[at] "][i % 3]).replace(".com", ["{dot}com", " (dot) com", ".com"][i % 3])
+    if kind == "ip":
+        return text.replace(".", ["{.}", "(dot)", "{dot}"][i % 3])
+    if kind == "card":
+        return ["/ ", ".-", "-/"][i % 3].join(text[k : k + 4] for k in range(0, 16, 4))
+    return text[1:].replace(" (", ["-", " ", "/"][i % 3]).replace(") ", ["-", "-", "-"][i % 3])
+
+
+def test_disguised_forms_are_found_and_clean_documents_left_alone(spark):
+    docs, clean, planted = corpus(spark, held_out_forms)
+    found = {r.id: [tuple(x) for x in r.added] for r in pii.spans(docs).collect()}
+    assert not any(found[i] for i in clean)
+    for kind in range(4):
+        mine = [i for i, s in planted.items() if s[0] == kind]
+        caught = sum(planted[i] in found[i] for i in mine) / len(mine)
+        assert caught >= 0.9, (pii.KINDS[kind], caught)
+    added = [(i, s) for i, spans in found.items() for s in spans]
+    right = sum(planted.get(i) == s for i, s in added)
+    assert right >= 0.95 * len(added)
+
+
+def test_nothing_is_added_where_there_is_nothing_near(spark):
+    """The given tables hold no disguised data: what is added there is a false alarm."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = pii.spans(docs).collect()
+    assert sum(len(r.base) for r in rows) > 50
+    assert sum(len(r.added) for r in rows) <= 0.02 * sum(len(r.base) for r in rows)
 
 
 def test_ipv6_is_added(spark):
@@ -118,25 +183,19 @@ def test_ipv6_label(spark):
 
     docs = spark.createDataFrame([(t,) for t in texts if t.strip(":")], "text string")
     hit = F.regexp_extract("text", f"^(?:{pii.LOOSE_HEX})$", 0) == docs.text
-    rows = docs.select("text", hit.alias("hit"), pii._holds("hex", docs.text, F.lit(0)).alias("holds")).collect()
+    rows = docs.select("text", hit.alias("hit"), pii._ipv6(docs.text).alias("holds")).collect()
     assert sum(r.holds for r in rows) > 50
     for r in rows:
         assert r.holds == valid(r.text) and (r.hit or not r.holds), r.text
 
 
-def test_forms_that_no_strict_pattern_accepts_can_be_added(spark):
-    rows = [(i, f"contact anna@x.org now {'x' * i}") for i in range(1000)]
-    rows += [(2000 + i, f"card 4111-1111-1111-1111 paid {'x' * i}") for i in range(1000)]
-    rows += [(9000, "contact john(at)x.org now"), (9001, "card 4111.1111.1111.1111 paid")]
-    found = {r.id: r.added for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert [tuple(s) for s in found[9000]] == [(0, 8, 21)] and [tuple(s) for s in found[9001]] == [(2, 5, 24)]
-
-
 def test_gates_are_necessary_conditions(spark):
     rng = random.Random(3)
     parts = ["john", "x-1", " ", "@", "(at)", "[at]", "{at}", " at ", ".", "(dot)", "[dot]", "{dot}", " dot ", "ab", "::"]
     parts += ["1", "23", "4567890", "+", "(", ":", "-", "é", "af:09", "1.2.", "a:b:", ":c:d"]
-    texts = ["john.doe at example.com", "john at x dot org", "a::b:c:d", "::1", "1.2.3.4", "+1 2"]
+    parts += [" . ", "[.]", "(.)", " 7 "]
+    texts = ["1[.]2[.]3[.]4", "1 . 2 . 3 . 4", "1 dot 2 dot 3 dot 4", "1(dot)2 [.] 3{.}4 9"] * 2
+    texts += ["john.doe at example.com", "john at x dot org", "a::b:c:d", "::1", "1.2.3.4", "+1 2"]
     texts += ["".join(rng.choices(parts, k=rng.randint(2, 12))) for _ in range(6000)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     gates = pii._triggers(docs.text)
