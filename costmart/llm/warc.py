@@ -50,6 +50,9 @@ RECORD = (
 )
 
 
+UNSAFE = re.compile(r"[\x00-\x1F\x7F-\x9F\u2028\u2029]|^\s+|\s+$")
+
+
 def _member(page_id, url, payload: bytes, digest: str, size: int, refers_to) -> bytes:
     """One record as a gzip member whose last byte is zero."""
     revisit = refers_to is not None
@@ -60,7 +63,8 @@ def _member(page_id, url, payload: bytes, digest: str, size: int, refers_to) ->
     lines.append(f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>")
     lines.append(f"WARC-Date: {DATE}")
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="%/:=&?~#+!$,;'@()*[]"))
+        # as it is, in UTF-8; only what would end the line or be trimmed is escaped
+        lines.append("WARC-Target-URI: " + UNSAFE.sub(lambda m: quote(m[0]), url))
     if revisit:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")

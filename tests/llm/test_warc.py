@@ -87,3 +87,12 @@ def test_a_changed_payload_is_noticed():
     member = gzip.decompress(warc._member(1, "u", b"payload", digest(b"other"), 7, None))
     with pytest.raises(ValueError, match="digest"):
         warc.parse(member)
+
+
+def test_urls_come_back_as_they_were(spark):
+    urls = ["https://münchen.example/straße?q=ä b#é", "http://x.org/a%20b?c=%C3%A9&d=1", "日本.example", "u", "a:b\\c\"d"]
+    rows = [(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)] + [(99, None, "x"), (98, "two\r\nlines\t ", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.url for r in warc.round_trip(pages).collect()}
+    assert [got[i] for i in range(len(urls))] == urls and got[99] is None
+    assert got[98] == "two%0D%0Alines%09%20"
