@@ -174,7 +174,10 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id (a null id comes last)."""
+    """``docs`` with one row of each component: that of the smallest id (a null id comes last).
+
+    Of rows with the kept id and text that differ in other columns, the one with
+    the least hash of its columns stays, so a repeated task keeps the same."""
     found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("id"), "text_hash"))
     kept = found.groupBy("root").agg(first.alias("k")).select("k.none", "k.id", "k.text_hash")
@@ -188,7 +191,9 @@ def one_of_each(
     )
     keys = ["__none", "__id", "__text_hash"]
     # rows that repeat the kept one have its keys: one of them stays
-    return keyed.join(kept.hint("merge"), keys, "left_semi").dropDuplicates(keys).select("row.*")
+    whole = F.xxhash64(*[F.col(f"row.`{c}`").cast("string") for c in docs.columns])
+    one = keyed.join(kept.hint("merge"), keys, "left_semi").groupBy(*keys).agg(F.min_by("row", whole).alias("row"))
+    return one.select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:

@@ -123,6 +123,13 @@ def test_odd_rows(odd_docs):
     assert simhash.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+def test_one_of_each_is_repeatable(spark, docs_of):
+    """Of rows with equal id and text the same one stays, however they are dealt."""
+    rows = [(1, "some words that repeat here", la, s) for la in ("en", "de", None) for s in ("a", "b", "c")] * 3
+    kept = {tuple(simhash.one_of_each(docs_of(rows).repartition(n)).collect()[0]) for n in (1, 3, 7)}
+    assert len(kept) == 1
+
+
 def test_one_of_each(odd_docs):
     kept = simhash.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
