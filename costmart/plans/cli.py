@@ -94,7 +94,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     history = readers.read_parquet(spark, a.cur, merge_schema=True) if _is_path(a.cur) else spark.table(a.cur)
     months_back = None if a.all_months else a.months_back
     windowed = _is_path(a.cur) and months_back is not None
-    window = jobs.read_cur_window(spark, a.cur, as_of, months_back) if windowed else history
+    window = jobs.read_cur_window(spark, a.cur, as_of, months_back, history.schema) if windowed else history
     m = mart.build(window, as_of=as_of, months_back=months_back, history=history, **lookups)
     mart.write(m, out)
     return _finished(spark, out, a.warehouse_db)

@@ -14,6 +14,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import columns as C
 from ..functions import dates
@@ -38,13 +39,15 @@ def read_cur_window(
     root: str,
     as_of: _dt.date | str | None = None,
     months_back: int = dates.DEFAULT_MONTHS_BACK,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """The CUR dataset at ``root`` restricted, at listing time, to the month
     directories of the rolling window (the window filter still applies).
     Columns are the union over all files of the dataset, so a tag that only
-    some months carry is a column here (and part of every tag key)."""
+    some months carry is a column here (and part of every tag key): give their
+    ``schema`` if it is known, else the footers of all files are read."""
     start = dates.window_start(dates.as_date(as_of), months_back)
-    return readers.read_months(spark, root, since=start, schema=readers.union_schema(spark, root))
+    return readers.read_months(spark, root, since=start, schema=schema or readers.union_schema(spark, root))
 
 
 def read_cur_month(spark: SparkSession, root: str, year: str, month: str) -> DataFrame:

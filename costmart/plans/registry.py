@@ -169,6 +169,27 @@ def q_rolling_window(spark, sf_dir):
     )
 
 
+# The window of today in a zone 5.5 hours ahead of UTC, long enough to hold months of the test data.
+ZONE, ZONE_MONTHS = "Asia/Kolkata", 304
+_ZONE_TODAY = "CAST(make_timestamp(epoch_us(now()) + 330 * 60000000) AS DATE)"
+
+
+@register(
+    "zone_window",
+    f"WITH {O.cur_cte()}, t AS (SELECT year({_ZONE_TODAY}) * 12 + month({_ZONE_TODAY}) AS asked) "
+    f"SELECT year, month, count(*) AS line_items, CAST(sum(line_item_unblended_cost) AS {O.MONEY}) AS unblended_cost "
+    f"FROM cur, t WHERE asked - (year::INT * 12 + month::INT) <= {ZONE_MONTHS} GROUP BY year, month",
+)
+def q_zone_window(spark, sf_dir):
+    """The rolling window that ends today in the billing team's zone (the default of a scheduled run)."""
+    from . import jobs
+
+    rows = summary.windowed(_cur(spark, sf_dir), jobs.today_in(ZONE), ZONE_MONTHS)
+    return rows.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("line_items"), F.sum(C.UNBLENDED).cast(MONEY).alias("unblended_cost")
+    )
+
+
 # ------------------------------------------------------------- dimensions
 @register(
     "tag_dim",
