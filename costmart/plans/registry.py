@@ -171,7 +171,7 @@ def q_rolling_window(spark, sf_dir):
 
 # The window of today in a zone 5.5 hours ahead of UTC, long enough to hold months of the test data.
 ZONE, ZONE_MONTHS = "Asia/Kolkata", 304
-_ZONE_TODAY = "CAST(make_timestamp(epoch_us(now()) + 330 * 60000000) AS DATE)"
+_ZONE_TODAY = "CAST((make_timestamp(epoch_us(now())) + INTERVAL 330 MINUTE) AS DATE)"
 
 
 @register(
