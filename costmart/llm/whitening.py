@@ -12,7 +12,8 @@ accuracy, and twisted factorisations of the bidiagonal's square give the
 directions. A third pass measures the covariance of the whitened rows.
 
 Defined results: rows whose vector is null or holds null or non-finite entries
-are dropped; a null id stays; vectors of different lengths are whitened apart,
+are dropped, as are rows with an entry whose scaled value lies beyond the whole
+numbers that a double holds (2^53); a null id stays; vectors of different lengths are whitened apart,
 each length with its own n, sums and components; empty vectors have no
 component and give no row; repeated rows count and are returned each for
 itself; components whose singular value is below RANK times the largest (no
@@ -283,10 +284,12 @@ def usable_rows(vectors: pa.Array, scale: float, shift: int) -> dict[int, tuple[
     usable = usable & (bad[bounds[1:]] == bad[bounds[:-1]])
     size = np.diff(bounds)
     found = {}
+    flat = np.where(np.isfinite(flat), flat, 0.0)
     for d in np.unique(size[usable & (size > 0)]).tolist():
         rows = np.flatnonzero(usable & (size == d))
-        values = flat[bounds[rows][:, None] + np.arange(d)[None, :]]
-        found[d] = rows, np.floor(scale * values).astype(np.int64) + shift
+        values = np.floor(scale * flat[bounds[rows][:, None] + np.arange(d)[None, :]])
+        fits = (np.abs(values) <= 2.0**53).all(axis=1)
+        found[d] = rows[fits], values[fits].astype(np.int64) + shift
     return found
 
 
@@ -295,7 +298,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], scale: float, shift: int):
         for start in range(0, batch.num_rows, BLOCK):
             part = batch.slice(start, BLOCK)
             for d, (rows, x) in usable_rows(part.column(part.num_columns - 1), scale, shift).items():
-                yield part, d, rows, x
+                if len(rows):
+                    yield part, d, rows, x
 
 
 def _triangle(stack: np.ndarray) -> np.ndarray:

@@ -41,6 +41,28 @@ def test_slow_tables_are_raked_until_they_meet_their_targets(spark):
         assert (found.groupby(dim).raked.sum() / total).to_dict() == pytest.approx(wanted, abs=mixing.TOLERANCE)
 
 
+def test_later_rounds_against_a_second_implementation(spark):
+    """Raked cells are those of plain proportional fitting with as many rounds as the tolerance takes."""
+    rows = [("a", "x", "t", 1000), ("a", "y", "u", 30), ("b", "x", "t", 30), ("b", "y", "u", 1), ("c", "y", "t", 1000),
+            ("c", "x", "u", 1), ("c", "x", "t", 7), ("a", "x", "u", 4)]
+    targets = [{"a": 0.2, "b": 0.1, "c": 0.7}, {"x": 0.7, "y": 0.3}, {"t": 0.6, "u": 0.4}]
+    total = sum(r[3] for r in rows)
+    raked, rounds = [float(r[3]) for r in rows], 0
+
+    def marginal(d, key):
+        return sum(w for r, w in zip(rows, raked) if r[d] == key)
+
+    while rounds < 2 or any(abs(marginal(d, k) / total - share) > mixing.TOLERANCE for d in range(3) for k, share in targets[d].items()):
+        rounds += 1
+        for d in range(3):
+            now = {k: marginal(d, k) for k in targets[d]}
+            raked = [w * targets[d][r[d]] * total / now[r[d]] for r, w in zip(rows, raked)]
+    assert rounds > 3
+    found = mixing.rake(_table(spark, rows), dict(zip(mixing.DIMENSIONS, targets)), rounds=2).collect()
+    got = {(r.source, r.lang, r.topic): r.raked for r in found}
+    assert got == pytest.approx({r[:3]: w for r, w in zip(rows, raked)}, rel=1e-9)
+
+
 def test_targets_that_cannot_be_met_are_reported(spark):
     cells = _table(spark, [("a", "x", "t", 10), ("b", "y", "t", 10)])
     with pytest.warns(UserWarning, match="misses its target by 0.6"):

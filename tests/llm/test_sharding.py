@@ -64,7 +64,7 @@ def test_every_group_is_placed_by_itself(spark, monkeypatch):
     df = spark.createDataFrame([(g, *a) for g, a in groups], "grp string, bytes long, tokens long, rows long")
     heavy, others = sharding.place_groups(df, 8)
     assert 0 < heavy.count() < 100
-    got = {r.grp: r.shard for r in heavy.union(others).collect()}
+    got = {r.grp: r.shard for r in heavy.union(others.select("grp", "shard")).collect()}
     want = brute(groups, 8, 30)
     assert sum(got[g] == want[g] for g in want) >= 0.99 * len(want)  # rounding may decide ties
 
@@ -82,6 +82,13 @@ def test_many_buckets_stay_even(spark, monkeypatch):
     assert len(rows) == 3000 and sizes.max() - sizes.min() < 0.01 * sizes.mean() and counts.max() < 1.1 * counts.mean()
 
 
+def test_whole_rows_are_shuffled_once(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', cast(id % 90 as string)) as text", "'x' as more")
+    plan = sharding.assign(docs, 4)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "hashpartitioning" in line]
+    assert len(moved) == 2, plan  # the rows, and the slots of their groups
+
+
 def test_tokens_are_counted(spark):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a  b\nc"), (5, " d ")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "regexp_count(text, '\\\\S+') n")

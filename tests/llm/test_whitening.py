@@ -59,7 +59,8 @@ def test_odd_rows(spark):
     rng = np.random.default_rng(4)
     good = [(i, rng.normal(size=3).tolist()) for i in range(20)]
     short = [(100 + i, rng.normal(size=2).tolist()) for i in range(10)]
-    bad = [(200, None), (201, [1.0, None, 2.0]), (202, [float("nan")] * 3), (203, [float("inf"), 0.0, 0.0]), (204, [])]
+    bad = [(200, None), (201, [1.0, None, 2.0]), (202, [float("nan")] * 3), (203, [float("inf"), 0.0, 0.0]), (204, []),
+           (205, [1e300, 0.0, 0.0]), (206, [1e305, 1.0, 1.0])]
     rows = [(i, v, "a", 1) for i, v in good + short + bad]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row string, n int")
     got = whitening.whiten(df).collect()
