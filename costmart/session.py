@@ -83,13 +83,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Where it is unset, a folder beside the tables of the warehouse, which all
-    executors share too, becomes the session's checkpoint folder.
+    Where it is unset, a local session takes a folder beside the tables of its
+    warehouse. On a cluster that folder may be the driver's own, so there the
+    setting is required.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.getCheckpointDir():
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

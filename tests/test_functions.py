@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from costmart.functions import dates, keys
@@ -116,3 +117,21 @@ def test_cluster_conf_sizes_partitions():
 def test_default_as_of_is_utc_today():
     assert dates.as_date(None) == dt.datetime.now(dt.timezone.utc).date()
     assert dates.as_date("2021-10-15") == dt.date(2021, 10, 15)
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from costmart import session
+
+    def fake(master, conf=None, folder=None):
+        context = SimpleNamespace(
+            master=master, getConf=lambda: {"spark.checkpoint.dir": conf} if conf else {}, getCheckpointDir=lambda: folder,
+        )
+        return SimpleNamespace(sparkContext=context)
+
+    assert session.checkpoint_root(fake("spark://host:7077", "s3://shared/x/")) == "s3://shared/x"
+    assert session.checkpoint_root(fake("yarn", folder="hdfs://shared/y")) == "hdfs://shared/y"
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_root(fake(master))
