@@ -63,7 +63,7 @@ def _amounts(rows, columns=DIMENSIONS) -> np.ndarray:
 
 
 def place_groups(groups: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """(heavy, others): (grp, shard) of the groups (grp, bytes, tokens, rows).
+    """(heavy, others): (grp, shard) and (grp, shard, rows) of the groups (grp, bytes, tokens, rows).
 
     ``heavy`` has at most 3 * HEAVY rows."""
     spark = groups.sparkSession
@@ -85,11 +85,11 @@ def place_groups(groups: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
         table = table.sort_by("grp")
         items = np.stack([table.column(c).to_numpy().astype(float) for c in DIMENSIONS], axis=1)
         shard, _ = pack(items, shards, IMPORTANCE, residual=capacity)
-        return pa.table({"grp": table.column("grp"), "shard": pa.array(shard.astype(np.int32))})
+        return pa.table({"grp": table.column("grp"), "shard": pa.array(shard.astype(np.int32)), "rows": table.column("rows")})
 
     buckets = max(1, -(-(total["n"] or 0) // BUCKET_GROUPS))
     light = groups.filter(~is_heavy).withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
-    others = light.groupBy("bucket").applyInArrow(place, "grp string, shard int")
+    others = light.groupBy("bucket").applyInArrow(place, "grp string, shard int, rows long")
     return first, written(others, "shard-places")
 
 
@@ -109,22 +109,30 @@ def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: s
     groups = written(based.groupBy("grp").agg(*amounts), "shard-groups")
     n_rows = groups.agg(F.sum("rows")).first()[0] or 0
     heavy, others = place_groups(groups, shards)
-    # rows of heavy groups meet a broadcast of a bounded size; of the others none has 1/HEAVY of the rows
-    own = F.broadcast(heavy.withColumnRenamed("shard", "own_shard"))
-    marked = based.drop("n_tokens").join(own, "grp", "left")
-    sharded = (
-        marked.filter("own_shard is not null").withColumn("shard", F.col("own_shard"))
-        .unionByName(marked.filter("own_shard is null").join(others.hint("merge"), "grp"))
-    )
+    # whole rows move once, by bucket: to their places, and to be numbered. Rows of a heavy group meet a
+    # broadcast of bounded size and are dealt by id; no other group has 1/HEAVY of the rows.
     buckets = max(LEAST_BUCKETS, -(-n_rows // SLOT_ROWS))
-    sharded = sharded.withColumn("bucket", F.pmod(F.xxhash64("id", "crc"), F.lit(buckets)))
-    counts = sharded.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    by_group = F.pmod(F.xxhash64("grp"), F.lit(buckets))
+    marked = based.drop("n_tokens").join(F.broadcast(heavy.withColumnRenamed("shard", "own_shard")), "grp", "left")
+    by_id = F.pmod(F.xxhash64("id", "crc"), F.lit(buckets))
+    marked = marked.withColumn("bucket", F.when(F.col("own_shard").isNull(), by_group).otherwise(by_id))
+    # units of rows with one bucket and group: their shard, and where their slots start
+    light = others.withColumn("bucket", by_group)
+    large = marked.filter("own_shard is not null").groupBy("bucket", "grp", F.col("own_shard").alias("shard"))
+    units = light.select("bucket", "grp", "shard", "rows").union(large.agg(F.count("*").alias("rows")))
+    units = written(units, "shard-units")
+    counts = units.groupBy("shard", "bucket").agg(F.sum("rows").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")
-    starts = written(counts.select("shard", "bucket", before.alias("first_slot")), "shard-slots")
-    numbered = sharded.withColumn(
-        "place", F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "crc", "size"))
+    starts = counts.select("shard", "bucket", before.alias("bucket_slot"))
+    inside = F.sum("rows").over(Window.partitionBy("shard", "bucket").orderBy("grp")) - F.col("rows")
+    slots = units.withColumn("inside", inside).join(starts, ["shard", "bucket"])
+    slots = slots.select("bucket", "grp", "shard", (F.col("bucket_slot") + F.col("inside")).alias("first_slot"))
+    slots = written(slots, "shard-slots")
+    numbered = marked.drop("own_shard").join(slots.hint("shuffle_hash"), ["bucket", "grp"])
+    numbered = numbered.withColumn(
+        "place", F.row_number().over(Window.partitionBy("bucket", "grp").orderBy("id", "crc", "size"))
     )
-    return numbered.join(starts, ["shard", "bucket"]).select(
+    return numbered.select(
         "row",
         "size",
         F.col("crc").alias("text_crc32"),
