@@ -18,7 +18,7 @@ from costmart.llm import decontaminate, language_id, mixing, sharding, simhash
 from costmart.llm.common import table, written
 
 SHARDS = 8
-MIN_SCORE = 1 / 3  # pooled probability of the best language below which a text is rejected
+MIN_SCORE = 0.3  # pooled probability of the best language below which a text is rejected: near a guess among four
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
