@@ -27,14 +27,16 @@ the same strings as the plain forms without their quadratic time and deep
 recursion on long runs.
 
 Places are code points from 0, ends exclusive. Defined results: null and empty
-texts have no spans; repeated rows repeat their result; ties between
-overlapping candidates go to the higher score, then the earlier start; an empty
-table gives an empty result and trains nothing. Only id and text are read.
+texts have no spans; repeated rows repeat their result; of candidates that
+overlap, one stays unless it meets a better one: of higher score, then of
+earlier start, then of the kind that comes first; an empty table gives an empty
+result and trains nothing. Only id and text are read. Overlaps are found by
+sorting a text's likely candidates, so a text may have any number of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import boosting
@@ -367,6 +369,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", preci
     found = found.select(
         "id",
         "half",
+        F.monotonically_increasing_id().alias("row"),
         F.concat(*[_base(k) for k in KINDS]).alias("base"),
         F.concat(*[_candidates(n) for n in GENERATORS]).alias("candidates"),
         F.concat(*[_planted(k) for k in KINDS]).alias("planted"),
@@ -392,13 +395,38 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", preci
         "candidates",
         lambda c: F.struct(chance(c).alias("p"), c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")),
     )
-    likely = found.select("id", "base", F.filter(scored, lambda c: c["p"].isNotNull() & (c["p"] > 0)).alias("likely"))
-    free = F.filter("likely", lambda c: ~F.exists("base", lambda b: _meets(b, c)))
-    chosen = likely.select("id", "base", free.alias("chosen"))
-    better = lambda d, c: (d["p"] > c["p"]) | ((d["p"] == c["p"]) & (d["start"] < c["start"]))
-    apart = F.filter("chosen", lambda c: ~F.exists("chosen", lambda d: _meets(d, c) & better(d, c)))
-    plain = F.transform(apart, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")))
-    return chosen.select("id", "base", plain.alias("added"))
+    likely = found.select("row", "base", F.filter(scored, lambda c: c["p"].isNotNull() & (c["p"] > 0)).alias("likely"))
+    added = _apart(likely.filter(F.size("likely") > 0))
+    none = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
+    return found.select("row", "id", "base").join(added, "row", "left").select(
+        "id", "base", F.coalesce("added", none).alias("added")
+    )
+
+
+def _apart(likely: DataFrame) -> DataFrame:
+    """(row, added): the candidates of each row (row, base, likely) that meet no base span and no better candidate."""
+    found = likely.select("row", F.explode("likely").alias("c")).select("row", "c.*")
+    base = likely.select("row", F.explode("base").alias("b")).select("row", "b.start", "b.stop")
+    # base spans at their starts and candidates at their ends, in order: a candidate meets a base span
+    # if one that starts before its end ends after its start
+    empty = F.lit(None).cast("int")
+    events = found.select("row", F.col("stop").alias("at"), F.lit(0).alias("turn"), "p", "kind", "start", "stop", empty.alias("reach"))
+    events = events.union(
+        base.select("row", "start", F.lit(1), F.lit(None).cast("double"), empty, empty, empty, F.col("stop"))
+    )
+    so_far = Window.partitionBy("row").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    free = events.withColumn("reach", F.max("reach").over(so_far)).filter("turn = 0 and coalesce(reach, 0) <= start")
+    # candidates that meet in a row form an island; they are compared inside it
+    order = Window.partitionBy("row").orderBy("start", "stop", "kind")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("start") >= before), 1).otherwise(0)
+    islands = free.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order))
+    members = islands.groupBy("row", "island").agg(F.collect_list(F.struct("p", "kind", "start", "stop")).alias("c"))
+    rank = lambda c: F.struct(c["p"], -c["start"], -c["kind"], c["stop"])
+    best = F.filter("c", lambda c: ~F.exists("c", lambda d: _meets(d, c) & (rank(d) > rank(c))))
+    kept = members.select("row", F.explode(best).alias("c"))
+    span = F.struct(F.col("c.kind").alias("kind"), F.col("c.start").alias("start"), F.col("c.stop").alias("stop"))
+    return kept.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("added"))
 
 
 def _model(table: list, kind: int, precision: float) -> tuple:

@@ -157,6 +157,42 @@ def test_nothing_is_added_where_there_is_nothing_near(spark):
     assert sum(len(r.added) for r in rows) <= 0.02 * sum(len(r.base) for r in rows)
 
 
+def test_overlaps_against_brute_force(spark):
+    """What stays apart is what a comparison of all pairs leaves."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        base = []
+        for _ in range(rng.randrange(4)):
+            a = rng.randrange(100)
+            base.append((0, a, a + rng.randrange(1, 9)))
+        likely = []
+        for kind in range(4):
+            for _ in range(rng.randrange(8)):
+                a = rng.randrange(100)
+                likely.append((rng.choice([0.9, 0.95, 0.99]), kind, a, a + rng.randrange(1, 20)))
+        rows.append((i, base, sorted(set(likely))))
+    span = "array<struct<kind:int,start:int,stop:int>>"
+    df = spark.createDataFrame(rows, f"row long, base {span}, likely array<struct<p:double,kind:int,start:int,stop:int>>")
+    got = {r.row: [tuple(s) for s in r.added] for r in pii._apart(df).collect()}
+    meet = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    for i, base, likely in rows:
+        free = [c for c in likely if not any(meet(c[2:], b[1:]) for b in base)]
+        rank = lambda c: (c[0], -c[2], -c[1], c[3])
+        want = [c[1:] for c in free if not any(meet(c[2:], d[2:]) and rank(d) > rank(c) for d in free)]
+        assert got.get(i, []) == sorted(want)
+    assert sum(map(len, got.values())) > 300
+
+
+def test_a_text_of_many_additions(spark):
+    """Time follows the number of added spans of one text."""
+    n = 20000
+    likely = [(0.9, 0, 10 * i, 10 * i + 5) for i in range(n)]
+    df = spark.createDataFrame([(1, [(1, 3, 4)], likely)], "row long, base array<struct<kind:int,start:int,stop:int>>, "
+                               "likely array<struct<p:double,kind:int,start:int,stop:int>>")
+    assert len(pii._apart(df).collect()[0].added) == n - 1
+
+
 def test_ipv6_is_added(spark):
     """Valid addresses of full and short form where most of such a form are valid; hardware addresses and times are not."""
     shapes = ["2001:db8:0:1:2:3:4:{:x}", "2001:db8::{:x}", "::{:x}", "fe80::{:x}:1", "2001:DB8:{:x}::"]
