@@ -61,7 +61,7 @@ def made(seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("block", [1 << 20, 40])
+@pytest.mark.parametrize("block", [1 << 20, 600])
 def test_brute_force_and_blocks(spark, monkeypatch, seed, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     monkeypatch.setattr(decontaminate, "SHARD_BYTES", 300)
