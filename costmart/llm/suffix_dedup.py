@@ -1,20 +1,18 @@
-"""Removal of repeated byte strings by prefix doubling over sampled positions.
+"""Removal of repeated byte strings by sampled window hashing.
 
 A position is repeated if the ``length`` bytes from it also start elsewhere.
-Plain prefix doubling ranks every position at offsets 1, 2, 4, ... and moves
-all of them through a sort each time. Here the first rank is that of
-``length / 4`` bytes, and it is given to sampled positions only: each window
-of ``length`` bytes is stood for by the smallest-hash gram in it, so equal
-windows have equal samples, at equal places. Positions in a row with the same
-sample form a run. Then the offset grows and ranks are paired:
-
-1. Spark ranks samples by their gram; samples that are unique are done.
-2. It pairs the rank with that of the whole run (gram, run bytes): runs that
-   repeat are repeated throughout, and groups with one run only are done.
-3. What is left (runs at the edges of copies) is ranked position by position:
-   pairs of half-window ranks, the second at the offset of half the length,
-   within the group of their gram; a group with many runs is not brought to one
-   task but dealt out by the paired ranks themselves.
+Prefix doubling (``prefix_doubling``) ranks every position at growing offsets and
+moves all of them through a sort each time, far more than the input (README).
+Here positions are stood for by samples: each window of ``length`` bytes by the
+smallest-hash gram of ``length / 4`` bytes in it, so equal windows have equal
+samples, at equal places. Positions in a row with the same sample form a run.
+
+1. Spark groups samples by their gram; samples that are unique are done.
+2. It groups them by the gram and the whole run: runs that repeat are repeated
+   throughout, and grams with one run only are done.
+3. What is left (runs at the edges of copies) is compared position by position,
+   by the names of both halves of its window, within the group of their gram; a
+   group with many runs is not brought to one task but dealt out by those names.
 
 Ranks are names (hashes of the bytes ranked), as only equality counts: 64 bits
 where a chance match costs work, 95 bits or more where it would decide.
