@@ -37,6 +37,7 @@ from .graph import components
 BITS = 64
 BLOCK = 1 << 16  # shingles whose bits are expanded at a time
 EMIT_FPS = 20_000  # fingerprints whose variants one task emits
+SORT_ROWS = 4_096  # whole rows that one task sorts
 
 
 def fingerprint(raw: bytes, shingle: int, seed: int = 42) -> int:
@@ -73,6 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fps = [fingerprint(bytes(view[s:e]), shingle) for s, e in zip(bounds, bounds[1:])]
             column = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column], names=["id", "text_hash", "fp"])
+        pa.default_memory_pool().release_unused()  # the worker stays, idle beside the joins that follow
 
     id_, text = _keys(id_col, text_col)
     return docs.select(id_, F.xxhash64(text).alias("text_hash"), text).mapInArrow(
@@ -190,6 +192,9 @@ def one_of_each(
         F.xxhash64(text).alias("__text_hash"),
     )
     keys = ["__none", "__id", "__text_hash"]
+    # Texts are sorted in memory: tasks are cut by rows, as shuffled bytes are several
+    # times smaller than the rows and would be put together to few large tasks.
+    keyed = keyed.repartition(-(-docs.count() // SORT_ROWS) or 1, *keys)
     # rows that repeat the kept one have its keys: one of them stays
     whole = F.xxhash64(*[F.col(f"row.`{c}`").cast("string") for c in docs.columns])
     one = keyed.join(kept.hint("merge"), keys, "left_semi").groupBy(*keys).agg(F.min_by("row", whole).alias("row"))

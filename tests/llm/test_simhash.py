@@ -137,6 +137,15 @@ def test_one_of_each(odd_docs):
     assert simhash.one_of_each(odd_docs.limit(0)).count() == 0
 
 
+def test_whole_rows_are_sorted_in_tasks_cut_by_rows(odd_docs, monkeypatch):
+    monkeypatch.setattr(simhash, "SORT_ROWS", 2)
+    kept = simhash.one_of_each(odd_docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    cut = [line for line in plan.splitlines() if "RepartitionByExpression" in line and "__text_hash" in line]
+    assert cut and cut[0].rstrip().endswith(", 5")
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "8", "None"]
+
+
 def test_masks_cover_any_three_bits():
     pairs = {frozenset(np.flatnonzero([m >> b & 1 for b in range(64)]).tolist()) for m in simhash._masks(2, True)}
     assert len(pairs) == 992
