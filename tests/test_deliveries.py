@@ -92,3 +92,42 @@ def test_settings_are_put_back_after_a_failure(spark, sf_dir):
         deliveries.append(bad, f"{sf_dir}/bad")
     assert {k: spark.conf.get(k) for k in deliveries._CONF} == before
     assert not glob.glob(f"{sf_dir}/bad/*")
+
+
+def test_columns_of_one_expression_reach_the_writer_once(spark, sf_dir):
+    """A column with the values of another, or with one text, is neither evaluated nor sent to the writer."""
+    items = FX.cur_items(spark, sf_dir).drop("year", "month")
+    of, values = deliveries._sources(items)
+    assert of["product_to_location"] == of["product_from_location"] == "product_region"
+    assert values["product_tenancy"] == "Shared" and values["product_processor_features"] == ""
+    rows = deliveries.expanded(items)
+    for name, source in of.items():
+        assert rows.where(~F.col(name).eqNullSafe(F.col(source))).isEmpty()
+    for name, text in values.items():
+        assert rows.where(~F.col(name).eqNullSafe(F.lit(text))).isEmpty()
+    names = rows.columns
+    sent = deliveries._expand(items.drop(*of, *values).toArrow(), names, of, values)
+    own = deliveries._expand(items.toArrow(), names)
+    assert sorted(map(repr, sent.to_pylist())) == sorted(map(repr, own.to_pylist()))
+
+
+@pytest.mark.parametrize("name", ["product_region", "product_to_location", "product_tenancy"])
+def test_a_replaced_column_is_no_copy(spark, sf_dir, name):
+    items = FX.cur_items(spark, sf_dir).where("year is not null").withColumn(name, F.concat("line_item_product_code", F.lit("!")))
+    expected = deliveries.expanded(items)
+    deliveries.append(items, f"{sf_dir}/replaced")
+    stored = spark.read.schema(expected.schema).parquet(f"{sf_dir}/replaced").select(*expected.columns)
+    assert stored.where(~F.col(name).endswith("!")).isEmpty()
+    assert _sorted(stored) == _sorted(expected)
+
+
+def test_amounts_have_no_dictionary(spark, sf_dir):
+    import pyarrow.parquet as pq
+
+    deliveries.append(FX.cur_items(spark, sf_dir), f"{sf_dir}/cur")
+    file = glob.glob(f"{sf_dir}/cur/year=2001/month=8/part-*")[0]
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    columns = {c.path_in_schema: c for c in map(group.column, range(group.num_columns))}
+    assert not columns["line_item_unblended_cost"].has_dictionary_page
+    assert columns["line_item_resource_id"].has_dictionary_page
+    assert columns["line_item_usage_start_date"].statistics.has_min_max
