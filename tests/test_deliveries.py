@@ -8,6 +8,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from costmart.plans import registry
 from costmart.session import configure
 from costmart.sources import deliveries
 from costmart.sources import fixtures as FX
@@ -131,3 +132,49 @@ def test_amounts_have_no_dictionary(spark, sf_dir):
     assert not columns["line_item_unblended_cost"].has_dictionary_page
     assert columns["line_item_resource_id"].has_dictionary_page
     assert columns["line_item_usage_start_date"].statistics.has_min_max
+
+
+def test_a_long_history_is_dealt_in_groups_of_months(spark, sf_dir, monkeypatch):
+    """No frame joins and deals more than the bound (or a month): what lies on the disk at once does not grow with the months."""
+    cur = FX.cur_from_tables(spark, sf_dir)
+    assert len(FX.cur_item_groups(spark, sf_dir)) == 1
+    monkeypatch.setattr(FX, "DEALT_ITEMS", 2)
+    frames = FX.cur_item_groups(spark, sf_dir)
+    months = [{(r.year, r.month) for r in f.select("year", "month").distinct().collect()} for f in frames]
+    assert months == [{(None, None)}, {("2001", "8")}, {("2001", "9")}]
+    assert len(FX.cur_item_groups(spark, sf_dir, "l_shipdate is null or month(l_shipdate) = 9")) == 1
+    deliveries.append(frames, f"{sf_dir}/grouped")
+    assert _sorted(spark.read.schema(cur.schema).parquet(f"{sf_dir}/grouped").select(*cur.columns)) == _sorted(cur)
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_a_month_is_rewritten_in_place(spark, sf_dir, monkeypatch, mounted):
+    """The months that a delivery holds are replaced, also those of several frames; the others keep their rows."""
+    if not mounted:
+        monkeypatch.setattr(deliveries, "_mounted", lambda spark, path: None)
+    path, cur = f"{sf_dir}/cur", FX.cur_from_tables(spark, sf_dir)
+    deliveries.append(FX.cur_items(spark, sf_dir), path)
+    monkeypatch.setattr(FX, "DEALT_ITEMS", 1)
+    late = FX.cur_item_groups(spark, sf_dir, "month(l_shipdate) = 9 OR l_shipdate IS NULL")
+    assert len(late) == 2
+    stored = lambda: spark.read.schema(cur.schema).parquet(path).select(*cur.columns)
+    deliveries.append(late, path, replace=True)
+    assert _sorted(stored()) == _sorted(cur)
+    august = FX.cur_items(spark, sf_dir, hour="hour(line_item_usage_start_date) = 0").where("month = '8'")
+    deliveries.append(august, path, replace=True)
+    kept = cur.where("month is distinct from '8' or hour(line_item_usage_start_date) = 0")
+    assert kept.count() < cur.count() and _sorted(stored()) == _sorted(kept)
+    deliveries.append([august, *late], path)  # appended: what is there stays
+    assert stored().count() == 2 * kept.count()
+
+
+def test_the_first_days_of_a_month(spark, sf_dir):
+    """No hour is lost with the line items that a delivery leaves out, wherever an item's hours pass midnight or a month."""
+    times = [dt.datetime(2001, m, d, h) for m, d in [(1, 31), (2, 13), (2, 14), (2, 15), (2, 28)] for h in (0, 1, 5, 6, 11, 12, 18, 23)]
+    of = FX.table(spark, sf_dir, "lineitem")
+    items = [(1, 1, 3, i, 2.0, 7.25, "R", "F", t) for i, t in enumerate(times)]
+    spark.createDataFrame(items, of.schema).write.mode("overwrite").parquet(f"{sf_dir}/lineitem.parquet")
+    wanted = FX.cur_from_tables(spark, sf_dir).where(registry._FIRST_DAYS)
+    frames = registry._item_groups(spark, sf_dir, registry._FIRST_DAYS_ITEMS, registry._FIRST_DAYS)
+    rows = deliveries.expanded(frames[0])
+    assert wanted.count() > 0 and _sorted(rows.select(*wanted.columns)) == _sorted(wanted)
