@@ -235,6 +235,32 @@ def test_partials_read_only_changed_files(spark, monkeypatch):
     assert_whole(spark, cur_path, root)
 
 
+def test_partials_sum_a_long_history_some_months_at_a_time(spark, monkeypatch):
+    """What a run shuffles at once is bounded; files of other columns or partly new months are summed all the same."""
+    cur_path, root = scratch_path(spark, "t-cur"), scratch_path(spark, "t-mart")
+    summed, plain = [], fact.partial_sums
+
+    def watched(rows, *args):
+        summed.append({(r.year, r.month) for r in rows.select("year", "month").distinct().collect()})
+        return plain(rows, *args)
+
+    monkeypatch.setattr(fact, "partial_sums", watched)
+    days = [dt.date(2021, 9, 1), dt.date(2021, 10, 1), dt.date(2021, 10, 2), dt.date(2021, 1, 3)]
+    deliver(spark, cur_path, [row(d, i + 1) for i, d in enumerate(days)], tags=["resource_tags_user_env"])
+    assert partials.refresh(spark, cur_path, root, as_of=AS_OF) == [("2021", "10"), ("2021", "9")]
+    assert summed == [{("2021", "1"), ("2021", "9"), ("2021", "10")}]
+    assert_whole(spark, cur_path, root)
+
+    monkeypatch.setattr(partials, "SUMMED_BYTES", 1)
+    summed.clear()
+    deliver(spark, cur_path, [row(dt.date(2021, 8, 2), 3, "late"), row(dt.date(2021, 9, 2), 7, "late")])
+    deliver(spark, cur_path, [row(dt.date(2021, 10, 2), 5, "late")], tags=["resource_tags_user_env"])
+    assert len(partials.refresh(spark, cur_path, root, as_of=AS_OF)) == 3
+    assert summed == [{("2021", "8")}, {("2021", "9")}, {("2021", "10")}]
+    assert_whole(spark, cur_path, root)
+    assert partials.refresh(spark, cur_path, root, as_of=AS_OF) == []
+
+
 def test_partials_with_a_new_tag_column_and_new_rules(spark):
     cur_path, root = scratch_path(spark, "t-cur"), scratch_path(spark, "t-mart")
     deliver(spark, cur_path, [row(dt.date(2021, 9, 1), 1)], tags=["resource_tags_user_env"])
